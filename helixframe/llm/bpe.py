@@ -3,11 +3,13 @@
 1. Each partition cuts its documents into chunks of a few million characters, numbers the distinct
    pre-tokens of a chunk, and keeps every document as the positions' sequence of those numbers. That is the
    exploded (document, position, pre-token) relation, pre-aggregated before it is shuffled.
-2. The chunks' words are shuffled by word; each distinct word is encoded once.
-3. The ids travel back to their chunks, packed per chunk, and documents are reassembled by position.
+2. A chunk's words are dealt to buckets by hash, and shuffled as one packed row for each bucket; in its
+   bucket, each distinct word is encoded once.
+3. The ids travel back to their chunks, packed likewise, and documents are reassembled by position.
 4. Decoding joins the token-byte table, whose size the vocabulary fixes, so it is broadcast.
 
-A word occurs once per chunk at most, so no key is hot, however common a word is.
+A word occurs once per chunk at most, so no key is hot, however common a word is. Documents and words go
+through one and the same exchange, which both branches of the plan read.
 
 Defined results: a null or empty text has no ids and decodes to b''; repeated rows come back as often; keys
 may be null; other columns are not read; an empty table gives an empty table.
@@ -16,6 +18,7 @@ may be null; other columns are not read; an empty table gives an empty table.
 from __future__ import annotations
 
 import base64
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,15 +27,47 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import materialize, text_rows
+from helixframe.llm.common import text_rows
 
 #: Characters of text that share one dictionary of word numbers.
-CHUNK_CHARS = 24_000_000
-#: Bytes of ids that a task gathers per flush on their way back.
-FLUSH_BYTES = 16_000_000
+CHUNK_CHARS = 14_000_000
 
-_CHUNK_SCHEMA = "chunk bigint, no int, word string, doc_id bigint, seq binary"
-_PACKED_SCHEMA = "chunk bigint, nos binary, lens binary, ids binary"
+#: key: the chunk for a document, -1 - bucket for words.
+_DEALT = pa.schema([("key", pa.int64()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("payload", pa.binary())])
+_DEALT_DDL = "key bigint, chunk bigint, doc_id bigint, payload binary"
+
+
+def pack_ints(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers, compressed: each byte of a number in a plane of its own, as high planes are mostly zero."""
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return pack_bytes(planes)
+
+
+def unpack_ints(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(unpack_bytes(blob), np.uint8)
+    return planes.reshape(4, -1).T.copy().view("<u4").reshape(-1)
+
+
+def pack_bytes(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + (pa.Codec("zstd").compress(raw, asbytes=True) if raw else b"")
+
+
+def unpack_bytes(blob: bytes) -> bytes:
+    n = int.from_bytes(blob[:8], "little")
+    return pa.Codec("zstd").decompress(blob[8:], decompressed_size=n, asbytes=True) if n else b""
+
+
+def pack_all(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+
+
+def unpack_all(blob: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(blob):
+        n = int.from_bytes(blob[at : at + 8], "little")
+        out.append(blob[at + 8 : at + 8 + n])
+        at += 8 + n
+    return out
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -76,39 +111,32 @@ class _Chunk:
             parts = parts[:1] * bool(parts and parts[0]) + [" " + p for p in parts[1:]]
         self.docs.append((doc_id, np.fromiter(map(numbers.__getitem__, parts), np.uint32, len(parts)), whole))
 
-    def batches(self, find) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("chunk", pa.int64()), ("no", pa.int32()), ("word", pa.string()), ("doc_id", pa.int64()), ("seq", pa.binary())])
+    def batches(self, find, buckets: int) -> Iterator[pa.RecordBatch]:
         per_segment = [find(s) for s in self.segments]
         lens = np.fromiter(map(len, per_segment), np.int64, len(per_segment))
         flat = np.fromiter((self.words[w] for words in per_segment for w in words), np.uint32, int(lens.sum()))
         del per_segment
-        starts, codec = np.cumsum(lens) - lens, pa.Codec("zstd")
-        for at in range(0, len(self.docs), 2000):
-            part = self.docs[at : at + 2000]
-            seqs = []
-            for _, numbers, whole in part:
-                raw = (numbers if whole else take_runs(flat, starts, lens, numbers)).astype("<u4")
-                # The four bytes of each number go to four planes: high planes are mostly zero.
-                planes = raw.view(np.uint8).reshape(-1, 4).T.tobytes()
-                seqs.append(len(raw).to_bytes(8, "little") + codec.compress(planes, asbytes=True))
-            n = len(part)
-            yield pa.RecordBatch.from_arrays([pa.array([self.number] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()), pa.array([d[0] for d in part], pa.int64()), pa.array(seqs, pa.binary())], schema=schema)
-        words = pa.array(list(self.words), pa.string())
-        for at in range(0, len(words), 50_000):
-            part = words.slice(at, 50_000)
-            n = len(part)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, self.number)), pa.array(np.arange(at, at + n, dtype=np.int32)), part, pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], schema=schema)
-
-
-def _sequence(blob: bytes) -> np.ndarray:
-    n = int.from_bytes(blob[:8], "little")
-    if not n:
-        return np.zeros(0, "<u4")
-    planes = pa.Codec("zstd").decompress(blob[8:], decompressed_size=4 * n, asbytes=True)
-    return np.frombuffer(planes, np.uint8).reshape(4, n).T.copy().view("<u4").reshape(-1)
-
-
-def _chunked(df: DataFrame, pattern: str, key: str, text: str) -> DataFrame:
+        self.segments.clear()
+        starts = np.cumsum(lens) - lens
+        for at in range(0, len(self.docs), 1000):
+            part = self.docs[at : at + 1000]
+            seqs = [pack_ints(numbers if whole else take_runs(flat, starts, lens, numbers)) for _, numbers, whole in part]
+            mine = pa.array([self.number] * len(part), pa.int64())
+            yield pa.RecordBatch.from_arrays([mine, mine, pa.array([d[0] for d in part], pa.int64()), pa.array(seqs, pa.binary())], schema=_DEALT)
+        words = [w.encode() for w in self.words]
+        bucket = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % buckets
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], np.arange(buckets), side="right")
+        for b, (lo, hi) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
+            if lo == hi:
+                continue
+            nos = order[lo:hi]
+            own = [words[k] for k in nos.tolist()]
+            payload = pack_all(pack_ints(np.diff(nos, prepend=0)), pack_ints(np.array([len(w) for w in own])), pack_bytes(b"".join(own)))
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - b], pa.int64()), pa.array([self.number], pa.int64()), pa.nulls(1, pa.int64()), pa.array([payload], pa.binary())], schema=_DEALT)
+
+
+def _dealt(df: DataFrame, pattern: str, key: str, text: str, buckets: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
@@ -118,70 +146,73 @@ def _chunked(df: DataFrame, pattern: str, key: str, text: str) -> DataFrame:
         for keys, texts in text_rows(batches, key, text):
             for doc_id, t in zip(keys, texts, strict=True):
                 if chunk.docs and chunk.chars + len(t) > CHUNK_CHARS:
-                    yield from chunk.batches(find)
+                    yield from chunk.batches(find, buckets)
                     number += 1
                     chunk = _Chunk(number)
                 chunk.add(doc_id, t, find, uneven)
         if chunk.docs:
-            yield from chunk.batches(find)
+            yield from chunk.batches(find, buckets)
 
-    return df.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(cut, _CHUNK_SCHEMA)
+    return df.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(cut, _DEALT_DDL).repartition("key")
 
 
-def _encoded(words: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """Rows sorted by word within their partition: equal words are neighbours, and each is encoded once."""
-    vocabulary = words.sparkSession.sparkContext.broadcast(ranks)
+def _encoded(dealt: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """Rows sorted by bucket within their partition: a bucket's words are met together, and each is encoded once."""
+    vocabulary = dealt.sparkSession.sparkContext.broadcast(ranks)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
         encoding = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=vocabulary.value, special_tokens={})
-        packed: dict[int, tuple[list[int], list[int], list[bytes]]] = {}
-        size, last, blob = 0, None, b""
-
-        def flush() -> pa.RecordBatch:
-            rows = [(c, np.array(nos, "<u4").tobytes(), np.array(lens, "<u4").tobytes(), b"".join(ids)) for c, (nos, lens, ids) in packed.items()]
-            chunks, *rest = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), *(pa.array(x, pa.binary()) for x in rest)], ["chunk", "nos", "lens", "ids"])
-
+        last, known = None, {}
         for batch in batches:
-            for chunk, no, word in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                if word != last:
-                    last, blob = word, np.array(encoding.encode_ordinary(word), "<u4").tobytes()
-                nos, lens, ids = packed.setdefault(chunk, ([], [], []))
-                nos.append(no)
-                lens.append(len(blob) // 4)
-                ids.append(blob)
-                size += len(blob) + 64
-            if size > FLUSH_BYTES:
-                yield flush()
-                packed, size = {}, 0
-        if packed:
-            yield flush()
-
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(encode, _PACKED_SCHEMA)
-
-
-def _reassembled(docs: DataFrame, packed: DataFrame, key: str) -> DataFrame:
+            keys = batch.column(0).to_numpy()
+            for row in np.flatnonzero(keys < 0).tolist():
+                if keys[row] != last:
+                    last, known = keys[row], {}
+                nos, lens, words = unpack_all(batch.column(3)[row].as_py())
+                raw, ends = unpack_bytes(words), np.cumsum(unpack_ints(lens), dtype=np.int64).tolist()
+                out = []
+                for a, b in zip([0, *ends[:-1]], ends, strict=True):
+                    word = raw[a:b]
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = known[word] = encoding.encode_ordinary(word.decode())
+                    out.append(ids)
+                flat = np.fromiter((i for ids in out for i in ids), np.uint32)
+                payload = pack_all(nos, pack_ints(np.array([len(ids) for ids in out])), pack_ints(flat))
+                chunk = batch.column(1).slice(row, 1)
+                yield pa.RecordBatch.from_arrays([chunk, pa.array([payload], pa.binary())], ["key", "payload"])
+
+    return dealt.sortWithinPartitions("key").mapInArrow(encode, "key bigint, payload binary")
+
+
+def _reassembled(dealt: DataFrame, encoded: DataFrame, key: str) -> DataFrame:
     schema = pa.schema([(key, pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
-    def join(chunk_docs: pa.Table, chunk_ids: pa.Table) -> pa.Table:
-        nos, lens, flat = (np.frombuffer(b"".join(chunk_ids.column(c).to_pylist()), "<u4") for c in ("nos", "lens", "ids"))
-        by_no, starts = np.zeros(len(nos), np.int64), np.zeros(len(nos), np.int64)
-        by_no[nos] = lens
-        starts[nos] = np.cumsum(lens, dtype=np.int64) - lens
-        out = [take_runs(flat, starts, by_no, _sequence(blob)).tobytes() for blob in chunk_docs.column("seq").to_pylist()]
-        return pa.Table.from_arrays([chunk_docs.column("doc_id").combine_chunks(), pa.array([len(x) // 4 for x in out], pa.int64()), pa.array(out, pa.binary())], schema=schema)
+    def join(docs: pa.Table, words: pa.Table) -> pa.Table:
+        if not docs.num_rows or docs.column("key")[0].as_py() < 0:  # a bucket of words, of no use here
+            return schema.empty_table()
+        parts = [unpack_all(p) for p in words.column("payload").to_pylist()]
+        nos = np.concatenate([np.cumsum(unpack_ints(p[0]), dtype=np.int64) for p in parts] or [np.zeros(0, np.int64)])
+        counts = np.concatenate([unpack_ints(p[1]) for p in parts] or [np.zeros(0, np.int64)]).astype(np.int64)
+        flat = np.concatenate([unpack_ints(p[2]) for p in parts] or [np.zeros(0, np.uint32)])
+        lens, starts = np.zeros(len(nos), np.int64), np.zeros(len(nos), np.int64)
+        lens[nos] = counts
+        starts[nos] = np.cumsum(counts) - counts
+        out = [take_runs(flat, starts, lens, unpack_ints(p)).tobytes() for p in docs.column("payload").to_pylist()]
+        return pa.Table.from_arrays([docs.column("doc_id").combine_chunks(), pa.array([len(x) // 4 for x in out], pa.int64()), pa.array(out, pa.binary())], schema=schema)
 
-    return docs.groupBy("chunk").cogroup(packed.groupBy("chunk")).applyInArrow(join, f"`{key}` bigint, n_tokens bigint, ids binary")
+    return dealt.groupBy("key").cogroup(encoded.groupBy("key")).applyInArrow(join, f"`{key}` bigint, n_tokens bigint, ids binary")
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: key, n_tokens, and ids as little-endian unsigned 32-bit integers."""
-    chunks = materialize(_chunked(df, pattern, key, text), "bpe-chunks")
-    docs = chunks.where("seq is not null").select("chunk", "doc_id", "seq")
-    words = chunks.where("word is not null").select("chunk", "no", "word")
-    return _reassembled(docs, _encoded(words, ranks, pattern), key)
+    """One row per input row: key, n_tokens, and ids as little-endian unsigned 32-bit integers.
+
+    Words are dealt to as many buckets as the session has shuffle partitions.
+    """
+    dealt = _dealt(df, pattern, key, text, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return _reassembled(dealt, _encoded(dealt, ranks, pattern), key)
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id") -> DataFrame:

@@ -4,15 +4,39 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from helixframe.llm import bpe, packing, pii
-from helixframe.llm.common import table
+from helixframe.llm import bpe, langid, packing, pii, quality, toxicity
+from helixframe.llm.common import fold, table
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
+def _scored(spark: SparkSession, sf_dir: str, module, label: str, held: tuple[int, int], most: int) -> DataFrame:
+    """Learn ``label`` from rows outside the held-out fold and score every document."""
+    documents = table(spark, sf_dir, "documents")
+    known = table(spark, sf_dir, "labels").where(fold("doc_id", held[0]) != held[1])
+    model = module.learn(*toxicity.labelled(documents, known, label, most=most))
+    scored = module.score(documents, model)
+    return scored.select("doc_id", (fold("doc_id", held[0]) == held[1]).alias("held_out"), "score", (F.col("score") >= module.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, toxicity, "toxic", (4, 2), toxicity.SAMPLE_DOCS)
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = langid.learn(langid.sample(documents.where(fold("doc_id", 3) != 1)))
+    return langid.identify(documents, model).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, quality, "quality", (5, 0), quality.SAMPLE_DOCS)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json")) as f:
         tokenizer = f.read()
@@ -25,5 +49,5 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(encoded, ranks))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op7_packing, op9_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op2_pii, op4_toxicity, op5_language, op7_packing, op8_quality, op9_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}
