@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,50 +28,67 @@ from helixframe.llm.common import materialize, text_rows
 
 #: Lengths are rounded up to a multiple of this for the linear program: 2048 tokens give 512 classes.
 GRAIN = 4
-#: Words that a Python worker remembers before it starts afresh, and the longest word it remembers.
-CACHE_WORDS, CACHE_CHARS = 600_000, 64
+#: Words, and parts of words, that a Python worker remembers before it starts afresh.
+CACHE_WORDS, CACHE_PARTS = 300_000, 900_000
+#: Signs that never join a letter before them in one pre-token.
+SIGNS = ".,;:!?*$%&#()[]{}\"/-"
 #: Pieces of one length class and hash bucket that a rank is computed over, about.
 RANK_ROWS = 100_000
 
 _WORKER: dict = {}
 
 
-def _tokenizer(text: str):
+def _words(text: str) -> Words:
+    """The worker's memory of this vocabulary."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if _WORKER.get("json") != hash(text):
         from tokenizers import Tokenizer
 
-        _WORKER.update(json=hash(text), tokenizer=Tokenizer.from_str(text), cache={})
-    return _WORKER["tokenizer"], _WORKER["cache"]
+        _WORKER.update(json=hash(text), words=Words(Tokenizer.from_str(text)))
+    return _WORKER["words"]
 
 
 def _pack_ids(encodings) -> list[bytes]:
-    return [np.array(e.ids, "<u4").tobytes() for e in encodings]
-
-
-def word_ids(texts: list[str], tokenizer, cache: dict[str, bytes]) -> Iterator[bytes]:
-    """The ids of each text, as a vocabulary that drops white space gives them.
-
-    Such a tokenizer never looks across white space, so each distinct word is encoded once for a worker.
-    A text with a special token's mark, or with a separator that only Python counts as white space, is
-    encoded whole.
-    """
-    odd = [k for k, t in enumerate(texts) if "<|" in t or any(c in t for c in "\x1c\x1d\x1e\x1f")]
-    whole = dict(zip(odd, _pack_ids(tokenizer.encode_batch([texts[k] for k in odd], add_special_tokens=False)), strict=True)) if odd else {}
-    words = [[] if k in whole else t.split() for k, t in enumerate(texts)]
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
-    new = list({w for ws in words for w in ws if w not in cache})
-    found = dict(zip(new, _pack_ids(tokenizer.encode_batch(new, add_special_tokens=False)), strict=True)) if new else {}
-    cache.update((w, ids) for w, ids in found.items() if len(w) <= CACHE_CHARS)
-    found = {w: ids for w, ids in found.items() if len(w) > CACHE_CHARS}
-    for k, ws in enumerate(words):
-        if k in whole:
-            yield whole[k]
-        elif found:
-            yield b"".join([cache[w] if w in cache else found[w] for w in ws])
-        else:
-            yield b"".join(map(cache.__getitem__, ws))
+    return [array("I", e.ids).tobytes() for e in encodings]
+
+
+class Words:
+    """Ids of words, remembered: those of raw words, and those of their parts that several raw words share."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.raw, self.parts = tokenizer, {}, {}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return _pack_ids(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)) if texts else []
+
+    def learn(self, words: set[str]) -> None:
+        """Letters and the signs after them are separate pre-tokens, and case is dropped: such parts are encoded once."""
+        if len(self.parts) > CACHE_PARTS:
+            self.parts = {}
+        split = {}
+        for w in words:
+            core = w.rstrip(SIGNS)
+            split[w] = (core.lower(), w[len(core) :]) if core.isalpha() and "\u03a3" not in core else (w, "")
+        new = list({p for two in split.values() for p in two if p not in self.parts})
+        self.parts.update(zip(new, self._encode(new), strict=True))
+        parts = self.parts
+        self.raw.update((w, parts[a] + parts[b]) for w, (a, b) in split.items())
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text, as a vocabulary that drops white space gives them.
+
+        Such a tokenizer never looks across white space, so a word is encoded once for a worker. A text with
+        a special token's mark, or with a separator that only Python counts as white space, is encoded whole.
+        """
+        odd = [k for k, t in enumerate(texts) if "<|" in t or any(c in t for c in "\x1c\x1d\x1e\x1f")]
+        whole = dict(zip(odd, self._encode([texts[k] for k in odd]), strict=True))
+        words = [[] if k in whole else t.split() for k, t in enumerate(texts)]
+        if len(self.raw) > CACHE_WORDS:
+            self.raw = {}
+        raw = self.raw
+        self.learn({w for ws in words for w in ws if w not in raw})
+        for k, ws in enumerate(words):
+            yield whole[k] if k in whole else b"".join(map(raw.__getitem__, ws))
 
 
 def pieces(df: DataFrame, tokenizer_json: str, end_id: int, capacity: int = 2048, key: str = "doc_id", text: str = "text", keep_ids: bool = True) -> DataFrame:
@@ -81,10 +99,10 @@ def pieces(df: DataFrame, tokenizer_json: str, end_id: int, capacity: int = 2048
     schema = pa.schema([(n, getattr(pa, k)()) for n, k, _ in kinds])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, cache = _tokenizer(vocabulary.value)
+        words = _words(vocabulary.value)
         for keys, texts in text_rows(batches, key, text):
             rows = []
-            for doc, ids in zip(keys, word_ids(texts, tokenizer, cache), strict=True):
+            for doc, ids in zip(keys, words.ids(texts), strict=True):
                 ids += end
                 n = len(ids) // 4
                 for start in range(0, n, capacity):
