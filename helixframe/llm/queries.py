@@ -14,17 +14,19 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
-def _scored(spark: SparkSession, sf_dir: str, module, label: str, held: tuple[int, int], most: int) -> DataFrame:
-    """Learn ``label`` from rows outside the held-out fold and score every document."""
-    documents = table(spark, sf_dir, "documents")
-    known = table(spark, sf_dir, "labels").where(fold("doc_id", held[0]) != held[1])
-    model = module.learn(*toxicity.labelled(documents, known, label, most=most))
-    scored = module.score(documents, model)
-    return scored.select("doc_id", (fold("doc_id", held[0]) == held[1]).alias("held_out"), "score", (F.col("score") >= module.THRESHOLD).cast("int").alias("predicted"))
+def _digest(scored: DataFrame, n: int, held: int, threshold: float) -> DataFrame:
+    return scored.select("doc_id", (fold("doc_id", n) == held).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    known = table(spark, sf_dir, "labels").where(fold("doc_id", 4) != 2)
+    texts, labels = toxicity.labelled(table(spark, sf_dir, "documents"), known, "toxic", toxicity.SAMPLE_DOCS)
+    return toxicity.learn(texts, labels, toxicity.share_of_ones(known, "toxic"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir, toxicity, "toxic", (4, 2), toxicity.SAMPLE_DOCS)
+    scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return _digest(scored, 4, 2, toxicity.THRESHOLD)
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +36,9 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir, quality, "quality", (5, 0), quality.SAMPLE_DOCS)
+    documents, known = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+    model = quality.learn(*toxicity.labelled(documents, known, "quality", quality.SAMPLE_DOCS))
+    return _digest(quality.score(documents, model), 5, 0, quality.THRESHOLD)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

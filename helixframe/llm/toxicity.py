@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from helixframe.llm.common import bounded_sample, text_rows
 
-#: The bounded labelled sample: at most so many documents are learnt from.
-SAMPLE_DOCS = 6000
-BUCKETS, DIMS, STEPS, LEARNING_RATE = 1 << 17, 8, 70, 0.05
-WINDOW = 32
+#: The bounded labelled sample: at most so many documents of either label are learnt from.
+SAMPLE_DOCS = {0: 4000, 1: 2000}
+BUCKETS, DIMS, STEPS, LEARNING_RATE, SCALE, SHARPNESS = 1 << 17, 4, 60, 0.15, 20, 1.5
+#: A word is trained on from so many texts on; rarer ones are scored by the n-grams they share.
+LEAST_TEXTS = 4
+WINDOW = 16
 THRESHOLD = 0.3
 #: Tokens that a Python worker remembers before it starts afresh.
 CACHE_TOKENS = 500_000
@@ -39,6 +41,12 @@ CACHE_TOKENS = 500_000
 _WORDS = re.compile(r"\w+").findall
 
 
+def tokens_of(text: str) -> list[str]:
+    """Lower-cased tokens; a token repeated in a row counts once."""
+    tokens = text.lower().split()
+    return [a for a, b in zip(tokens, [None, *tokens], strict=False) if a != b]
+
+
 def subwords(word: str) -> list[int]:
     marked = f"<{word}>"
     grams = [marked] + [marked[a : a + n] for n in (3, 4, 5) for a in range(len(marked) - n + 1) if n < len(marked)]
@@ -48,58 +56,69 @@ def subwords(word: str) -> list[int]:
 @dataclass
 class Model:
     weights: np.ndarray  # of each subword bucket: its vector's part in the log-odds
-    bias: float
-    mix: np.ndarray  # of 1, the whole text's value, the highest stretch's value
+    mix: np.ndarray  # of 1, the whole text's value, the highest stretch's value, the log of the length
     constant: float | None = None  # the score of everything, where there was nothing to learn
 
 
-def _csr(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    lens = np.array([len(r) for r in rows], np.int64)
-    return np.concatenate([np.array(r, np.int64) for r in rows]) if len(rows) else np.zeros(0, np.int64), lens
-
-
 def _mean(values: np.ndarray, which: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Mean of values[which] in runs of lens, all of which are over 0."""
-    return np.add.reduceat(values[which], np.cumsum(lens) - lens, axis=0) / lens[:, None]
+    return (np.add.reduceat(values[which], np.cumsum(lens) - lens, axis=0).T / lens).T
+
 
+def train_vectors(texts: list[str], labels: np.ndarray) -> np.ndarray:
+    """Gradient descent on the softmax loss of each text's pooled stretches: log-odds by bucket.
 
-def train_vectors(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
-    """Full-batch Adam on the softmax loss, both classes weighted alike: log-odds by bucket, and the bias."""
-    bags = [_WORDS(t.lower()) for t in texts]
+    A text's value is the average of its stretches' values, weighted by their softmax: evenly at first, then
+    more and more towards the highest, so that the words that make a text toxic bear the gradient. Both
+    classes weigh alike. Vectors (``vectors``) and the linear layer (``softmax``, bias) learn together.
+    """
+    bags = [_WORDS(" ".join(tokens_of(t))) for t in texts]
     seen: dict[str, int] = {}
     for bag in bags:
         for w in set(bag):
             seen[w] = seen.get(w, 0) + 1
-    vocabulary = {w: k for k, w in enumerate(sorted(w for w, n in seen.items() if n > 1))}
-    bags = [[vocabulary[w] for w in bag if w in vocabulary] for bag in bags]
-    keep = [k for k, bag in enumerate(bags) if bag]
+    vocabulary = {w: k for k, w in enumerate(sorted(w for w, n in seen.items() if n >= LEAST_TEXTS))}
+    coded = [np.array([vocabulary[w] for w in bag if w in vocabulary], np.int64) for bag in bags]
+    keep = [k for k, c in enumerate(coded) if len(c)]
     y = labels[keep].astype(float)
     if not keep or y.min() == y.max():
-        return np.zeros(BUCKETS, np.float32), 0.0
-    words, n_words = _csr([bags[k] for k in keep])
-    grams, n_grams = _csr([subwords(w) for w in vocabulary])
-    doc_of, word_of = np.repeat(np.arange(len(keep)), n_words), np.repeat(np.arange(len(vocabulary)), n_grams)
-    weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
+        return np.zeros(BUCKETS, np.float32)
+    words = np.concatenate([coded[k] for k in keep])
+    n_words = np.array([len(coded[k]) for k in keep])
+    n_stretches = -(-n_words // WINDOW)
+    stretch_len = np.full(n_stretches.sum(), WINDOW)
+    stretch_len[np.cumsum(n_stretches) - 1] = n_words - (n_stretches - 1) * WINDOW
+    doc_at = np.cumsum(n_stretches) - n_stretches
+    grams = np.array([g for w in vocabulary for g in subwords(w)], np.int64)
+    n_grams = np.array([len(subwords(w)) for w in vocabulary])
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     rng = np.random.default_rng(11)
-    vectors = rng.normal(0, 0.1, (BUCKETS, DIMS)).astype(np.float32)
-    softmax, bias = rng.normal(0, 0.5, (DIMS, 2)).astype(np.float32), np.zeros(2, np.float32)
-    state = [(np.zeros_like(p), np.zeros_like(p)) for p in (vectors, softmax, bias)]
-    target = np.stack([1 - y, y], axis=1)
+    vectors = rng.normal(0, 0.05, (BUCKETS, DIMS)).astype(np.float32)
+    softmax, bias = rng.normal(0, 0.5, (DIMS, 2)), np.zeros(2)
+    # How much a subword's gradient varies from text to text by chance; steps are in units of that.
+    doc_of = np.repeat(np.arange(len(keep)), n_words)
+    chance = np.bincount(words, (weight / n_words)[doc_of] ** 2, len(vocabulary)) / n_grams**2
+    chance = np.sqrt(np.bincount(grams, np.repeat(chance, n_grams), BUCKETS) + 1e-18)
+    speed = np.zeros(BUCKETS)
     for step in range(1, STEPS + 1):
         of_word = _mean(vectors, grams, n_grams)
-        of_doc = _mean(of_word, words, n_words)
-        logits = 20 * (of_doc @ softmax) + bias  # averages are short: a fixed scale in place of many small steps
-        p = np.exp(logits - logits.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        d = (p - target) * weight[:, None]
-        d_doc = 20 * d @ softmax.T / n_words[:, None]
-        d_word = np.stack([np.bincount(words, d_doc[doc_of, k], len(vocabulary)) for k in range(DIMS)], axis=1) / n_grams[:, None]
-        d_vec = np.stack([np.bincount(grams, d_word[word_of, k], BUCKETS) for k in range(DIMS)], axis=1)
-        for param, grad, (m, v) in zip((vectors, softmax, bias), (d_vec, 20 * of_doc.T @ d, d.sum(axis=0)), state, strict=True):
-            m += 0.1 * (grad - m)
-            v += 0.01 * (grad * grad - v)
-            param -= LEARNING_RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-10)
-    return (20 * vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32), float(bias[1] - bias[0])
+        # Short stretches count as WINDOW words long, so that one word there is not worth more.
+        of_stretch = np.add.reduceat(of_word[words], np.cumsum(stretch_len) - stretch_len, axis=0) / WINDOW
+        value = SCALE * of_stretch @ (softmax[:, 1] - softmax[:, 0])
+        sharp = SHARPNESS * (step - 1) / STEPS
+        share = np.exp(sharp * (value - np.repeat(np.maximum.reduceat(value, doc_at), n_stretches)))
+        share /= np.repeat(np.add.reduceat(share, doc_at), n_stretches)
+        odds = np.add.reduceat(share * value, doc_at) + bias[1] - bias[0]
+        error = (1 / (1 + np.exp(-np.clip(odds, -30, 30))) - y) * weight
+        d_value = SCALE * share * np.repeat(error, n_stretches)
+        direction = softmax[:, 1] - softmax[:, 0]
+        d_word = np.bincount(words, np.repeat(d_value / WINDOW, stretch_len), len(vocabulary)) / n_grams
+        d_vec = np.bincount(grams, np.repeat(d_word, n_grams), BUCKETS) / chance
+        speed += 0.2 * (d_vec - speed)
+        vectors -= LEARNING_RATE * np.outer(speed / max(np.abs(speed).max(), 1e-12), direction)
+        softmax -= LEARNING_RATE * np.outer(d_value @ of_stretch, [-1, 1])
+        bias -= error.sum() * np.array([-1, 1])
+    return (SCALE * vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32)
 
 
 class Scorer:
@@ -109,15 +128,15 @@ class Scorer:
         self.model, self.cache, self.parts = model, {}, np.zeros(0)
 
     def values(self, texts: list[str]) -> np.ndarray:
-        """For each text 1, the average over all tokens, the highest average over a stretch of WINDOW tokens."""
-        split = [t.lower().split() for t in texts]
+        """For each text 1, its average, the highest average of WINDOW tokens in a row, and the log of its length."""
+        split = [tokens_of(t) for t in texts]
         if len(self.cache) > CACHE_TOKENS:
             self.cache, self.parts = {}, np.zeros(0)
         new = list({w for ws in split for w in ws if w not in self.cache})
         if new:
             self.cache.update(zip(new, range(len(self.cache), len(self.cache) + len(new)), strict=True))
             self.parts = np.concatenate([self.parts, self._parts(new)])
-        out = np.zeros((len(texts), 3))
+        out = np.zeros((len(texts), 4))
         out[:, 0] = 1
         for k, ws in enumerate(split):
             v = self.parts[np.fromiter(map(self.cache.__getitem__, ws), np.int64, len(ws))]
@@ -125,7 +144,7 @@ class Scorer:
             if len(v):
                 total = np.concatenate([[0.0], np.cumsum(v)])
                 size = min(WINDOW, len(v))
-                out[k, 1:] = v.mean(), (total[size:] - total[:-size]).max() / WINDOW
+                out[k, 1:] = v.mean(), (total[size:] - total[:-size]).max() / WINDOW, np.log(len(v))
         return out
 
     def _parts(self, tokens: list[str]) -> np.ndarray:
@@ -143,35 +162,49 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.values(texts) @ self.model.mix, -30, 30)))
 
 
-def learn(texts: list[str], labels: list[int]) -> Model:
-    """Vectors from two thirds of the rows, the logistic step from the rest."""
+def learn(texts: list[str], labels: list[int], share: float | None = None) -> Model:
+    """Vectors from two thirds of the rows, the logistic step from the rest; ``share``: of label 1 among all labels."""
     y = np.array(labels)
     rest = np.arange(len(y)) % 3 == 2
     if not len(y) or y.min() == y.max() or y[rest].sum() in (0, rest.sum()):
-        return Model(np.zeros(BUCKETS, np.float32), 0.0, np.zeros(3), float(y.mean()) if len(y) else 0.0)
-    weights, bias = train_vectors([t for t, r in zip(texts, rest, strict=True) if not r], y[~rest])
-    model = Model(weights, bias, np.zeros(3))
+        return Model(np.zeros(BUCKETS, np.float32), np.zeros(4), float(y.mean()) if len(y) else 0.0)
+    model = Model(train_vectors([t for t, r in zip(texts, rest, strict=True) if not r], y[~rest]), np.zeros(4))
     x, target = Scorer(model).values([t for t, r in zip(texts, rest, strict=True) if r]), y[rest]
+    share = target.mean() if share is None else share
+    weight = np.where(target == 1, share / target.mean(), (1 - share) / (1 - target.mean()))
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     mean[0], scale[0] = 0, 1
-    z, mix = (x - mean) / scale, np.zeros(3)
+    z, mix = (x - mean) / scale, np.zeros(4)
     for _ in range(60):  # Newton's method, slightly ridged
         p = 1 / (1 + np.exp(-np.clip(z @ mix, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(3)
-        mix -= np.clip(np.linalg.solve(h, z.T @ (p - target) + 0.05 * mix), -2, 2)
-    mix = mix / scale
-    mix[0] -= mix[1:] @ mean[1:]
-    return Model(weights, bias, mix)
-
-
-def labelled(documents: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text", most: int = SAMPLE_DOCS) -> tuple[list[str], list[int]]:
-    """Texts and labels of a bounded sample; only its ids are broadcast, so ``documents`` is not shuffled."""
-    ids = bounded_sample(labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")), "_key", most)
+        h = (z * (weight * p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(4)
+        mix -= np.clip(np.linalg.solve(h, z.T @ (weight * (p - target)) + 0.05 * mix), -2, 2)
+    model.mix = mix / scale
+    model.mix[0] -= model.mix[1:] @ mean[1:]
+    return model
+
+
+def labelled(documents: DataFrame, labels: DataFrame, label: str, most: int | dict[int, int], key: str = "doc_id", text: str = "text") -> tuple[list[str], list[int]]:
+    """Texts and labels of a bounded sample, of either label if ``most`` tells them apart.
+
+    Only the sample's ids are broadcast, so ``documents`` is not shuffled.
+    """
+    known = labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
+    if isinstance(most, dict):
+        parts = [bounded_sample(known.where(F.col("_label") == k), "_key", n) for k, n in most.items()]
+        ids = parts[0].unionByName(parts[1])
+    else:
+        ids = bounded_sample(known, "_key", most)
     rows = documents.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(F.broadcast(ids), "_key").select("_key", "_label", "_text").collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r[1], r[2]))
     return [r[2] for r in rows], [r[1] for r in rows]
 
 
+def share_of_ones(labels: DataFrame, label: str) -> float | None:
+    """The share of label 1 among all labelled rows."""
+    return labels.where(F.col(label).isin(0, 1)).agg(F.avg(F.col(label).cast("double"))).first()[0]
+
+
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, score."""
     shared = df.sparkSession.sparkContext.broadcast(model)
