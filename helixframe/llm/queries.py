@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import bpe, langid, packing, pii, quality, toxicity
+from helixframe.llm import bpe, langid, packing, pages, pii, quality, toxicity
 from helixframe.llm.common import fold, table
 
 
@@ -53,5 +53,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(encoded, ranks))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op4_toxicity, op5_language, op7_packing, op8_quality, op9_byte_bpe)}
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+QUERIES = {f.__name__: f for f in (op2_pii, op4_toxicity, op5_language, op7_packing, op8_quality, op9_byte_bpe, op10_html)}
 ORACLE_SQL: dict[str, str] = {}
