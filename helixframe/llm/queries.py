@@ -6,10 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import bpe, langid, packing, pages, pii, quality, toxicity
+from helixframe.llm import bpe, embeddings, langid, neighbours, packing, pages, pii, quality, toxicity
 from helixframe.llm.common import fold, table
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
@@ -57,5 +65,5 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op4_toxicity, op5_language, op7_packing, op8_quality, op9_byte_bpe, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_pii, op3_neighbours, op4_toxicity, op5_language, op7_packing, op8_quality, op9_byte_bpe, op10_html)}
 ORACLE_SQL: dict[str, str] = {}
