@@ -1,7 +1,57 @@
-"""Filtering and preparing a corpus, stage by stage."""
+"""Corpus preparation: toxic texts go, then texts without a language, then near copies; personal data is masked; the rest is packed.
+
+Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; all but the last return the
+columns of ``documents``. The classifier learns from the labelled documents of ``sf_dir``, scores ``docs``.
+Packing fits no SQL, nor do the other stages, so tests compare them with plain versions.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from helixframe.llm import langid, minhash, packing, pii, queries, toxicity
+from helixframe.llm.common import fold, materialize, table
 
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score under the operator's threshold; each row is scored where it stands."""
+    scored = toxicity.add_score(docs, queries.toxicity_model(spark, sf_dir))
+    return scored.where(F.col("toxicity_score") < toxicity.THRESHOLD).select(docs.columns)
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; learnt from the labelled part of the source table."""
+    known = table(spark, sf_dir, "documents").where(fold("doc_id", 3) != 1)
+    named = langid.add_language(docs, langid.learn(langid.sample(known)))
+    return named.where(F.col("language") != langid.UNDETERMINED).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the least id; repeated rows stay once."""
+    gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind; n_chars follows."""
+    return pii.redact_pii(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their places in sequences of 2048 tokens."""
+    with open(public_tokenizers.path("word_bpe_49k.json")) as f:
+        return packing.pack(docs, f.read(), end_id=1, capacity=2048, keep_ids=False)
+
+
+STAGES = [("toxicity", drop_toxic), ("language", keep_languages), ("near copies", drop_near_copies), ("personal data", mask_pii), ("packing", pack)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helixframe.llm.common import text_rows
 
@@ -153,23 +154,41 @@ def sample(df: DataFrame, lang: str = "lang", key: str = "doc_id", text: str = "
     return out
 
 
+def predict(texts: list[str], model: Model) -> tuple[list[str], np.ndarray]:
+    """The language and score of each text; the score is the winner's share when shares fall with the fourth power of the rate."""
+    coded = [letters(t, model.codes) for t in texts]
+    found, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    if model.languages and texts:
+        rate = phrases(coded, model) * model.cost / np.maximum([len(c) for c in coded], 1)[:, None]
+        weight = np.maximum(rate, 1e-9) ** -4
+        best = rate.argmin(axis=1)
+        for k, c in enumerate(coded):
+            if c.any():
+                found[k], scores[k] = model.languages[best[k]], weight[k, best[k]] / weight[k].sum()
+    return found, scores
+
+
 def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: key, lang_pred, score (the winner's share when shares fall with the fourth power of the rate)."""
+    """One row per input row: key, lang_pred, score."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    names = [key, "lang_pred", "score"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for keys, texts in text_rows(batches, key, text, 1024):
-            coded = [letters(t, model.codes) for t in texts]
-            found, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            if model.languages:
-                rate = phrases(coded, model) * model.cost / np.maximum([len(c) for c in coded], 1)[:, None]
-                weight = np.maximum(rate, 1e-9) ** -4
-                best = rate.argmin(axis=1)
-                for k, c in enumerate(coded):
-                    if c.any():
-                        found[k], scores[k] = model.languages[best[k]], weight[k, best[k]] / weight[k].sum()
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found), pa.array(scores)], names)
+            found, scores = predict(texts, shared.value)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found), pa.array(scores)], [key, "lang_pred", "score"])
 
     return df.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(scan, f"`{key}` bigint, lang_pred string, score double")
+
+
+def add_language(df: DataFrame, model: Model, text: str = "text", name: str = "language") -> DataFrame:
+    """``df`` with one more column, the language of ``text``; rows stay where they are."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                found, _ = predict([t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()], shared.value)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], [*part.schema.names, name])
+
+    return df.mapInArrow(scan, T.StructType([*df.schema.fields, T.StructField(name, T.StringType())]))

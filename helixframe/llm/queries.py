@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import bpe, embeddings, langid, neighbours, packing, pages, pii, quality, toxicity
+from helixframe.llm import bpe, embeddings, langid, minhash, neighbours, packing, pages, pii, quality, toxicity
 from helixframe.llm.common import fold, table
 
 
@@ -49,6 +49,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(quality.score(documents, model), 5, 0, quality.THRESHOLD)
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json")) as f:
         tokenizer = f.read()
@@ -65,5 +69,5 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_pii, op3_neighbours, op4_toxicity, op5_language, op7_packing, op8_quality, op9_byte_bpe, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_pii, op3_neighbours, op4_toxicity, op5_language, op6_minhash, op7_packing, op8_quality, op9_byte_bpe, op10_html)}
 ORACLE_SQL: dict[str, str] = {}

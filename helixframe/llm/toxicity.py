@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helixframe.llm.common import bounded_sample, text_rows
 
@@ -215,3 +216,17 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(scorer.scores(texts), pa.float64())], [key, "score"])
 
     return df.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(scan, f"`{key}` bigint, score double")
+
+
+def add_score(df: DataFrame, model: Model, text: str = "text", name: str = "toxicity_score") -> DataFrame:
+    """``df`` with one more column, the score of ``text``; rows stay where they are."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            scores = np.concatenate([scorer.scores(texts[at : at + 256]) for at in range(0, len(texts), 256)]) if texts else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, name])
+
+    return df.mapInArrow(scan, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
