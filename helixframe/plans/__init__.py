@@ -1,4 +1,5 @@
 """Registered queries and their SQL twins."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from helixframe.plans.queries import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
