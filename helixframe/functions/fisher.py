@@ -30,7 +30,7 @@ def fisher_exact(a, b, c, d) -> Column:
 
     up, down = walk(F.least(b, c), True), walk(F.least(a, d), False)
     p = (1.0 + up["tail"] + down["tail"]) / (1.0 + up["all"] + down["all"])
-    return F.when(F.least(a, b, c, d) >= 0, F.least(F.lit(1.0), p))
+    return F.when((a >= 0) & (b >= 0) & (c >= 0) & (d >= 0), F.least(F.lit(1.0), p))
 
 
 def odds_ratio(a, b, c, d) -> Column:

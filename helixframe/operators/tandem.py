@@ -18,7 +18,7 @@ def runs(variants: DataFrame, max_difference: float = 10.0, max_length: int | No
     ``max_difference`` per cent from one to the next; ``max_length`` cuts it. A position with several
     alternatives is in no run. Windows are over (contig, stretch of positions): chains are found by joining
     each row with its left neighbour, so a hot contig is spread, and only runs that touch a border are
-    stitched through the row before it.
+    stitched through the row before it. ``stride`` must exceed the longest run.
     """
     single = variants.where((F.length("ref") == 1) & (F.length("alt") == 1) & (F.col("alt") != "*"))
     one = single.groupBy("contig", "position").agg(F.count("*").alias("_n"), F.first(F.struct(*single.columns)).alias("_r")).where("_n = 1").select("_r.*")
