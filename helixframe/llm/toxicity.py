@@ -48,10 +48,28 @@ def tokens_of(text: str) -> list[str]:
     return [a for a, b in zip(tokens, [None, *tokens], strict=False) if a != b]
 
 
-def subwords(word: str) -> list[int]:
-    marked = f"<{word}>"
-    grams = [marked] + [marked[a : a + n] for n in (3, 4, 5) for a in range(len(marked) - n + 1) if n < len(marked)]
-    return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in grams]
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word, bucket) of each word itself and of its n-grams of 3 to 5 characters, ends marked; sorted by word."""
+    marked = "".join([f"<{w}>" for w in words])
+    codes = np.frombuffer(marked.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    lens = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    ends = np.cumsum(lens)
+    word_of = np.repeat(np.arange(len(words)), lens)
+    left = np.repeat(ends, lens) - np.arange(len(codes))  # characters from here to the word's end
+    whole = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for w in words), np.int64, len(words)) % BUCKETS
+    found, owner, h = [whole], [np.arange(len(words))], np.zeros(len(codes), np.uint64)
+    for n in range(1, 6):
+        shifted = np.zeros(len(codes), np.uint64)
+        shifted[: max(len(codes) - n + 1, 0)] = codes[n - 1 :]
+        h = (h ^ shifted) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+        if n >= 3:
+            at = np.flatnonzero((left >= n) & (lens[word_of] > n))
+            found.append((h[at] % np.uint64(BUCKETS)).astype(np.int64))
+            owner.append(word_of[at])
+    owner_, found_ = np.concatenate(owner), np.concatenate(found)
+    order = np.argsort(owner_, kind="stable")
+    return owner_[order], found_[order]
 
 
 @dataclass
@@ -90,8 +108,8 @@ def train_vectors(texts: list[str], labels: np.ndarray) -> np.ndarray:
     stretch_len = np.full(n_stretches.sum(), WINDOW)
     stretch_len[np.cumsum(n_stretches) - 1] = n_words - (n_stretches - 1) * WINDOW
     doc_at = np.cumsum(n_stretches) - n_stretches
-    grams = np.array([g for w in vocabulary for g in subwords(w)], np.int64)
-    n_grams = np.array([len(subwords(w)) for w in vocabulary])
+    of, grams = subwords(list(vocabulary))
+    n_grams = np.bincount(of, minlength=len(vocabulary))
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     rng = np.random.default_rng(11)
     vectors = rng.normal(0, 0.05, (BUCKETS, DIMS)).astype(np.float32)
@@ -150,12 +168,14 @@ class Scorer:
 
     def _parts(self, tokens: list[str]) -> np.ndarray:
         """The mean part of a token's words; NaN for one without."""
-        out = np.full(len(tokens), np.nan)
-        for k, token in enumerate(tokens):
-            words = _WORDS(token)
-            if words:
-                out[k] = np.mean([self.model.weights[subwords(w)].mean() for w in words])
-        return out
+        split = [[t] if t.isalpha() else _WORDS(t) for t in tokens]
+        words, n = [w for ws in split for w in ws], np.fromiter(map(len, split), np.int64, len(split))
+        if not words:
+            return np.full(len(tokens), np.nan)
+        of, grams = subwords(words)
+        parts = np.bincount(of, self.model.weights[grams], len(words)) / np.bincount(of, minlength=len(words))
+        total = np.bincount(np.repeat(np.arange(len(tokens)), n), parts, len(tokens))
+        return np.divide(total, n, out=np.full(len(tokens), np.nan), where=n > 0)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.model.constant is not None:
