@@ -31,9 +31,14 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least id; repeated rows stay once."""
-    gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near copies: the one with the least id; of rows that share an id, one."""
+    gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
+    again = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    # Both lists are stored, so that Spark knows their size and shuffles documents only for long ones.
+    gone, again = materialize(gone.distinct(), "gone"), materialize(again, "again")
+    once = docs.join(gone.unionByName(again).distinct(), "doc_id", "left_anti")
+    rest = docs.join(again, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return once.select(docs.columns).unionByName(rest.select(docs.columns))
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
