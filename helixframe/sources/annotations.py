@@ -21,7 +21,7 @@ PREDICTION = [
 
 
 def maf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return with_header(lines(spark, paths, encoding="ISO-8859-1"), MAF_ALIASES, {"position": "bigint"})
+    return with_header(lines(spark, paths, encoding="ISO-8859-1"), MAF_ALIASES, {"position": "bigint"}, comment="#")
 
 
 def protein_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def lines(spark: SparkSession, paths: str | list[str], **options) -> DataFrame:
+def lines(spark: SparkSession, paths: str | list[str], encoding: str | None = None) -> DataFrame:
     """value, file and ord; ord grows with the line within a file's split, and with the split."""
-    reader = spark.read.options(**options) if options else spark.read
-    return reader.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("ord"))
+    value = F.decode(F.col("value").cast("binary"), encoding).alias("value") if encoding else F.col("value")
+    return spark.read.text(paths).select(value, F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("ord"))
 
 
 def is_data(value: str = "value"):
@@ -45,18 +45,18 @@ def resolve_columns(names: list[str], aliases: dict[str, list[str]]) -> dict[str
     return out
 
 
-def header_of(rows: DataFrame, starts: str | None = None) -> list[str]:
-    """The names on the first line that is no ## comment (or that starts as given)."""
-    found = rows.where(~F.col("value").startswith("##") if starts is None else F.col("value").startswith(starts))
+def header_of(rows: DataFrame, starts: str | None = None, comment: str = "##") -> list[str]:
+    """The names on the first line that is no comment (or that starts as given)."""
+    found = rows.where(~F.col("value").startswith(comment) if starts is None else F.col("value").startswith(starts))
     first = found.where(F.trim("value") != "").orderBy("ord").first()
     if first is None:
         raise ValueError("no header line")
     return first["value"].lstrip("#").split("\t")
 
 
-def with_header(rows: DataFrame, aliases: dict[str, list[str]], types: dict[str, str] | None = None, starts: str | None = None) -> DataFrame:
+def with_header(rows: DataFrame, aliases: dict[str, list[str]], types: dict[str, str] | None = None, comment: str = "##") -> DataFrame:
     """Rows below a header as columns with canonical names, and ord."""
-    names = header_of(rows, starts)
+    names = header_of(rows, comment=comment)
     place, types = resolve_columns(names, aliases), types or {}
     parts = F.split("value", "\t", -1)
     body = rows.where(~F.col("value").startswith("#") & (F.trim("value") != "") & (F.get(parts, F.lit(0)) != names[0]))

@@ -12,8 +12,8 @@ SAM = [("name", "string"), ("flag", "int"), ("contig", "string"), ("pos", "bigin
 
 def hla_report(spark: SparkSession, paths: str | list[str], section: str = "Inferred Allelic Pairs") -> DataFrame:
     """file, ord, molecule and allele of the section's rows, without each row's last field."""
-    text = spark.read.option("wholetext", "true").text(paths).select("value", F.col("_metadata.file_path").alias("file"))
-    after = F.when(F.instr("value", section) > 0, F.substring_index("value", section, -1)).otherwise(F.raise_error(F.concat(F.lit(f"no section {section} in "), F.col("file"))))
+    text = spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    after = F.when(F.col("value").contains(section), F.substring_index("value", section, -1)).otherwise(F.raise_error(F.concat(F.lit(f"no section {section} in "), F.col("file"))))
     rows = text.select("file", F.posexplode(F.split(after, "\n")).alias("line", "row")).where((F.col("line") > 2) & (F.trim("row") != ""))
     fields = F.split(F.trim("row"), r"\s+")
     alleles = rows.select("file", "line", F.posexplode(F.slice(fields, 1, F.greatest(F.size(fields) - 1, F.lit(0)))).alias("field", "allele"))
