@@ -139,31 +139,63 @@ def knapsack(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, n
     return float(worth[room]), taken
 
 
-def generate_patterns(sizes: np.ndarray, demand: np.ndarray, room: int, gap: float = 5e-4, most_rounds: int = 1500) -> tuple[np.ndarray, np.ndarray]:
+def fullest(sizes: list[int], left: dict[int, int], room: int) -> dict[int, int]:
+    """Items that fill ``room`` best, none more often than is left; larger sizes first. Sums are bits of an integer."""
+    reached, mask, before = 1, (1 << (room + 1)) - 1, []
+    for size in sizes:
+        if size > room or not left[size]:
+            continue
+        before.append((size, reached))
+        shifted = reached
+        for _ in range(min(left[size], room // size)):
+            shifted = (shifted << size) & mask
+            if not shifted:
+                break
+            reached |= shifted
+        if reached >> room & 1:
+            break
+    target, taken = reached.bit_length() - 1, {}
+    for size, earlier in reversed(before):
+        while not earlier >> target & 1:
+            target -= size
+            taken[size] = taken.get(size, 0) + 1
+    return taken
+
+
+def greedy_patterns(sizes: np.ndarray, demand: np.ndarray, room: int) -> list[dict[int, int]]:
+    """First columns: the largest size left, and what fills its sequence best, as often as there are items for it."""
+    order, left, out = sorted(map(int, sizes), reverse=True), dict(zip(map(int, sizes), map(int, demand), strict=True)), []
+    for largest in order:
+        while left[largest]:
+            left[largest] -= 1
+            taken = fullest(order, left, room - largest)
+            left[largest] += 1
+            taken[largest] = taken.get(largest, 0) + 1
+            copies = min(left[s] // k for s, k in taken.items())
+            for s, k in taken.items():
+                left[s] -= k * copies
+            out.append(taken)
+    return out
+
+
+def generate_patterns(sizes: np.ndarray, demand: np.ndarray, room: int, gap: float = 5e-4, most_rounds: int = 1000) -> tuple[np.ndarray, np.ndarray]:
     """The linear program min sum(x), A x = demand, by column generation: (A's basic columns, x).
 
-    Prices are smoothed towards those of the best bound so far, which saves most of the rounds. It stops
-    within ``gap`` of Farley's lower bound, or after ``most_rounds`` with the best solution found; every
-    solution meets the demand exactly.
+    Greedy patterns are offered as columns first. Then a knapsack prices columns, with prices smoothed towards
+    those of the best bound so far, which saves most of the rounds. It stops within ``gap`` of Farley's lower
+    bound, or after ``most_rounds`` with the best solution found; every solution meets the demand exactly.
     """
     columns = np.diag(room // sizes).astype(float)
     inverse = np.diag(1.0 / np.diag(columns))
     x = demand / np.diag(columns)
-    bound, centre = 0.0, None
-    for turn in range(most_rounds):
-        if turn and turn % 400 == 0:
+    turns = 0
+
+    def enter(taken: np.ndarray) -> None:
+        nonlocal inverse, x, turns
+        turns += 1
+        if turns % 400 == 0:
             inverse = np.linalg.inv(columns)
             x = np.maximum(inverse @ demand, 0)
-        prices = inverse.sum(axis=0)
-        for tried in [0.9 * centre + 0.1 * prices, prices] if centre is not None else [prices]:
-            tried = np.maximum(tried, 0)
-            value, taken = knapsack(tried, sizes, room)
-            if tried @ demand / max(value, 1.0) > bound:
-                bound, centre = tried @ demand / max(value, 1.0), tried / max(value, 1.0)
-            if prices @ taken > 1 + 1e-9:
-                break
-        if prices @ taken <= 1 + 1e-9 or x.sum() <= bound * (1 + gap):
-            break
         entering = inverse @ taken
         ratio = np.where(entering > 1e-10, x / np.where(entering > 1e-10, entering, 1), np.inf)
         out = int(ratio.argmin())
@@ -174,6 +206,31 @@ def generate_patterns(sizes: np.ndarray, demand: np.ndarray, room: int, gap: flo
         inverse -= np.outer(entering, row)
         inverse[out] = row
         columns[:, out] = taken
+
+    place = {int(s): k for k, s in enumerate(sizes)}
+    offered = np.zeros((0, len(sizes)))
+    for pattern in greedy_patterns(sizes, demand, room):
+        offered = np.vstack([offered, np.zeros(len(sizes))])
+        for s, k in pattern.items():
+            offered[-1, place[s]] = k
+    for _ in range(3 * len(offered)):
+        worth = offered @ inverse.sum(axis=0)
+        if worth.max() <= 1 + 1e-7:
+            break
+        enter(offered[int(worth.argmax())])
+    bound, centre = 0.0, None
+    for _ in range(most_rounds):
+        prices = inverse.sum(axis=0)
+        for tried in [0.9 * centre + 0.1 * prices, prices] if centre is not None else [prices]:
+            tried = np.maximum(tried, 0)
+            value, taken = knapsack(tried, sizes, room)
+            if tried @ demand / max(value, 1.0) > bound:
+                bound, centre = tried @ demand / max(value, 1.0), tried / max(value, 1.0)
+            if prices @ taken > 1 + 1e-9:
+                break
+        if prices @ taken <= 1 + 1e-9 or x.sum() <= bound * (1 + gap) or x.sum() <= sizes @ demand / room * (1 + gap):
+            break
+        enter(taken)
     return np.rint(columns).astype(np.int64), x
 
 
