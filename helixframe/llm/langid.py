@@ -100,7 +100,8 @@ def learn(samples: dict[str, str]) -> Model:
         roots.append(at)
         sizes.append(len(text))
         at += len(own)
-    table = np.concatenate(tables).reshape(-1) if tables else np.zeros(0, np.int32)
+    tables.append(np.full((1, width), -1, np.int32))  # the state before a phrase: nothing leads on
+    table = np.concatenate(tables).reshape(-1)
     return Model(languages, codes, table, np.array(roots, np.int64), np.log2(np.maximum(sizes, 2)), width)
 
 
@@ -122,10 +123,11 @@ def phrases(texts: list[np.ndarray], model: Model) -> np.ndarray:
         lanes[: length[k], lane] = texts[owner[k]][start[k] : start[k] + length[k]]
     active = np.searchsorted(-length[order], -np.arange(1, STRETCH + 1), side="right")
     first = model.table[(model.roots * model.width)[:, None] + np.arange(model.width)]  # where a new phrase leads
-    first = np.where(first < 0, model.roots[:, None], first).astype(np.int32)  # an unseen letter is a phrase of its own
+    outside = len(model.table) // model.width - 1
+    first = np.where(first < 0, outside, first).astype(np.int32)  # an unseen letter is a phrase of its own
     n_lang = len(model.languages)
-    state = np.repeat(model.roots.astype(np.int32)[:, None], len(order), axis=1)
-    ended = np.ones((n_lang, len(order)), np.int32)
+    state = np.full((n_lang, len(order)), outside, np.int32)
+    begun = np.zeros((n_lang, len(order)), np.int32)
     rows = (np.arange(n_lang) * model.width)[:, None]
     flat_first = first.reshape(-1)
     for j in range(STRETCH):
@@ -135,9 +137,9 @@ def phrases(texts: list[np.ndarray], model: Model) -> np.ndarray:
         c = lanes[j, :n]
         to = model.table.take(state[:, :n] * model.width + c)
         fail = to < 0
-        ended[:, :n] += fail
+        begun[:, :n] += fail
         state[:, :n] = np.where(fail, flat_first.take(rows + c), to)
-    np.add.at(counts, owner_[order], ended.T)
+    np.add.at(counts, owner_[order], begun.T)
     return counts
 
 
