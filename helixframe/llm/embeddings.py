@@ -8,8 +8,11 @@ Links are then counted exactly within components: where all members lie within h
 the component's centre, every pair is a link (angles are a metric), and counting needs no comparison; other
 components are compared in blocks. Equal vectors are one row with a count throughout.
 
-A pair at angle a shares a prefix of p bits with probability (1 - a/pi)^p; PASSES passes and windows of
-WINDOW to 2 x WINDOW rows find 99.8 % of pairs at the threshold among 50,000 rows, and more of closer ones.
+A pair at angle a shares a prefix of p bits with probability (1 - a/pi)^p, and windows of WINDOW to 2 x WINDOW
+rows hold what shares about log2(rows / (1.5 x WINDOW)) bits. The number of passes follows from the number of
+distinct vectors, so that RECALL of the pairs at the threshold meet at every size, and more of closer ones: at
+0.9 there are 16 passes for 50,000 vectors, 29 for 600,000 and 43 for 3 million. That holds for vectors that
+hashes spread evenly; windows go on over Arrow batches, but not over the ends of a pass's partitions.
 
 Defined results: rows with a null, zero or non-finite vector, or of another length than the rest, link with
 nothing and are components of their own; ties don't matter; an empty table gives an empty table. Other
@@ -30,7 +33,10 @@ from helixframe.llm.common import materialize
 from helixframe.llm.graph import connected_components
 from helixframe.llm.vectors import classes, matrix, valid
 
+#: Passes at least; more where RECALL needs them.
 PASSES, BITS, WINDOW = 16, 48, 256
+#: The share of pairs at the threshold that meet in some pass.
+RECALL = 0.998
 BLOCK_ROWS = 2_048
 
 
@@ -49,15 +55,22 @@ def _roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
         label = new
 
 
-def pass_links(distinct: DataFrame, dims: int, threshold: float, seed: int = 17) -> DataFrame:
+def passes_for(rows: int, threshold: float) -> int:
+    """Passes that let RECALL of the pairs at the threshold meet among so many distinct vectors."""
+    bits = math.log2(max(rows / (1.5 * WINDOW), 1))
+    meets = (1 - math.acos(threshold) / math.pi) ** bits
+    return PASSES if meets >= 1 else max(PASSES, math.ceil(math.log(1 - RECALL) / math.log1p(-meets)))
+
+
+def pass_links(distinct: DataFrame, dims: int, threshold: float, passes: int = PASSES, seed: int = 17) -> DataFrame:
     """(a, b): what the windows of all passes connect; b is the least class of a's component in a window."""
-    planes = distinct.sparkSession.sparkContext.broadcast(np.random.default_rng(seed).normal(size=(PASSES, dims, BITS)))
+    planes = distinct.sparkSession.sparkContext.broadcast(np.random.default_rng(seed).normal(size=(passes, dims, BITS)))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 2 ** np.arange(BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             x = matrix(batch.column(1))
-            for k in range(PASSES):
+            for k in range(passes):
                 key = (x @ planes.value[k] > 0) @ weights
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), k, np.int32)), pa.array(key), *batch.columns], ["pass", "hash", "class", "vector"])
 
@@ -78,7 +91,7 @@ def pass_links(distinct: DataFrame, dims: int, threshold: float, seed: int = 17)
                     if len(rows):
                         roots = _roots(linked[np.ix_(rows, rows)], both[rows])
                         yield pa.RecordBatch.from_arrays([pa.array(both[rows]), pa.array(roots)], ["a", "b"])
-                    ids, x = new_ids[mine], new_x[mine]
+                    ids, x = both[-WINDOW:], y[-WINDOW:]
 
     keyed = distinct.select("class", "vector").mapInArrow(hashes, f"pass int, hash bigint, class bigint, vector {dict(distinct.dtypes)['vector']}")
     ordered = keyed.repartitionByRange("pass", "hash", "class").sortWithinPartitions("pass", "hash", "class")
@@ -127,13 +140,13 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, key: str = "vec_id",
     members = materialize(members, "vector-classes")
     copies = members.groupBy("class").agg(F.count("*").alias("copies"))
     distinct = materialize(distinct.join(copies, "class"), "distinct-vectors")
-    widths = distinct.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    widths = distinct.groupBy(F.size("vector").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").first()
     dims = widths["n"] if widths else 0
     same = distinct.where(F.size("vector") == dims)
     alone = df.select(F.col(key).cast("bigint").alias(key))
     if not dims:
         return alone.select(key, F.lit(0).cast("bigint").alias("n_links"), F.col(key).alias("component_id"), F.lit(True).alias("kept"))
-    components = connected_components(pass_links(same, dims, threshold))
+    components = connected_components(pass_links(same, dims, threshold, passes_for(widths["rows"], threshold)))
     rows = materialize(_centred(same.join(components.withColumnRenamed("node", "class"), "class"), dims), "components")
     # Half the angle, less what rounding could move.
     limit = math.acos(threshold) / 2 - 1e-6

@@ -237,6 +237,29 @@ def test_embedding_links(spark):
     assert embeddings.near_duplicates(df.where("false")).count() == 0
 
 
+def test_embedding_passes_grow_with_rows():
+    for rows in (1, 384, 50_000, 600_000, 3_000_000, 50_000_000):
+        meets = (1 - np.arccos(0.9) / np.pi) ** np.log2(max(rows / 384, 1))
+        assert (1 - meets) ** embeddings.passes_for(rows, 0.9) <= 0.002
+    assert embeddings.passes_for(10_000, 0.9) == 16 < embeddings.passes_for(600_000, 0.9) < embeddings.passes_for(3_000_000, 0.9)
+
+
+def test_embedding_windows_go_on_over_batches(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(200, 16))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = {int(k) for k in np.flatnonzero(((u @ u.T) >= 0.6).sum(axis=1) > 1)}
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "class bigint, vector array<double>")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        found = {v for r in embeddings.pass_links(rows, 16, 0.6).collect() for v in (r.a, r.b)}
+    finally:
+        spark.conf.set(name, before)
+    assert found == want and len(want) > 20
+
+
 def test_neighbours(spark):
     df = vector_rows(spark)
     _, ids, x = plain_vectors(df)
