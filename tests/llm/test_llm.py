@@ -343,6 +343,23 @@ def test_near_copies(spark):
     assert len(minhash.near_duplicates(odd_documents(spark)).collect()) == len(ODD) + 2
 
 
+def test_near_copies_in_a_group_of_a_third(spark):
+    """Copies at plain similarities of 0.81 to 0.9 from the first, which others hold a third of all rows with."""
+    rng = np.random.default_rng(12)
+    words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(2000)]
+    base = [str(w) for w in rng.choice(words, 100)]
+    texts = {0: " ".join(base)}
+    for k in range(1, 40):
+        own = [*base]
+        own[30] = f"edit{k}"
+        if k % 2:
+            own[60] = f"other{k}"
+        texts[k] = " ".join(own)
+    texts |= {k: " ".join(rng.choice(words, 100)) for k in range(40, 120)}
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
+    assert got == {k: 0 if k < 40 else k for k in texts}
+
+
 def test_frequent_shingles_are_exact(spark):
     texts = {k: "all of these five words open " + f"{k} {k + 1} {k + 2} {k + 3} {k + 4}" for k in range(200)}
     known = minhash.weights(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(5))
