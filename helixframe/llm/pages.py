@@ -3,7 +3,9 @@
 Pages of one host are merged into a tree of branches (paths of tags and classes below ``body``). For each
 branch the entropy of its presentation (the sequence of child tags) and of its content (its text) over the
 host's distinct pages, relative to the highest possible, is its importance: a menu says the same on every
-page, an article does not. Hosts with few pages borrow the importance of the same branch over all hosts.
+page, an article does not. Hosts with few pages borrow the importance of the same branch over all hosts, where
+each host weighs alike. Branches of all depths count, within articles too, but what marks an article and its
+plain paragraphs and headings are never of low importance.
 Branches of low importance, and branches whose tag or class says that they are menus, headers, footers,
 sidebars, notices, adverts, forms or comments, are removed from each page; the rest is its text.
 
@@ -16,6 +18,7 @@ are not read; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
 import html as htmllib
 import re
 import zlib
@@ -48,8 +51,10 @@ INLINE = frozenset("a b i u s em strong span small big sub sup code kbd q cite a
 CLOSES = {t: frozenset({"p"}) for t in BLOCKS} | {"li": frozenset({"li", "p"}), "dt": frozenset({"dt", "dd", "p"}), "dd": frozenset({"dt", "dd", "p"}), "tr": frozenset({"tr", "td", "th", "p"}), "td": frozenset({"td", "th", "p"}), "th": frozenset({"td", "th", "p"})}
 SCOPE = frozenset("ul ol dl table article main section div nav aside header footer form body".split())
 
-#: Branches are paths of at most so many steps below body.
-DEPTH = 3
+#: Branches without a class that are an article's prose, whatever their entropy.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption".split())
+#: Longer names of branches become hashes, so that deep pages take no more room a step than flat ones.
+NAME_CHARS = 200
 #: Below this share of the highest possible entropy a branch is of low importance.
 LEAST_IMPORTANCE = 0.6
 #: Distinct pages that a host, and hosts that the merged tree, must have for their entropy to count.
@@ -153,12 +158,22 @@ def parse(page: str | None) -> list[Block]:
     return blocks
 
 
+def steps(path: tuple[str, ...]) -> Iterator[tuple[str, str]]:
+    """(label, name of the branch) of each step of a path."""
+    branch = ""
+    for label in path:
+        branch = f"{branch}/{label}" if branch else label
+        if len(branch) > NAME_CHARS:
+            branch = "#" + hashlib.md5(branch.encode("utf-8", "replace")).hexdigest()
+        yield label, branch
+
+
 def branches(blocks: list[Block]) -> dict[str, tuple[list[str], list[str]]]:
     """By branch: the tags or labels next below it, runs counting once, and its texts."""
     out: dict[str, tuple[list[str], list[str]]] = {}
     for b in blocks:
-        for depth in range(1, min(len(b.path), DEPTH) + 1):
-            below, texts = out.setdefault("/".join(b.path[:depth]), ([], []))
+        for depth, (_, branch) in enumerate(steps(b.path), 1):
+            below, texts = out.setdefault(branch, ([], []))
             child = b.path[depth] if depth < len(b.path) else b.tag
             if not below or below[-1] != child:
                 below.append(child)
@@ -170,11 +185,11 @@ def main_text(page: str | None, low: frozenset[str]) -> str:
     """The blocks outside noise and outside branches of low importance, joined by an empty line."""
     kept = []
     for b in parse(page):
-        inside = False
-        for depth in range(1, min(len(b.path), DEPTH) + 1):
-            if b.path[depth - 1].split(".")[0] in ARTICLE_TAGS:
-                break
-            if "/".join(b.path[:depth]) in low:
+        inside = article = False
+        for label, branch in steps(b.path) if low else ():
+            own = label.split(".")[0] in ARTICLE_TAGS
+            article = article or own
+            if branch in low and not own and not (article and label in PROSE):
                 inside = True
                 break
         if not b.noise and not inside:
@@ -209,10 +224,12 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
     seen = pages.select(host_of(url).alias("host"), html).mapInArrow(features, "host string, branch string, style bigint, content bigint, page bigint").distinct()
     counted = materialize(seen.groupBy("host", "branch", "style", "content").agg(F.count("*").alias("n")), "branch-counts")
+    pages_of = counted.groupBy("host", "branch").agg(F.sum("n").alias("of"))
+    alike = counted.join(pages_of, ["host", "branch"]).withColumn("n", F.col("n") / F.col("of"))  # each host counts as one
     parts = {}
-    for name, keys in (("host", ["host", "branch"]), ("all", ["branch"])):
+    for name, rows, keys in (("host", counted, ["host", "branch"]), ("all", alike, ["branch"])):
         for kind in ("style", "content"):
-            parts[name, kind] = _entropy(counted.groupBy(*keys, kind).agg(F.sum("n").alias("n")), keys)
+            parts[name, kind] = _entropy(rows.groupBy(*keys, kind).agg(F.sum("n").alias("n")), keys)
     own = parts["host", "content"].join(parts["host", "style"].select("host", "branch", F.col("entropy").alias("style_entropy")), ["host", "branch"])
     own = own.select("host", "branch", "pages", F.greatest("entropy", "style_entropy").alias("importance"))
     shared = parts["all", "content"].join(parts["all", "style"].select("branch", F.col("entropy").alias("style_entropy")), "branch")
@@ -223,8 +240,9 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 def low_branches(tree: DataFrame) -> DataFrame:
     """Host and the array of its branches of low importance."""
-    low = ((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)) | ((F.col("hosts") >= LEAST_HOSTS) & (F.col("shared_importance") < LEAST_IMPORTANCE))
-    return tree.where(low).groupBy("host").agg(F.sort_array(F.collect_set("branch")).alias("low"))
+    own = F.col("importance") < LEAST_IMPORTANCE
+    shared = (F.col("hosts") >= LEAST_HOSTS) & (F.col("shared_importance") < LEAST_IMPORTANCE)
+    return tree.where(F.when(F.col("pages") >= LEAST_PAGES, own).otherwise(shared)).groupBy("host").agg(F.sort_array(F.collect_set("branch")).alias("low"))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

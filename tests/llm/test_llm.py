@@ -403,6 +403,19 @@ def test_style_tree_finds_unmarked_menus(spark):
     assert {r.text for r in pages.extract(rows).collect()} == {f"text {k} of its own {k}" for k in range(30)}
 
 
+def test_style_tree_reaches_all_depths_and_articles(spark):
+    page = "<div id='page'><div class='wrap'><div class='row'><div class='col'><div class='m'>Home About</div><div class='c'>own {0}</div></div></div></div></div><main><ul><li>Up Down</li></ul><h2>Notes</h2><p>text {0}</p></main>"
+    rows = spark.createDataFrame([(k, "http://one.example/x", page.format(f"{k} {k}")) for k in range(30)], "page_id bigint, url string, html string")
+    assert {r.text for r in pages.extract(rows).collect()} == {f"own {k} {k}\n\nNotes\n\ntext {k} {k}" for k in range(30)}
+
+
+def test_hosts_with_pages_of_their_own_borrow_nothing(spark):
+    rows = [(1000 * h + k, f"http://h{h}.example/{k}", f"<div>menu of {h}</div><p>page {h} {k}</p>") for h in range(20) for k in range(40)]
+    rows += [(k - 100, "http://own.example/", f"<div>article {k}</div>") for k in range(20)]
+    found = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert [found[k - 100] for k in range(20)] == [f"article {k}" for k in range(20)] and found[3007] == "page 3 7"
+
+
 # ---------------------------------------------------------------- pipeline
 
 
