@@ -7,7 +7,9 @@ page, an article does not. Hosts with few pages borrow the importance of the sam
 each host weighs alike. Branches of all depths count, within articles too, but what marks an article and its
 plain paragraphs and headings are never of low importance.
 Branches of low importance, and branches whose tag or class says that they are menus, headers, footers,
-sidebars, notices, adverts, forms or comments, are removed from each page; the rest is its text.
+sidebars, notices, adverts, forms or comments, are removed from each page; the rest is its text. Outside
+articles one such word in a class, id or role is enough; within them a whole name has to say so, and what
+may be a matter of the text (alerts, notices, related work) stays unless the tree removes it.
 
 Counts are aggregated before they are shuffled, so a host with a third of all pages is no hot key.
 
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from helixframe.llm.common import materialize
 
 #: Tags without text for readers.
-SILENT = frozenset("head script style noscript template svg iframe object canvas select button textarea input datalist".split())
+SILENT = frozenset("title script style noscript template svg iframe object canvas select button textarea input datalist".split())
 #: Tags of navigation and forms; ``header`` and ``footer`` count as such everywhere, header within an article not.
 NOISE_TAGS = frozenset("nav footer aside form menu dialog header".split())
 #: Words of class, id and role that mark such branches.
@@ -42,6 +44,12 @@ NOISE_WORDS = frozenset(
     "comment comments respond disqus reply share sharing social related recommended pagination pager search login signup toolbar skip "
     "complementary contentinfo".split()
 )
+#: Of these, what an article may say of its own text, and what may go with the others in one name there.
+DOUBTFUL_WORDS = frozenset("alert banner header menu notice promo recommended related reply respond search skip".split())
+FILLING_WORDS = frozenset("area bar block box button buttons container form icons item items link links list post posts section slot unit widget wrap wrapper".split())
+#: Roles that mark noise within an article.
+NOISE_ROLES = frozenset("banner complementary contentinfo navigation search".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Branches that hold an article whatever their entropy.
 ARTICLE_TAGS = frozenset({"article", "main"})
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -79,16 +87,26 @@ class _Open(NamedTuple):
     article: bool
 
 
+def _means_noise(name: str) -> bool:
+    """Whether the whole of a name within an article says noise: every word of it, at least one beyond doubt."""
+    words = set(_NAME.findall(name))
+    return bool(words & (NOISE_WORDS - DOUBTFUL_WORDS - FILLING_WORDS) or name == "widget") and words <= NOISE_WORDS | FILLING_WORDS
+
+
 def _marks(tag: str, attributes: str, in_article: bool) -> tuple[str, bool]:
     """The label of an element, and whether its tag or attributes mark it as noise."""
     label, noise = tag, tag in NOISE_TAGS and not (tag == "header" and in_article)
     if attributes and not attributes.isspace():
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-        names = [w for k in ("class", "id", "role") for w in _NAME.findall(found.get(k, "").lower())]
-        marked = NOISE_WORDS & set(names)
+        given = {k: found.get(k, "").lower() for k in ("class", "id", "role")}
+        if tag in HEADINGS:
+            given["id"] = ""  # what a link to the heading says
         if in_article or tag in ARTICLE_TAGS:
-            marked = marked - {"header"}
-        noise = noise or bool(marked) and tag not in ("body", "html") or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+            own = given["class"].split() + ([given["id"]] if tag not in PROSE else [])
+            marked = any(map(_means_noise, own)) or bool(NOISE_ROLES & set(given["role"].split()))
+        else:
+            marked = bool(NOISE_WORDS & {w for v in given.values() for w in _NAME.findall(v)})
+        noise = noise or marked and tag not in ("body", "html") or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
         if found.get("class"):
             label = f"{tag}.{'.'.join(sorted(found['class'].split()))}"
     return label, noise
@@ -126,7 +144,7 @@ def parse(page: str | None) -> list[Block]:
             if not closing and tag not in VOID and not m[3].endswith("/"):
                 silent = tag
             continue
-        if tag in ("html", "body"):
+        if tag in ("html", "head", "body"):  # a head without its end tag ends where text begins
             flush(tag)
             continue
         if tag in BLOCKS:

@@ -397,6 +397,16 @@ def test_page_text(spark):
     assert pages.extract(rows.where("false")).count() == 0
 
 
+def test_page_text_of_open_heads_and_names_in_articles():
+    assert pages.main_text("<html><head><title>T</title><meta charset=utf-8><style>p{}</style><body><p>All of it", frozenset()) == "All of it"
+    assert pages.main_text("<head><link rel=x><title>T</title><p>No body tag", frozenset()) == "No body tag"
+    kept = "<h2 id='related-work'>A</h2><h2 id='search-results'>B</h2><p class='alert'>C</p><section id='comments-on-the-text'><p>D</p></section>"
+    gone = "<div class='share-buttons'>x</div><div class='ad'>x</div><div id='comments'>x</div><div class='ad-slot-3'>x</div><div role='navigation'>x</div>"
+    for tag in ("article", "main"):
+        assert pages.main_text(f"<body><{tag}>{kept}{gone}</{tag}>", frozenset()) == "A\n\nB\n\nC\n\nD"
+    assert pages.main_text("<body><div class='x'><h2 id='related-work'>A</h2></div><div class='related'>x</div>", frozenset()) == "A"
+
+
 def test_style_tree_finds_unmarked_menus(spark):
     page = "<body><div class='m'><p>Home</p><p>About</p></div><div class='c'><p>text {0} of its own {0}</p></div></body>"
     rows = spark.createDataFrame([(k, "http://one.example/x", page.format(k)) for k in range(30)], "page_id bigint, url string, html string")
