@@ -2,8 +2,8 @@
 
 For each language a suffix automaton is built of labelled text. A document is cut into phrases, each the
 longest match with that language's text; the language that needs the fewest phrases, normalised by the size
-of its text, wins. Automata are stored as one dense transition table, and many stretches of text step
-through all languages' tables together.
+of its text, wins. All letters of all languages have codes of their own. The automata's transitions are stored
+in one hash table by state and letter, and many stretches of text step through all languages together.
 
 A long text is parsed in stretches of STRETCH characters, all of them; a cut costs each language one phrase.
 
@@ -35,8 +35,10 @@ UNDETERMINED = "und"
 class Model:
     languages: list[str]
     codes: np.ndarray  # by code point: 0 no letter, 1 a letter unseen in learning, else its code
-    table: np.ndarray  # next state by state * width + code, -1 if there is none; states of all languages
-    roots: np.ndarray
+    slots: np.ndarray  # hash table of state * width + code, -1 where free; states of all languages
+    to: np.ndarray  # the next state, by slot
+    first: np.ndarray  # by language and code: where a new phrase leads; an unseen letter is a phrase of its own
+    outside: int  # the state before a phrase: nothing leads on
     cost: np.ndarray  # bits that a phrase costs, by language
     width: int
 
@@ -49,8 +51,44 @@ def letters(text: str, codes: np.ndarray) -> np.ndarray:
     return got[keep]
 
 
-def suffix_automaton(text: np.ndarray, width: int) -> np.ndarray:
-    """The transitions of the minimal automaton of all substrings: a row for each state, -1 where there is none."""
+def _slot(keys: np.ndarray, slots: int) -> np.ndarray:
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - slots.bit_length())).astype(np.intp)
+
+
+def hashed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their values in a table with linear probing, a quarter full at most."""
+    n = 1 << max((4 * len(keys)).bit_length(), 4)
+    slots, to = np.full(n, -1, np.int64), np.full(n, -1, np.int32)
+    at, left = _slot(keys, n), np.arange(len(keys))
+    while len(left):
+        free = left[slots[at[left]] < 0]
+        placed = free[np.unique(at[free], return_index=True)[1]]
+        slots[at[placed]], to[at[placed]] = keys[placed], values[placed]
+        left = np.setdiff1d(left, placed, assume_unique=True)
+        at[left] = (at[left] + 1) & (n - 1)
+    return slots, to
+
+
+def follow(model: Model, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Next states, -1 where there is none."""
+    keys = state.astype(np.int64) * model.width + code
+    at = _slot(keys, len(model.slots))
+    held = model.slots.take(at)
+    out = np.where(held == keys, model.to.take(at), -1)
+    others = np.flatnonzero((held != keys) & (held >= 0))
+    keys, at = keys.reshape(-1)[others], at.reshape(-1)[others]
+    while len(others):
+        at = (at + 1) & (len(model.slots) - 1)
+        held = model.slots.take(at)
+        hit = held == keys
+        out.reshape(-1)[others[hit]] = model.to.take(at[hit])
+        on = ~hit & (held >= 0)
+        others, keys, at = others[on], keys[on], at[on]
+    return out
+
+
+def suffix_automaton(text: np.ndarray) -> list[dict[int, int]]:
+    """The transitions of the minimal automaton of all substrings, by state."""
     nexts: list[dict[int, int]] = [{}]
     links, sizes, last = [-1], [0], 0
     for c in text.tolist():
@@ -76,33 +114,34 @@ def suffix_automaton(text: np.ndarray, width: int) -> np.ndarray:
                 q = copy
             links[new] = q
         last = new
-    table = np.full((len(nexts), width), -1, np.int32)
-    for state, by_code in enumerate(nexts):
-        for c, to in by_code.items():
-            table[state, c] = to
-    return table
+    return nexts
 
 
 def learn(samples: dict[str, str]) -> Model:
     languages = sorted(samples)
-    seen = sorted({c for t in samples.values() for c in t.lower() if c.isalpha()})[:252]
-    codes = np.zeros(0x110000, np.uint8)
+    seen = sorted({c for t in samples.values() for c in t.lower() if c.isalpha()})
+    codes = np.zeros(0x110000, np.uint16 if len(seen) < 65_000 else np.uint32)
     alpha = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
     codes[alpha] = 1
     for k, c in enumerate(seen):
         codes[ord(c)] = k + 2
-    width, tables, roots, sizes, at = len(seen) + 2, [], [], [], 0
+    width, roots, sizes, at = len(seen) + 2, [], [], 0
+    keys, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
     for language in languages:
         text = letters(samples[language], codes)
-        own = suffix_automaton(text, width)
-        own[own >= 0] += at
-        tables.append(own)
-        roots.append(at)
+        own = suffix_automaton(text)
+        n = sum(map(len, own))
+        keys.append(np.fromiter(((at + state) * width + c for state, by_code in enumerate(own) for c in by_code), np.int64, n))
+        values.append(np.fromiter((at + to for by_code in own for to in by_code.values()), np.int32, n))
+        roots.append({c: at + to for c, to in own[0].items()})
         sizes.append(len(text))
         at += len(own)
-    tables.append(np.full((1, width), -1, np.int32))  # the state before a phrase: nothing leads on
-    table = np.concatenate(tables).reshape(-1)
-    return Model(languages, codes, table, np.array(roots, np.int64), np.log2(np.maximum(sizes, 2)), width)
+    first = np.full((len(languages), width), at, np.int32)
+    for k, by_code in enumerate(roots):
+        for c, to in by_code.items():
+            first[k, c] = to
+    slots, to = hashed(np.concatenate(keys), np.concatenate(values))
+    return Model(languages, codes, slots, to, first, at, np.log2(np.maximum(sizes, 2)), width)
 
 
 def phrases(texts: list[np.ndarray], model: Model) -> np.ndarray:
@@ -122,20 +161,17 @@ def phrases(texts: list[np.ndarray], model: Model) -> np.ndarray:
     for lane, k in enumerate(order.tolist()):
         lanes[: length[k], lane] = texts[owner[k]][start[k] : start[k] + length[k]]
     active = np.searchsorted(-length[order], -np.arange(1, STRETCH + 1), side="right")
-    first = model.table[(model.roots * model.width)[:, None] + np.arange(model.width)]  # where a new phrase leads
-    outside = len(model.table) // model.width - 1
-    first = np.where(first < 0, outside, first).astype(np.int32)  # an unseen letter is a phrase of its own
     n_lang = len(model.languages)
-    state = np.full((n_lang, len(order)), outside, np.int32)
+    state = np.full((n_lang, len(order)), model.outside, np.int32)
     begun = np.zeros((n_lang, len(order)), np.int32)
     rows = (np.arange(n_lang) * model.width)[:, None]
-    flat_first = first.reshape(-1)
+    flat_first = model.first.reshape(-1)
     for j in range(STRETCH):
         n = int(active[j])
         if not n:
             break
         c = lanes[j, :n]
-        to = model.table.take(state[:, :n] * model.width + c)
+        to = follow(model, state[:, :n], c)
         fail = to < 0
         begun[:, :n] += fail
         state[:, :n] = np.where(fail, flat_first.take(rows + c), to)

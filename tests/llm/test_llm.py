@@ -161,6 +161,16 @@ def test_language(spark):
     assert langid.identify(odd_documents(spark), langid.learn({})).where("lang_pred <> 'und'").count() == 0
 
 
+def test_languages_of_many_letters():
+    rng = np.random.default_rng(6)
+    scripts = {"aa": range(0x4E00, 0x4E00 + 400), "bb": range(0x5E00, 0x5E00 + 400), "cc": range(0xAC00, 0xAC00 + 400)}
+    samples = {k: "".join(chr(c) for c in rng.choice(list(own), 3000)) for k, own in scripts.items()}
+    model = langid.learn(samples | {"dd": "plain latin text"})
+    texts = [samples["aa"][50:90], samples["bb"][50:90], samples["cc"][50:90], "latin text"]
+    assert langid.predict(texts, model)[0] == ["aa", "bb", "cc", "dd"]
+    assert langid.phrases([langid.letters(t, model.codes) for t in texts], model).min(axis=1).tolist() == [1, 1, 1, 1]
+
+
 def test_phrases_are_longest_matches():
     model = langid.learn({"aa": "the cat sat on the mat", "bb": "dog eats frog"})
 
