@@ -31,13 +31,24 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least id; of rows that share an id, one."""
-    gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    again = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    """One document of each group of near copies: the one with the least id.
+
+    Rows that share an id are told apart by their texts (a 64-bit hash of both): of equal ones one stays, and each
+    other text stays or goes by itself.
+    """
+    keyed = docs.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    found = minhash.near_duplicates(keyed, key="_row").where("_row is not null").distinct()
+    found = materialize(found, "row-classes")
+    groups = found.where(~F.col("kept")).select("class_id").distinct()
+    ids = keyed.groupBy("_row").agg(F.min("doc_id").alias("doc_id"))
+    rows = materialize(found.join(groups, "class_id", "left_semi").select("_row", "class_id").join(ids, "_row"), "copies")
+    least = rows.groupBy("class_id").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("_least"))
+    gone = rows.join(least, "class_id").where("_row <> _least").select("_row")
+    again = keyed.where("_row is not null").groupBy("_row").count().where("count > 1").select("_row")
     # Both lists are stored, so that Spark knows their size and shuffles documents only for long ones.
-    gone, again = materialize(gone.distinct(), "gone"), materialize(again, "again")
-    once = docs.join(gone.unionByName(again).distinct(), "doc_id", "left_anti")
-    rest = docs.join(again, "doc_id", "left_semi").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    gone, again = materialize(gone, "gone"), materialize(again, "again")
+    once = keyed.join(gone.unionByName(again).distinct(), "_row", "left_anti")
+    rest = keyed.join(again, "_row", "left_semi").join(gone, "_row", "left_anti").dropDuplicates(["doc_id", "text"])
     return once.select(docs.columns).unionByName(rest.select(docs.columns))
 
 

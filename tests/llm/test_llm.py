@@ -464,6 +464,18 @@ def test_pipeline(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.collect()}
 
 
+def test_near_copies_keep_other_texts_of_an_id(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(13)
+    one, two, three, four = (" ".join(map(str, rng.integers(0, 10**6, 60))) for _ in range(4))
+    rows = [(1, one), (2, one + " more"), (2, two), (3, three), (3, three), (3, four), (4, four), (5, None), (5, None), (None, two)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    want = [(1, one), (2, two), (3, three), (3, four), (5, None), (None, two)]
+    assert got.columns == docs.columns and Counter(map(tuple, got.collect())) == Counter(want)
+
+
 def test_hash_of_packed_words():
     data = np.array([1, 70000, 2**31], np.uint32)
     assert bpe.unpack_ints(bpe.pack_ints(data)).tolist() == data.tolist() and bpe.unpack_ints(bpe.pack_ints(data[:0])).tolist() == []
