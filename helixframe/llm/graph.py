@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import materialize
+from helixframe.llm.common import discard, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -21,17 +21,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with a link to another; the component is its smallest node.
 
-    ``edges`` has the columns a and b. A round writes its links to the shared folder, so no lineage builds
-    up; the number of rounds grows with the logarithm of the largest component's diameter.
+    ``edges`` has the columns a and b; links with a null end, and of a node with itself, don't count, and no
+    links give no rows. Rounds go on until the links stay as they are, told by their number and 128 bits of
+    their hashes. A round writes its links to the shared folder, so no lineage builds up, and what it replaces
+    is deleted; the number of rounds grows with the logarithm of the largest component's diameter.
     """
     edges = materialize(edges.where("a <> b").select(F.col("a").cast("bigint"), F.col("b").cast("bigint")).distinct(), "links")
     before = None
-    for _ in range(most_rounds):
-        edges = materialize(_small_star(_large_star(edges)), "stars")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())
+    while True:
+        new = materialize(_small_star(_large_star(edges)), "stars")
+        discard(edges)
+        edges = new
+        now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64(F.lit(1), "b", "a"))).first())
         if now == before or not now[0]:
             break
         before = now

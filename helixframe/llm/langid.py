@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helixframe.llm.common import text_rows
+from helixframe.llm.common import slices, text_rows
 
-#: The bounded labelled sample: so many documents of each language at most, and characters of their text.
+#: The bounded labelled sample: so many documents of each language at most, and no more once they have so many characters.
 SAMPLE_DOCS, SAMPLE_CHARS = 64, 40_000
 STRETCH = 512
 UNDETERMINED = "und"
@@ -180,15 +180,20 @@ def phrases(texts: list[np.ndarray], model: Model) -> np.ndarray:
 
 
 def sample(df: DataFrame, lang: str = "lang", key: str = "doc_id", text: str = "text") -> dict[str, str]:
-    """Text of each language, from the SAMPLE_DOCS documents that have the least hash in their bucket."""
+    """Text of each language: whole documents, SAMPLE_DOCS at most, until they have SAMPLE_CHARS characters.
+
+    Ids are dealt to SAMPLE_DOCS buckets by hash, and each bucket gives one document: of those with at most
+    SAMPLE_CHARS / 4 characters that with the least hash, or else the shortest.
+    """
     rows = df.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("_lang"), F.col(text).alias("_text"), F.xxhash64(F.col(key), F.lit(7)).alias("_hash"))
-    rows = rows.withColumn("_bucket", F.pmod(F.col("_hash"), F.lit(SAMPLE_DOCS)))
-    least = rows.groupBy("_lang", "_bucket").agg(F.min("_hash").alias("_hash"))
-    picked = rows.join(F.broadcast(least), ["_lang", "_bucket", "_hash"]).select("_lang", "_hash", "_text")  # SAMPLE_DOCS rows a language
+    over = F.greatest(F.length("_text") - SAMPLE_CHARS // 4, F.lit(0))
+    rows = rows.withColumns({"_bucket": F.pmod(F.col("_hash"), F.lit(SAMPLE_DOCS)), "_rank": F.struct(over.alias("over"), "_hash")}).drop("_hash")
+    least = rows.groupBy("_lang", "_bucket").agg(F.min("_rank").alias("_rank"))
+    picked = rows.join(F.broadcast(least), ["_lang", "_bucket", "_rank"]).select("_lang", "_rank", "_text")  # SAMPLE_DOCS rows a language
     out: dict[str, str] = {}
     for r in sorted(picked.collect()):
         if len(out.get(r["_lang"], "")) < SAMPLE_CHARS:
-            out[r["_lang"]] = (out.get(r["_lang"], "") + "\n" + r["_text"])[: SAMPLE_CHARS]
+            out[r["_lang"]] = out.get(r["_lang"], "") + "\n" + r["_text"]
     return out
 
 
@@ -219,14 +224,12 @@ def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text
 
 
 def add_language(df: DataFrame, model: Model, text: str = "text", name: str = "language") -> DataFrame:
-    """``df`` with one more column, the language of ``text``; rows stay where they are."""
+    """``df`` with one more column, the language of ``text``; rows stay where they are. ``name`` must be new."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                found, _ = predict([t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()], shared.value)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], [*part.schema.names, name])
+        for part in slices(batches, text, 1024):
+            found, _ = predict([t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()], shared.value)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], [*part.schema.names, name])
 
     return df.mapInArrow(scan, T.StructType([*df.schema.fields, T.StructField(name, T.StringType())]))

@@ -3,7 +3,8 @@
 A labelled sample is turned into TF-IDF rows over hashed words and token shapes, and a truncated singular
 value decomposition gives each a short vector. These vectors are broadcast (their number and length are
 fixed parameters); every document is projected the same way, compared with all of them by blocked cosine
-products, and its nearest neighbours vote, weighted by similarity.
+products (in single precision), and its nearest neighbours vote, weighted by similarity: NEIGHBOURS of them, or
+the square root of the sample's size, if that is less.
 
 Defined results: a null or empty text, or one like no labelled text, gets the mean label; without labels
 every score is 0; rows with a null label are not learnt from; equal similarities count in the sample's
@@ -12,6 +13,8 @@ order; repeated rows come back as often; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,21 +24,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import text_rows
+from helixframe.llm.common import remembered, text_rows
 
 #: The bounded labelled sample: at most so many documents are learnt from.
 SAMPLE_DOCS = 4000
 WORD_BUCKETS, SHAPE_BUCKETS, DIMS, NEIGHBOURS = 3072, 1024, 64, 25
 #: Share of a row's squared length that shapes have; words have the rest.
 SHAPE_SHARE = 0.7
+SHAPE_RUNS = 12
 THRESHOLD = 0.3
 CACHE_TOKENS = 500_000
 FEATURES = WORD_BUCKETS + SHAPE_BUCKETS
 
 
-
 def shape(token: str) -> str:
-    """Runs of capitals, small letters and digits become A, a and 0; other runs keep their sign."""
+    """Runs of capitals, small letters and digits become A, a and 0; other runs keep their sign.
+
+    Of more than SHAPE_RUNS runs their kinds and the order of magnitude of their number are told.
+    """
     out = []
     for c in token:
         kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
@@ -43,7 +49,9 @@ def shape(token: str) -> str:
             out[-1] = kind + "+"
         else:
             out.append(kind)
-    return "".join(out[:12])
+    if len(out) > SHAPE_RUNS:
+        out = [*sorted(set(out)), "*", str(len(out).bit_length())]
+    return "".join(out)
 
 
 class Features:
@@ -117,7 +125,7 @@ class Scorer:
     def scores(self, texts: list[str]) -> np.ndarray:
         m = self.model
         out = np.full(len(texts), m.prior)
-        k = min(NEIGHBOURS, len(m.labels))
+        k = min(NEIGHBOURS, math.isqrt(len(m.labels)))
         if not k or not texts:
             return out
         near = _unit(_weighted(self.features.counts(texts), m.idf) @ m.projection) @ m.vectors.T
@@ -131,10 +139,10 @@ class Scorer:
 
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, score."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared, mine = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = remembered(mine, lambda: Scorer(shared.value))
         for keys, texts in text_rows(batches, key, text):
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(scorer.scores(texts), pa.float64())], [key, "score"])
 
