@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 
 from helixframe.llm.common import text_rows
 
-#: Characters of text that share one dictionary of word numbers.
-CHUNK_CHARS = 14_000_000
+#: Characters of text that share one dictionary of word numbers, and for which there is one bucket of words.
+CHUNK_CHARS, BUCKET_CHARS = 14_000_000, 8_000_000
+#: Expressions whose matches never cross the cut before a single blank.
+CUT_AT_BLANKS = frozenset({r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+", r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s", r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"})
 
 #: key: the chunk for a document, -1 - bucket for words.
 _DEALT = pa.schema([("key", pa.int64()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("payload", pa.binary())])
@@ -100,10 +102,11 @@ class _Chunk:
     def add(self, doc_id: int | None, text: str, find, uneven) -> None:
         """Cut at single blanks, so that the expression runs once per distinct segment of the chunk.
 
-        A match never crosses such a cut; a text with a blank beside other white space is matched whole.
+        A match never crosses such a cut; a text with a blank beside other white space is matched whole, and so
+        is every text where nothing is known of the expression (``uneven`` is None).
         """
         self.chars += len(text)
-        whole = uneven(text) is not None
+        whole = uneven is None or uneven(text) is not None
         if whole:
             numbers, parts = self.words, find(text)
         else:
@@ -136,11 +139,17 @@ class _Chunk:
             yield pa.RecordBatch.from_arrays([pa.array([-1 - b], pa.int64()), pa.array([self.number], pa.int64()), pa.nulls(1, pa.int64()), pa.array([payload], pa.binary())], schema=_DEALT)
 
 
+def _matches(expression):
+    """All matches of an expression, groups or not."""
+    return expression.findall if not expression.groups else lambda text: [m[0] for m in expression.finditer(text)]
+
+
 def _dealt(df: DataFrame, pattern: str, key: str, text: str, buckets: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        find, uneven = regex.compile(pattern).findall, regex.compile(r" \s|\s ").search
+        find = _matches(regex.compile(pattern))
+        uneven = regex.compile(r" \s|\s ").search if pattern in CUT_AT_BLANKS else None
         number = TaskContext.get().partitionId() << 32
         chunk = _Chunk(number)
         for keys, texts in text_rows(batches, key, text):
@@ -153,7 +162,7 @@ def _dealt(df: DataFrame, pattern: str, key: str, text: str, buckets: int) -> Da
         if chunk.docs:
             yield from chunk.batches(find, buckets)
 
-    return df.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(cut, _DEALT_DDL).repartition("key")
+    return df.select(F.col(key).cast("bigint").alias(key), text).mapInArrow(cut, _DEALT_DDL).repartition(buckets, "key")
 
 
 def _encoded(dealt: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
@@ -177,7 +186,7 @@ def _encoded(dealt: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFra
                     word = raw[a:b]
                     ids = known.get(word)
                     if ids is None:
-                        ids = known[word] = encoding.encode_ordinary(word.decode())
+                        ids = known[word] = encoding._encode_single_piece(word)  # the same, but not cut again
                     out.append(ids)
                 flat = np.fromiter((i for ids in out for i in ids), np.uint32)
                 payload = pack_all(nos, pack_ints(np.array([len(ids) for ids in out])), pack_ints(flat))
@@ -209,9 +218,12 @@ def _reassembled(dealt: DataFrame, encoded: DataFrame, key: str) -> DataFrame:
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, n_tokens, and ids as little-endian unsigned 32-bit integers.
 
-    Words are dealt to as many buckets as the session has shuffle partitions.
+    Words are dealt to a bucket for each BUCKET_CHARS characters of text, at least as many as the session has
+    shuffle partitions, so that buckets, and what a task reads, don't grow with the table.
     """
-    dealt = _dealt(df, pattern, key, text, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    chars = df.agg(F.sum(F.char_length(text))).first()[0] or 0
+    buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // BUCKET_CHARS))
+    dealt = _dealt(df, pattern, key, text, buckets)
     return _reassembled(dealt, _encoded(dealt, ranks, pattern), key)
 
 
@@ -236,5 +248,3 @@ def decode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id") -> DataF
 def digest(decoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens and the hashes of ids and decoded bytes."""
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
