@@ -6,10 +6,13 @@ host's distinct pages, relative to the highest possible, is its importance: a me
 page, an article does not. Hosts with few pages borrow the importance of the same branch over all hosts, where
 each host weighs alike. Branches of all depths count, within articles too, but what marks an article and its
 plain paragraphs and headings are never of low importance.
-Branches of low importance, and branches whose tag or class says that they are menus, headers, footers,
-sidebars, notices, adverts, forms or comments, are removed from each page; the rest is its text. Outside
-articles one such word in a class, id or role is enough; within them a whole name has to say so, and what
-may be a matter of the text (alerts, notices, related work) stays unless the tree removes it.
+Branches of low importance, and branches whose tag or name (of class, id or role) says that they are menus,
+headers, footers, sidebars, notices, adverts, forms or comments, are removed from each page; the rest is its
+text. A name counts as a whole: each of its words has to fit, so ``share-price`` and ``related-work`` say nothing.
+Within articles, what may be a matter of the text (alerts, notices, related posts) stays unless the tree removes it.
+
+A page is parsed in time linear in its length, however deep it nests: an element's content is one hash of its
+texts and of its elements' hashes, and a branch is told by its name, of bounded length.
 
 Counts are aggregated before they are shuffled, so a host with a third of all pages is no hot key.
 
@@ -23,21 +26,23 @@ from __future__ import annotations
 import hashlib
 import html as htmllib
 import re
-import zlib
 from collections.abc import Iterator
-from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import materialize
+from helixframe.llm.common import materialize, slices
 
 #: Tags without text for readers.
 SILENT = frozenset("title script style noscript template svg iframe object canvas select button textarea input datalist".split())
+#: Of these, the ones that hold characters only.
+RAW = frozenset("script style textarea".split())
 #: Tags of navigation and forms; ``header`` and ``footer`` count as such everywhere, header within an article not.
 NOISE_TAGS = frozenset("nav footer aside form menu dialog header".split())
-#: Words of class, id and role that mark such branches.
+#: Words of class and id that mark such branches.
 NOISE_WORDS = frozenset(
     "ad ads advert advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs "
     "sidebar widget footer masthead header cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription "
@@ -46,10 +51,13 @@ NOISE_WORDS = frozenset(
 )
 #: Of these, what an article may say of its own text, and what may go with the others in one name there.
 DOUBTFUL_WORDS = frozenset("alert banner header menu notice promo recommended related reply respond search skip".split())
-FILLING_WORDS = frozenset("area bar block box button buttons container form icons item items link links list post posts section slot unit widget wrap wrapper".split())
-#: Roles that mark noise within an article.
+FILLING_WORDS = frozenset("area bar block bottom box btn button buttons col column container content fixed form global header icon inner item items left link links list main outer page post posts primary right secondary section site slot sticky sub text title top unit widget wrap wrapper".split())
+#: With one of these a doubtful word speaks of the page, not of an article in it.
+PAGE_WORDS = frozenset("global page site".split())
+#: Whole names of classes that mark an article where no tag does.
+ARTICLE_NAMES = frozenset("article article-body article-content entry entry-content hentry post post-body post-content story story-body".split())
+#: Roles that mark noise.
 NOISE_ROLES = frozenset("banner complementary contentinfo navigation search".split())
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Branches that hold an article whatever their entropy.
 ARTICLE_TAGS = frozenset({"article", "main"})
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -73,63 +81,104 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _NAME = re.compile(r"[a-z]+")
 
 
-class Block(NamedTuple):
-    path: tuple[str, ...]  # labels of the branches it lies in, from below body on
-    noise: bool  # a branch above it is marked as noise by its tag or class
-    tag: str
-    text: str
+class Branch:
+    """What one page has in one branch: the labels next below it, runs counting once, and the hash of its elements' contents."""
+
+    __slots__ = ("below", "content", "last")
+
+    def __init__(self):
+        self.below, self.content, self.last = xxhash.xxh3_64(), xxhash.xxh3_64(), None
+
+    def add(self, element: _Open) -> None:
+        for label in element.below:
+            if label != self.last:
+                self.below.update(f"{label}\n".encode("utf-8", "replace"))
+                self.last = label
+        self.content.update(element.content.digest())
 
 
-class _Open(NamedTuple):
-    tag: str
-    label: str
-    noise: bool
-    article: bool
+class _Open:
+    """An open element."""
 
+    __slots__ = ("tag", "label", "branch", "noise", "article", "low", "below", "content", "inline", "block")
 
-def _means_noise(name: str) -> bool:
-    """Whether the whole of a name within an article says noise: every word of it, at least one beyond doubt."""
+    def __init__(self, tag: str, label: str, branch: str, noise: bool, article: bool, low: bool, above: _Open | None):
+        self.tag, self.label, self.branch, self.noise, self.article, self.low = tag, label, branch, noise, article, low
+        self.below: list[str] = []  # labels of what has text in it
+        self.content = None  # hash of the texts in it, if there are any
+        self.inline: dict[str, int] = {}  # open inline elements in it and outside the next block
+        self.block: _Open = above.block if above and tag in INLINE else self
+
+    def holds(self, label: str, digest: bytes) -> None:
+        if self.content is None:
+            self.content = xxhash.xxh3_64()
+        self.content.update(digest)
+        if not self.below or self.below[-1] != label:
+            self.below.append(label)
+
+
+def _means_noise(name: str, in_article: bool) -> bool:
+    """Whether the whole of a name says noise: every word of it, within an article at least one beyond doubt."""
     words = set(_NAME.findall(name))
-    return bool(words & (NOISE_WORDS - DOUBTFUL_WORDS - FILLING_WORDS) or name == "widget") and words <= NOISE_WORDS | FILLING_WORDS
+    sure = words & (NOISE_WORDS - FILLING_WORDS - (DOUBTFUL_WORDS if in_article and not words & PAGE_WORDS else frozenset()))
+    return bool(sure or name in ("widget", "header") and not in_article or "header" in words and words & PAGE_WORDS) and words <= NOISE_WORDS | FILLING_WORDS
 
 
-def _marks(tag: str, attributes: str, in_article: bool) -> tuple[str, bool]:
-    """The label of an element, and whether its tag or attributes mark it as noise."""
-    label, noise = tag, tag in NOISE_TAGS and not (tag == "header" and in_article)
+def _marks(tag: str, attributes: str, in_article: bool) -> tuple[str, bool, bool]:
+    """The label of an element, and whether its tag or attributes mark it as noise, and as an article."""
+    label, noise, article = tag, tag in NOISE_TAGS and not (tag == "header" and in_article), tag in ARTICLE_TAGS
     if attributes and not attributes.isspace():
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
         given = {k: found.get(k, "").lower() for k in ("class", "id", "role")}
-        if tag in HEADINGS:
-            given["id"] = ""  # what a link to the heading says
-        if in_article or tag in ARTICLE_TAGS:
-            own = given["class"].split() + ([given["id"]] if tag not in PROSE else [])
-            marked = any(map(_means_noise, own)) or bool(NOISE_ROLES & set(given["role"].split()))
-        else:
-            marked = bool(NOISE_WORDS & {w for v in given.values() for w in _NAME.findall(v)})
+        names = given["class"].split() + ([given["id"]] if tag not in PROSE else [])  # an id of prose is what a link says
+        marked = any(_means_noise(n, in_article or article) for n in names) or bool(NOISE_ROLES & set(given["role"].split()))
         noise = noise or marked and tag not in ("body", "html") or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+        article = article or tag not in PROSE and bool(ARTICLE_NAMES & set(names))
         if found.get("class"):
             label = f"{tag}.{'.'.join(sorted(found['class'].split()))}"
-    return label, noise
+    return label, noise, article
+
 
+def _below(branch: str, label: str) -> str:
+    name = f"{branch}/{label}" if branch else label
+    return name if len(name) <= NAME_CHARS else "#" + hashlib.md5(name.encode("utf-8", "replace")).hexdigest()
 
-def parse(page: str | None) -> list[Block]:
-    """The page's blocks of text in page order, white space turned into single blanks."""
-    if not page:
-        return []
-    blocks: list[Block] = []
-    stack: list[_Open] = []
-    pieces: list[str] = []
-    silent, at = "", 0
 
-    def flush(tag: str) -> None:
+def parse(page: str | None, low: frozenset[str] | None = None) -> tuple[list[str], dict[str, Branch]]:
+    """The texts of the page's blocks outside noise and outside the branches ``low``, in page order, white space
+    turned into single blanks; without ``low`` also what the page has in each branch."""
+    build, low = low is None, low or frozenset()
+    kept: list[str] = []
+    tree: dict[str, Branch] = {}
+    top = _Open("", "", "", False, False, False, None)
+    stack, pieces, silent, deep, at = [top], [], "", 0, 0
+    open_: dict[str, int] = {}  # open elements by tag
+
+    def flush() -> None:
         if pieces:
             text = " ".join(htmllib.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                path = tuple(o.label for o in stack if o.tag not in INLINE)
-                blocks.append(Block(path, bool(stack) and stack[-1].noise, tag, text))
-
-    for m in _TOKEN.finditer(page):
+                above = stack[-1]
+                if build:
+                    above.holds(above.tag, xxhash.xxh3_64_digest(text.encode("utf-8", "replace")))
+                if not above.noise and not above.low:
+                    kept.append(text)
+
+    def close(k: int) -> None:
+        """Ends the elements from place k of the stack on, the innermost first."""
+        while len(stack) > k:
+            e = stack.pop()
+            open_[e.tag] -= 1
+            above = stack[-1]
+            if e.tag in INLINE:
+                above.block.inline[e.tag] -= 1
+            if e.content is not None:
+                above.holds(e.label if e.tag not in INLINE else above.tag, e.content.digest())
+                if e.tag not in INLINE:
+                    tree.setdefault(e.branch, Branch()).add(e)
+
+    for m in _TOKEN.finditer(page or ""):
         if m.start() > at and not silent:
             pieces.append(page[at : m.start()])
         at = m.end()
@@ -137,82 +186,63 @@ def parse(page: str | None) -> list[Block]:
         if not tag:
             continue
         if silent:
-            if closing and tag == silent:
-                silent = ""
+            if tag == silent and tag not in RAW and not closing and not m[3].endswith("/"):
+                deep += 1  # such an element within itself
+            elif tag == silent and closing:
+                silent, deep = (silent, deep - 1) if deep else ("", 0)
             continue
         if tag in SILENT:
             if not closing and tag not in VOID and not m[3].endswith("/"):
-                silent = tag
+                silent, deep = tag, 0
             continue
         if tag in ("html", "head", "body"):  # a head without its end tag ends where text begins
-            flush(tag)
+            flush()
             continue
         if tag in BLOCKS:
-            flush(stack[-1].tag if stack else "")
+            flush()
         elif tag in ("br", "td", "th"):
             pieces.append(" ")
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if tag in INLINE and stack[k].tag in BLOCKS:
-                    break
+            if tag in INLINE:  # reaches to the next block only
+                if stack[-1].block.inline.get(tag):
+                    k = len(stack) - 1
+                    while stack[k].tag != tag:
+                        k -= 1
+                    close(k)
+            elif open_.get(tag):
+                k = len(stack) - 1
+                while stack[k].tag != tag:
+                    k -= 1
+                close(k)
         elif tag not in VOID:
             ends = CLOSES.get(tag)
-            if ends:
-                for k in range(len(stack) - 1, -1, -1):
+            if ends and any(open_.get(t) for t in ends):
+                for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag in ends:
-                        del stack[k:]
+                        close(k)
                         break
                     if stack[k].tag in SCOPE:
                         break
-            above = stack[-1] if stack else None
-            label, noise = _marks(tag, m[3], above is not None and above.article)
-            stack.append(_Open(tag, label, noise or above is not None and above.noise, tag in ARTICLE_TAGS or above is not None and above.article))
-    if not silent and at < len(page):
+            above = stack[-1]
+            label, noise, article = _marks(tag, m[3], above.article)
+            branch, under = above.branch, above.low
+            if tag not in INLINE:
+                branch = _below(branch, label)
+                under = under or branch in low and tag not in ARTICLE_TAGS and not (above.article and label in PROSE)
+            else:
+                above.block.inline[tag] = above.block.inline.get(tag, 0) + 1
+            stack.append(_Open(tag, label, branch, noise or above.noise, article or above.article, under, above))
+            open_[tag] = open_.get(tag, 0) + 1
+    if page and not silent and at < len(page):
         pieces.append(page[at:])
-    flush(stack[-1].tag if stack else "")
-    return blocks
-
-
-def steps(path: tuple[str, ...]) -> Iterator[tuple[str, str]]:
-    """(label, name of the branch) of each step of a path."""
-    branch = ""
-    for label in path:
-        branch = f"{branch}/{label}" if branch else label
-        if len(branch) > NAME_CHARS:
-            branch = "#" + hashlib.md5(branch.encode("utf-8", "replace")).hexdigest()
-        yield label, branch
-
-
-def branches(blocks: list[Block]) -> dict[str, tuple[list[str], list[str]]]:
-    """By branch: the tags or labels next below it, runs counting once, and its texts."""
-    out: dict[str, tuple[list[str], list[str]]] = {}
-    for b in blocks:
-        for depth, (_, branch) in enumerate(steps(b.path), 1):
-            below, texts = out.setdefault(branch, ([], []))
-            child = b.path[depth] if depth < len(b.path) else b.tag
-            if not below or below[-1] != child:
-                below.append(child)
-            texts.append(b.text)
-    return out
+    flush()
+    close(1)
+    return kept, tree
 
 
 def main_text(page: str | None, low: frozenset[str]) -> str:
     """The blocks outside noise and outside branches of low importance, joined by an empty line."""
-    kept = []
-    for b in parse(page):
-        inside = article = False
-        for label, branch in steps(b.path) if low else ():
-            own = label.split(".")[0] in ARTICLE_TAGS
-            article = article or own
-            if branch in low and not own and not (article and label in PROSE):
-                inside = True
-                break
-        if not b.noise and not inside:
-            kept.append(b.text)
-    return "\n\n".join(kept)
+    return "\n\n".join(parse(page, low)[0])
 
 
 def host_of(url: str):
@@ -228,32 +258,32 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     """Host, branch, pages, importance, and the importance of the branch over all hosts."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                number = zlib.crc32((page or "").encode()) << 32 | len(page or "") & 0xFFFFFFFF
-                for branch, (below, texts) in branches(parse(page)).items():
-                    style = zlib.crc32("/".join(below).encode())
-                    content = zlib.crc32("\n".join(texts).encode()) << 20 ^ sum(map(len, texts))
-                    rows.append((host, branch, style, content, number - (1 << 63)))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "branch", "style", "content", "page"])
-
-    seen = pages.select(host_of(url).alias("host"), html).mapInArrow(features, "host string, branch string, style bigint, content bigint, page bigint").distinct()
+        for part in slices(batches, "page", 64):
+            columns: tuple[list, ...] = ([], [], [], [], [])
+            for host, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                number = xxhash.xxh3_64_intdigest((page or "").encode("utf-8", "replace"))
+                for branch, found in parse(page)[1].items():
+                    for column, value in zip(columns, (host, branch, found.below.intdigest(), found.content.intdigest(), number), strict=True):
+                        column.append(value)
+            kinds = [pa.string(), pa.string()]
+            numbers = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in columns[2:]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=False)] + numbers, ["host", "branch", "style", "content", "page"])
+
+    seen = pages.select(host_of(url).alias("host"), F.col(html).alias("page")).mapInArrow(features, "host string, branch string, style bigint, content bigint, page bigint").distinct()
     counted = materialize(seen.groupBy("host", "branch", "style", "content").agg(F.count("*").alias("n")), "branch-counts")
-    pages_of = counted.groupBy("host", "branch").agg(F.sum("n").alias("of"))
-    alike = counted.join(pages_of, ["host", "branch"]).withColumn("n", F.col("n") / F.col("of"))  # each host counts as one
-    parts = {}
-    for name, rows, keys in (("host", counted, ["host", "branch"]), ("all", alike, ["branch"])):
-        for kind in ("style", "content"):
-            parts[name, kind] = _entropy(rows.groupBy(*keys, kind).agg(F.sum("n").alias("n")), keys)
-    own = parts["host", "content"].join(parts["host", "style"].select("host", "branch", F.col("entropy").alias("style_entropy")), ["host", "branch"])
-    own = own.select("host", "branch", "pages", F.greatest("entropy", "style_entropy").alias("importance"))
-    shared = parts["all", "content"].join(parts["all", "style"].select("branch", F.col("entropy").alias("style_entropy")), "branch")
-    shared = shared.select("branch", F.greatest("entropy", "style_entropy").alias("shared_importance"))
+    # Stored before they are joined, so that Spark can broadcast them, or split what is hot on the other side.
+    own = materialize(_importance(counted, ["host", "branch"]), "own-importance")
+    alike = counted.join(own.select("host", "branch", "pages"), ["host", "branch"]).withColumn("n", F.col("n") / F.col("pages"))  # each host counts as one
     hosts = own.groupBy("branch").agg(F.count("*").alias("hosts"))
-    return own.join(shared, "branch").join(hosts, "branch")
+    shared = _importance(alike, ["branch"]).select("branch", F.col("importance").alias("shared_importance")).join(hosts, "branch")
+    return own.join(materialize(shared, "shared-importance"), "branch")
+
+
+def _importance(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys, pages, and the larger of the entropies of content and presentation."""
+    content, style = (_entropy(counted.groupBy(*keys, kind).agg(F.sum("n").alias("n")), keys) for kind in ("content", "style"))
+    both = content.join(style.select(*keys, F.col("entropy").alias("style_entropy")), keys)
+    return both.select(*keys, "pages", F.greatest("entropy", "style_entropy").alias("importance"))
 
 
 def low_branches(tree: DataFrame) -> DataFrame:
@@ -270,10 +300,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     joined = pages.select(F.col(key).cast("bigint").alias(key), F.col(url).alias(url), F.col(html).alias("_html"), host_of(url).alias("host")).join(low, "host", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [main_text(p, frozenset(b or ())) for p, b in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], [key, url, "text"])
+        for part in slices(batches, "_html", 64):
+            texts = [main_text(p, frozenset(b or ())) for p, b in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], [key, url, "text"])
 
     return joined.select(key, url, "_html", "low").mapInArrow(cut, f"`{key}` bigint, `{url}` string, text string")
