@@ -1,21 +1,27 @@
 """Nearest neighbours by a forest of random-projection trees.
 
-Trees are fitted on a bounded sample: each node projects on a random direction and splits at the median.
-Every row is sent to its leaf in every tree. A query walks all trees at once through one priority queue,
-ordered by how far it lies on the wrong side of the splits above a node, until it has a given share of the
-leaves. Queries meet the rows of their leaves in blocks, and distances are computed exactly in double
-precision on the original vectors.
-
-Equal vectors are searched once and expanded to ids at the end. A leaf is cut into blocks of about
-BLOCK_ROWS rows by a hash, so a leaf that grows with the data stays a matter of many tasks.
-
-Defined results: rows with a null, zero or non-finite vector take no part; with fewer candidates than k all
-are returned; ties go to the smaller id; an empty table gives an empty table. Other columns are not read.
+Trees are fitted on a bounded sample: a level of a tree projects on one random direction, and each of its nodes
+splits at the median. The depth follows the number of distinct vectors, so that a leaf holds about LEAF_ROWS
+until MAX_DEPTH (for which the sample suffices) is reached. Every row is sent to its leaf in every tree. A query
+walks all trees at once through one priority queue, ordered by how far it lies on the wrong side of the splits
+above a node. How many leaves it takes is measured: as many as let queries of the sample find TARGET of their
+neighbours in the sample. So vectors with structure need few leaves, and vectors without any need many.
+
+Queries meet the rows of their leaves in blocks. A row that a query meets in several trees is measured in the
+first of them only (queries carry the set of their leaves, rows their leaf in each tree), exactly, in double
+precision, on the original vectors. Equal vectors are searched once and expanded to ids at the end. A leaf's
+rows and its queries are both cut into blocks by a hash, so a leaf that grows with the data stays a matter of
+many tasks.
+
+Defined results: rows with a null id, or a null, zero or non-finite vector, take no part, nor do vectors of
+another length than most; with fewer candidates than k all are returned; ties go to the smaller id; repeated
+rows are one, and an id with several vectors is searched and found by each; an empty table gives an empty table. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,134 +33,169 @@ from pyspark.sql import functions as F
 from helixframe.llm.common import bounded_sample, materialize
 from helixframe.llm.vectors import classes, matrix, valid
 
-#: The bounded sample that trees are fitted on, their number and depth.
-SAMPLE_ROWS, TREES, DEPTH = 20_000, 8, 6
-#: The share of all trees' leaves that a query visits.
-SHARE = 0.2
-BLOCK_ROWS = 8_192
+#: The bounded sample that trees are fitted on, and rows of it that serve as queries to measure the search.
+SAMPLE_ROWS, SAMPLE_QUERIES = 20_000, 300
+TREES, LEAF_ROWS, MAX_DEPTH = 4, 384, 11
+#: The share of their nearest neighbours that the sample's queries must find.
+TARGET = 0.95
+#: Rows, and queries, of a leaf that meet in one block, about.
+BLOCK_ROWS, BLOCK_QUERIES = 8_192, 2_048
 
 
 @dataclass
 class Forest:
-    normals: np.ndarray  # tree, node, component; node k has the children 2k+1 and 2k+2
-    cuts: np.ndarray  # tree, node
+    directions: np.ndarray  # tree, level, component
+    cuts: np.ndarray  # tree, node; node k has the children 2k+1 and 2k+2
+    visits: int  # leaves that a query takes
 
     @property
     def leaves(self) -> int:
         return self.cuts.shape[1] + 1
 
-    def margins(self, x: np.ndarray) -> np.ndarray:
-        """row, tree, node: the signed distance from the split."""
-        return np.einsum("rc,tnc->rtn", x, self.normals, optimize=True) - self.cuts
+    @property
+    def trees(self) -> int:
+        return len(self.cuts)
+
+    def project(self, x: np.ndarray) -> np.ndarray:
+        """row, tree, level."""
+        return np.einsum("rc,tlc->rtl", x, self.directions, optimize=True)
 
     def route(self, x: np.ndarray) -> np.ndarray:
         """row, tree: the leaf of each row."""
-        right = self.margins(x) >= 0
-        rows, trees = np.ogrid[: len(x), : len(self.normals)]
-        node = np.zeros((len(x), len(self.normals)), np.int64)
-        while node.size and node[0, 0] < self.cuts.shape[1]:
-            node = 2 * node + 1 + right[rows, trees, node]
+        at, trees = self.project(x), np.arange(self.trees)
+        node = np.zeros((len(x), self.trees), np.int64)
+        for level in range(at.shape[2]):
+            node = 2 * node + 1 + (at[:, :, level] >= self.cuts[trees, node])
         return node - self.cuts.shape[1]
 
-    def search(self, margins: np.ndarray, most: int) -> list[tuple[int, int]]:
-        """The ``most`` best (tree, leaf) pairs of one row, by one queue over all trees."""
-        queue = [(0.0, t, 0) for t in range(len(self.cuts))]
-        out, inner = [], self.cuts.shape[1]
+    def search(self, at: np.ndarray, most: int) -> list[tuple[int, int]]:
+        """The ``most`` best (tree, leaf) pairs of one row, given its projections, by one queue over all trees."""
+        queue = [(0.0, t, 0, 0) for t in range(self.trees)]
+        out, inner, depth = [], self.cuts.shape[1], at.shape[1]
         while queue and len(out) < most:
-            far, tree, node = heapq.heappop(queue)
-            while node < inner:
-                m = margins[tree, node]
-                heapq.heappush(queue, (far + m * m, tree, 2 * node + 1 + (m < 0)))
-                node = 2 * node + 1 + (m >= 0)
+            far, tree, node, level = heapq.heappop(queue)
+            while level < depth:
+                m = at[tree, level] - self.cuts[tree, node]
+                heapq.heappush(queue, (far + m * m, tree, 2 * node + 1 + int(m < 0), level + 1))
+                node, level = 2 * node + 1 + int(m >= 0), level + 1
             out.append((tree, node - inner))
         return out
 
 
-def fit(sample: np.ndarray, trees: int = TREES, depth: int = DEPTH, seed: int = 3) -> Forest:
+def fit(sample: np.ndarray, rows: int, k: int = 10, target: float = TARGET, seed: int = 3) -> Forest:
+    """Trees for ``rows`` vectors, and the number of leaves that lets queries of the sample find their neighbours in it."""
     rng = np.random.default_rng(seed)
-    inner, dims = 2**depth - 1, sample.shape[1]
-    normals = rng.normal(size=(trees, inner, dims))
-    normals /= np.linalg.norm(normals, axis=2, keepdims=True)
+    depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(rows, 1) / LEAF_ROWS))), max(0, math.floor(math.log2(max(len(sample), 1) / 4))))
+    trees, inner, dims = TREES if depth else 1, 2**depth - 1, sample.shape[1]
+    directions = rng.normal(size=(trees, depth, dims))
+    directions /= np.linalg.norm(directions, axis=2, keepdims=True)
     cuts = np.zeros((trees, inner))
     for t in range(trees):
-        node_of = np.zeros(len(sample), np.int64)
+        at, node_of = sample @ directions[t].T, [np.arange(len(sample))]
         for node in range(inner):
-            mine = np.flatnonzero(node_of == node)
-            if len(mine):
-                p = sample[mine] @ normals[t, node]
-                cuts[t, node] = np.median(p)
-                node_of[mine] = 2 * node + 1 + (p >= cuts[t, node])
-    return Forest(normals, cuts)
-
-
-def nearest(df: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: str = "embedding", share: float = SHARE) -> DataFrame:
+            mine, level = node_of[node], (node + 1).bit_length() - 1
+            p = at[mine, level]
+            cuts[t, node] = np.median(p) if len(mine) else 0.0
+            node_of += [mine[p < cuts[t, node]], mine[p >= cuts[t, node]]]
+    forest = Forest(directions, cuts, trees * (inner + 1))
+    if depth:
+        asked = rng.permutation(len(sample))[:SAMPLE_QUERIES]
+        leaf, at, first = forest.route(sample), forest.project(sample[asked]), []
+        size = (sample * sample).sum(axis=1)
+        for q, own in zip(asked.tolist(), at, strict=True):
+            far = size - 2 * sample @ sample[q]
+            far[q] = np.inf
+            near = np.argpartition(far, k)[:k] if k < len(far) - 1 else np.flatnonzero(far < np.inf)
+            turn = np.full((trees, inner + 1), forest.visits)
+            for n, (t, b) in enumerate(forest.search(own, forest.visits)):
+                turn[t, b] = n + 1
+            first.append(turn[np.arange(trees), leaf[near]].min(axis=1))
+        turns = np.sort(np.concatenate(first)) if first else np.array([trees])
+        forest.visits = max(trees, int(turns[min(len(turns) - 1, math.ceil(target * len(turns)) - 1)]))
+    return forest
+
+
+def nearest(df: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: str = "embedding", target: float = TARGET) -> DataFrame:
     """Each query's k nearest other rows: query_id, rank, the row's key, score (Euclidean distance)."""
     spark = df.sparkSession
     fine = df.where(valid(vector) & F.col(key).isNotNull())
     distinct, members = classes(fine, key, vector)
     distinct = materialize(distinct, "distinct-vectors")
-    members = materialize(members, "vector-classes")
+    queries = fine.where(is_query).select(F.col(key).cast("bigint").alias("query_id")).distinct()
+    members = materialize(members.distinct(), "vector-classes")
+    queries = materialize(queries.join(members, F.col("query_id") == F.col(key)).select("query_id", "class"), "queries")
     sample = bounded_sample(distinct, "class", SAMPLE_ROWS).collect()
     if not sample:
         return spark.createDataFrame([], f"query_id bigint, rank int, `{key}` bigint, score double")
-    dims = max(len(r["vector"]) for r in sample)
+    widths = [len(r["vector"]) for r in sample]
+    dims = max(set(widths), key=lambda n: (widths.count(n), n))
     distinct = distinct.where(F.size("vector") == dims)
-    forest = spark.sparkContext.broadcast(fit(np.array([r["vector"] for r in sample if len(r["vector"]) == dims])))
-    leaves = forest.value.leaves
-    salts = max(1, -(-distinct.count() // (leaves * BLOCK_ROWS)))
-    visits = max(1, round(share * TREES * leaves))
+    n_rows, n_queries = distinct.count(), queries.count()
+    forest = fit(np.array([r["vector"] for r in sample if len(r["vector"]) == dims], float), n_rows, k, target)
+    trees, leaves, visits = forest.trees, forest.leaves, forest.visits
+    shared = spark.sparkContext.broadcast(forest)
+    salts = max(1, -(-n_rows // (leaves * BLOCK_ROWS)))
+    turns = max(1, -(-n_queries * visits // (trees * leaves * BLOCK_QUERIES)))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                leaf = forest.value.route(matrix(part.column(1)))
-                salt = part.column(2)
-                for t in range(TREES):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, t, np.int32)), pa.array(leaf[:, t].astype(np.int32)), salt, part.column(0), part.column(1)], ["tree", "leaf", "salt", "class", "vector"])
+                leaf = shared.value.route(matrix(part.column(1)))
+                where, n = pa.array(leaf.astype("<u2").tobytes()[2 * trees * r : 2 * trees * (r + 1)] for r in range(len(leaf))), part.num_rows
+                for t in range(trees):
+                    for turn in range(turns):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, t, np.int32)), pa.array(leaf[:, t].astype(np.int32)), part.column(2), pa.array(np.full(n, turn, np.int32)), part.column(0), part.column(1), where], names)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                margins = forest.value.margins(matrix(part.column(1)))
-                found = [forest.value.search(m, visits) for m in margins]
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
+                found = [shared.value.search(p, visits) for p in shared.value.project(matrix(part.column(1)))]
+                seen = np.zeros((len(found), trees, leaves), bool)
+                for row, pairs in enumerate(found):
+                    seen[row][tuple(np.array(pairs).T)] = True
+                marks = pa.array([s.tobytes() for s in np.packbits(seen.reshape(len(found), -1), axis=1)])
                 which = np.repeat(np.arange(len(found)), [len(f) * salts for f in found])
                 tree, leaf, salt = (np.array(c, np.int32) for c in zip(*((t, b, s) for f in found for t, b in f for s in range(salts)), strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(leaf), pa.array(salt), part.column(0).take(pa.array(which)), part.column(1).take(pa.array(which))], ["tree", "leaf", "salt", "class", "vector"])
-
-    schema = f"tree int, leaf int, salt int, class bigint, vector {dict(distinct.dtypes)['vector']}"
-    salted = distinct.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(salts)).cast("int"))
-    rows = salted.select("class", "vector", "salt").mapInArrow(index, schema)
-    queries = members.where(is_query).select(F.col(key).alias("query_id"), "class")
-    asked = distinct.join(queries.select("class").distinct(), "class", "left_semi").select("class", "vector").mapInArrow(ask, schema)
-    found = asked.groupBy("tree", "leaf", "salt").cogroup(rows.groupBy("tree", "leaf", "salt")).applyInArrow(lambda q, r: _block(q, r, k + 1), "query bigint, class bigint, score double")
+                row = pa.array(which)
+                yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(leaf), pa.array(salt), part.column(2).take(row), part.column(0).take(row), part.column(1).take(row), marks.take(row)], names)
+
+    names = ["tree", "leaf", "salt", "turn", "class", "vector", "leaves"]
+    schema = f"tree int, leaf int, salt int, turn int, class bigint, vector {dict(distinct.dtypes)['vector']}, leaves binary"
+    rows = distinct.select("class", "vector", F.pmod(F.xxhash64("class"), F.lit(salts)).cast("int").alias("salt")).mapInArrow(index, schema)
+    asking = distinct.join(queries.select("class").distinct(), "class", "left_semi")
+    asked = asking.select("class", "vector", F.pmod(F.xxhash64(F.lit(1), "class"), F.lit(turns)).cast("int").alias("turn")).mapInArrow(ask, schema)
+    place = ["tree", "leaf", "salt", "turn"]
+    found = asked.groupBy(*place).cogroup(rows.groupBy(*place)).applyInArrow(lambda q, r: _block(q, r, k + 1, trees, leaves), "query bigint, class bigint, score double")
     best = Window.partitionBy("query").orderBy("score", "class")
-    near = found.groupBy("query", "class").agg(F.min("score").alias("score")).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
+    near = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
     least = Window.partitionBy("class").orderBy(key)
     few = members.withColumn("n", F.row_number().over(least)).where(F.col("n") <= k + 1).drop("n")
     expanded = near.drop("n").join(few, "class").withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("score", key))).where(F.col("n") <= k + 1)
     hits = queries.join(expanded.select(F.col("query").alias("class"), key, "score"), "class").where(F.col("query_id") != F.col(key))
+    hits = hits.groupBy("query_id", key).agg(F.min("score").alias("score"))  # an id of several vectors
     ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", key)))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", key, "score")
 
 
-def _block(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
+def _block(queries: pa.Table, rows: pa.Table, k: int, trees: int, leaves: int) -> pa.Table:
+    """The k nearest rows of each query among those that it does not meet in an earlier tree."""
     schema = pa.schema([("query", pa.int64()), ("class", pa.int64()), ("score", pa.float64())])
     if not queries.num_rows or not rows.num_rows:
         return schema.empty_table()
-    q, x = matrix(queries.column("vector")), matrix(rows.column("vector"))
-    ids, own = rows.column("class").to_numpy(), queries.column("class").to_numpy()
-    xx = (x * x).sum(axis=1)
-    some = min(len(x), k + 8)
+    q, x, ids = matrix(queries.column("vector")), matrix(rows.column("vector")), rows.column("class").to_numpy()
+    tree = queries.column("tree")[0].as_py()
+    leaf = np.frombuffer(b"".join(rows.column("leaves").to_pylist()), "<u2").reshape(len(x), trees)
     out: list[list] = [[], [], []]
-    for at in range(0, len(q), 256):
-        rough = xx - 2 * q[at : at + 256] @ x.T
-        top = np.argpartition(rough, some - 1, axis=1)[:, :some] if some < len(x) else np.tile(np.arange(len(x)), (len(rough), 1))
-        exact = np.sqrt(((x[top] - q[at : at + 256, None, :]) ** 2).sum(axis=2))
-        for row, (t, d) in enumerate(zip(top, exact, strict=True)):
-            order = np.lexsort((ids[t], d))[:k]
-            out[0].append(np.full(len(order), own[at + row]))
-            out[1].append(ids[t][order])
-            out[2].append(d[order])
+    for own, vector, marks in zip(queries.column("class").to_numpy(), q, queries.column("leaves"), strict=True):
+        seen = np.unpackbits(np.frombuffer(marks.as_py(), np.uint8), count=trees * leaves).reshape(trees, leaves)
+        new = np.flatnonzero(~seen[np.arange(tree), leaf[:, :tree]].any(axis=1)) if tree else np.arange(len(x))
+        d = np.sqrt(((x[new] - vector) ** 2).sum(axis=1))
+        if len(d) > k:
+            some = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1])
+            new, d = new[some], d[some]
+        order = np.lexsort((ids[new], d))[:k]
+        for column, values in zip(out, (np.full(len(order), own), ids[new][order], d[order]), strict=True):
+            column.append(values)
     return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=schema)
