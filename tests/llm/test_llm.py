@@ -264,7 +264,7 @@ def test_embedding_windows_go_on_over_batches(spark):
     before = spark.conf.get(name)
     spark.conf.set(name, "2")
     try:
-        found = {v for r in embeddings.pass_links(rows, 16, 0.6).collect() for v in (r.a, r.b)}
+        found = {v for r in embeddings.pass_links(rows, 0.6).collect() for v in (r.a, r.b)}
     finally:
         spark.conf.set(name, before)
     assert found == want and len(want) > 20
