@@ -15,6 +15,8 @@ cut, never shortened.
 from __future__ import annotations
 
 import os
+import re
+import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -24,55 +26,85 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import materialize, text_rows
+from helixframe.llm.common import materialize, remembered, text_rows
 
 #: Lengths are rounded up to a multiple of this for the linear program: 2048 tokens give 512 classes.
 GRAIN = 4
-#: Words, and parts of words, that a Python worker remembers before it starts afresh.
-CACHE_WORDS, CACHE_PARTS = 300_000, 900_000
-#: Signs that never join a letter before them in one pre-token.
-SIGNS = ".,;:!?*$%&#()[]{}\"/-"
+#: Words, and parts of words, that a Python worker remembers before it lets go of those not met since.
+CACHE_WORDS, CACHE_PARTS = 250_000, 350_000
+#: Parts that are encoded as one text.
+TOGETHER = 2_000
+#: Latin letters and the signs after them, which never join a letter before them in one pre-token.
+_PLAIN = re.compile(r"^(?:([a-z\u00e0-\u00f6\u00f8-\u00ff]+)([.,;:!?*$%&#()\[\]{}\"/-]*)|.*)$", re.MULTILINE).findall
 #: Pieces of one length class and hash bucket that a rank is computed over, about.
 RANK_ROWS = 100_000
 
-_WORKER: dict = {}
 
+def _pack_ids(encodings) -> list[bytes]:
+    return [array("I", e.ids).tobytes() for e in encodings]
 
-def _words(text: str) -> Words:
-    """The worker's memory of this vocabulary."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if _WORKER.get("json") != hash(text):
-        from tokenizers import Tokenizer
 
-        _WORKER.update(json=hash(text), words=Words(Tokenizer.from_str(text)))
-    return _WORKER["words"]
+class Recent(dict):
+    """A memory of about ``most`` to twice as many entries: what wasn't asked for between two turns goes."""
 
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
 
-def _pack_ids(encodings) -> list[bytes]:
-    return [array("I", e.ids).tobytes() for e in encodings]
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+    def unknown(self, asked: set) -> list:
+        """What is not remembered of ``asked``; what was about to go stays."""
+        old = self.old
+        self.update([(a, old[a]) for a in asked if a in old])
+        return [a for a in asked if a not in old]
 
 
 class Words:
     """Ids of words, remembered: those of raw words, and those of their parts that several raw words share."""
 
-    def __init__(self, tokenizer):
-        self.tokenizer, self.raw, self.parts = tokenizer, {}, {}
+    def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.raw, self.parts = Tokenizer.from_str(tokenizer_json), Recent(CACHE_WORDS), Recent(CACHE_PARTS)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)  # ids that end a pre-token
+        self.ends[[k for t, k in vocabulary.items() if suffix and t.endswith(suffix)]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return _pack_ids(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)) if texts else []
 
-    def learn(self, words: set[str]) -> None:
+    def _encode_plain(self, parts: list[str]) -> list[bytes]:
+        """Parts that are one pre-token each: many at a time as one text, cut after the ids that end a pre-token."""
+        out: list[bytes] = []
+        for at in range(0, len(parts), TOGETHER):
+            some = parts[at : at + TOGETHER]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            cuts, raw = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()], ids.tobytes()
+            if len(cuts) == len(some) + 1 and cuts[-1] == len(raw):
+                out += [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            else:
+                out += self._encode(some)
+        return out
+
+    def learn(self, words: list[str]) -> None:
         """Letters and the signs after them are separate pre-tokens, and case is dropped: such parts are encoded once."""
-        if len(self.parts) > CACHE_PARTS:
-            self.parts = {}
-        split = {}
-        for w in words:
-            core = w.rstrip(SIGNS)
-            split[w] = (core.lower(), w[len(core) :]) if core.isalpha() and "\u03a3" not in core else (w, "")
-        new = list({p for two in split.values() for p in two if p not in self.parts})
-        self.parts.update(zip(new, self._encode(new), strict=True))
         parts = self.parts
-        self.raw.update((w, parts[a] + parts[b]) for w, (a, b) in split.items())
+        parts.turn()
+        split = _PLAIN("\n".join(words).lower()) if words else []
+        odd = [w for w, two in zip(words, split, strict=True) if not two[0]]
+        plain = parts.unknown({p for two in split for p in two if p and p not in parts})
+        parts.update(zip(plain, self._encode_plain(plain), strict=True))
+        other = parts.unknown({w for w in odd if w not in parts})
+        parts.update(zip(other, self._encode(other), strict=True))
+        parts[""] = b""
+        split = [two if two[0] else (w, "") for w, two in zip(words, split, strict=True)]
+        self.raw.update((w, parts[a] + parts[b]) for w, (a, b) in zip(words, split, strict=True))
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, as a vocabulary that drops white space gives them.
@@ -82,24 +114,29 @@ class Words:
         """
         odd = [k for k, t in enumerate(texts) if "<|" in t or any(c in t for c in "\x1c\x1d\x1e\x1f")]
         whole = dict(zip(odd, self._encode([texts[k] for k in odd]), strict=True))
-        words = [[] if k in whole else t.split() for k, t in enumerate(texts)]
-        if len(self.raw) > CACHE_WORDS:
-            self.raw = {}
         raw = self.raw
-        self.learn({w for ws in words for w in ws if w not in raw})
-        for k, ws in enumerate(words):
-            yield whole[k] if k in whole else b"".join(map(raw.__getitem__, ws))
+        raw.turn()
+        words = [[] if k in whole else t.split() for k, t in enumerate(texts)]
+        found = [list(map(raw.get, ws)) for ws in words]
+        gaps = {k: [j for j, i in enumerate(ids) if i is None] for k, ids in enumerate(found) if None in ids}
+        self.learn(raw.unknown({words[k][j] for k, at in gaps.items() for j in at}))
+        for k, at in gaps.items():
+            ids, ws = found[k], words[k]
+            for j in at:
+                ids[j] = raw[ws[j]]
+        for k, ids in enumerate(found):
+            yield whole[k] if k in whole else b"".join(ids)
 
 
 def pieces(df: DataFrame, tokenizer_json: str, end_id: int, capacity: int = 2048, key: str = "doc_id", text: str = "text", keep_ids: bool = True) -> DataFrame:
     """Each document's ids and end id, cut at multiples of ``capacity``: key, start, length, ids, ids_crc32, doc_tokens."""
-    vocabulary = df.sparkSession.sparkContext.broadcast(tokenizer_json)
+    vocabulary, mine = df.sparkSession.sparkContext.broadcast(tokenizer_json), uuid.uuid4().hex
     end = np.array([end_id], "<u4").tobytes()
     kinds = [(key, "int64", "bigint"), ("start", "int64", "bigint"), ("length", "int64", "bigint"), ("ids_crc32", "int64", "bigint"), ("doc_tokens", "int64", "bigint"), ("ids", "binary", "binary")][: 6 if keep_ids else 5]
     schema = pa.schema([(n, getattr(pa, k)()) for n, k, _ in kinds])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _words(vocabulary.value)
+        words = remembered(mine, lambda: Words(vocabulary.value))
         for keys, texts in text_rows(batches, key, text):
             rows = []
             for doc, ids in zip(keys, words.ids(texts), strict=True):
@@ -178,6 +215,23 @@ def greedy_patterns(sizes: np.ndarray, demand: np.ndarray, room: int) -> list[di
     return out
 
 
+def inverted(a: np.ndarray) -> np.ndarray | None:
+    """The inverse by elimination with row pivots, None if there is none. Row operations only: a process that runs
+    Spark forks, after which threaded LAPACK routines may wait for ever."""
+    n = len(a)
+    both = np.hstack([a.astype(float), np.eye(n)])
+    for k in range(n):
+        p = k + int(np.abs(both[k:, k]).argmax())
+        if abs(both[p, k]) < 1e-12:
+            return None
+        both[[k, p]] = both[[p, k]]
+        both[k] /= both[k, k]
+        factor = both[:, k].copy()
+        factor[k] = 0
+        both -= factor[:, None] * both[k]
+    return both[:, n:]
+
+
 def generate_patterns(sizes: np.ndarray, demand: np.ndarray, room: int, gap: float = 5e-4, most_rounds: int = 1000) -> tuple[np.ndarray, np.ndarray]:
     """The linear program min sum(x), A x = demand, by column generation: (A's basic columns, x).
 
@@ -194,8 +248,9 @@ def generate_patterns(sizes: np.ndarray, demand: np.ndarray, room: int, gap: flo
         nonlocal inverse, x, turns
         turns += 1
         if turns % 400 == 0:
-            inverse = np.linalg.inv(columns)
-            x = np.maximum(inverse @ demand, 0)
+            fresh = inverted(columns)  # rounding errors go
+            if fresh is not None:
+                inverse, x = fresh, np.maximum(fresh @ demand, 0)
         entering = inverse @ taken
         ratio = np.where(entering > 1e-10, x / np.where(entering > 1e-10, entering, 1), np.inf)
         out = int(ratio.argmin())
