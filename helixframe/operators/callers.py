@@ -107,6 +107,11 @@ def caller_combinations(calls: DataFrame) -> DataFrame:
     return sets.groupBy("sources").agg(F.count("*").alias("n_variants"))
 
 
+def calls_by(calls: DataFrame, *keys: str) -> DataFrame:
+    """How many calls there are by source, contig or other keys."""
+    return calls.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
 def count_sources(calls: DataFrame) -> DataFrame:
     """Distinct sources; each file without one counts as one."""
     return calls.agg(F.count_distinct(F.coalesce("source", "file")).alias("n_sources"))

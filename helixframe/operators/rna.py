@@ -26,6 +26,13 @@ def score(rows: DataFrame, min_difference: float = 10.0, max_p: float = 0.05, mi
     return scored.withColumn("rna_score", level.cast("int")).drop("_ratio", "_level")
 
 
+def tested(rows: DataFrame) -> DataFrame:
+    """Adds rna_pvalue and rna_odds_ratio of the RNA's against the tumour's counts, null without RNA; each distinct table is tested once."""
+    table = ["rna_support", "rna_depth", "tumor_supporting", "tumor_depth"]
+    tables = rows.where("rna_depth is not null").select(*table).distinct().withColumns({"rna_pvalue": fisher_exact(*table), "rna_odds_ratio": odds_ratio(*table)})
+    return rows.join(tables, table, "left")
+
+
 def pileup_evidence(variants: DataFrame, rna: DataFrame) -> DataFrame:
     """rna_depth and rna_support of each single-base variant from RNA pileup lines at its locus."""
     counts = allele_counts(rna).select("contig", "position", F.col("allele").alias("alt"), F.col("count").cast("int").alias("rna_support"))

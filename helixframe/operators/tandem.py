@@ -9,6 +9,8 @@ from helixframe.functions import safe_ratio
 
 #: Positions that one window task covers at most, besides a run that crosses its border.
 STRIDE = 1_000_000
+#: RNA evidence of a variant, where it has been measured.
+RNA = ["rna_score", "rna_support", "rna_depth"]
 
 
 def runs(variants: DataFrame, max_difference: float = 10.0, max_length: int | None = None, stride: int = STRIDE) -> DataFrame:
@@ -40,9 +42,10 @@ def runs(variants: DataFrame, max_difference: float = 10.0, max_length: int | No
 def fuse(variants: DataFrame, max_difference: float = 10.0, max_length: int | None = None, compat: bool = False) -> DataFrame:
     """Variants with each run of two or more in one row: alleles joined in order, counts averaged half-even.
 
-    ``compat`` fuses greedy pairs and divides by one site less.
+    RNA evidence is averaged likewise where ``variants`` has it. ``compat`` fuses greedy pairs and divides by one
+    site less.
     """
-    counts = ["normal_depth", "normal_supporting", "tumor_depth", "tumor_supporting"]
+    counts = ["normal_depth", "normal_supporting", "tumor_depth", "tumor_supporting", *(c for c in RNA if c in variants.columns)]
     found = runs(variants, max_difference, 2 if compat else max_length).where("run_length > 1")
     ordered = F.array_sort(F.collect_list(F.struct("position", "ref", "alt")))
     divisor = F.col("sites") - 1 if compat else F.col("sites")

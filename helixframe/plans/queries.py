@@ -218,12 +218,12 @@ def caller_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_LAST} SELECT source, count(*) AS n FROM calls GROUP BY source")
 def calls_per_method(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calls(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"))
+    return callers.calls_by(calls(spark, sf_dir), "source")
 
 
 @query(f"WITH {_LAST} SELECT contig, count(*) AS n, CAST(CASE WHEN contig = 'chrX' THEN 23 WHEN contig = 'chrY' THEN 24 ELSE CAST(substr(contig, 4) AS INT) END AS INT) AS rank FROM calls GROUP BY contig")
 def karyotype_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = calls(spark, sf_dir).groupBy("contig").agg(F.count("*").alias("n"))
+    counted = callers.calls_by(calls(spark, sf_dir), "contig")
     ranked = callers.karyotype_rank(counted)
     return ranked.select("contig", "n", F.substring("contig_key", 2, 3).cast("int").alias("rank")).orderBy("contig_key")
 
@@ -323,19 +323,24 @@ def distinct_peptides(spark: SparkSession, sf_dir: str) -> DataFrame:
 _AFFINITY = "(ascii(substr(peptide, 1, 1)) * 31 + ascii(substr(peptide, 2, 1))) % 500 + 1"
 
 
-@query(f"""WITH {_PEPTIDES}, h AS ({views.HLA_ALLELES}), al AS (SELECT DISTINCT concat('HLA-', replace(replace(regexp_extract(allele, '^[^:]*:[^:]*'), '*', ''), ':', '')) AS hla FROM h WHERE sample = 0),
+_TOP = f"""h AS ({views.HLA_ALLELES}), hf AS (SELECT sample, molecule, regexp_extract(allele, '^[^:]*:[^:]*') AS allele, min(ord) AS ord FROM h GROUP BY ALL),
+ top AS (SELECT sample, molecule, allele FROM hf QUALIFY row_number() OVER (PARTITION BY sample, molecule ORDER BY split_part(allele, ':', 2), ord) <= 2)"""
+
+
+@query(f"""WITH {_PEPTIDES}, {_TOP}, al AS (SELECT DISTINCT sample, concat('HLA-', replace(replace(allele, '*', ''), ':', '')) AS hla FROM top),
  pred AS (SELECT peptide, {_AFFINITY} AS affinity FROM (SELECT wt_peptide AS peptide FROM pep UNION SELECT mut_peptide FROM pep))
  SELECT doc_id, k, start, wt_peptide, mut_peptide, hla, CAST(m.affinity AS INT) AS mut_affinity, CAST(w.affinity AS INT) AS wt_affinity, round(m.affinity / w.affinity, 6) AS affinity_ratio
- FROM pep JOIN pred m ON m.peptide = mut_peptide JOIN pred w ON w.peptide = wt_peptide CROSS JOIN al WHERE mut_peptide <> wt_peptide""")
+ FROM pep JOIN pred m ON m.peptide = mut_peptide JOIN pred w ON w.peptide = wt_peptide JOIN al ON al.sample = doc_id % 25 WHERE mut_peptide <> wt_peptide""")
 def epitope_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from helixframe.functions import hla_format, hla_two_fields
-
-    rows = peptide_rows(spark, sf_dir).select("doc_id", "k", F.col("start").cast("int").alias("start"), "wt_peptide", "mut_peptide")
-    alleles = spark_view(spark, sf_dir, views.HLA_ALLELES).where("sample = 0").select(hla_format(hla_two_fields(F.col("allele"))).alias("allele")).distinct()
-    distinct = protein.distinct_peptides(rows)
-    work = distinct.join(epitope.work_list(distinct, alleles), "k")  # every length with every allele, then its peptides
-    predictions = work.select("peptide", F.col("allele").alias("hla"), F.expr(_AFFINITY).cast("int").alias("affinity"), F.lit(0).alias("ord"))
-    found = epitope.report(rows, epitope.prediction_index(predictions))
+    """Documents belong to samples (nations); a sample's peptides are predicted for its two alleles of each molecule."""
+    from helixframe.functions import hla_format
+
+    rows = peptide_rows(spark, sf_dir).select((F.col("doc_id") % 25).cast("int").alias("sample"), "doc_id", "k", F.col("start").cast("int").alias("start"), "wt_peptide", "mut_peptide")
+    top = epitope.top_two_alleles(spark_view(spark, sf_dir, views.HLA_ALLELES))
+    alleles = top.select(F.col("sample").cast("int").alias("sample"), hla_format(F.col("allele")).alias("hla")).distinct()
+    peptides = rows.select("sample", F.explode(F.array("wt_peptide", "mut_peptide")).alias("peptide")).distinct()
+    predictions = peptides.join(alleles, "sample").withColumn("affinity", F.expr(_AFFINITY).cast("int"))
+    found = epitope.report(rows, epitope.packed_predictions(predictions, ("sample",)), ("sample",))
     return found.select("doc_id", "k", "start", "wt_peptide", "mut_peptide", "hla", "mut_affinity", "wt_affinity", F.round("affinity_ratio", 6).alias("affinity_ratio"))
 
 

@@ -33,7 +33,7 @@ READS = """SELECT l_orderkey * 10 + l_linenumber AS read_id, concat('c', CAST(l_
  l_partkey * 5 + l_suppkey % 10 + CAST(floor(l_quantity) AS INT) - 1 AS end_pos, CASE l_returnflag WHEN 'R' THEN 16 WHEN 'N' THEN 4 ELSE 0 END AS flag,
  CAST(floor(l_extendedprice) AS BIGINT) AS qual_sum FROM lineitem"""
 
-INTERVALS = "SELECT concat('c', CAST(p_partkey % 24 AS STRING)) AS contig, p_partkey * 5 AS start_pos, p_partkey * 5 + p_size AS end_pos FROM part WHERE p_partkey % 7 = 0"
+INTERVALS = "SELECT concat('c', CAST(p_partkey % 24 AS STRING)) AS contig, p_partkey * 5 + 30 AS start_pos, p_partkey * 5 + 30 + p_size * 3 AS end_pos FROM part"
 
 FASTQ_FILES = """SELECT concat('/seq/', lower(c_mktsegment), '-', CAST(c_custkey % 40 AS STRING), '-tumor_S', CAST(c_nationkey AS STRING), '_L00', CAST(c_custkey % 4 + 1 AS STRING),
  '_R', CAST(c_custkey % 2 + 1 AS STRING), '_001.fastq.gz') AS path FROM customer"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from helixframe.sources.columns import header_of, is_data, lines, typed, with_header
 
+#: The 23 columns of the format.
 VARSCAN = [
     ("contig", "string"), ("position", "bigint"), ("ref", "string"), ("alt", "string"), ("normal_reads1", "int"), ("normal_reads2", "int"), ("normal_var_freq", "string"),
     ("normal_gt", "string"), ("tumor_reads1", "int"), ("tumor_reads2", "int"), ("tumor_var_freq", "string"), ("tumor_gt", "string"), ("somatic_status", "string"),
@@ -14,8 +15,8 @@ VARSCAN = [
     ("tumor_reads2_minus", "int"), ("normal_reads1_plus", "int"), ("normal_reads1_minus", "int"), ("normal_reads2_plus", "int"), ("normal_reads2_minus", "int"),
 ]
 #: Canonical names and the spellings that headers use.
-MUTECT_ALIASES = {"contig": ["chrom", "chromosome"], "position": ["pos"], "ref": ["ref_allele"], "alt": ["alt_allele"], "t_ref_count": [], "t_alt_count": [], "n_ref_count": [], "n_alt_count": []}
-VARSCAN_ALIASES = {"contig": ["chrom", "chromosome"], "position": ["pos"], "ref": ["ref_allele", "reference"], "alt": ["var", "alt_allele"]}
+MUTECT_ALIASES = {"contig": ["chrom", "chromosome", "chr"], "position": ["pos"], "ref": ["ref_allele", "refallele", "reference"], "alt": ["alt_allele", "altallele", "var", "variant"], "t_ref_count": [], "t_alt_count": [], "n_ref_count": [], "n_alt_count": []}
+VARSCAN_ALIASES = {"contig": ["chrom", "chromosome", "chr"], "position": ["pos"], "ref": ["ref_allele", "refallele", "reference"], "alt": ["var", "variant", "alt_allele", "altallele"]}
 
 
 def info_map(info: Column) -> Column:
@@ -26,13 +27,15 @@ def info_map(info: Column) -> Column:
 
 
 def vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Fixed fields, alts as an array, and samples as a map from name to (field to text)."""
+    """Fixed fields, alts as an array, and samples as a map from name to (field to text); names are those of each file's own header."""
     rows = lines(spark, paths)
-    names = header_of(rows, "#CHROM")
+    heads = rows.where(F.col("value").startswith("#CHROM")).groupBy("file").agg(F.min_by("value", "ord").alias("_head"))
     parts = F.split("value", "\t", -1)
-    body = rows.where(is_data() & (F.size(parts) >= 5))
+    body = rows.where(is_data() & (F.size(parts) >= 5)).join(heads, "file", "left")
+    head = F.coalesce("_head", F.raise_error(F.concat(F.lit("no header line in "), F.col("file"))))
     keys = F.split(F.get(parts, F.lit(8)), ":")
-    samples = F.create_map(*(x for k, n in enumerate(names[9:]) for x in (F.lit(n), _cell_map(keys, F.get(parts, F.lit(9 + k)))))) if len(names) > 9 else F.create_map().cast("map<string,map<string,string>>")
+    names = F.filter(F.split(head, "\t"), lambda n, i: i >= 9)
+    samples = F.map_from_entries(F.transform(names, lambda n, i: F.struct(n, _cell_map(keys, F.get(parts, i + 9)))))
     return body.select(parts[0].alias("contig"), parts[1].try_cast("bigint").alias("position"), parts[2].alias("id"), parts[3].alias("ref"), F.split(parts[4], ",").alias("alts"), F.get(parts, F.lit(5)).alias("qual"), F.get(parts, F.lit(6)).alias("filter"), F.get(parts, F.lit(7)).alias("info"), samples.alias("samples"), "ord")
 
 

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 
 def lines(spark: SparkSession, paths: str | list[str], encoding: str | None = None) -> DataFrame:
-    """value, file and ord; ord grows with the line within a file's split, and with the split."""
+    """value, file and ord: the place of the file's path among ``paths`` (files of one folder by name), and of the line in the file."""
     value = F.decode(F.col("value").cast("binary"), encoding).alias("value") if encoding else F.col("value")
-    return spark.read.text(paths).select(value, F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("ord"))
+    file, given = F.col("_metadata.file_path"), [paths] if isinstance(paths, str) else list(paths)
+    whole = [(F.endswith(file, F.lit(p)) | F.contains(file, F.lit(p.rstrip("/") + "/")), k) for k, p in enumerate(given)] if len(given) > 1 else []
+    place = F.coalesce(*(F.when(hit, F.lit(k)) for hit, k in whole), F.lit(0))
+    ord_ = F.struct(place.alias("path"), file.alias("name"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(paths).select(value, file.alias("file"), ord_.alias("ord"))
 
 
 def is_data(value: str = "value"):
@@ -46,9 +50,13 @@ def resolve_columns(names: list[str], aliases: dict[str, list[str]]) -> dict[str
 
 
 def header_of(rows: DataFrame, starts: str | None = None, comment: str = "##") -> list[str]:
-    """The names on the first line that is no comment (or that starts as given)."""
+    """The names on the first line that is no comment (or that starts as given), in the first file.
+
+    Only starts of files are looked at, and no further than the first hit.
+    """
+    rows = rows.where((F.col("ord.start") == 0) & (F.col("ord.path") == 0))
     found = rows.where(~F.col("value").startswith(comment) if starts is None else F.col("value").startswith(starts))
-    first = found.where(F.trim("value") != "").orderBy("ord").first()
+    first = found.where(F.trim("value") != "").first()
     if first is None:
         raise ValueError("no header line")
     return first["value"].lstrip("#").split("\t")
