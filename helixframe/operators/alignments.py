@@ -124,55 +124,80 @@ def haplotype_support(candidates: DataFrame, reads: DataFrame, least: int = 3) -
     return counts.where(F.col("alt_reads") > least)
 
 
+def cigar_steps(pos, cigar):
+    """Array of struct(op, ref, read, n): each step of a CIGAR with its reference position and offset in the read."""
+    ops = F.regexp_extract_all(cigar, F.lit(r"\d+([MIDNSHP=X])"), F.lit(1))
+    sizes = F.transform(F.regexp_extract_all(cigar, F.lit(r"(\d+)[MIDNSHP=X]"), F.lit(1)), lambda n: n.cast("int"))
+    pairs = F.transform(ops, lambda o, i: F.struct(o.alias("op"), F.get(sizes, i).alias("n")))
+    none = F.array().cast("array<struct<op:string,ref:bigint,read:int,n:int>>")
+    start = F.struct(pos.cast("bigint").alias("ref"), F.lit(0).alias("read"), none.alias("steps"))
+
+    def on(s, p):
+        by = lambda letters: F.when(p["op"].isin(*letters), p["n"]).otherwise(0)
+        step = F.struct(p["op"].alias("op"), s["ref"].alias("ref"), s["read"].alias("read"), p["n"].alias("n"))
+        return F.struct((s["ref"] + by("M=XDN")).alias("ref"), (s["read"] + by("M=XIS")).alias("read"), F.concat(s["steps"], F.array(step)).alias("steps"))
+
+    return F.aggregate(pairs, start, on, lambda s: s["steps"])
+
+
 def read_bases(reads: DataFrame, min_quality: int = 13) -> DataFrame:
-    """A row for each aligned base of at least the quality: contig, position, base, quality, and what metrics need of the read."""
-    schema = "contig string, position bigint, base string, quality int, mapq int, reverse boolean, read_pos double, read_len int, dist3 double"
-
-    def explode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for r in frame.itertuples():
-                reverse, n = bool(r.flag & 16), len(r.seq)
-                for op, ref, read, k in walk(r.pos, r.cigar, r.seq):
-                    if op in "M=X":
-                        for i in range(k):
-                            q = ord(r.qual[read + i]) - 33 if read + i < len(r.qual) else 0
-                            if q >= min_quality:
-                                at = (read + i) / max(n - 1, 1)
-                                rows.append((r.contig, ref + i, r.seq[read + i].upper(), q, r.mapq, reverse, 1 - abs(2 * at - 1), n, at if reverse else 1 - at))
-                    elif op == "D":
-                        rows += [(r.contig, ref + i, "*", 0, r.mapq, reverse, 0.0, n, 0.0) for i in range(k)]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
-
-    return reads.select("contig", "pos", "cigar", "seq", "qual", "flag", "mapq").where("seq is not null and cigar is not null and qual is not null").mapInPandas(explode, schema)
-
-
-def build_pileup(reads: DataFrame, reference: DataFrame, min_quality: int = 13, max_depth: int = 8000, count_orphans: bool = False) -> DataFrame:
+    """A row for each aligned base of at least the quality, and each deleted one (*): contig, position, base, quality, and what metrics need of the read."""
+    given = reads.where("seq is not null and cigar is not null and qual is not null").select(F.xxhash64(*reads.columns).alias("read_id"), "contig", "pos", "cigar", "seq", "qual", "flag", "mapq")
+    steps = given.withColumn("_s", F.explode(cigar_steps(F.col("pos"), F.col("cigar")))).where(F.col("_s.op").isin("M", "=", "X", "D") & (F.col("_s.n") > 0))
+    rows = steps.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_s.n") - 1)))
+    gap, at = F.col("_s.op") == "D", F.col("_s.read") + F.col("_i")
+    code, reverse, n = F.ascii(F.substring("qual", at + 1, F.lit(1))), F.col("flag").bitwiseAND(F.lit(16)) != 0, F.length("seq")
+    quality = F.when(gap | (code == 0), 0).otherwise(code - 33)
+    place = at / F.greatest(n - 1, F.lit(1))
+    values = {
+        "position": F.col("_s.ref") + F.col("_i"), "base": F.when(gap, "*").otherwise(F.upper(F.substring("seq", at + 1, F.lit(1)))), "quality": quality, "reverse": reverse,
+        "read_pos": F.when(gap, 0.0).otherwise(1 - F.abs(2 * place - 1)), "read_len": n, "dist3": F.when(gap, 0.0).when(reverse, place).otherwise(1 - place),
+    }
+    return rows.where(gap | (quality >= min_quality)).select("read_id", "contig", "mapq", *(v.alias(k) for k, v in values.items()))
+
+
+def build_pileup(reads: DataFrame, reference: DataFrame, min_quality: int = 13, max_depth: int | None = None, count_orphans: bool = False) -> DataFrame:
     """Pileup lines of reads against reference bases (contig, position, ref); unpaired reads only if asked for.
 
-    The depth cap is the operator's own parameter: it keeps the bases with the highest quality.
+    All bases are kept, the best quality first; ``max_depth``, if given, keeps the first of them.
     """
     usable = reads.where(F.col("flag").bitwiseAND(F.lit(4)) == 0)
     usable = usable if count_orphans else usable.where((F.col("flag").bitwiseAND(F.lit(1)) == 0) | (F.col("flag").bitwiseAND(F.lit(2)) != 0))
     bases = read_bases(usable, min_quality).join(reference, ["contig", "position"])
-    order = Window.partitionBy("contig", "position").orderBy(F.desc("quality"), "base", "reverse")
-    capped = bases.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= max_depth)
     match = F.col("base") == F.upper("ref")
     symbol = F.when(F.col("base") == "*", "*").when(match, F.when(F.col("reverse"), ",").otherwise(".")).otherwise(F.when(F.col("reverse"), F.lower("base")).otherwise(F.col("base")))
-    listed = F.array_sort(F.collect_list(F.struct("_n", symbol.alias("s"), F.char(F.col("quality") + 33).alias("q"))))
-    rows = capped.groupBy("contig", "position", "ref").agg(F.count("*").cast("int").alias("depth"), listed.alias("l"))
-    return rows.select("contig", "position", "ref", "depth", F.array_join(F.transform("l", lambda x: x["s"]), "").alias("bases"), F.array_join(F.transform("l", lambda x: x["q"]), "").alias("quals"))
+    listed = F.array_sort(F.collect_list(F.struct(F.negative("quality").alias("_q"), "base", "reverse", symbol.alias("s"), F.char(F.col("quality") + 33).alias("q"))))
+    rows = bases.groupBy("contig", "position", "ref").agg(listed.alias("l"))
+    rows = rows.withColumn("l", F.slice("l", 1, max_depth)) if max_depth else rows
+    return rows.select("contig", "position", "ref", F.size("l").alias("depth"), F.array_join(F.transform("l", lambda x: x["s"]), "").alias("bases"), F.array_join(F.transform("l", lambda x: x["q"]), "").alias("quals"))
+
 
+def allele_metrics(reads: DataFrame, positions: DataFrame, min_quality: int = 0, reference: DataFrame | None = None) -> DataFrame:
+    """Per-allele read metrics at listed positions.
 
-def allele_metrics(reads: DataFrame, positions: DataFrame, min_quality: int = 0) -> DataFrame:
-    """Per-allele read metrics at listed positions."""
-    rows = read_bases(reads, min_quality).join(positions.select("contig", "position").distinct(), ["contig", "position"])
-    means = {"mapq": "mapq", "basequal": "quality", "readpos": "read_pos", "readlen": "read_len", "dist3": "dist3"}
+    ``mmqs`` is the mean over an allele's reads of the summed qualities of their mismatches, against ``reference``
+    (contig, position, ref), or against ``positions`` where they have a ref; null without either.
+    """
+    bases = read_bases(reads, min_quality)
+    rows = bases.join(positions.select("contig", "position").distinct(), ["contig", "position"])
+    reference = positions if reference is None and "ref" in positions.columns else reference
+    if reference is None:
+        rows = rows.withColumn("mismatches", F.lit(None).cast("double"))
+    else:
+        refs = reference.select("contig", "position", "ref").distinct()
+        differ = bases.where("base <> '*'").join(refs, ["contig", "position"]).where(F.col("base") != F.upper("ref"))
+        differ = differ.dropDuplicates(["read_id", "contig", "position"])  # rows alike are one read here
+        rows = rows.join(differ.groupBy("read_id").agg(F.sum("quality").cast("double").alias("mismatches")), "read_id", "left").withColumn("mismatches", F.coalesce("mismatches", F.lit(0.0)))
+    means = {"mapq": "mapq", "basequal": "quality", "readpos": "read_pos", "mmqs": "mismatches", "readlen": "read_len", "dist3": "dist3"}
     return rows.groupBy("contig", "position", F.col("base").alias("allele")).agg(F.count("*").cast("double").alias("count"), *(F.avg(c).alias(n) for n, c in means.items()), F.count_if(~F.col("reverse")).cast("double").alias("plus"), F.count_if("reverse").cast("double").alias("minus"))
 
 
-def classify_pairs(tumor: DataFrame, normal: DataFrame, min_tumor_frequency: float = 0.05, homozygous: float = 0.75, max_p: float = 0.05, purity: float = 1.0) -> DataFrame:
-    """Germline, LOH, Somatic or Reference for each tumour allele (contig, position, ref, allele, count, coverage), by frequencies and Fisher's test."""
+def classify_pairs(tumor: DataFrame, normal: DataFrame, min_tumor_frequency: float = 0.05, homozygous: float = 0.75, max_p: float = 0.05, purity: float = 1.0, sure_tumor: float = 0.1, sure_normal: float = 0.05, sure_p: float = 0.07) -> DataFrame:
+    """Germline, LOH, Somatic or Reference for each tumour allele (contig, position, ref, allele, count, coverage), by frequencies and Fisher's test.
+
+    ``high_confidence``: a tumour frequency of at least ``sure_tumor`` with p of at most ``sure_p`` and, for somatic
+    alleles, a normal frequency of at most ``sure_normal``.
+    """
     n = normal.select("contig", "position", "allele", F.col("count").alias("normal_supporting"))
     depth = normal.groupBy("contig", "position").agg(F.max("coverage").alias("normal_depth"))
     t = tumor.where(F.col("allele") != F.upper("ref")).select("contig", "position", "ref", "allele", F.col("count").alias("tumor_supporting"), F.col("coverage").alias("tumor_depth"))
@@ -183,28 +208,22 @@ def classify_pairs(tumor: DataFrame, normal: DataFrame, min_tumor_frequency: flo
     differs, in_tumor, in_normal = F.col("pvalue") <= max_p, F.col("tumor_frequency") >= min_tumor_frequency, F.col("normal_frequency") >= min_tumor_frequency
     genotype = lambda c: F.when(F.col(c) >= homozygous, "hom").when(F.col(c) >= min_tumor_frequency, "het").otherwise("ref")
     status = F.when(~in_tumor & ~in_normal, "Reference").when(in_tumor & ~in_normal & differs, "Somatic").when(in_normal & differs & (genotype("normal_frequency") == "het") & (genotype("tumor_frequency") != "het"), "LOH").otherwise("Germline")
-    return tested.withColumns({"tumor_genotype": genotype("tumor_frequency"), "normal_genotype": genotype("normal_frequency"), "status": status})
+    sure = (F.col("tumor_frequency") >= sure_tumor) & (F.col("pvalue") <= sure_p) & ((status != "Somatic") | (F.col("normal_frequency") <= sure_normal))
+    return tested.withColumns({"tumor_genotype": genotype("tumor_frequency"), "normal_genotype": genotype("normal_frequency"), "status": status, "high_confidence": sure})
 
 
 def split_spliced(reads: DataFrame, from_mapq: int = 255, to_mapq: int = 60) -> DataFrame:
     """One row for each block between N steps of a CIGAR; an unknown mapping quality gets a value."""
-
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for r in frame.to_dict("records"):
-                blocks: list[list] = [[]]
-                for step in walk(r["pos"], r["cigar"], r["seq"]):
-                    blocks.append([]) if step[0] == "N" else blocks[-1].append(step)
-                for block in (b for b in blocks if b):
-                    first, last = block[0], block[-1]
-                    end = last[2] + (last[3] if last[0] in "M=XIS" else 0)
-                    rows.append(r | {"pos": first[1], "cigar": "".join(f"{n}{op}" for op, _, _, n in block), "seq": r["seq"][first[2] : end], "qual": r["qual"][first[2] : end]})
-            yield pd.DataFrame(rows, columns=frame.columns)
-
     mapped = reads.withColumn("mapq", F.when(F.col("mapq") == from_mapq, to_mapq).otherwise(F.col("mapq")).cast(dict(reads.dtypes)["mapq"]))
-    spliced = mapped.where(F.col("cigar").contains("N"))
-    return mapped.where(~F.col("cigar").contains("N") | F.col("cigar").isNull()).unionByName(spliced.mapInPandas(cut, mapped.schema))
+    steps = cigar_steps(F.col("pos"), F.col("cigar"))
+    cuts = F.concat(F.array(F.lit(-1)), F.filter(F.transform(F.col("_s"), lambda s, i: F.when(s["op"] == "N", i)), lambda i: i.isNotNull()), F.array(F.size("_s")))
+    blocks = F.transform(F.sequence(F.lit(0), F.size("_c") - 2), lambda k: F.filter("_s", lambda s, i: (i > F.get("_c", k)) & (i < F.get("_c", k + 1))))
+    spliced = mapped.where(F.col("cigar").contains("N")).withColumn("_s", steps).withColumn("_c", cuts).withColumn("_b", F.explode(F.filter(blocks, lambda b: F.size(b) > 0)))
+    first, last = F.col("_b")[0], F.element_at("_b", -1)
+    size = last["read"] + F.when(last["op"].isin("M", "=", "X", "I", "S"), last["n"]).otherwise(0) - first["read"]
+    new = {"pos": first["ref"], "cigar": F.array_join(F.transform("_b", lambda s: F.concat(s["n"].cast("string"), s["op"])), ""), "seq": F.substring("seq", first["read"] + 1, size), "qual": F.substring("qual", first["read"] + 1, size)}
+    cut = spliced.select(*(new[f.name].cast(f.dataType).alias(f.name) if f.name in new else F.col(f.name) for f in reads.schema))
+    return mapped.where(~F.col("cigar").contains("N") | F.col("cigar").isNull()).unionByName(cut)
 
 
 #: The offset of each quality scale.

@@ -444,3 +444,202 @@ def sample_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_FILES} SELECT sampleName, lane, pairedEnd, count(*) AS n FROM f GROUP BY ALL HAVING count(*) > 1")
 def file_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.collisions(_files(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- callers' tables, decoded cells, lookups
+
+_DECODED = f"""raw AS ({views.CALLER_CALLS}), cells AS (SELECT *, normal_depth + normal_supporting AS nd, tumor_depth + tumor_supporting AS td, CASE normal_supporting WHEN 0 THEN '0/0' WHEN 1 THEN '0|1' ELSE './.' END AS ngt,
+ CASE tumor_supporting % 3 WHEN 0 THEN '0/1' WHEN 1 THEN '1|1' ELSE '0/0' END AS tgt FROM raw)"""
+
+
+@query(f"""WITH {_DECODED}, som AS (SELECT * FROM cells WHERE ngt = '0/0' AND tgt <> '0/0' AND nd >= 10 AND td >= 10),
+ l AS (SELECT * FROM som QUALIFY row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY ord DESC) = 1), {_fisher_sql('l', 'normal_supporting', 'nd', 'tumor_supporting', 'td')}
+ SELECT contig, position, ref, alt, CAST(nd AS INT) AS normal_depth, CAST(normal_supporting AS INT) AS normal_supporting, CAST(td AS INT) AS tumor_depth, CAST(tumor_supporting AS INT) AS tumor_supporting, round(p, 6) AS pvalue
+ FROM l JOIN fisher ON a = normal_supporting AND b = nd AND c = tumor_supporting AND d = td WHERE p <= 0.05""")
+def somatic_vcf_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls as genotype cells of two samples, decoded and filtered as a VCF's rows are."""
+    from helixframe.sources.calls import sample_cell
+
+    def cell(gt: str, who: str):
+        ad = F.concat_ws(",", F.col(f"{who}_depth").cast("string"), F.col(f"{who}_supporting").cast("string"))
+        return sample_cell(F.create_map(F.lit("GT"), F.expr(gt), F.lit("AD"), ad), F.array("ref", "alt"))
+
+    normal = cell("CASE normal_supporting WHEN 0 THEN '0/0' WHEN 1 THEN '0|1' ELSE './.' END", "normal")
+    tumor = cell("CASE tumor_supporting % 3 WHEN 0 THEN '0/1' WHEN 1 THEN '1|1' ELSE '0/0' END", "tumor")
+    rows = spark_view(spark, sf_dir, views.CALLER_CALLS).select("contig", "position", "ref", F.array("alt").alias("alts"), normal.alias("n"), tumor.alias("t"), "ord")
+    return callers.somatic_from_vcf(rows).select(*relational.KEY, *callers.COUNTS, F.round("pvalue", 6).alias("pvalue"))
+
+
+@query(f"""WITH raw AS ({views.CALLER_CALLS}), r AS (SELECT *, tumor_depth - tumor_supporting + tumor_supporting AS td, normal_depth AS nd FROM raw WHERE ord % 4 <> 3 AND normal_depth >= 10 AND tumor_depth >= 10)
+ SELECT contig, position, ref, alt, normal_depth, normal_supporting, tumor_depth, tumor_supporting FROM r QUALIFY row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY ord DESC) = 1""")
+def mutect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark_view(spark, sf_dir, views.CALLER_CALLS).withColumn("judgement", F.when(F.col("ord") % 4 == 3, "REJECT").otherwise("KEEP"))
+    return callers.somatic_from_mutect(rows).drop("ord")
+
+
+@query(f"""WITH raw AS ({views.CALLER_CALLS}) SELECT contig, position, ref, alt, normal_depth + normal_supporting AS normal_depth, normal_supporting, tumor_depth + tumor_supporting AS tumor_depth, tumor_supporting FROM raw
+ WHERE normal_depth + normal_supporting >= 10 AND tumor_depth + tumor_supporting >= 10 QUALIFY row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY ord DESC) = 1""")
+def varscan_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = {"normal_depth": "normal_reads1", "normal_supporting": "normal_reads2", "tumor_depth": "tumor_reads1", "tumor_supporting": "tumor_reads2"}
+    return callers.somatic_from_varscan(spark_view(spark, sf_dir, views.CALLER_CALLS).withColumnsRenamed(names)).drop("ord")
+
+
+@query(f"WITH {_ONE} SELECT DISTINCT v.contig, v.position, v.ref, v.alt FROM v WHERE v.position % 2 = 0")
+def vcf_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = variants(spark, sf_dir)
+    rows = found.groupBy("contig", "position", "ref").agg(F.collect_list("alt").alias("alts"))
+    return callers.vcf_alternatives(rows, found.where("position % 2 = 0")).select(*relational.KEY)
+
+
+@query(f"WITH {_LAST} SELECT count(DISTINCT source) AS n_sources FROM calls")
+def source_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return callers.count_sources(calls(spark, sf_dir).withColumn("file", F.lit("")))
+
+
+@query(f"""WITH {_ONE}, site AS (SELECT contig, position, CAST(sum(tumor_depth) AS BIGINT) AS d FROM v GROUP BY contig, position)
+ SELECT v.contig, v.position, v.ref, v.alt, coalesce(site.d, 0) AS rna_depth, CASE WHEN site.d IS NULL THEN 0 ELSE CAST(v.tumor_supporting AS INT) END AS rna_support FROM v LEFT JOIN site ON site.contig = v.contig AND site.position = v.position AND v.position % 3 <> 0""")
+def rna_from_vcf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = variants(spark, sf_dir)
+    cells = F.map_from_entries(F.collect_list(F.struct("alt", "tumor_supporting")))
+    sites = found.where("position % 3 <> 0").groupBy("contig", "position").agg(F.struct(F.sum("tumor_depth").alias("depth"), cells.alias("by_allele")).alias("t"))
+    return rna.vcf_evidence(found, sites).select(*relational.KEY, F.coalesce("rna_depth", F.lit(0).cast("bigint")).alias("rna_depth"), "rna_support")
+
+
+@query(f"""WITH {_ONE}, a AS (SELECT replace(contig, 'chr', '') AS c, position, ref, alt, concat('G', CAST(position % 100 AS STRING)) AS gene FROM v WHERE tumor_supporting > 2)
+ SELECT v.contig, v.position, v.ref, v.alt, v.tumor_depth, a.gene FROM v JOIN a ON a.c = replace(v.contig, 'chr', '') AND a.position = v.position AND a.ref = v.ref AND a.alt = v.alt""")
+def annotated_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls named with the chr prefix meet annotations named without it."""
+    found = variants(spark, sf_dir)
+    notes = found.where("tumor_supporting > 2").select(F.regexp_replace("contig", "^chr", "").alias("contig"), "position", "ref", "alt", F.concat(F.lit("G"), (F.col("position") % 100).cast("string")).alias("gene"))
+    return epitope.annotated_report(found.select(*relational.KEY, "tumor_depth"), notes)
+
+
+_STRICT = f"""{_TOKENS} SELECT contig, position, allele AS alt, CAST(n AS INT) AS "mutCount", CAST(coverage AS INT) AS coverage, concat('+', CAST(plus AS STRING), '-', CAST(minus AS STRING)) AS strand
+ FROM counts JOIN lines USING (sample, contig, position, ref) WHERE sample = 'tumor' AND allele <> ref AND n >= 2 AND n / coverage >= 0.1 AND plus > 0 AND minus > 0"""
+
+
+@query(f"WITH {_STRICT}")
+def strict_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pileup.extract_variants(sample_pileup(spark, sf_dir, "tumor"), 2, 0.1, both_strands=True).select("contig", "position", "alt", "mutCount", "coverage", "strand")
+
+
+@query(f"""WITH {_COMPARED}, s AS (SELECT 'a' AS sample_id UNION ALL SELECT 'b'), ts AS (SELECT s.sample_id, t.* FROM t JOIN s ON s.sample_id = 'a' OR t.position % 2 = 0)
+ SELECT ts.sample_id AS sample, concat(ts.contig, ':', CAST(ts.position AS STRING)) AS locus, CASE WHEN ts.allele LIKE '+%' THEN 'I-2' WHEN ts.allele LIKE '-%' THEN 'D-1' ELSE ts.allele END AS var, CAST(ts.n AS INT) AS tumorVarSupport,
+ CAST(coalesce(nc.n, 0) AS INT) AS normalVarSupport, CAST(coalesce(nl.coverage, 0) AS INT) AS normalCoverage FROM ts LEFT JOIN nl USING (contig, position) LEFT JOIN nc ON nc.contig = ts.contig AND nc.position = ts.position AND nc.allele = ts.allele""")
+def compare_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two derived samples, all loci and those at even positions, against one normal."""
+    tumor = sample_pileup(spark, sf_dir, "tumor")
+    samples = tumor.withColumn("sample", F.lit("a")).unionByName(tumor.where("position % 2 = 0").withColumn("sample", F.lit("b")))
+    rows = jobs.compare_many(samples, sample_pileup(spark, sf_dir, "normal"))
+    return rows.select("sample", "locus", "var", "tumorVarSupport", "normalVarSupport", "normalCoverage")
+
+
+@query(f"""WITH {_TOKENS}, pairs AS (SELECT t.contig, t.position, t.allele, CAST(t.n AS INT) AS ts, CAST(tl.coverage AS INT) AS td, CAST(coalesce(n.n, 0) AS INT) AS ns, CAST(nl.coverage AS INT) AS nd FROM counts t JOIN lines tl ON tl.sample = 'tumor' AND tl.contig = t.contig AND tl.position = t.position
+ JOIN lines nl ON nl.sample = 'normal' AND nl.contig = t.contig AND nl.position = t.position AND nl.coverage > 0 LEFT JOIN counts n ON n.sample = 'normal' AND n.contig = t.contig AND n.position = t.position AND n.allele = t.allele WHERE t.sample = 'tumor' AND t.allele <> t.ref),
+ x AS (SELECT *, nd - ns AS nr, td - ts AS tr, ts / td AS tf, ns / nd AS nf FROM pairs), {_fisher_sql('x', 'ns', 'nr', 'ts', 'tr')}, y AS (SELECT x.*, p FROM x JOIN fisher ON a = ns AND b = nr AND c = ts AND d = tr),
+ z AS (SELECT *, CASE WHEN tf < 0.05 AND nf < 0.05 THEN 'Reference' WHEN tf >= 0.05 AND nf < 0.05 AND p <= 0.05 THEN 'Somatic' WHEN nf >= 0.05 AND p <= 0.05 AND nf < 0.75 AND NOT (tf >= 0.05 AND tf < 0.75) THEN 'LOH' ELSE 'Germline' END AS status FROM y)
+ SELECT contig, position, allele, ts AS tumor_supporting, ns AS normal_supporting, round(p, 6) AS pvalue, status, tf >= 0.1 AND p <= 0.07 AND (status <> 'Somatic' OR nf <= 0.05) AS high_confidence FROM z""")
+def classify_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, n = (pileup.allele_counts(sample_pileup(spark, sf_dir, s)) for s in ("tumor", "normal"))
+    rows = alignments.classify_pairs(t, n)
+    return rows.select("contig", "position", "allele", F.col("tumor_supporting").cast("int").alias("tumor_supporting"), F.col("normal_supporting").cast("int").alias("normal_supporting"), F.round("pvalue", 6).alias("pvalue"), "status", "high_confidence")
+
+
+# ---------------------------------------------------------------- proteins by identifier, HLA calls
+
+_ENSEMBL = duck(f"pr AS (SELECT concat('ENSP', CAST(doc_id AS STRING)) AS protein, concat('ENST', CAST(doc_id AS STRING)) AS transcript, concat('ENSG', CAST(doc_id % 500 AS STRING)) AS gene, length(seq) AS residues FROM ({views.PROTEINS}))")
+
+
+def ensembl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = lambda kind, value: F.concat(F.lit(kind), value.cast("string"))
+    return spark_view(spark, sf_dir, views.PROTEINS).select("doc_id", name("ENSP", F.col("doc_id")).alias("protein"), name("ENST", F.col("doc_id")).alias("transcript"), name("ENSG", F.col("doc_id") % 500).alias("gene"), F.col("seq").alias("sequence"))
+
+
+@query(f"""WITH {_ENSEMBL}, w AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN concat('ENSP', CAST(o_orderkey % 1000 AS STRING)) WHEN 1 THEN concat('ENST', CAST(o_orderkey % 1000 AS STRING)) ELSE concat('ENSG', CAST(o_orderkey % 500 AS STRING)) END AS id FROM orders)
+ SELECT o_orderkey, protein, residues FROM w JOIN pr ON id IN (protein, transcript, gene)""")
+def protein_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with versions, of proteins, transcripts and genes, to sequences."""
+    wanted = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey", "concat(CASE o_orderkey % 3 WHEN 0 THEN concat('ENSP', o_orderkey % 1000) WHEN 1 THEN concat('ENST', o_orderkey % 1000) ELSE concat('ENSG', o_orderkey % 500) END, '.2') AS name")
+    return protein.sequences_of(wanted, ensembl(spark, sf_dir), "name").select("o_orderkey", "protein", F.length("sequence").alias("residues"))
+
+
+@query(f"WITH {_ENSEMBL} SELECT gene, string_agg(DISTINCT transcript, ',' ORDER BY transcript) AS transcripts FROM pr GROUP BY gene")
+def gene_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return protein.gene_transcripts(ensembl(spark, sf_dir)).select("gene", F.array_join("transcripts", ",").alias("transcripts"))
+
+
+@query(duck(f"WITH p AS ({views.PROTEINS}) SELECT doc_id, concat(substr(seq, pos + 1, 1), CAST(pos AS STRING), alt_aa, ' found ', ref_aa) AS found FROM p WHERE pos < length(seq) AND substr(seq, pos + 1, 1) <> ref_aa"))
+def rejected_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes whose reference residue is that of the next place."""
+    rows = spark_view(spark, sf_dir, views.PROTEINS).where("pos < length(seq)")
+    moved = rows.select("doc_id", F.col("seq").alias("sequence"), F.array(F.struct(F.substring("seq", F.col("pos") + 1, F.lit(1)).alias("ref"), F.col("pos").alias("pos"), F.col("alt_aa").alias("alt"))).alias("changes"))
+    return protein.rejected(moved).select("doc_id", "found")
+
+
+@query(f"""WITH {_TOP}, m AS (SELECT sample, molecule, string_agg(DISTINCT allele, ',' ORDER BY allele) AS alleles FROM top GROUP BY ALL), packed AS (SELECT sample, string_agg(concat(molecule, '=', alleles), ';' ORDER BY molecule) AS hla FROM m GROUP BY sample)
+ SELECT o_orderkey, hla FROM orders LEFT JOIN packed ON sample = o_custkey % 30""")
+def attached_hla(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", (F.col("o_custkey") % 30).alias("sample"))
+    found = epitope.attach_hla(rows, epitope.top_two_alleles(spark_view(spark, sf_dir, views.HLA_ALLELES)))
+    text = F.array_join(F.transform(F.map_entries("hla"), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ","))), ";")
+    return found.select("o_orderkey", text.alias("hla"))
+
+
+@query(f"WITH h AS ({views.HLA_ALLELES}), ok AS (SELECT DISTINCT allele FROM h WHERE sample < 5) SELECT DISTINCT allele FROM h WHERE allele NOT IN (SELECT allele FROM ok)")
+def alleles_not_permitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark_view(spark, sf_dir, views.HLA_ALLELES)
+    return epitope.permitted(rows, rows.where("sample < 5"), keep=False)
+
+
+@query(f"WITH {_TOP} SELECT hf.allele, w.k FROM (SELECT DISTINCT allele FROM top) hf, (VALUES (8), (9), (10)) AS w(k)")
+def prediction_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epitope.work_list(epitope.top_two_alleles(spark_view(spark, sf_dir, views.HLA_ALLELES)).select("allele")).select("allele", "k")
+
+
+# ---------------------------------------------------------------- aligned bases
+
+_SAM = f"s AS (SELECT read_id, contig, start_pos AS pos, flag, CAST(qual_sum % 60 AS INT) AS mapq, read_id % 3 AS kind, read_id % 4 AS turn FROM ({views.READS}))"
+_SAM_SEQ = "substr('ACGTACGTACGTACGT', CAST(turn AS INT) + 1, 12)"
+_BASES = f"""{_SAM}, parts AS (SELECT *, unnest(range(12)) AS i FROM s), b AS (SELECT read_id, contig, pos, flag, mapq, CASE kind WHEN 1 THEN pos + i + CASE WHEN i >= 4 THEN 2 ELSE 0 END WHEN 2 THEN pos + i + CASE WHEN i >= 5 THEN 10 ELSE 0 END ELSE pos + i END AS position,
+ substr({_SAM_SEQ}, CAST(i AS INT) + 1, 1) AS base, CASE WHEN i < 6 THEN 40 ELSE 30 END AS q, flag = 16 AS rev, i / 11 AS place FROM parts),
+ gaps AS (SELECT read_id, contig, pos, flag, mapq, pos + unnest([4, 5]) AS position, '*' AS base, 0 AS q, flag = 16 AS rev, 0.0 AS place FROM s WHERE kind = 1), every AS (SELECT * FROM b UNION ALL SELECT * FROM gaps)"""
+_REF = "substr('ACGT', CAST(position % 4 AS INT) + 1, 1)"
+
+
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads with bases, plain, with a deletion, and spliced."""
+    rows = reads(spark, sf_dir)
+    kind = F.col("read_id") % 3
+    return rows.select("read_id", F.col("read_id").cast("string").alias("name"), "flag", "contig", F.col("start").alias("pos"), (F.col("qual_sum") % 60).cast("int").alias("mapq"), F.when(kind == 1, "4M2D8M").when(kind == 2, "5M10N7M").otherwise("12M").alias("cigar"),
+        F.substring(F.lit("ACGTACGTACGTACGT"), (F.col("read_id") % 4 + 1).cast("int"), F.lit(12)).alias("seq"), F.lit("IIIIII??????").alias("qual"))
+
+
+def reference_bases(bases: DataFrame) -> DataFrame:
+    return bases.select("contig", "position").distinct().withColumn("ref", F.substring(F.lit("ACGT"), (F.col("position") % 4 + 1).cast("int"), F.lit(1)))
+
+
+@query(f"""WITH {_BASES}, c AS (SELECT *, {_REF} AS ref, CASE WHEN base = '*' THEN '*' WHEN base = {_REF} THEN CASE WHEN rev THEN ',' ELSE '.' END WHEN rev THEN lower(base) ELSE base END AS symbol FROM every WHERE flag & 4 = 0)
+ SELECT contig, position, ref, CAST(count(*) AS INT) AS depth, string_agg(symbol, '' ORDER BY q DESC, base, rev) AS bases, string_agg(chr(q + 33), '' ORDER BY q DESC, base, rev) AS quals FROM c GROUP BY contig, position, ref""")
+def pileup_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = aligned(spark, sf_dir)
+    return alignments.build_pileup(rows, reference_bases(alignments.read_bases(rows)))
+
+
+@query(f"""WITH {_BASES}, mm AS (SELECT read_id, contig, pos, flag, mapq, sum(CASE WHEN base <> '*' AND base <> {_REF} THEN q ELSE 0 END) AS mismatches FROM (SELECT DISTINCT read_id, contig, pos, flag, mapq, position, base, q FROM every) GROUP BY ALL)
+ SELECT contig, position, base AS allele, CAST(count(*) AS DOUBLE) AS "count", round(avg(mapq), 6) AS mapq, round(avg(q), 6) AS basequal, round(avg(CASE WHEN base = '*' THEN 0.0 ELSE 1 - abs(2 * place - 1) END), 6) AS readpos, round(avg(mismatches), 6) AS mmqs,
+ CAST(count(*) FILTER (NOT rev) AS DOUBLE) AS plus, CAST(count(*) FILTER (rev) AS DOUBLE) AS minus FROM every JOIN mm USING (read_id, contig, pos, flag, mapq) GROUP BY contig, position, base""")
+def allele_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = aligned(spark, sf_dir)
+    found = alignments.allele_metrics(rows, reference_bases(alignments.read_bases(rows)))
+    return found.select("contig", "position", "allele", "count", *(F.round(c, 6).alias(c) for c in ("mapq", "basequal", "readpos", "mmqs")), "plus", "minus")
+
+
+@query(f"""WITH {_SAM} SELECT read_id, pos, CASE kind WHEN 1 THEN '4M2D8M' ELSE '12M' END AS cigar, {_SAM_SEQ} AS seq, 'IIIIII??????' AS qual FROM s WHERE kind <> 2
+ UNION ALL SELECT read_id, pos, '5M', substr({_SAM_SEQ}, 1, 5), 'IIIII' FROM s WHERE kind = 2 UNION ALL SELECT read_id, pos + 15, '7M', substr({_SAM_SEQ}, 6, 7), 'I??????' FROM s WHERE kind = 2""")
+def spliced_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignments.split_spliced(aligned(spark, sf_dir)).select("read_id", "pos", "cigar", "seq", "qual")
+
+
+@query(f"WITH {_SAM} SELECT read_id, CASE WHEN flag & 16 <> 0 THEN pos + CASE kind WHEN 1 THEN 14 WHEN 2 THEN 22 ELSE 12 END - 1 ELSE pos END AS five_prime FROM s")
+def five_prime_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(spark, sf_dir).select("read_id", alignments.five_prime(F.col("pos"), F.col("cigar"), F.col("flag")).alias("five_prime"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import duckdb
 
@@ -33,4 +34,7 @@ def differences(spark, sf_dir: str, query, sql: str) -> tuple[int, list, list]:
     names = [d[0] for d in found.description]
     assert sorted(names) == sorted(got.columns), (sorted(names), sorted(got.columns))
     mine, theirs = rows(got.columns, got.collect()), rows(names, found.fetchall())
-    return len(mine), [r for r in mine if r not in set(theirs)][:3] if mine != theirs else [], [r for r in theirs if r not in set(mine)][:3] if mine != theirs else []
+    if mine == theirs:
+        return len(mine), [], []
+    one, two = Counter(mine), Counter(theirs)
+    return len(mine), list(one - two)[:3], list(two - one)[:3]

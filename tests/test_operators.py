@@ -178,3 +178,44 @@ def test_order_conflicts(spark):
     b = spark.createDataFrame([("1", 0), ("3", 1), ("2", 2)], "contig string, ord int")
     assert relational.contig_order_conflicts(a, a).count() == 0 and relational.contig_order_conflicts(a, b).count() == 1
     assert relational.only_in_one(a, b.where("contig <> '2'")).first().contig == "2"
+
+
+def test_fused_rows_carry_rna(spark):
+    df = spark.createDataFrame([("1", p, "A", "C", 20, 0, 40, 20, 4, s, 30) for p, s in ((10, 6), (11, 9), (20, 3))], CALL + ", rna_score int, rna_support int, rna_depth int")
+    rows = {r.position: r for r in rna.tested(tandem.fuse(df)).collect()}
+    assert (rows[10].alt, rows[10].rna_support, rows[10].rna_depth, rows[10].rna_score) == ("CC", 8, 30, 4) and rows[20].rna_support == 3
+    assert 0 < rows[10].rna_pvalue <= 1
+
+
+def test_full_run(spark):
+    calls = spark.createDataFrame([("1", p, "A", "C", 20, 0, 40, 20) for p in (10, 11)], CALL)
+    pileups = spark.createDataFrame([("1", p, "A", 20, "." * 12 + "C" * 8, "I" * 20) for p in (10, 11)], PILEUP)
+    notes = spark.createDataFrame([("1", 10, "AA", "CC", "G", "Missense", "p.V6E", "ENST1.1")], "contig string, position bigint, ref string, alt string, gene string, variant_class string, protein_change string, transcript string")
+    proteins = spark.createDataFrame([("ENSP1", "ENST1", "ENSG1", "MKLVVVKLMNPQ")], "protein string, transcript string, gene string, sequence string")
+    predictions = spark.createDataFrame([(p, "A*02:01", a, 0) for p, a in (("MKLVVVKL", 500.0), ("MKLVVEKL", 50.0))], "peptide string, hla string, affinity double, ord int")
+    rows = jobs.full_run({c: (calls, calls.where("false")) for c in "ab"}, pileups, notes, proteins, predictions).collect()
+    assert [(r.position, r.alt, r.mut_peptide, r.affinity_ratio, r.rna_support, r.rna_depth) for r in rows] == [(10, "CC", "MKLVVEKL", 0.1, 8, 20)]
+
+
+def test_metrics_feed_the_cascade(spark):
+    reads = spark.createDataFrame([(f"r{k}", 16 * (k % 2), "c", 10, 60, "8M", "ACGTACGA" if k < 6 else "AGGTACGT", "I" * 8) for k in range(12)], "name string, flag int, contig string, pos bigint, mapq int, cigar string, seq string, qual string")
+    reference = spark.createDataFrame([("c", 10 + k, b) for k, b in enumerate("ACGTACGT")], "contig string, position bigint, ref string")
+    metrics = alignments.allele_metrics(reads, reference)
+    found = {(r.position, r.allele): r.mmqs for r in metrics.collect()}
+    assert found[(11, "G")] == 40.0 and found[(17, "T")] == 40.0 and found[(17, "A")] == 40.0
+    variants = spark.createDataFrame([("c", 11, "C", "G")], "contig string, position bigint, ref string, alt string")
+    assert fpfilter.classify(fpfilter.with_metrics(variants, metrics)).first().reason in ("PASS", "read_position", "dist3")
+
+
+def test_hla_calls_of_one_file_each(spark):
+    rows = spark.createDataFrame([("s",)], "sample string")
+    calls = spark.createDataFrame([("s", "A", "A*02:01", "x"), ("s", "B", "B*07:02", "y")], "sample string, molecule string, allele string, file string")
+    assert epitope.attach_hla(rows, calls).first().hla == {"A": ["A*02:01"], "B": ["B*07:02"]}
+    for other in (("s", "a", "A*03:01", "z"), ("s", "C", "C*03:01", "y")):
+        with pytest.raises(Exception, match="several"):
+            epitope.attach_hla(rows, calls.unionByName(spark.createDataFrame([other], calls.schema))).collect()
+
+
+def test_spliced_blocks_keep_clips(spark):
+    reads = spark.createDataFrame([("r", 0, "c", 10, 60, "2S3M4N1D2M1I2M", "ttACGACTGG", "0123456789")], "name string, flag int, contig string, pos bigint, mapq int, cigar string, seq string, qual string")
+    assert [(b.pos, b.cigar, b.seq, b.qual) for b in alignments.split_spliced(reads).orderBy("pos").collect()] == [(10, "2S3M", "ttACG", "01234"), (17, "1D2M1I2M", "ACTGG", "56789")]

@@ -61,6 +61,24 @@ def test_vcf(spark, tmp_path):
         sources.gvcf_folder(spark, str(tmp_path), None) if (tmp_path / "a.g.vcf").rename(tmp_path / "a.txt") else None
 
 
+def test_vcf_files_of_different_samples(spark, tmp_path):
+    head = "##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"
+    paths = [put(tmp_path, f"{n}.g.vcf", f"{head}{n}\n1\t{k}\t.\tA\tC\t5\tPASS\t.\tGT:AD\t0/1:{k},1\n") for k, n in ((9, "zeta"), (7, "alpha"))]
+    rows = sources.vcf(spark, paths).collect()
+    assert {(r.position, *r.samples) for r in rows} == {(9, "zeta"), (7, "alpha")} and {r.samples[n]["AD"] for r in rows for n in r.samples} == {"9,1", "7,1"}
+    assert sources.gvcf_folder(spark, str(tmp_path)).count() == 2
+    with pytest.raises(Exception, match="no header line"):
+        sources.vcf(spark, put(tmp_path, "bare.vcf", "1\t5\t.\tA\tC\n")).collect()
+
+
+def test_last_file_wins(spark, tmp_path):
+    """The order of the given paths counts, not that of sizes or names."""
+    text = "contig\tposition\tref\talt\tt_ref_count\tt_alt_count\tn_ref_count\tn_alt_count\n" + "1\t5\tA\tC\t15\t{}\t20\t0\n"
+    long, short = put(tmp_path, "a.tsv", text.format(11) + text.format(12).split("\n")[1] + "\n" * 500), put(tmp_path, "b.tsv", text.format(13))
+    for paths, want in (([long, short], 13), ([short, long], 12)):
+        assert callers.somatic_from_mutect(sources.mutect(spark, paths)).first().tumor_supporting == want
+
+
 def test_caller_tables(spark, tmp_path):
     mutect = "## v\ncontig\tposition\tref_allele\talt_allele\tt_ref_count\tt_alt_count\tn_ref_count\tn_alt_count\tjudgement\n1\t5\tA\tC\t15\t10\t20\t0\tKEEP\n1\t6\tA\tC\t15\t10\t20\t0\tREJECT\n"
     assert [r.position for r in callers.somatic_from_mutect(sources.mutect(spark, put(tmp_path, "m.tsv", mutect))).collect()] == [5]
