@@ -5,11 +5,12 @@ of its words, and vectors and softmax weights are trained together in numpy. Mis
 n-grams with words seen in training. Because the softmax is linear, a word's part in the result is one
 number, so scoring looks words up and averages.
 
-The same bag is averaged over the whole text and over each stretch of WINDOW words, and a logistic step,
-fitted on labelled rows that the vectors have not seen, weighs the whole text's value against the highest
-stretch's: a few toxic words in a long text are not averaged away.
+A text's log-odds are those of its stretches of WINDOW words, averaged by their softmax (of sharpness SHARPNESS),
+plus the bias: in training over stretches side by side, in scoring over those at every offset. So a few toxic
+words in a long text are not averaged away, and length is no input. One scale and one shift, fitted on labelled
+rows that the vectors have not seen, make the log-odds a probability; nothing else stands between them.
 
-Defined results: a null or empty text gets the score of a text without words, as fitted; without labels of
+Defined results: a null or empty text, or one without a word, gets the share of label 1 among labelled rows; without labels of
 both kinds every score is the mean label, or 0; rows with a null label are not learnt from; repeated rows
 come back as often; an empty table gives an empty table.
 """
@@ -17,6 +18,7 @@ come back as often; an empty table gives an empty table.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,17 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helixframe.llm.common import bounded_sample, text_rows
+from helixframe.llm.common import bounded_sample, remembered, slices, text_rows
 
 #: The bounded labelled sample: at most so many documents of either label are learnt from.
 SAMPLE_DOCS = {0: 4000, 1: 2000}
 BUCKETS, DIMS, STEPS, LEARNING_RATE, SCALE, SHARPNESS = 1 << 17, 4, 60, 0.15, 20, 1.5
 #: A word is trained on from so many texts on; rarer ones are scored by the n-grams they share.
 LEAST_TEXTS = 4
-WINDOW = 16
+WINDOW = 4
 THRESHOLD = 0.3
 #: Tokens that a Python worker remembers before it starts afresh.
-CACHE_TOKENS = 500_000
+CACHE_TOKENS = 300_000
 
 _WORDS = re.compile(r"\w+").findall
 
@@ -75,7 +77,10 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     weights: np.ndarray  # of each subword bucket: its vector's part in the log-odds
-    mix: np.ndarray  # of 1, the whole text's value, the highest stretch's value, the log of the length
+    bias: float = 0.0  # the softmax's own part in them
+    scale: float = 1.0  # calibration of the log-odds
+    shift: float = 0.0
+    prior: float = 0.0  # the score of a text without words
     constant: float | None = None  # the score of everything, where there was nothing to learn
 
 
@@ -84,45 +89,49 @@ def _mean(values: np.ndarray, which: np.ndarray, lens: np.ndarray) -> np.ndarray
     return (np.add.reduceat(values[which], np.cumsum(lens) - lens, axis=0).T / lens).T
 
 
-def train_vectors(texts: list[str], labels: np.ndarray) -> np.ndarray:
-    """Gradient descent on the softmax loss of each text's pooled stretches: log-odds by bucket.
+def train_vectors(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """Gradient descent on the softmax loss of each text's pooled stretches: log-odds by bucket, and the bias.
 
     A text's value is the average of its stretches' values, weighted by their softmax: evenly at first, then
     more and more towards the highest, so that the words that make a text toxic bear the gradient. Both
     classes weigh alike. Vectors (``vectors``) and the linear layer (``softmax``, bias) learn together.
     """
-    bags = [_WORDS(" ".join(tokens_of(t))) for t in texts]
-    seen: dict[str, int] = {}
-    for bag in bags:
-        for w in set(bag):
-            seen[w] = seen.get(w, 0) + 1
-    vocabulary = {w: k for k, w in enumerate(sorted(w for w, n in seen.items() if n >= LEAST_TEXTS))}
-    coded = [np.array([vocabulary[w] for w in bag if w in vocabulary], np.int64) for bag in bags]
+    number: dict[str, int] = {}
+    coded = []
+    for t in texts:
+        words = _WORDS(" ".join(tokens_of(t)))
+        coded.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+    seen = np.zeros(len(number), np.int64)
+    for c in coded:
+        seen[np.unique(c)] += 1
+    vocabulary = sorted(w for w, k in number.items() if seen[k] >= LEAST_TEXTS)
+    place = np.full(len(number), -1, np.int32)
+    place[[number[w] for w in vocabulary]] = np.arange(len(vocabulary))
+    coded = [p[p >= 0] for p in (place[c] for c in coded)]
     keep = [k for k, c in enumerate(coded) if len(c)]
     y = labels[keep].astype(float)
     if not keep or y.min() == y.max():
-        return np.zeros(BUCKETS, np.float32)
+        return np.zeros(BUCKETS, np.float32), 0.0
     words = np.concatenate([coded[k] for k in keep])
     n_words = np.array([len(coded[k]) for k in keep])
     n_stretches = -(-n_words // WINDOW)
     stretch_len = np.full(n_stretches.sum(), WINDOW)
     stretch_len[np.cumsum(n_stretches) - 1] = n_words - (n_stretches - 1) * WINDOW
-    doc_at = np.cumsum(n_stretches) - n_stretches
-    of, grams = subwords(list(vocabulary))
+    stretch_at, doc_at = np.cumsum(stretch_len) - stretch_len, np.cumsum(n_stretches) - n_stretches
+    of, grams = subwords(vocabulary)
     n_grams = np.bincount(of, minlength=len(vocabulary))
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     rng = np.random.default_rng(11)
     vectors = rng.normal(0, 0.05, (BUCKETS, DIMS)).astype(np.float32)
     softmax, bias = rng.normal(0, 0.5, (DIMS, 2)), np.zeros(2)
     # How much a subword's gradient varies from text to text by chance; steps are in units of that.
-    doc_of = np.repeat(np.arange(len(keep)), n_words)
-    chance = np.bincount(words, (weight / n_words)[doc_of] ** 2, len(vocabulary)) / n_grams**2
+    chance = np.bincount(words, np.repeat((weight / n_words) ** 2, n_words), len(vocabulary)) / n_grams**2
     chance = np.sqrt(np.bincount(grams, np.repeat(chance, n_grams), BUCKETS) + 1e-18)
     speed = np.zeros(BUCKETS)
     for step in range(1, STEPS + 1):
         of_word = _mean(vectors, grams, n_grams)
         # Short stretches count as WINDOW words long, so that one word there is not worth more.
-        of_stretch = np.add.reduceat(of_word[words], np.cumsum(stretch_len) - stretch_len, axis=0) / WINDOW
+        of_stretch = np.stack([np.add.reduceat(v[words], stretch_at) for v in of_word.T.astype(np.float32)], axis=1) / WINDOW
         value = SCALE * of_stretch @ (softmax[:, 1] - softmax[:, 0])
         sharp = SHARPNESS * (step - 1) / STEPS
         share = np.exp(sharp * (value - np.repeat(np.maximum.reduceat(value, doc_at), n_stretches)))
@@ -137,7 +146,7 @@ def train_vectors(texts: list[str], labels: np.ndarray) -> np.ndarray:
         vectors -= LEARNING_RATE * np.outer(speed / max(np.abs(speed).max(), 1e-12), direction)
         softmax -= LEARNING_RATE * np.outer(d_value @ of_stretch, [-1, 1])
         bias -= error.sum() * np.array([-1, 1])
-    return (SCALE * vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32)
+    return (SCALE * vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32), float(bias[1] - bias[0])
 
 
 class Scorer:
@@ -147,7 +156,7 @@ class Scorer:
         self.model, self.cache, self.parts = model, {}, np.zeros(0)
 
     def values(self, texts: list[str]) -> np.ndarray:
-        """For each text 1, its average, the highest average of WINDOW tokens in a row, and the log of its length."""
+        """The log-odds of each text: its stretches at every offset, averaged by their softmax, and the bias; NaN without words."""
         split = [tokens_of(t) for t in texts]
         if len(self.cache) > CACHE_TOKENS:
             self.cache, self.parts = {}, np.zeros(0)
@@ -155,15 +164,16 @@ class Scorer:
         if new:
             self.cache.update(zip(new, range(len(self.cache), len(self.cache) + len(new)), strict=True))
             self.parts = np.concatenate([self.parts, self._parts(new)])
-        out = np.zeros((len(texts), 4))
-        out[:, 0] = 1
+        out = np.full(len(texts), np.nan)
         for k, ws in enumerate(split):
             v = self.parts[np.fromiter(map(self.cache.__getitem__, ws), np.int64, len(ws))]
             v = v[~np.isnan(v)]
             if len(v):
                 total = np.concatenate([[0.0], np.cumsum(v)])
                 size = min(WINDOW, len(v))
-                out[k, 1:] = v.mean(), (total[size:] - total[:-size]).max() / WINDOW, np.log(len(v))
+                odds = (total[size:] - total[:-size]) / WINDOW
+                share = np.exp(SHARPNESS * (odds - odds.max()))
+                out[k] = share @ odds / share.sum() + self.model.bias
         return out
 
     def _parts(self, tokens: list[str]) -> np.ndarray:
@@ -180,28 +190,38 @@ class Scorer:
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.model.constant is not None:
             return np.full(len(texts), self.model.constant)
-        return 1 / (1 + np.exp(-np.clip(self.values(texts) @ self.model.mix, -30, 30)))
+        odds = self.values(texts)
+        return np.where(np.isnan(odds), self.model.prior, _probability(self.model.scale * np.nan_to_num(odds) + self.model.shift))
+
+
+def _probability(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
 def learn(texts: list[str], labels: list[int], share: float | None = None) -> Model:
-    """Vectors from two thirds of the rows, the logistic step from the rest; ``share``: of label 1 among all labels."""
+    """Vectors and softmax from two thirds of the rows, scale and shift from the rest; ``share``: of label 1 among all labels."""
     y = np.array(labels)
     rest = np.arange(len(y)) % 3 == 2
     if not len(y) or y.min() == y.max() or y[rest].sum() in (0, rest.sum()):
-        return Model(np.zeros(BUCKETS, np.float32), np.zeros(4), float(y.mean()) if len(y) else 0.0)
-    model = Model(train_vectors([t for t, r in zip(texts, rest, strict=True) if not r], y[~rest]), np.zeros(4))
-    x, target = Scorer(model).values([t for t, r in zip(texts, rest, strict=True) if r]), y[rest]
+        return Model(np.zeros(BUCKETS, np.float32), constant=float(y.mean()) if len(y) else 0.0)
+    model = Model(*train_vectors([t for t, r in zip(texts, rest, strict=True) if not r], y[~rest]))
+    scorer, unseen, target = Scorer(model), [t for t, r in zip(texts, rest, strict=True) if r], y[rest]
+    odds = np.concatenate([scorer.values(unseen[at : at + 128]) for at in range(0, len(unseen), 128)])
+    odds, target = odds[~np.isnan(odds)], target[~np.isnan(odds)]
+    if target.sum() in (0, len(target)):
+        return Model(model.weights, constant=float(y.mean()))
     share = target.mean() if share is None else share
     weight = np.where(target == 1, share / target.mean(), (1 - share) / (1 - target.mean()))
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    mean[0], scale[0] = 0, 1
-    z, mix = (x - mean) / scale, np.zeros(4)
+    mean, spread = odds.mean(), odds.std() + 1e-9
+    z, mix = np.stack([np.ones(len(odds)), (odds - mean) / spread], axis=1), np.zeros(2)
     for _ in range(60):  # Newton's method, slightly ridged
-        p = 1 / (1 + np.exp(-np.clip(z @ mix, -30, 30)))
-        h = (z * (weight * p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(4)
-        mix -= np.clip(np.linalg.solve(h, z.T @ (weight * (p - target)) + 0.05 * mix), -2, 2)
-    model.mix = mix / scale
-    model.mix[0] -= model.mix[1:] @ mean[1:]
+        p = _probability(z @ mix)
+        h = (z * (weight * p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(2)
+        g = z.T @ (weight * (p - target)) + 0.05 * mix
+        step = np.array([h[1, 1] * g[0] - h[0, 1] * g[1], h[0, 0] * g[1] - h[1, 0] * g[0]]) / (h[0, 0] * h[1, 1] - h[0, 1] * h[1, 0])
+        mix -= np.clip(step, -2, 2)
+    model.prior = float(share)
+    model.scale, model.shift = float(mix[1] / spread), float(mix[0] - mix[1] * mean / spread)
     return model
 
 
@@ -228,10 +248,10 @@ def share_of_ones(labels: DataFrame, label: str) -> float | None:
 
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, score."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared, mine = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = remembered(mine, lambda: Scorer(shared.value))
         for keys, texts in text_rows(batches, key, text):
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(scorer.scores(texts), pa.float64())], [key, "score"])
 
@@ -239,14 +259,13 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
 
 
 def add_score(df: DataFrame, model: Model, text: str = "text", name: str = "toxicity_score") -> DataFrame:
-    """``df`` with one more column, the score of ``text``; rows stay where they are."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    """``df`` with one more column, the score of ``text``; rows stay where they are. ``name`` must be new."""
+    shared, mine = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            scores = np.concatenate([scorer.scores(texts[at : at + 256]) for at in range(0, len(texts), 256)]) if texts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, name])
+        scorer = remembered(mine, lambda: Scorer(shared.value))
+        for part in slices(batches, text):
+            scores = scorer.scores([t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], [*part.schema.names, name])
 
     return df.mapInArrow(scan, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
