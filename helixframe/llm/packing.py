@@ -31,7 +31,7 @@ from helixframe.llm.common import materialize, remembered, text_rows
 #: Lengths are rounded up to a multiple of this for the linear program: 2048 tokens give 512 classes.
 GRAIN = 4
 #: Words, and parts of words, that a Python worker remembers before it lets go of those not met since.
-CACHE_WORDS, CACHE_PARTS = 250_000, 350_000
+CACHE_WORDS, CACHE_PARTS = 200_000, 250_000
 #: Parts that are encoded as one text.
 TOGETHER = 2_000
 #: Latin letters and the signs after them, which never join a letter before them in one pre-token.
