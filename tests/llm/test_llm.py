@@ -66,6 +66,22 @@ def test_added_spans_and_redaction():
     assert not [s for s in pii.spans_of("GB82 WEST 1234 5698 7654 33") if s.kind == "iban"]
 
 
+def test_ibans_by_country_and_what_follows_them():
+    for text in ("IBAN GB82 WEST 1234 5698 7654 32 OK", "GB82WEST12345698765432 BIC NWBKGB2L", "(DE89370400440532013000)"):
+        found = [s for s in pii.spans_of(text) if s.kind == "iban"]
+        assert len(found) == 1 and text[found[0].start : found[0].end].replace(" ", "") in ("GB82WEST12345698765432", "DE89370400440532013000")
+    assert not [s for s in pii.spans_of("XX82 WEST 1234 5698 7654 32 DE8937040044053201300") if s.kind == "iban"]
+
+
+def test_secrets_and_context_that_lowers():
+    text = 'x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y'
+    assert [(s.kind, text[s.start : s.end]) for s in pii.spans_of(text)] == [("secret", "04dbebab91ab85687d33eeaaf9ac699e1188f962")]
+    assert "04db" not in pii.redacted(text, pii.spans_of(text)) and not pii.spans_of("token of thanks: nothing")
+    assert not [s for s in pii.spans_of("serial part order 123-45-6789") if s.kind == "ssn"] and [s for s in pii.spans_of("social security 123-45-6789") if s.kind == "ssn"]
+    plain, doubtful = (pii.spans_of(t)[0] for t in ("at 10.1.2.3", "version 10.1.2.3"))
+    assert plain.kind == doubtful.kind == "ip" and plain.score > doubtful.score
+
+
 def test_pii_frames(spark):
     out = pii.pii_digest(odd_documents(spark)).collect()
     assert len(out) == len(ODD) + 2 and {r.spans for r in out} == {""}
@@ -137,6 +153,27 @@ def test_patterns_meet_demand():
     assert sum(n for _, n in patterns) <= 1.02 * least + 1
 
 
+def test_elimination():
+    a = np.random.default_rng(8).integers(0, 5, (40, 40)).astype(float)
+    assert np.allclose(packing.inverted(a) @ a, np.eye(40)) and packing.inverted(np.ones((3, 3))) is None
+
+
+def test_words_are_let_go_of(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHE_WORDS", 20)
+    monkeypatch.setattr(packing, "CACHE_PARTS", 20)
+    monkeypatch.setattr(packing, "TOGETHER", 7)
+    with open(public_tokenizers.path("word_bpe_49k.json")) as f:
+        given = f.read()
+    words, plain, rng = packing.Words(given), Tokenizer.from_str(given), np.random.default_rng(3)
+    vocabulary = ["Word" + "".join(rng.choice(list("abcé"), 4)) + sign for sign in ("", ".", "!?", "'s", "-x", "9") for _ in range(20)]
+    for _ in range(30):
+        texts = [" ".join(rng.choice(vocabulary, 15)) for _ in range(3)]
+        assert [np.frombuffer(i, "<u4").tolist() for i in words.ids(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(words.raw) + len(words.raw.old) < 120
+
+
 def test_knapsack():
     rng = np.random.default_rng(1)
     sizes, values = rng.integers(1, 12, 6), rng.random(6)
@@ -203,6 +240,62 @@ def test_toxicity():
     assert toxicity.Scorer(toxicity.learn([], [])).scores(["x"]).tolist() == [0.0]
 
 
+def test_toxicity_by_a_plain_version():
+    """A word is the mean over its subwords, a stretch the mean of its words, a text its stretches' softmax average and the bias."""
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(rng.normal(size=toxicity.BUCKETS).astype(np.float32), 0.3, 0.7, -0.2, 0.1)
+
+    def plain(text):
+        parts = []
+        for token in toxicity.tokens_of(text):
+            words = re.findall(r"\w+", token)
+            if words:
+                parts.append(np.mean([np.mean([float(model.weights[g]) for g in toxicity.subwords([w])[1]]) for w in words]))
+        if not parts:
+            return model.prior
+        size = min(toxicity.WINDOW, len(parts))
+        odds = np.array([sum(parts[k : k + size]) / toxicity.WINDOW for k in range(len(parts) - size + 1)])
+        share = np.exp(toxicity.SHARPNESS * odds) / np.exp(toxicity.SHARPNESS * odds).sum()
+        return 1 / (1 + np.exp(-(model.scale * (share @ odds + model.bias) + model.shift)))
+
+    texts = ["One two, three four five six?", "a", "", " .. ", "it's it's half-done", "x y " * 30]
+    assert np.allclose(toxicity.Scorer(model).scores(texts), [plain(t) for t in texts], atol=1e-6)
+
+
+def test_toxicity_frames(spark):
+    model = toxicity.learn(["good day to all"] * 9 + ["vile scum here now"] * 9, [0] * 9 + [1] * 9)
+    rows = odd_documents(spark)
+    got = toxicity.score(rows, model).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in rows.collect()) and all(0 <= r.score <= 1 for r in got)
+    assert {r.score for r in got if r.doc_id in (0, 1, 2)} == {model.prior if model.constant is None else model.constant}
+    assert toxicity.score(rows.where("false"), model).count() == 0
+    assert toxicity.add_score(rows, model, name="other").columns == [*rows.columns, "other"]
+
+
+def test_quality_by_a_plain_version():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["fine", "calm", "clear"] if k % 2 else ["BAD!!", "x9x9", "$$$"], 12)) for k in range(60)]
+    labels = [k % 2 for k in range(60)]
+    model = quality.learn(texts[:50], labels[:50])
+    x = quality._weighted(quality.Features().counts(texts), model.idf).astype(float)
+    _, _, right = np.linalg.svd(x[:50], full_matrices=False)
+    full = x @ right[: quality.DIMS].T
+    unit = full / np.maximum(np.linalg.norm(full, axis=1, keepdims=True), 1e-12)
+    want = []
+    for row in unit[50:] @ unit[:50].T:
+        top = np.argsort(-row, kind="stable")[:7]
+        weight = np.maximum(row[top], 0)
+        want.append(weight @ np.array(labels)[top] / weight.sum())
+    got = quality.Scorer(model).scores(texts[50:])
+    assert ((got >= 0.5) == (np.array(want) >= 0.5)).all() and np.abs(got - want).max() < 0.2
+
+
+def test_quality_held_out(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality").where("quality is not null")
+    rows = queries.op8_quality(spark, "/root/testdata/sf0.01").where("held_out").join(labels, "doc_id").collect()
+    assert len(rows) > 40 and np.mean([r.predicted == r.quality for r in rows]) > 0.9
+
+
 def test_quality(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
     got = queries.op8_quality(spark, SF).join(labels, "doc_id").where("quality is not null")
@@ -417,6 +510,23 @@ def test_page_text_of_open_heads_and_names_in_articles():
     assert pages.main_text("<body><div class='x'><h2 id='related-work'>A</h2></div><div class='related'>x</div>", frozenset()) == "A"
 
 
+def test_names_count_as_a_whole():
+    for page, want in {
+        "<p class='related-work'>A</p><div class='share-price'>B</div>": "A\n\nB", "<div class='post'><header><h1>T</h1></header><p>x</p></div>": "T\n\nx",
+        "<main><header class='site-header'>S</header><p>x</p></main>": "x", "<svg><svg></svg>no</svg><p>y</p>": "y", "<div class='main-nav'>n</div><header>H</header>z": "z",
+    }.items():
+        assert pages.main_text(page, frozenset()) == want
+
+
+def test_pages_parse_in_linear_time():
+    import time
+
+    for form in (lambda n: "<div>x" * n, lambda n: "<div>" * n + "</section>" * n, lambda n: "<b>" * n + "<div>" + "<i>" * n + "</b>" * n, lambda n: "<p>" + "<span>" * n + "<h1>x" * n):
+        start = time.process_time()
+        pages.parse(form(20_000))
+        assert time.process_time() - start < 20
+
+
 def test_style_tree_finds_unmarked_menus(spark):
     page = "<body><div class='m'><p>Home</p><p>About</p></div><div class='c'><p>text {0} of its own {0}</p></div></body>"
     rows = spark.createDataFrame([(k, "http://one.example/x", page.format(k)) for k in range(30)], "page_id bigint, url string, html string")
@@ -476,6 +586,34 @@ def test_near_copies_keep_other_texts_of_an_id(spark):
     assert got.columns == docs.columns and Counter(map(tuple, got.collect())) == Counter(want)
 
 
+CONTRACTS = {
+    "op1_embedding_dedup": "vec_id bigint n_links bigint component_id bigint kept boolean", "op2_pii": "doc_id bigint n_email bigint n_ip bigint n_card bigint n_phone bigint base_sha256 string spans string",
+    "op3_neighbours": "query_id bigint rank int vec_id bigint score double", "op4_toxicity": "doc_id bigint held_out boolean score double predicted int", "op5_language": "doc_id bigint held_out boolean lang_pred string score double",
+    "op7_packing": "doc_id bigint start bigint length bigint ids_crc32 bigint doc_tokens bigint sequence_id bigint offset bigint", "op8_quality": "doc_id bigint held_out boolean score double predicted int",
+    "op9_byte_bpe": "doc_id bigint n_tokens bigint ids_sha256 string decoded_sha256 string", "op10_html": "page_id bigint url string text string n_chars bigint",
+}
+
+
+@pytest.mark.parametrize("name", sorted(CONTRACTS))
+def test_contract_columns(spark, name):
+    fields = CONTRACTS[name].split()
+    got = queries.QUERIES[name](spark, SF)
+    assert got.dtypes[: len(fields) // 2] == list(zip(fields[::2], fields[1::2], strict=True))
+    table = {"op1_embedding_dedup": "embeddings", "op3_neighbours": "embeddings", "op10_html": "pages"}.get(name, "documents")
+    if name not in ("op3_neighbours", "op7_packing"):
+        assert got.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+
+def test_pipeline_takes_clashing_names(spark):
+    import corpus_pipeline
+
+    rows = [(1, "some plain text of words", 3, "x", 1), (2, None, 4, "y", 2), (3, "", 5, None, 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxicity_score int, language string, class int")
+    kept = corpus_pipeline.keep_languages(spark, corpus_pipeline.drop_toxic(spark, docs, SF), SF)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
+    assert corpus_pipeline.drop_near_copies(spark, docs, SF).columns == docs.columns
+
+
 def test_hash_of_packed_words():
     data = np.array([1, 70000, 2**31], np.uint32)
     assert bpe.unpack_ints(bpe.pack_ints(data)).tolist() == data.tolist() and bpe.unpack_ints(bpe.pack_ints(data[:0])).tolist() == []
