@@ -9,7 +9,9 @@ neighbours in the sample. So vectors with structure need few leaves, and vectors
 
 Queries meet the rows of their leaves in blocks. A row that a query meets in several trees is measured in the
 first of them only (queries carry the set of their leaves, rows their leaf in each tree), exactly, in double
-precision, on the original vectors. Equal vectors are searched once and expanded to ids at the end. A leaf's
+precision, on the original vectors. A query also brings how far the k-th nearest of the sample's rows in its
+leaves is: it will meet those rows, so what is farther isn't among the k nearest that it finds, and isn't
+passed on. Equal vectors are searched once and expanded to ids at the end. A leaf's
 rows and its queries are both cut into blocks by a hash, so a leaf that grows with the data stays a matter of
 many tasks.
 
@@ -131,9 +133,10 @@ def nearest(df: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: s
     dims = max(set(widths), key=lambda n: (widths.count(n), n))
     distinct = distinct.where(F.size("vector") == dims)
     n_rows, n_queries = distinct.count(), queries.count()
-    forest = fit(np.array([r["vector"] for r in sample if len(r["vector"]) == dims], float), n_rows, k, target)
+    own, known = (np.array([r[c] for r in sample if len(r["vector"]) == dims], t) for c, t in (("class", np.int64), ("vector", float)))
+    forest = fit(known, n_rows, k, target)
     trees, leaves, visits = forest.trees, forest.leaves, forest.visits
-    shared = spark.sparkContext.broadcast(forest)
+    shared, sampled = spark.sparkContext.broadcast(forest), spark.sparkContext.broadcast((own, known, forest.route(known)))
     salts = max(1, -(-n_rows // (leaves * BLOCK_ROWS)))
     turns = max(1, -(-n_queries * visits // (trees * leaves * BLOCK_QUERIES)))
 
@@ -145,24 +148,26 @@ def nearest(df: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: s
                 where, n = pa.array(leaf.astype("<u2").tobytes()[2 * trees * r : 2 * trees * (r + 1)] for r in range(len(leaf))), part.num_rows
                 for t in range(trees):
                     for turn in range(turns):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, t, np.int32)), pa.array(leaf[:, t].astype(np.int32)), part.column(2), pa.array(np.full(n, turn, np.int32)), part.column(0), part.column(1), where], names)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, t, np.int32)), pa.array(leaf[:, t].astype(np.int32)), part.column(2), pa.array(np.full(n, turn, np.int32)), part.column(0), part.column(1), where, pa.array(np.zeros(n))], names)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
                 part = batch.slice(at, 100)
-                found = [shared.value.search(p, visits) for p in shared.value.project(matrix(part.column(1)))]
+                vectors = matrix(part.column(1))
+                found = [shared.value.search(p, visits) for p in shared.value.project(vectors)]
                 seen = np.zeros((len(found), trees, leaves), bool)
                 for row, pairs in enumerate(found):
                     seen[row][tuple(np.array(pairs).T)] = True
+                far = pa.array(kth_distance(vectors, part.column(0).to_numpy(), seen, *sampled.value, k))
                 marks = pa.array([s.tobytes() for s in np.packbits(seen.reshape(len(found), -1), axis=1)])
                 which = np.repeat(np.arange(len(found)), [len(f) * salts for f in found])
                 tree, leaf, salt = (np.array(c, np.int32) for c in zip(*((t, b, s) for f in found for t, b in f for s in range(salts)), strict=True))
                 row = pa.array(which)
-                yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(leaf), pa.array(salt), part.column(2).take(row), part.column(0).take(row), part.column(1).take(row), marks.take(row)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(leaf), pa.array(salt), part.column(2).take(row), part.column(0).take(row), part.column(1).take(row), marks.take(row), far.take(row)], names)
 
-    names = ["tree", "leaf", "salt", "turn", "class", "vector", "leaves"]
-    schema = f"tree int, leaf int, salt int, turn int, class bigint, vector {dict(distinct.dtypes)['vector']}, leaves binary"
+    names = ["tree", "leaf", "salt", "turn", "class", "vector", "leaves", "far"]
+    schema = f"tree int, leaf int, salt int, turn int, class bigint, vector {dict(distinct.dtypes)['vector']}, leaves binary, far double"
     rows = distinct.select("class", "vector", F.pmod(F.xxhash64("class"), F.lit(salts)).cast("int").alias("salt")).mapInArrow(index, schema)
     asking = distinct.join(queries.select("class").distinct(), "class", "left_semi")
     asked = asking.select("class", "vector", F.pmod(F.xxhash64(F.lit(1), "class"), F.lit(turns)).cast("int").alias("turn")).mapInArrow(ask, schema)
@@ -179,6 +184,18 @@ def nearest(df: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: s
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", key, "score")
 
 
+def kth_distance(x: np.ndarray, classes_: np.ndarray, seen: np.ndarray, own: np.ndarray, known: np.ndarray, leaf: np.ndarray, k: int) -> np.ndarray:
+    """How far each query's k-th nearest is among the sample's rows in leaves that it has ``seen``; inf if they are fewer."""
+    out = np.full(len(x), np.inf)
+    size, trees = (known * known).sum(axis=1), np.arange(leaf.shape[1])
+    for q, (vector, class_) in enumerate(zip(x, classes_, strict=True)):
+        met = np.flatnonzero(seen[q][trees, leaf].any(axis=1) & (own != class_))
+        if len(met) >= k:
+            near = met[np.argpartition(size[met] - 2 * known[met] @ vector, k - 1)[:k]]
+            out[q] = np.sqrt(((known[near] - vector) ** 2).sum(axis=1)).max() * (1 + 1e-9)
+    return out
+
+
 def _block(queries: pa.Table, rows: pa.Table, k: int, trees: int, leaves: int) -> pa.Table:
     """The k nearest rows of each query among those that it does not meet in an earlier tree."""
     schema = pa.schema([("query", pa.int64()), ("class", pa.int64()), ("score", pa.float64())])
@@ -188,14 +205,15 @@ def _block(queries: pa.Table, rows: pa.Table, k: int, trees: int, leaves: int) -
     tree = queries.column("tree")[0].as_py()
     leaf = np.frombuffer(b"".join(rows.column("leaves").to_pylist()), "<u2").reshape(len(x), trees)
     out: list[list] = [[], [], []]
-    for own, vector, marks in zip(queries.column("class").to_numpy(), q, queries.column("leaves"), strict=True):
+    for own, vector, marks, far in zip(queries.column("class").to_numpy(), q, queries.column("leaves"), queries.column("far").to_numpy(), strict=True):
         seen = np.unpackbits(np.frombuffer(marks.as_py(), np.uint8), count=trees * leaves).reshape(trees, leaves)
         new = np.flatnonzero(~seen[np.arange(tree), leaf[:, :tree]].any(axis=1)) if tree else np.arange(len(x))
         d = np.sqrt(((x[new] - vector) ** 2).sum(axis=1))
+        new, d = new[d <= far], d[d <= far]
         if len(d) > k:
             some = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1])
             new, d = new[some], d[some]
         order = np.lexsort((ids[new], d))[:k]
         for column, values in zip(out, (np.full(len(order), own), ids[new][order], d[order]), strict=True):
             column.append(values)
-    return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=schema)
+    return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=schema) if out[0] else schema.empty_table()
