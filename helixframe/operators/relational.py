@@ -71,6 +71,12 @@ def only_in_one(one: DataFrame, two: DataFrame, column: str = "contig") -> DataF
     return a.join(b, column, "left_anti").withColumn("only_in", F.lit("first")).unionByName(b.join(a, column, "left_anti").withColumn("only_in", F.lit("second")))
 
 
+def text_order(df: DataFrame, columns: list[str | int], joined: bool = False) -> DataFrame:
+    """Rows by the texts of columns (names, or places from 1), one after another, or ``joined`` by tabs as one text."""
+    texts = [F.col(f"`{df.columns[c - 1] if isinstance(c, int) else c}`").cast("string") for c in columns]
+    return df.orderBy(F.concat_ws("\t", *texts)) if joined else df.orderBy(*texts)
+
+
 def keyword_rows(df: DataFrame, word: str, column: str = "value", reject: bool = True, judgement: str | None = None) -> DataFrame:
     """Rows without (or with) a keyword; a judgement column is compared as a whole where there is one."""
     hit: Column = F.coalesce(F.col(judgement) == word, F.lit(False)) if judgement in df.columns else F.coalesce(F.col(column).contains(word), F.lit(False))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.functions import odds_ratio, protein_changes
+from helixframe.functions import hla_two_fields, odds_ratio, protein_changes
 from helixframe.operators import alignments, callers, catalog, compare, epitope, fpfilter, pileup, protein, relational, rna, tandem
 from helixframe.plans import jobs, views
 from helixframe.plans.views import duck, spark_view
@@ -484,11 +484,12 @@ def varscan_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return callers.somatic_from_varscan(spark_view(spark, sf_dir, views.CALLER_CALLS).withColumnsRenamed(names)).drop("ord")
 
 
-@query(f"WITH {_ONE} SELECT DISTINCT v.contig, v.position, v.ref, v.alt FROM v WHERE v.position % 2 = 0")
+@query(f"WITH {_ONE} SELECT DISTINCT contig, position, ref, alt FROM v JOIN raw USING (contig, position, ref, alt) WHERE source = 'mutect1'")
 def vcf_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alternatives of all callers' sites that one of the callers names."""
     found = variants(spark, sf_dir)
     rows = found.groupBy("contig", "position", "ref").agg(F.collect_list("alt").alias("alts"))
-    return callers.vcf_alternatives(rows, found.where("position % 2 = 0")).select(*relational.KEY)
+    return callers.vcf_alternatives(rows, calls(spark, sf_dir).where("source = 'mutect1'")).select(*relational.KEY)
 
 
 @query(f"WITH {_LAST} SELECT count(DISTINCT source) AS n_sources FROM calls")
@@ -496,12 +497,16 @@ def source_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return callers.count_sources(calls(spark, sf_dir).withColumn("file", F.lit("")))
 
 
-@query(f"""WITH {_ONE}, site AS (SELECT contig, position, CAST(sum(tumor_depth) AS BIGINT) AS d FROM v GROUP BY contig, position)
- SELECT v.contig, v.position, v.ref, v.alt, coalesce(site.d, 0) AS rna_depth, CASE WHEN site.d IS NULL THEN 0 ELSE CAST(v.tumor_supporting AS INT) END AS rna_support FROM v LEFT JOIN site ON site.contig = v.contig AND site.position = v.position AND v.position % 3 <> 0""")
+@query(f"""WITH {_ONE}, heard AS (SELECT contig, position, alt, max(tumor_depth) AS d, CAST(max(tumor_supporting) AS INT) AS s FROM raw WHERE source = 'haplotypecaller' GROUP BY ALL),
+ site AS (SELECT contig, position, CAST(sum(d) AS BIGINT) AS d FROM heard GROUP BY ALL)
+ SELECT v.contig, v.position, v.ref, v.alt, coalesce(site.d, 0) AS rna_depth, coalesce(heard.s, 0) AS rna_support FROM v LEFT JOIN site ON site.contig = v.contig AND site.position = v.position
+ LEFT JOIN heard ON heard.contig = v.contig AND heard.position = v.position AND heard.alt = v.alt""")
 def rna_from_vcf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One caller's table as the RNA's for the variants of all."""
     found = variants(spark, sf_dir)
-    cells = F.map_from_entries(F.collect_list(F.struct("alt", "tumor_supporting")))
-    sites = found.where("position % 3 <> 0").groupBy("contig", "position").agg(F.struct(F.sum("tumor_depth").alias("depth"), cells.alias("by_allele")).alias("t"))
+    heard = spark_view(spark, sf_dir, views.CALLER_CALLS).where("source = 'haplotypecaller'").groupBy("contig", "position", "alt").agg(F.max("tumor_depth").alias("d"), F.max("tumor_supporting").alias("s"))
+    cells = F.map_from_entries(F.collect_list(F.struct("alt", "s")))
+    sites = heard.groupBy("contig", "position").agg(F.struct(F.sum("d").alias("depth"), cells.alias("by_allele")).alias("t"))
     return rna.vcf_evidence(found, sites).select(*relational.KEY, F.coalesce("rna_depth", F.lit(0).cast("bigint")).alias("rna_depth"), "rna_support")
 
 
@@ -523,13 +528,13 @@ def strict_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pileup.extract_variants(sample_pileup(spark, sf_dir, "tumor"), 2, 0.1, both_strands=True).select("contig", "position", "alt", "mutCount", "coverage", "strand")
 
 
-@query(f"""WITH {_COMPARED}, s AS (SELECT 'a' AS sample_id UNION ALL SELECT 'b'), ts AS (SELECT s.sample_id, t.* FROM t JOIN s ON s.sample_id = 'a' OR t.position % 2 = 0)
- SELECT ts.sample_id AS sample, concat(ts.contig, ':', CAST(ts.position AS STRING)) AS locus, CASE WHEN ts.allele LIKE '+%' THEN 'I-2' WHEN ts.allele LIKE '-%' THEN 'D-1' ELSE ts.allele END AS var, CAST(ts.n AS INT) AS tumorVarSupport,
- CAST(coalesce(nc.n, 0) AS INT) AS normalVarSupport, CAST(coalesce(nl.coverage, 0) AS INT) AS normalCoverage FROM ts LEFT JOIN nl USING (contig, position) LEFT JOIN nc ON nc.contig = ts.contig AND nc.position = ts.position AND nc.allele = ts.allele""")
+@query(f"""WITH {_TOKENS}, ts AS (SELECT * FROM counts JOIN lines USING (sample, contig, position, ref) WHERE allele <> ref AND n >= 2),
+ nl AS (SELECT * FROM lines WHERE sample = 'normal'), nc AS (SELECT * FROM counts WHERE sample = 'normal' AND allele <> ref)
+ SELECT ts.sample, concat(ts.contig, ':', CAST(ts.position AS STRING)) AS locus, CASE WHEN ts.allele LIKE '+%' THEN 'I-2' WHEN ts.allele LIKE '-%' THEN 'D-1' ELSE ts.allele END AS var, CAST(ts.n AS INT) AS tumorVarSupport,
+ CAST(coalesce(nc.n, 0) AS INT) AS normalVarSupport, CAST(coalesce(nl.coverage, 0) AS INT) AS normalCoverage FROM ts LEFT JOIN nl ON nl.contig = ts.contig AND nl.position = ts.position LEFT JOIN nc ON nc.contig = ts.contig AND nc.position = ts.position AND nc.allele = ts.allele""")
 def compare_many(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two derived samples, all loci and those at even positions, against one normal."""
-    tumor = sample_pileup(spark, sf_dir, "tumor")
-    samples = tumor.withColumn("sample", F.lit("a")).unionByName(tumor.where("position % 2 = 0").withColumn("sample", F.lit("b")))
+    """The tumour, and the normal itself as a control, against the normal."""
+    samples = pileups(spark, sf_dir)
     rows = jobs.compare_many(samples, sample_pileup(spark, sf_dir, "normal"))
     return rows.select("sample", "locus", "var", "tumorVarSupport", "normalVarSupport", "normalCoverage")
 
@@ -585,10 +590,11 @@ def attached_hla(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("o_orderkey", text.alias("hla"))
 
 
-@query(f"WITH h AS ({views.HLA_ALLELES}), ok AS (SELECT DISTINCT allele FROM h WHERE sample < 5) SELECT DISTINCT allele FROM h WHERE allele NOT IN (SELECT allele FROM ok)")
+@query(f"WITH {_TOP} SELECT DISTINCT regexp_extract(allele, '^[^:]*:[^:]*') AS allele FROM ({views.HLA_ALLELES}) a WHERE regexp_extract(allele, '^[^:]*:[^:]*') NOT IN (SELECT allele FROM top)")
 def alleles_not_permitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alleles that are among no sample's two of a molecule."""
     rows = spark_view(spark, sf_dir, views.HLA_ALLELES)
-    return epitope.permitted(rows, rows.where("sample < 5"), keep=False)
+    return epitope.permitted(rows.withColumn("allele", hla_two_fields(F.col("allele"))), epitope.top_two_alleles(rows), keep=False)
 
 
 @query(f"WITH {_TOP} SELECT hf.allele, w.k FROM (SELECT DISTINCT allele FROM top) hf, (VALUES (8), (9), (10)) AS w(k)")

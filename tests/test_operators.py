@@ -219,3 +219,10 @@ def test_hla_calls_of_one_file_each(spark):
 def test_spliced_blocks_keep_clips(spark):
     reads = spark.createDataFrame([("r", 0, "c", 10, 60, "2S3M4N1D2M1I2M", "ttACGACTGG", "0123456789")], "name string, flag int, contig string, pos bigint, mapq int, cigar string, seq string, qual string")
     assert [(b.pos, b.cigar, b.seq, b.qual) for b in alignments.split_spliced(reads).orderBy("pos").collect()] == [(10, "2S3M", "ttACG", "01234"), (17, "1D2M1I2M", "ACTGG", "56789")]
+
+
+def test_text_order(spark):
+    df = spark.createDataFrame([("chr2", 5, "b"), ("chr10", 30, "a"), ("chr10", 4, "a"), (None, 1, "a")], "contig string, position bigint, `n.x` string")
+    assert [(r.contig, r.position) for r in relational.text_order(df, ["n.x", 2]).collect()] == [(None, 1), ("chr10", 30), ("chr10", 4), ("chr2", 5)]
+    # Joined, nulls take no place, and the separator counts.
+    assert [r.position for r in relational.text_order(df, ["contig", "position"], joined=True).collect()] == [1, 30, 4, 5]
