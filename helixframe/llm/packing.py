@@ -66,11 +66,11 @@ class Recent(dict):
 class Words:
     """Ids of words, remembered: those of raw words, and those of their parts that several raw words share."""
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, remember: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.raw, self.parts = Tokenizer.from_str(tokenizer_json), Recent(CACHE_WORDS), Recent(CACHE_PARTS)
+        self.tokenizer, self.raw, self.parts = Tokenizer.from_str(tokenizer_json), Recent(remember), Recent(CACHE_PARTS)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)  # ids that end a pre-token
@@ -128,7 +128,7 @@ class Words:
             yield whole[k] if k in whole else b"".join(ids)
 
 
-def pieces(df: DataFrame, tokenizer_json: str, end_id: int, capacity: int = 2048, key: str = "doc_id", text: str = "text", keep_ids: bool = True) -> DataFrame:
+def pieces(df: DataFrame, tokenizer_json: str, end_id: int, capacity: int = 2048, key: str = "doc_id", text: str = "text", keep_ids: bool = True, remember: int = CACHE_WORDS) -> DataFrame:
     """Each document's ids and end id, cut at multiples of ``capacity``: key, start, length, ids, ids_crc32, doc_tokens."""
     vocabulary, mine = df.sparkSession.sparkContext.broadcast(tokenizer_json), uuid.uuid4().hex
     end = np.array([end_id], "<u4").tobytes()
@@ -136,7 +136,7 @@ def pieces(df: DataFrame, tokenizer_json: str, end_id: int, capacity: int = 2048
     schema = pa.schema([(n, getattr(pa, k)()) for n, k, _ in kinds])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = remembered(mine, lambda: Words(vocabulary.value))
+        words = remembered(mine, lambda: Words(vocabulary.value, remember))
         for keys, texts in text_rows(batches, key, text):
             rows = []
             for doc, ids in zip(keys, words.ids(texts), strict=True):
@@ -369,6 +369,10 @@ def _lookup_table(rows: list[tuple[int, int, int, int, int]]) -> dict[int, tuple
     return {c: tuple(np.array(x, np.int64) for x in zip(*sorted(v), strict=True)) for c, v in by_class.items()}
 
 
-def pack(df: DataFrame, tokenizer_json: str, end_id: int = 1, capacity: int = 2048, key: str = "doc_id", text: str = "text", keep_ids: bool = True) -> DataFrame:
-    """One row per piece: key, start, length, ids_crc32, doc_tokens, ids (if kept), sequence_id, offset."""
-    return assign(materialize(pieces(df, tokenizer_json, end_id, capacity, key, text, keep_ids), "pieces"), capacity, key)
+def pack(df: DataFrame, tokenizer_json: str, end_id: int = 1, capacity: int = 2048, key: str = "doc_id", text: str = "text", keep_ids: bool = True, remember: int = CACHE_WORDS) -> DataFrame:
+    """One row per piece: key, start, length, ids_crc32, doc_tokens, ids (if kept), sequence_id, offset.
+
+    ``remember``: words that a Python worker keeps, which saves time for memory (about 70 MB for 300,000 more) and
+    changes no result.
+    """
+    return assign(materialize(pieces(df, tokenizer_json, end_id, capacity, key, text, keep_ids, remember), "pieces"), capacity, key)

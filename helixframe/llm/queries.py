@@ -56,7 +56,7 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json")) as f:
         tokenizer = f.read()
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer, end_id=1, capacity=2048, keep_ids=False)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer, end_id=1, capacity=2048, keep_ids=False, remember=500_000)
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
