@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import bpe, embeddings, langid, minhash, neighbours, packing, pages, pii, quality, toxicity
+from helixframe.llm import bpe, collocations, divergence, embeddings, langid, minhash, neighbours, packing, pages, pii, quality, repeats, sql, toxicity
 from helixframe.llm.common import fold, table
 
 
@@ -69,5 +69,23 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_pii, op3_neighbours, op4_toxicity, op5_language, op6_minhash, op7_packing, op8_quality, op9_byte_bpe, op10_html)}
-ORACLE_SQL: dict[str, str] = {}
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=200).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), least=10, ranks=2000)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=30, ranks=50)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_embedding_dedup, op2_pii, op3_neighbours, op4_toxicity, op5_language, op6_minhash, op7_packing, op8_quality, op9_byte_bpe, op10_html,
+        op11_suffix_dedup, op12_collocations, op13_source_divergence,
+    )
+}
+ORACLE_SQL = sql.ORACLE_SQL
