@@ -5,7 +5,7 @@
 2. A bucket adds up its words. A phrase occurs no more often than its words, so only words with enough occurrences
    get an id; ids travel back to the chunks, and rarer words cut a piece in two.
 3. A chunk counts its phrases in a HAT-trie: a level of first words above hash containers of what follows, which
-   burst into a level of second words when they grow. When the trie is full, its largest subtrees are spilled whole,
+   burst into hybrid ones, by shares of the second words, when they grow. When the trie is full, its largest subtrees are spilled whole,
    as sorted runs. Runs are dealt to partitions by the phrase's prefix: its first two words, and of the third word
    a few bits, so that one very frequent pair is spread. Each partition merges its runs.
 4. Phrases with enough occurrences are far fewer; the rest is joins of these with the counts of their parts, which
@@ -21,6 +21,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,9 @@ from helixframe.llm.common import materialize, slices
 _PIECES, _WORDS = re.compile(rb"[.,;:!?\n-\r]"), re.compile(rb"[^ \t]+")
 #: Bytes of text that share one list of words, and for which there is one bucket of words and one partition of runs.
 CHUNK_BYTES, BUCKET_BYTES = 6_000_000, 8_000_000
-#: Entries of a container that bursts, of a trie that spills, and bits of the third word that spread a pair.
-BURST, FULL, SPREAD = 2_048, 800_000, 64
+#: Entries of a container that bursts, containers that it bursts into, entries of a trie that spills, and shares of
+#: third words that spread a pair.
+BURST, HYBRIDS, FULL, SPREAD = 16_384, 16, 1_000_000, 64
 _DEALT = pa.schema([("key", pa.int64()), ("chunk", pa.int64()), ("payload", pa.binary())])
 _DEALT_DDL = "key bigint, chunk bigint, payload binary"
 _RUNS_DDL = "part bigint, payload binary"
@@ -44,15 +46,16 @@ _COUNTS = pa.schema([*((c, pa.int64()) for c in ("w1", "w2", "w3", "f")), ("lang
 
 
 class HatTrie:
-    """Counts of word sequences (first, rest): first words above containers of the rest.
+    """Counts of word sequences (first, rest): first words above hash containers of the rest.
 
-    ``rest`` is one number, second * base + third (third 0 where there is none), with words from 1 and below base.
+    ``rest`` is one number, second * base + third (third 0 where there is none), with words from 1 and below base. A
+    container that grows bursts into hybrid ones, each of a share of the second words.
     """
 
     def __init__(self, base: int, burst: int = BURST, full: int = FULL):
         self.base, self.burst, self.full = base, burst, full
         self.containers: dict[int, Counter] = {}
-        self.levels: dict[int, dict[int, Counter]] = {}
+        self.levels: dict[int, list[Counter]] = {}
         self.sizes: Counter = Counter()
         self.entries = 0
         self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -62,62 +65,63 @@ class HatTrie:
         order = np.argsort(first, kind="stable")
         first, rest = first[order], rest[order]
         cuts = np.flatnonzero(np.diff(first)) + 1
-        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(first)], strict=True):
-            if lo < hi:
-                self._insert(int(first[lo]), rest[lo:hi])
-                if self.entries > self.full:
-                    self._make_room()
-
-    def _insert(self, word: int, rest: np.ndarray) -> None:
-        level = self.levels.get(word)
-        if level is None:
-            container = self.containers.setdefault(word, Counter())
-            before = len(container)
-            container.update(rest.tolist())
-            self._grown(word, len(container) - before)
-            if len(container) > self.burst:
-                level = self.levels[word] = {}
-                for r, n in self.containers.pop(word).items():
-                    level.setdefault(r // self.base, Counter())[r] = n
-            return
-        seconds = rest // self.base
-        order = np.argsort(seconds, kind="stable")
-        seconds, rest = seconds[order], rest[order]
-        cuts = np.flatnonzero(np.diff(seconds)) + 1
-        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rest)], strict=True):
-            container = level.setdefault(int(seconds[lo]), Counter())
+        bounds = [0, *cuts.tolist(), len(first)]
+        rests = rest.tolist()
+        for lo, hi, word in zip(bounds[:-1], bounds[1:], first[[0, *cuts]].tolist() if len(first) else [], strict=False):
+            grown = self._burst_insert(word, rest[lo:hi]) if word in self.levels else self._insert(word, rests[lo:hi])
+            self.sizes[word] += grown
+            self.entries += grown
+            if self.entries > self.full:
+                self._make_room()
+
+    def _insert(self, word: int, rests: list[int]) -> int:
+        container = self.containers.get(word)
+        if container is None:
+            container = self.containers[word] = Counter()
+        before = len(container)
+        container.update(rests)
+        grown = len(container) - before
+        if len(container) > self.burst:
+            level = self.levels[word] = [Counter() for _ in range(HYBRIDS)]
+            for r, n in self.containers.pop(word).items():
+                level[r // self.base % HYBRIDS][r] = n
+        return grown
+
+    def _burst_insert(self, word: int, rest: np.ndarray) -> int:
+        share, grown = rest // self.base % HYBRIDS, 0
+        for k, container in enumerate(self.levels[word]):
             before = len(container)
-            container.update(rest[lo:hi].tolist())
-            self._grown(word, len(container) - before)
-
-    def _grown(self, word: int, n: int) -> None:
-        self.sizes[word] += n
-        self.entries += n
+            container.update(rest[share == k].tolist())
+            grown += len(container) - before
+        return grown
 
     def _make_room(self) -> None:
         """Spill whole subtrees, the largest first, until half of the room is free."""
-        for word, _ in self.sizes.most_common():
-            if self.entries <= self.full // 2:
+        words, left = [], self.entries
+        for word, n in self.sizes.most_common():
+            if left <= self.full // 2:
                 break
-            self._spill(word)
-
-    def _spill(self, word: int) -> None:
-        inner = self.levels.pop(word, None)
-        containers = [self.containers.pop(word)] if inner is None else list(inner.values())
-        n = sum(map(len, containers))
-        rest = np.fromiter((r for c in containers for r in c), np.int64, n)
-        counts = np.fromiter((k for c in containers for k in c.values()), np.int64, n)
-        order = np.argsort(rest)
-        self.runs.append((np.full(n, word, np.int64), rest[order], counts[order]))
-        self.entries -= self.sizes.pop(word)
-
-    def drain(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All runs, what is left as the last of them: first, rest and count; a phrase may come once a run."""
-        for word in list(self.sizes):
-            self._spill(word)
-        none = np.zeros(0, np.int64)
-        runs, self.runs = self.runs or [(none, none, none)], []
-        return tuple(np.concatenate(x) for x in zip(*runs, strict=True))
+            words.append(word)
+            left -= n
+        self._spill(words)
+
+    def _spill(self, words: list[int]) -> None:
+        """One sorted run of whole subtrees."""
+        containers = [[self.containers.pop(w)] if w in self.containers else self.levels.pop(w) for w in words]
+        flat = [c for own in containers for c in own]
+        sizes = [sum(map(len, own)) for own in containers]
+        rest = np.fromiter(chain.from_iterable(flat), np.int64, sum(sizes))
+        counts = np.fromiter(chain.from_iterable(c.values() for c in flat), np.int64, sum(sizes))
+        first = np.repeat(np.array(words, np.int64), sizes)
+        order = np.lexsort((rest, first)) if self.base >= 1 << 21 else np.argsort(first * (self.base * self.base) + rest)
+        self.runs.append((first[order], rest[order], counts[order]))
+        self.entries -= sum(self.sizes.pop(w) for w in words)
+
+    def drain(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """All runs, what is left as the last of them: first, rest and count, in order; a phrase may come once a run."""
+        self._spill(list(self.sizes))
+        runs, self.runs = self.runs, []
+        return iter(runs)
 
 
 class _Chunk:
@@ -276,20 +280,21 @@ def _runs(dealt: DataFrame, ids: DataFrame, parts: int) -> DataFrame:
         for payload in docs.column("payload").to_pylist():
             flat = unpack_ints(payload)
             s = np.concatenate([np.where(flat < len(local), local[np.minimum(flat, len(local) - 1)], 0), [0, 0]])
-            for at in range(0, len(s) - 2, 200_000):
-                one, two, three = s[at : at + 200_000], s[at + 1 : at + 200_001], s[at + 2 : at + 200_002]
+            for at in range(0, len(s) - 2, 2_000_000):
+                one, two, three = s[at : at + 2_000_000], s[at + 1 : at + 2_000_001], s[at + 2 : at + 2_000_002]
                 n = min(len(one), len(three))
                 one, two, three = one[:n], two[:n], three[:n]
                 pair = (one > 0) & (two > 0)
                 triple = pair & (three > 0)
                 trie.add(np.concatenate([one[pair], one[triple]]), np.concatenate([two[pair] * trie.base, two[triple] * trie.base + three[triple]]))
-        first, rest, counts = trie.drain()
-        w1, w2, w3 = names[first], names[rest // trie.base], names[rest % trie.base]
-        part = prefix_partition(w1, w2, w3, parts)
-        order = np.lexsort((w3, w2, w1, part))
-        w1, w2, w3, counts, part = (x[order] for x in (w1, w2, w3, counts, part))
-        cuts = np.flatnonzero(np.diff(part)) + 1
-        out = [(int(part[lo]), _pack_run(w1[lo:hi], w2[lo:hi], w3[lo:hi], counts[lo:hi])) for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(part)], strict=True) if lo < hi]
+        out = []
+        for first, rest, counts in trie.drain():
+            w1, w2, w3 = names[first], names[rest // trie.base], names[rest % trie.base]
+            part = prefix_partition(w1, w2, w3, parts)
+            order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
+            w1, w2, w3, counts, part = (x[order] for x in (w1, w2, w3, counts, part))
+            cuts = np.flatnonzero(np.diff(part)) + 1
+            out += [(int(part[lo]), _pack_run(w1[lo:hi], w2[lo:hi], w3[lo:hi], counts[lo:hi])) for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(part)], strict=True) if lo < hi]
         return pa.Table.from_arrays([pa.array([p for p, _ in out], pa.int64()), pa.array([b for _, b in out], pa.binary())], schema=schema)
 
     return dealt.groupBy("key").cogroup(ids.groupBy("key")).applyInArrow(count, _RUNS_DDL)
@@ -312,7 +317,9 @@ def _unpack_run(blob: bytes) -> np.ndarray:
 
 def _added(entries: np.ndarray) -> np.ndarray:
     """Sorted entries, counts of equal phrases added up."""
-    entries = entries[:, np.lexsort((entries[2], entries[1], entries[0]))]
+    small = entries.shape[1] and entries[:3].max() < 1 << 21  # then a phrase is one number
+    order = np.argsort((entries[0] << 42) | (entries[1] << 21) | entries[2]) if small else np.lexsort((entries[2], entries[1], entries[0]))
+    entries = entries[:, order]
     fresh = np.concatenate([[True], (np.diff(entries[:3], axis=1) != 0).any(axis=0)]) if entries.shape[1] else np.zeros(0, bool)
     starts = np.flatnonzero(fresh)
     return np.concatenate([entries[:3, starts], np.add.reduceat(entries[3], starts)[None, :]]) if len(starts) else entries

@@ -86,19 +86,22 @@ def test_repeats_many_texts_with_one_line(spark, monkeypatch):
     assert all((260 <= w[1] < 280) == (k % 2 == 0) for k, w in enumerate(want))  # neighbours of the line may be equal by chance
 
 
-def test_anchors_of_parts_and_of_equal_strings():
+def test_runs_of_parts_and_of_equal_strings():
     rng = np.random.default_rng(0)
     raw = rng.integers(0, 4, 4000).astype(np.uint8)
-    raw[3000:3500] = raw[100:600]
-    places, hashes = repeats.anchors(raw, 200)
-    kept, repeats.PART = repeats.PART, 333
-    try:
-        assert [x.tolist() for x in repeats.anchors(raw, 200)] == [places.tolist(), hashes.tolist()]
-    finally:
-        repeats.PART = kept
-    for s in (100, 250, 400):  # the anchors of a string are where its twin has them
-        own, twin = (places[(places >= at) & (places <= at + 136)] - at for at in (s, s + 2900))
-        assert set(own.tolist()) & set(twin.tolist())
+    raw[3000:3500], raw[1000:1600] = raw[100:600], 7
+
+    def keys(part):
+        kept, repeats.PART = repeats.PART, part
+        try:
+            found = [x.tolist() for x in repeats.runs_of(raw, 200)[:3]]
+        finally:
+            repeats.PART = kept
+        return {s: k for k, a, b in zip(*found, strict=True) for s in range(a, b)}
+
+    whole = keys(2_000_000)
+    assert sorted(whole) == list(range(3801)) and whole == keys(333)
+    assert [whole[s] for s in range(100, 401)] == [whole[s] for s in range(3000, 3301)]
 
 
 def test_suffix_order():
@@ -106,7 +109,10 @@ def test_suffix_order():
     for _ in range(300):
         raw = rng.integers(0, int(rng.integers(1, 4)), int(rng.integers(0, 200))).astype(np.uint8) * 100
         blob = raw.tobytes()
-        assert repeats.suffix_order(raw, len(raw) + 8).tolist() == sorted(range(len(raw)), key=lambda k: blob[k:])  # noqa: B023
+        order = sorted(range(len(raw)), key=lambda k: blob[k:])  # noqa: B023
+        assert repeats.suffix_order(raw, len(raw) + 8).tolist() == order
+        wanted = rng.random(len(raw)) < rng.random()
+        assert repeats.suffix_order(raw, len(raw) + 8, wanted).tolist() == [k for k in order if wanted[k]]
 
 
 def test_empty_tables(spark):
@@ -162,10 +168,13 @@ def test_trie_bursts_and_spills():
     trie = collocations.HatTrie(31, burst=20, full=3_000)
     for at in range(0, 20_000, 1_500):
         trie.add(first[at : at + 1_500], second[at : at + 1_500] * 31 + third[at : at + 1_500])
-    assert len(trie.runs) > 30 and trie.levels  # subtrees were spilled before the end
+    assert len(trie.runs) > 2 and trie.levels  # subtrees were spilled before the end
     total = Counter()
-    for w, r, n in zip(*(x.tolist() for x in trie.drain()), strict=True):
-        total[w, r // 31, r % 31] += n
+    for run in trie.drain():
+        keys = list(zip(*(x.tolist() for x in run[:2]), strict=True))
+        assert keys == sorted(set(keys))
+        for (w, r), n in zip(keys, run[2].tolist(), strict=True):
+            total[w, r // 31, r % 31] += n
     assert total == Counter(zip(first.tolist(), second.tolist(), third.tolist(), strict=True)) and not trie.entries
 
 
