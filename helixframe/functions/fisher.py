@@ -2,21 +2,39 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Logarithms of the factorials of 0 to 15; beyond, the series of Stirling is exact to the last digit.
+_LOG_FACTORIALS = [math.lgamma(n + 1) for n in range(16)]
+
+
+def log_factorial(n: Column) -> Column:
+    m = F.greatest(n, F.lit(1.0))
+    series = m * F.log(m) - m + 0.5 * F.log(2 * math.pi * m) + 1 / (12 * m) - 1 / (360 * m * m * m) + 1 / (1260 * m * m * m * m * m)
+    return F.when(n < 16, F.get(F.array(*map(F.lit, _LOG_FACTORIALS)), n.cast("int"))).otherwise(series)
 
 
 def fisher_exact(a, b, c, d) -> Column:
     """Two-sided p of the table [[a, b], [c, d]]: the sum over tables with the same margins that are no likelier.
 
-    Weights of the possible tables relative to the given one follow from the ratio of neighbouring
-    hypergeometric terms, upwards and downwards from it, so the work is linear in the smaller margin and
-    nothing overflows. Null for a negative or null count.
+    Weights of the possible tables relative to the given one follow from the ratio of neighbouring hypergeometric
+    terms, upwards and downwards from it, as far as 12 standard deviations (and 30) beyond the most likely table,
+    where nothing is left to add; so the work grows with the root of the depth. A given table that lies further out
+    has its own probability from logarithms of factorials, and only the tail behind it is added. Null for a negative
+    or null count.
     """
     a, b, c, d = (F.col(x) if isinstance(x, str) else x for x in (a, b, c, d))
     a, b, c, d = (x.cast("double") for x in (a, b, c, d))
+    n, row, column = a + b + c + d, a + b, a + c
+    mode = F.floor((row + 1) * (column + 1) / (n + 2))
+    some = F.greatest(n, F.lit(2.0))
+    spread = F.sqrt(row / some * ((c + d) / some) * column * ((b + d) / (some - 1)))
+    reach = F.coalesce(F.ceil(12 * spread), F.lit(0)) + 30
+    far = F.abs(a - mode) > reach
 
     def walk(steps: Column, up: bool) -> Column:
         def term(acc: Column, k: Column) -> Column:
@@ -28,8 +46,12 @@ def fisher_exact(a, b, c, d) -> Column:
         start = F.struct(F.lit(0.0).alias("log"), F.lit(0.0).alias("all"), F.lit(0.0).alias("tail"))
         return F.aggregate(F.when(steps > 0, F.sequence(F.lit(1), steps.cast("int"))).otherwise(F.array().cast("array<int>")), start, term)
 
-    up, down = walk(F.least(b, c), True), walk(F.least(a, d), False)
-    p = (1.0 + up["tail"] + down["tail"]) / (1.0 + up["all"] + down["all"])
+    # Far out, only the side away from the most likely table is walked.
+    upward = F.when(far, F.when(a > mode, reach).otherwise(0)).otherwise(mode + reach - a)
+    downward = F.when(far, F.when(a < mode, reach).otherwise(0)).otherwise(a - mode + reach)
+    up, down = walk(F.least(b, c, upward), True), walk(F.least(a, d, downward), False)
+    own = sum((log_factorial(x) for x in (row, c + d, column, b + d)), F.lit(0.0)) - sum((log_factorial(x) for x in (n, a, b, c, d)), F.lit(0.0))
+    p = F.when(far, F.exp(own) * (1.0 + up["tail"] + down["tail"])).otherwise((1.0 + up["tail"] + down["tail"]) / (1.0 + up["all"] + down["all"]))
     return F.when((a >= 0) & (b >= 0) & (c >= 0) & (d >= 0), F.least(F.lit(1.0), p))
 
 

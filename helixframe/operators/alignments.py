@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from helixframe.operators.callers import with_fisher
 from helixframe.operators.relational import interval_join
 
-_CIGAR = re.compile(r"(\d+)([MIDNSHP=X])")
-
 
 def tag_read_group(reads: DataFrame, rgid: str, sample: str, library: str = "", platform: str = "ILLUMINA", unit: str = "") -> DataFrame:
     return reads.withColumns({n: F.lit(v) for n, v in (("RGID", rgid), ("RGSM", sample), ("RGLB", library), ("RGPL", platform), ("RGPU", unit))})
@@ -48,11 +42,56 @@ def mark_duplicates(reads: DataFrame, quality: str = "qual_sum", keys: tuple[str
 
     The best of each group is found by an aggregate that merges on the map side, so a pile of copies is no hot task.
     """
-    best = reads.groupBy(*keys).agg(F.max_by(tie, F.struct(F.col(quality), F.negative(F.col(tie)) if dict(reads.dtypes)[tie] in ("int", "bigint") else F.lit(0))).alias("_best"))
+    best = reads.groupBy(*keys).agg(F.min_by(tie, F.struct(F.negative(F.col(quality)), tie)).alias("_best"))
     again = F.row_number().over(Window.partitionBy(*keys, tie).orderBy(F.desc(quality)))  # rows that share a name
     return reads.join(best, list(keys)).withColumn("duplicate", (F.col(tie) != F.col("_best")) | (again > 1)).drop("_best")
 
 
+#: Flag bits of a read that is unmapped, secondary or supplementary, and of the two reads of a pair.
+NO_END, FIRST, SECOND = 0x4 | 0x100 | 0x800, 0x40, 0x80
+
+
+def quality_sum(qual, least: int = 15):
+    """Sum of a read's base qualities of at least ``least``."""
+    codes = F.transform(F.split(qual, ""), lambda c: F.ascii(c) - 33)
+    return F.aggregate(F.filter(codes, lambda q: q >= least), F.lit(0).cast("bigint"), lambda a, q: a + q)
+
+
+def fragments(reads: DataFrame, quality: str = "qual_sum") -> DataFrame:
+    """A row a name: both 5' ends (contig, five_prime, reverse) in order, the sum of qualities, and whether both reads of a pair are placed.
+
+    One aggregate by name. ``reads`` has name, flag, contig, five_prime and reverse; secondary, supplementary and
+    unmapped rows are no ends, and rows that repeat a read count once.
+    """
+    placed = reads.where(F.col("flag").bitwiseAND(F.lit(NO_END)) == 0)
+    end, bit = F.struct("contig", "five_prime", "reverse"), lambda b: F.col("flag").bitwiseAND(F.lit(b)) != 0
+    best = lambda b: F.max(F.when(bit(b), F.col(quality)))
+    paired = F.count_if(bit(FIRST) & ~bit(SECOND)).alias("_first"), F.count_if(bit(SECOND) & ~bit(FIRST)).alias("_second")
+    ends = placed.groupBy("name").agg(F.min(end).alias("one"), F.max(end).alias("two"), *paired, best(FIRST).alias("_q1"), best(SECOND).alias("_q2"), F.max(quality).alias("_q"))
+    pair = (F.col("_first") > 0) & (F.col("_second") > 0)
+    return ends.select("name", "one", F.when(pair, F.col("two")).alias("two"), pair.alias("paired"), F.when(pair, F.col("_q1") + F.col("_q2")).otherwise(F.col("_q")).alias("quality"))
+
+
+def mark_fragment_duplicates(reads: DataFrame, quality: str = "qual_sum") -> DataFrame:
+    """Adds ``duplicate`` by fragment: of pairs with the same two ends, and of single reads with the same end, all but the best.
+
+    The best has the highest sum of qualities, of equals the least name; a single read at an end of any pair is a
+    duplicate. All placed rows of a fragment are told alike (secondary and supplementary ones too), unmapped ones
+    never, nor rows without a name. The best are found by aggregates, and singles meet pairs' ends by place, so a pile of
+    copies is no hot group.
+    """
+    found = fragments(reads.where("name is not null"), quality)
+    pairs, singles = found.where("paired"), found.where("not paired")
+    best = lambda df, keys: df.groupBy(*keys).agg(F.min_by("name", F.struct(F.negative("quality"), "name")).alias("_best"))
+    later = pairs.join(best(pairs, ["one", "two"]), ["one", "two"]).where("name <> _best").select("name")
+    taken = pairs.select(F.explode(F.array("one", "two")).alias("one")).distinct().withColumn("_taken", F.lit(True))
+    ends = best(singles, ["one"]).join(taken, "one", "left")
+    alone = singles.join(ends, "one").where(F.col("_taken").isNotNull() | (F.col("name") != F.col("_best"))).select("name")
+    gone = later.unionByName(alone).withColumn("_gone", F.lit(True))
+    placed = F.col("flag").bitwiseAND(F.lit(4)) == 0
+    return reads.join(gone, "name", "left").withColumn("duplicate", F.col("_gone").isNotNull() & placed).select(*reads.columns, "duplicate")
+
+
 def duplicate_metrics(marked: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     return marked.groupBy(*keys).agg(F.count("*").alias("reads"), F.count_if("duplicate").alias("duplicates"), (F.count_if("duplicate") / F.count("*")).alias("share"))
 
@@ -80,50 +119,6 @@ def depth(reads: DataFrame, intervals: DataFrame | None = None, contig: str = "c
     return interval_join(rows.withColumns({"start": F.col("position"), "end": F.col("position")}), intervals, how="semi", contig=contig).drop("start", "end")
 
 
-def walk(pos: int, cigar: str, seq: str) -> Iterator[tuple[str, int, int, int]]:
-    """(operation, reference position, offset in the read, length) of each CIGAR step."""
-    ref, read = pos, 0
-    for n, op in _CIGAR.findall(cigar or ""):
-        n = int(n)
-        yield op, ref, read, n
-        if op in "M=XDN":
-            ref += n
-        if op in "M=XIS":
-            read += n
-
-
-def haplotype(pos: int, cigar: str, seq: str, start: int, length: int) -> str:
-    """The read's bases at ``length`` reference positions from ``start``: * for a deletion, insertions in small letters; '' if it doesn't reach."""
-    out, covered = [], 0
-    for op, ref, read, n in walk(pos, cigar, seq):
-        if op in "M=X":
-            lo, hi = max(ref, start), min(ref + n, start + length)
-            if lo < hi:
-                out.append(seq[read + lo - ref : read + hi - ref])
-                covered += hi - lo
-        elif op == "D":
-            k = min(ref + n, start + length) - max(ref, start)
-            if k > 0:
-                out.append("*" * k)
-                covered += k
-        elif op == "I" and start < ref < start + length:
-            out.append(seq[read : read + n].lower())
-    return "".join(out) if covered == length else ""
-
-
-def haplotype_support(candidates: DataFrame, reads: DataFrame, least: int = 3) -> DataFrame:
-    """Reads of each candidate (contig, start, end, ref, alt) whose bases there are its ref or its alt; those with more than ``least`` mutant reads."""
-
-    @F.pandas_udf(T.StringType())
-    def cut(pos: pd.Series, cigar: pd.Series, seq: pd.Series, start: pd.Series, length: pd.Series) -> pd.Series:
-        return pd.Series([haplotype(*x) for x in zip(pos, cigar, seq, start, length, strict=True)])
-
-    spans = reads.withColumns({"start": F.col("pos"), "end": F.col("pos") + reference_length(F.col("cigar")) - 1}).select("contig", "start", "end", "pos", "cigar", "seq")
-    pairs = interval_join(candidates, spans).withColumn("found", cut("r_pos", "r_cigar", "r_seq", "start", (F.col("end") - F.col("start") + 1).cast("int")))
-    counts = pairs.groupBy(*candidates.columns).agg(F.count_if(F.col("found") == F.col("ref")).alias("ref_reads"), F.count_if(F.col("found") == F.col("alt")).alias("alt_reads"))
-    return counts.where(F.col("alt_reads") > least)
-
-
 def cigar_steps(pos, cigar):
     """Array of struct(op, ref, read, n): each step of a CIGAR with its reference position and offset in the read."""
     ops = F.regexp_extract_all(cigar, F.lit(r"\d+([MIDNSHP=X])"), F.lit(1))
@@ -140,36 +135,123 @@ def cigar_steps(pos, cigar):
     return F.aggregate(pairs, start, on, lambda s: s["steps"])
 
 
-def read_bases(reads: DataFrame, min_quality: int = 13) -> DataFrame:
-    """A row for each aligned base of at least the quality, and each deleted one (*): contig, position, base, quality, and what metrics need of the read."""
+def haplotype(pos, cigar, seq, start, length):
+    """A read's bases at ``length`` reference positions from ``start``: * for a deletion, insertions in small letters; '' if it doesn't reach."""
+    end = start + length
+
+    def part(s):
+        lo, n = F.greatest(s["ref"], start), F.least(s["ref"] + s["n"], end) - F.greatest(s["ref"], start)
+        inside = n > 0
+        bases = F.when(s["op"].isin("M", "=", "X") & inside, F.substring(seq, (s["read"] + lo - s["ref"] + 1).cast("int"), n.cast("int")))
+        gap = F.when((s["op"] == "D") & inside, F.repeat(F.lit("*"), n.cast("int")))
+        inserted = F.when((s["op"] == "I") & (s["ref"] > start) & (s["ref"] < end), F.lower(F.substring(seq, s["read"] + 1, s["n"])))
+        covered = F.when(s["op"].isin("M", "=", "X", "D") & inside, n).otherwise(0)
+        return F.struct(F.coalesce(bases, gap, inserted, F.lit("")).alias("text"), covered.cast("bigint").alias("covered"))
+
+    parts = F.transform(cigar_steps(pos, cigar), part)
+    whole = F.aggregate(parts, F.struct(F.lit("").alias("text"), F.lit(0).cast("bigint").alias("covered")), lambda a, x: F.struct(F.concat(a["text"], x["text"]).alias("text"), (a["covered"] + x["covered"]).alias("covered")))
+    return F.when(whole["covered"] == length, whole["text"]).otherwise("")
+
+
+def haplotype_support(candidates: DataFrame, reads: DataFrame, least: int = 3) -> DataFrame:
+    """Reads of each candidate (contig, start, end, ref, alt) whose bases there are its ref or its alt; those with more than ``least`` mutant reads."""
+    spans = reads.withColumns({"start": F.col("pos"), "end": F.col("pos") + reference_length(F.col("cigar")) - 1}).select("contig", "start", "end", "pos", "cigar", "seq")
+    pairs = interval_join(candidates, spans).withColumn("found", haplotype(F.col("r_pos"), F.col("r_cigar"), F.col("r_seq"), F.col("start"), F.col("end") - F.col("start") + 1))
+    counts = pairs.groupBy(*candidates.columns).agg(F.count_if(F.col("found") == F.col("ref")).alias("ref_reads"), F.count_if(F.col("found") == F.col("alt")).alias("alt_reads"))
+    return counts.where(F.col("alt_reads") > least)
+
+
+def read_bases(reads: DataFrame, min_quality: int = 13, marks: bool = False) -> DataFrame:
+    """A row for each aligned base of at least the quality, and each deleted one (*): contig, position, base, quality, and what metrics need of the read.
+
+    ``marks`` adds what a pileup shows beside the base, from the CIGAR step that follows its own: ``inserted`` (letters
+    after it), ``deleted`` (number of bases after it), ``head`` (the first base's mapping quality as a letter) and ``tail``.
+    """
     given = reads.where("seq is not null and cigar is not null and qual is not null").select(F.xxhash64(*reads.columns).alias("read_id"), "contig", "pos", "cigar", "seq", "qual", "flag", "mapq")
-    steps = given.withColumn("_s", F.explode(cigar_steps(F.col("pos"), F.col("cigar")))).where(F.col("_s.op").isin("M", "=", "X", "D") & (F.col("_s.n") > 0))
+    steps = given.withColumn("_steps", F.filter(cigar_steps(F.col("pos"), F.col("cigar")), lambda s: ~s["op"].isin("P", "H") & (s["n"] > 0)))
+    if marks:
+        placed = F.filter("_steps", lambda s: s["op"].isin("M", "=", "X", "D"))
+        steps = steps.withColumns({"_from": placed[0]["ref"], "_to": F.element_at(placed, -1)["ref"] + F.element_at(placed, -1)["n"] - 1})
+        steps = steps.withColumn("_steps", F.transform("_steps", lambda s, k: F.struct(s["op"].alias("op"), s["ref"].alias("ref"), s["read"].alias("read"), s["n"].alias("n"), F.get("_steps", k + 1).alias("next"))))
+    steps = steps.withColumn("_s", F.explode("_steps")).drop("_steps").where(F.col("_s.op").isin("M", "=", "X", "D"))
     rows = steps.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_s.n") - 1)))
     gap, at = F.col("_s.op") == "D", F.col("_s.read") + F.col("_i")
     code, reverse, n = F.ascii(F.substring("qual", at + 1, F.lit(1))), F.col("flag").bitwiseAND(F.lit(16)) != 0, F.length("seq")
     quality = F.when(gap | (code == 0), 0).otherwise(code - 33)
     place = at / F.greatest(n - 1, F.lit(1))
+    position = F.col("_s.ref") + F.col("_i")
     values = {
-        "position": F.col("_s.ref") + F.col("_i"), "base": F.when(gap, "*").otherwise(F.upper(F.substring("seq", at + 1, F.lit(1)))), "quality": quality, "reverse": reverse,
+        "position": position, "base": F.when(gap, "*").otherwise(F.upper(F.substring("seq", at + 1, F.lit(1)))), "quality": quality, "reverse": reverse,
         "read_pos": F.when(gap, 0.0).otherwise(1 - F.abs(2 * place - 1)), "read_len": n, "dist3": F.when(gap, 0.0).when(reverse, place).otherwise(1 - place),
     }
+    if marks:
+        last, follows = F.col("_i") == F.col("_s.n") - 1, F.col("_s.next.op")
+        values |= {
+            "inserted": F.when(last & (follows == "I"), F.upper(F.substring("seq", F.col("_s.next.read") + 1, F.col("_s.next.n")))).otherwise(""),
+            "deleted": F.when(last & (follows == "D") & ~gap, F.col("_s.next.n")).otherwise(0),
+            "head": F.when(position == F.col("_from"), F.char(F.least(F.coalesce("mapq", F.lit(0)) + 33, F.lit(126)))).otherwise(""), "tail": position == F.col("_to"),
+        }
     return rows.where(gap | (quality >= min_quality)).select("read_id", "contig", "mapq", *(v.alias(k) for k, v in values.items()))
 
 
-def build_pileup(reads: DataFrame, reference: DataFrame, min_quality: int = 13, max_depth: int | None = None, count_orphans: bool = False) -> DataFrame:
+def deleted_letters(deletions: DataFrame, reference: DataFrame) -> DataFrame:
+    """contig, position, deleted and letters: the reference bases after each distinct (contig, position, deleted); N where none is given."""
+    one = deletions.select("contig", "position", "deleted").where("deleted > 0").distinct()
+    places = one.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("deleted")))).withColumn("_at", F.col("position") + F.col("_i"))
+    bases = reference.select(F.col("contig").alias("_c"), F.col("position").alias("_p"), F.upper("ref").alias("_ref"))
+    found = places.join(bases, (F.col("contig") == F.col("_c")) & (F.col("_at") == F.col("_p")), "left")
+    letters = F.array_sort(F.collect_list(F.struct("_i", F.coalesce("_ref", F.lit("N")).alias("_ref"))))
+    return found.groupBy("contig", "position", "deleted").agg(F.array_join(F.transform(letters, lambda x: x["_ref"]), "").alias("letters"))
+
+
+def deepest(counted: DataFrame, order: list, most: int, salts: int = 16) -> DataFrame:
+    """Of rows that stand for ``n`` bases of a locus, those that hold its first ``most`` bases in the order, ``n`` cut to fit.
+
+    First within (locus, salt), then within the locus. A row has a base at least, so ranks beyond ``most`` are
+    dropped before either shuffle, and no task holds more than ``most`` rows a locus and salt.
+    """
+    columns = counted.columns
+    out = counted.withColumn("_salt", F.pmod(F.xxhash64(*(c for c in columns if c not in ("contig", "position", "n"))), F.lit(salts)))
+    for keys in (["contig", "position", "_salt"], ["contig", "position"]):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        out = out.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= most)
+        out = out.withColumn("_before", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).where(F.col("_before") < most)
+    return out.withColumn("n", F.least(F.col("n"), most - F.col("_before"))).select(columns)
+
+
+def build_pileup(reads: DataFrame, reference: DataFrame, min_quality: int = 13, max_depth: int | None = None, count_orphans: bool = False, marks: bool = True, base_alignment_quality: bool = True) -> DataFrame:
     """Pileup lines of reads against reference bases (contig, position, ref); unpaired reads only if asked for.
 
-    All bases are kept, the best quality first; ``max_depth``, if given, keeps the first of them.
+    All bases are kept, the best quality first; ``max_depth``, if given, keeps the first of them. With ``marks`` lines
+    show insertions and deletions after the base before them, and where reads begin and end. Qualities are lowered by
+    base alignment quality first, unless switched off. Equal bases of a locus are counted before anything is collected,
+    so a line is put together from its distinct ones, and the reference is joined by locus, not by base.
     """
+    from helixframe.operators.realign import lower_qualities
+
     usable = reads.where(F.col("flag").bitwiseAND(F.lit(4)) == 0)
     usable = usable if count_orphans else usable.where((F.col("flag").bitwiseAND(F.lit(1)) == 0) | (F.col("flag").bitwiseAND(F.lit(2)) != 0))
-    bases = read_bases(usable, min_quality).join(reference, ["contig", "position"])
-    match = F.col("base") == F.upper("ref")
-    symbol = F.when(F.col("base") == "*", "*").when(match, F.when(F.col("reverse"), ",").otherwise(".")).otherwise(F.when(F.col("reverse"), F.lower("base")).otherwise(F.col("base")))
-    listed = F.array_sort(F.collect_list(F.struct(F.negative("quality").alias("_q"), "base", "reverse", symbol.alias("s"), F.char(F.col("quality") + 33).alias("q"))))
-    rows = bases.groupBy("contig", "position", "ref").agg(listed.alias("l"))
-    rows = rows.withColumn("l", F.slice("l", 1, max_depth)) if max_depth else rows
-    return rows.select("contig", "position", "ref", F.size("l").alias("depth"), F.array_join(F.transform("l", lambda x: x["s"]), "").alias("bases"), F.array_join(F.transform("l", lambda x: x["q"]), "").alias("quals"))
+    usable = lower_qualities(usable, reference) if base_alignment_quality else usable
+    order = ["base", "reverse", *(("inserted", "deleted", "head", "tail") if marks else ())]
+    counted = read_bases(usable, min_quality, marks).groupBy("contig", "position", F.negative("quality").alias("_q"), *order).agg(F.count("*").alias("n"))
+    counted = deepest(counted, ["_q", *order], max_depth) if max_depth else counted
+    lines = counted.groupBy("contig", "position").agg(F.sum("n").cast("int").alias("depth"), F.array_sort(F.collect_list(F.struct("_q", *order, "n"))).alias("_l"))
+    lines = lines.join(reference.select("contig", "position", "ref"), ["contig", "position"])
+    cased = lambda x, text: F.when(x["reverse"], F.lower(text)).otherwise(F.upper(text))
+    if marks:
+        gone = deleted_letters(counted, reference).groupBy("contig", "position").agg(F.map_from_entries(F.collect_list(F.struct("deleted", "letters"))).alias("_gone"))
+        lines = lines.join(gone, ["contig", "position"], "left")
+
+    def symbol(x):
+        own = F.when(x["base"] == "*", "*").when(x["base"] == F.upper("ref"), F.when(x["reverse"], ",").otherwise(".")).otherwise(cased(x, x["base"]))
+        if not marks:
+            return own
+        inserted = F.when(x["inserted"] != "", F.concat(F.lit("+"), F.length(x["inserted"]).cast("string"), cased(x, x["inserted"]))).otherwise("")
+        deleted = F.when(x["deleted"] > 0, F.concat(F.lit("-"), x["deleted"].cast("string"), cased(x, F.col("_gone")[x["deleted"]]))).otherwise("")
+        return F.concat(F.when(x["head"] != "", F.concat(F.lit("^"), x["head"])).otherwise(""), own, inserted, deleted, F.when(x["tail"], "$").otherwise(""))
+
+    text = lambda item: F.array_join(F.transform("_l", lambda x: F.repeat(item(x), x["n"].cast("int"))), "")
+    return lines.select("contig", "position", "ref", "depth", text(symbol).alias("bases"), text(lambda x: F.char(33 - x["_q"])).alias("quals"))
 
 
 def allele_metrics(reads: DataFrame, positions: DataFrame, min_quality: int = 0, reference: DataFrame | None = None) -> DataFrame:
@@ -230,37 +312,34 @@ def split_spliced(reads: DataFrame, from_mapq: int = 255, to_mapq: int = 60) ->
 SCALES = {"sanger": 33, "solexa": 64, "illumina": 64}
 
 
-def trim_cuts(qual: str, offset: int = 33, min_mean: float = 20, min_length: int = 20) -> tuple[int, int]:
-    """The stretch kept by sliding windows of a tenth of the read: from the first with a good mean to the first without; (0, 0) if too short."""
-    q = [ord(c) - offset for c in qual or ""]
-    size = max(1, len(q) // 10) if q else 1
-    start, total, began = 0, sum(q[:size]), False
-    end = len(q)
-    for at in range(len(q) - size + 1):
-        good = total / size >= min_mean
-        if good and not began:
-            began = True
-            start = next((k for k in range(at, at + size) if q[k] >= min_mean), at)
-        elif began and not good:
-            end = next((k for k in range(at, at + size) if q[k] < min_mean), at)
-            break
-        if at + size < len(q):
-            total += q[at + size] - q[at]
-    return (start, end) if began and end - start >= min_length else (0, 0)
+def trim_cuts(df: DataFrame, qual: str, into: str, offset: int = 33, min_mean: float = 20, min_length: int = 20) -> DataFrame:
+    """Adds ``into``, a struct of start and end: the stretch of qualities kept by sliding windows of a tenth of the read.
+
+    It goes from the first good quality of the first window with a good mean to the first bad one of the next window
+    without; (0, 0) if too short. Window sums are differences of running sums.
+    """
+    q = F.transform(F.filter(F.split(F.col(qual), ""), lambda c: c != ""), lambda c: (F.ascii(c) - offset).cast("double"))
+    df = df.withColumn("_q", F.coalesce(q, F.array().cast("array<double>"))).withColumn("_n", F.greatest(F.floor(F.size("_q") / 10).cast("int"), F.lit(1)))
+    sums = F.aggregate("_q", F.array(F.lit(0.0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    windows = F.when(F.size("_q") > 0, F.sequence(F.lit(0), F.size("_q") - F.col("_n"))).otherwise(F.array().cast("array<int>"))
+    df = df.withColumn("_sums", sums).withColumn("_good", F.transform(windows, lambda k: (F.get("_sums", k + F.col("_n")) - F.get("_sums", k)) / F.col("_n") >= min_mean))
+    first = F.array_position("_good", True) - 1
+    df = df.withColumn("_first", first.cast("int")).withColumn("_bad", F.when(F.col("_first") >= 0, F.array_position(F.slice("_good", F.col("_first") + 1, F.greatest(F.size("_good") - F.col("_first"), F.lit(0))), False)).otherwise(0).cast("int"))
+    within = lambda at, hit: F.array_position(F.transform(F.slice("_q", at + 1, F.col("_n")), hit), True)
+    start = F.col("_first") + F.greatest(within(F.greatest(F.col("_first"), F.lit(0)), lambda x: x >= min_mean) - 1, F.lit(0))
+    stop = F.col("_first") + F.col("_bad") - 1  # the first window without a good mean
+    end = F.when(F.col("_bad") > 0, stop + F.greatest(within(F.greatest(stop, F.lit(0)), lambda x: x < min_mean) - 1, F.lit(0))).otherwise(F.size("_q"))
+    kept = (F.col("_first") >= 0) & (end - start >= min_length)
+    cut = F.struct(F.when(kept, start).otherwise(0).cast("int").alias("start"), F.when(kept, end).otherwise(0).cast("int").alias("end"))
+    return df.withColumn(into, cut).drop("_q", "_n", "_sums", "_good", "_first", "_bad")
 
 
 def trim_pairs(pairs: DataFrame, scale: str = "sanger", min_mean: float = 20, min_length: int = 20) -> DataFrame:
     """Pairs (name, seq1, qual1, seq2, qual2) trimmed, and their route: pe, single1, single2 or dropped."""
-    offset = SCALES[scale]
-
-    @F.pandas_udf("start int, end int")
-    def cuts(qual: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([trim_cuts(q, offset, min_mean, min_length) for q in qual], columns=["start", "end"])
-
     out = pairs
     for k in "12":
-        out = out.withColumn(f"c{k}", cuts(f"qual{k}"))
+        out = trim_cuts(out, f"qual{k}", f"c{k}", SCALES[scale], min_mean, min_length)
         for c in ("seq", "qual"):
             out = out.withColumn(f"{c}{k}", F.substring(F.col(f"{c}{k}"), F.col(f"c{k}.start") + 1, F.col(f"c{k}.end") - F.col(f"c{k}.start")))
-    one, two = F.length("seq1") > 0, F.length("seq2") > 0
+    one, two = F.coalesce(F.length("seq1"), F.lit(0)) > 0, F.coalesce(F.length("seq2"), F.lit(0)) > 0
     return out.withColumn("route", F.when(one & two, "pe").when(one, "single1").when(two, "single2").otherwise("dropped")).drop("c1", "c2")

@@ -93,6 +93,20 @@ def consensus(calls: DataFrame, min_hits: int = 2, max_hits: int | None = None,
     return with_fisher(kept) if test else kept
 
 
+def record_tables(records: DataFrame) -> dict[str, DataFrame]:
+    """Records of ``consensus`` (or rows joined to them) as one table for each content, by the key.
+
+    ``combined`` has hits, counts and p; ``raw`` a row for each source with its own counts; ``rna``, where records have
+    RNA evidence, its columns, only of records with some.
+    """
+    tests = [c for c in ("hits", *COUNTS, "pvalue") if c in records.columns]
+    tables = {"combined": records.select(*KEY, *tests), "raw": records.select(*KEY, F.explode("by_source").alias("source", "_c")).select(*KEY, "source", "_c.*")}
+    evidence = [c for c in records.columns if c.startswith("rna_")]
+    if evidence:
+        tables["rna"] = records.where(F.coalesce(*evidence).isNotNull()).select(*KEY, *evidence)
+    return tables
+
+
 def caller_matrix(calls: DataFrame, sources: list[str], min_share: float = 0.0) -> DataFrame:
     """One column a source with its count text, or NA; keys with more than ``min_share`` of all sources."""
     text = read_count_string(*(F.col(c) for c in ("tumor_supporting", "tumor_depth", "normal_supporting", "normal_depth")))

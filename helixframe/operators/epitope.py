@@ -16,13 +16,13 @@ def top_two_alleles(rows: DataFrame, keys: tuple[str, ...] = ("sample", "molecul
     return first.withColumn("place", F.row_number().over(order)).where("place <= 2").drop("ord")
 
 
-def attach_hla(rows: DataFrame, calls: DataFrame, sample: str = "sample") -> DataFrame:
-    """The sample's HLA calls as a map from molecule to alleles.
+def attach_hla(rows: DataFrame, calls: DataFrame, sample: str = "sample", into: str = "hla") -> DataFrame:
+    """The sample's HLA calls as a map from molecule to alleles, in the column ``into``.
 
     An error where rows have calls already, or where a sample's molecule comes from two files or a file gives
     two molecules' calls (``calls`` with a column file).
     """
-    if "hla" in rows.columns:
+    if into in rows.columns:
         raise ValueError("rows have HLA calls already")
     calls = calls.withColumn("molecule", F.upper("molecule"))
     if "file" in calls.columns:
@@ -30,7 +30,7 @@ def attach_hla(rows: DataFrame, calls: DataFrame, sample: str = "sample") -> Dat
             several = calls.groupBy(sample, *key).agg(F.count_distinct(other).alias("_n"))
             text = F.concat(F.lit(what), F.col(key[0]))
             calls = calls.join(several, [sample, *key]).where(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))).drop("_n")
-    packed = calls.groupBy(sample, "molecule").agg(F.sort_array(F.collect_set("allele")).alias("alleles")).groupBy(sample).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("molecule", "alleles")))).alias("hla"))
+    packed = calls.groupBy(sample, "molecule").agg(F.sort_array(F.collect_set("allele")).alias("alleles")).groupBy(sample).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("molecule", "alleles")))).alias(into))
     return rows.join(packed, sample, "left")
 
 

@@ -32,28 +32,48 @@ def gather(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return priority_union(frames[::-1], keys)
 
 
-def interval_join(left: DataFrame, right: DataFrame, bin_size: int = 1000, how: str = "inner", contig: str = "contig", start: str = "start", end: str = "end") -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, bin_size: int = 1000, how: str = "inner", contig: str = "contig", start: str = "start", end: str = "end", fan: int = 8) -> DataFrame:
     """Pairs of closed intervals that overlap; right columns get the prefix r_.
 
-    Both sides are dealt to the bins that they touch, an equi-join on (contig, bin) follows, and a pair
-    counts only in the bin of its overlap's start, so no distinct is needed. ``semi`` and ``anti`` keep left
-    rows with and without a partner.
+    Bins are hierarchical: ``bin_size`` bases, then ``fan`` times as many a level. An interval lies in the one or two
+    bins of its own level (the first whose bins are as long as it is) and, for longer partners, in those of higher
+    levels that occur on the other side; so a contig-long interval is a row or two, and none is copied more often than
+    twice a level. An equi-join on (contig, level, bin) follows. A pair counts at the higher of its two levels, in the
+    bin of its overlap's start, so no distinct is needed. ``semi`` and ``anti`` keep left rows with and without a
+    partner, by their contig, start and end. Rows with a null there have no partner; an interval that ends before it
+    starts overlaps what covers both.
     """
-    columns = left.columns
     if how in ("semi", "anti"):
-        left = left.withColumn("_id", F.monotonically_increasing_id())
+        places = left.select(contig, start, end).distinct()
+        hit = interval_join(places, right.select(contig, start, end).distinct(), bin_size, "inner", contig, start, end, fan).select(contig, start, end).distinct()
+        return left.join(hit, [contig, start, end], f"left_{how}").select(left.columns)
 
-    def binned(df: DataFrame, s: str, e: str) -> DataFrame:
-        return df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(s) / bin_size), F.floor(F.greatest(F.col(e), F.col(s)) / bin_size))))
+    def level(s: str, e: str) -> Column:
+        """0 for intervals of at most bin_size bases, and so on; corrected by comparison, as logarithms round."""
+        size = F.greatest(F.col(e) - F.col(s) + 1, F.lit(1))
+        guess = F.greatest(F.ceil(F.log(size / F.lit(bin_size)) / F.log(F.lit(float(fan)))), F.lit(0)).cast("int")
+        return guess + F.when(size > width(guess), 1).otherwise(0)
+
+    def width(k: Column) -> Column:
+        return (F.lit(bin_size) * F.round(F.pow(F.lit(float(fan)), k))).cast("bigint")
 
     r = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))
-    one, two = binned(left, start, end), binned(r, f"r_{start}", f"r_{end}").withColumnRenamed("_bin", "_rbin")
-    overlap = (F.col(contig) == F.col(f"r_{contig}")) & (F.col("_bin") == F.col("_rbin")) & (F.col(start) <= F.col(f"r_{end}")) & (F.col(f"r_{start}") <= F.col(end))
-    if how in ("semi", "anti"):
-        hit = one.join(two, overlap, "left_semi").select("_id").distinct()
-        return left.join(hit, "_id", f"left_{how}").select(columns)
-    first = F.floor(F.greatest(F.col(start), F.col(f"r_{start}")) / bin_size) == F.col("_bin")
-    return one.join(two, overlap & first).drop("_bin", "_rbin")
+    whole = lambda df, s, e: df.where(F.col(s).isNotNull() & F.col(e).isNotNull())
+    sides = (whole(left, start, end), start, end), (whole(r, f"r_{start}", f"r_{end}"), f"r_{start}", f"r_{end}")
+    # The levels of a side are an array of a few numbers, found in a subquery.
+    occur = [df.select(level(s, e).alias("k")).agg(F.collect_set("k")).scalar() for df, s, e in sides]
+
+    def binned(df: DataFrame, s: str, e: str, others: Column, prefix: str) -> DataFrame:
+        out = df.withColumn(f"{prefix}own", level(s, e)).withColumn("_others", others)
+        out = out.withColumn(f"{prefix}level", F.explode(F.array_union(F.array(f"{prefix}own"), F.filter("_others", lambda k: k > F.col(f"{prefix}own"))))).drop("_others")
+        size, last = width(F.col(f"{prefix}level")), F.greatest(F.col(e), F.col(s))
+        return out.withColumn(f"{prefix}bin", F.explode(F.sequence(F.floor(F.col(s) / size), F.floor(last / size))))
+
+    one, two = binned(*sides[0], occur[1], "_l"), binned(*sides[1], occur[0], "_r")
+    same = (F.col(contig) == F.col(f"r_{contig}")) & (F.col("_llevel") == F.col("_rlevel")) & (F.col("_lbin") == F.col("_rbin"))
+    overlap = (F.col(start) <= F.col(f"r_{end}")) & (F.col(f"r_{start}") <= F.col(end)) & (F.greatest("_lown", "_rown") == F.col("_llevel"))
+    first = F.floor(F.greatest(F.col(start), F.col(f"r_{start}")) / width(F.col("_llevel"))) == F.col("_lbin")
+    return one.join(two, same & overlap & first).drop("_lown", "_llevel", "_lbin", "_rown", "_rlevel", "_rbin")
 
 
 def contig_order_conflicts(one: DataFrame, two: DataFrame, contig: str = "contig", ord: str = "ord") -> DataFrame:

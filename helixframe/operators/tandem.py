@@ -55,11 +55,25 @@ def fuse(variants: DataFrame, max_difference: float = 10.0, max_length: int | No
     return fused.unionByName(rest)
 
 
-def same_residue_runs(rows: DataFrame, order: str = "ord") -> DataFrame:
-    """Adds run_id: neighbouring rows of one gene and one residue (both known) share it. Partitioned by gene."""
-    w = Window.partitionBy("gene").orderBy(order)
-    same = (F.lag("residue").over(w) == F.col("residue")) & (F.lag("position").over(w) + 1 == F.col("position")) & (F.col("residue") != "NA") & (F.col("gene") != "NA")
-    return rows.withColumn("_break", F.when(same, 0).otherwise(1)).withColumn("run_id", F.sum("_break").over(w)).drop("_break")
+def same_residue_runs(rows: DataFrame, order: str = "ord", stride: int = STRIDE) -> DataFrame:
+    """Adds run_id: neighbouring rows of one gene and one residue (both known), at neighbouring positions, share it.
+
+    Rows are in the order of (position, ``order``) within a gene. Windows are over (gene, stretch of positions), which
+    must exceed the longest run; the row before a stretch and the run that enters it come from the stretch before, so a
+    hot gene is spread. ``run_id`` is unique within a gene: the run's first position and order.
+    """
+    binned = rows.withColumn("_s", F.floor(F.col("position") / stride))
+    w = Window.partitionBy("gene", "_s").orderBy("position", order)
+    place = F.struct("position", F.col(order).alias("ord"))
+    ends = binned.groupBy("gene", (F.col("_s") + 1).alias("_s")).agg(F.max(F.struct(place.alias("at"), "residue")).alias("_last"))
+    joined = binned.join(ends, ["gene", "_s"], "left")
+    before = F.coalesce(F.lag(F.struct(place.alias("at"), "residue")).over(w), F.col("_last"))
+    marked = joined.withColumn("_b", before)
+    same = (F.col("_b.residue") == F.col("residue")) & (F.col("_b.at.position") + 1 == F.col("position")) & (F.col("residue") != "NA") & (F.col("gene") != "NA")
+    marked = marked.withColumn("_start", F.last(F.when(F.coalesce(same, F.lit(False)), None).otherwise(place), ignorenulls=True).over(w))
+    # A run that enters a stretch has the id of the last run of the stretch before; runs never skip a position.
+    carried = marked.groupBy("gene", (F.col("_s") + 1).alias("_s")).agg(F.max_by("_start", place).alias("_carry"))
+    return marked.join(carried, ["gene", "_s"], "left").withColumn("run_id", F.coalesce("_start", "_carry")).drop("_s", "_last", "_b", "_start", "_carry")
 
 
 def mnv_candidates(rows: DataFrame, order: str = "ord") -> DataFrame:

@@ -6,6 +6,7 @@ view's rows alone.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,10 @@ def query(sql: str):
 
 
 def pileups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = spark_view(spark, sf_dir, views.PILEUP_TOKENS)
+    return pileup_lines(spark_view(spark, sf_dir, views.PILEUP_TOKENS))
+
+
+def pileup_lines(tokens: DataFrame) -> DataFrame:
     grouped = tokens.groupBy("sample", "contig", "position", "ref").agg(F.count("*").cast("int").alias("depth"), F.array_sort(F.collect_list(F.struct("ord", "tok"))).alias("t"))
     return grouped.withColumn("bases", F.array_join(F.transform("t", lambda x: x["tok"]), "")).drop("t").withColumn("quals", F.repeat(F.lit("I"), F.col("depth")))
 
@@ -453,7 +457,7 @@ _DECODED = f"""raw AS ({views.CALLER_CALLS}), cells AS (SELECT *, normal_depth +
 
 
 @query(f"""WITH {_DECODED}, som AS (SELECT * FROM cells WHERE ngt = '0/0' AND tgt <> '0/0' AND nd >= 10 AND td >= 10),
- l AS (SELECT * FROM som QUALIFY row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY ord DESC) = 1), {_fisher_sql('l', 'normal_supporting', 'nd', 'tumor_supporting', 'td')}
+ l AS (SELECT * FROM som QUALIFY row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY ord DESC, nd DESC, normal_supporting DESC, td DESC, tumor_supporting DESC) = 1), {_fisher_sql('l', 'normal_supporting', 'nd', 'tumor_supporting', 'td')}
  SELECT contig, position, ref, alt, CAST(nd AS INT) AS normal_depth, CAST(normal_supporting AS INT) AS normal_supporting, CAST(td AS INT) AS tumor_depth, CAST(tumor_supporting AS INT) AS tumor_supporting, round(p, 6) AS pvalue
  FROM l JOIN fisher ON a = normal_supporting AND b = nd AND c = tumor_supporting AND d = td WHERE p <= 0.05""")
 def somatic_vcf_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,14 +475,14 @@ def somatic_vcf_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH raw AS ({views.CALLER_CALLS}), r AS (SELECT *, tumor_depth - tumor_supporting + tumor_supporting AS td, normal_depth AS nd FROM raw WHERE ord % 4 <> 3 AND normal_depth >= 10 AND tumor_depth >= 10)
- SELECT contig, position, ref, alt, normal_depth, normal_supporting, tumor_depth, tumor_supporting FROM r QUALIFY row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY ord DESC) = 1""")
+ SELECT contig, position, ref, alt, normal_depth, normal_supporting, tumor_depth, tumor_supporting FROM r QUALIFY row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY ord DESC, normal_depth DESC, normal_supporting DESC, tumor_depth DESC, tumor_supporting DESC) = 1""")
 def mutect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark_view(spark, sf_dir, views.CALLER_CALLS).withColumn("judgement", F.when(F.col("ord") % 4 == 3, "REJECT").otherwise("KEEP"))
     return callers.somatic_from_mutect(rows).drop("ord")
 
 
 @query(f"""WITH raw AS ({views.CALLER_CALLS}) SELECT contig, position, ref, alt, normal_depth + normal_supporting AS normal_depth, normal_supporting, tumor_depth + tumor_supporting AS tumor_depth, tumor_supporting FROM raw
- WHERE normal_depth + normal_supporting >= 10 AND tumor_depth + tumor_supporting >= 10 QUALIFY row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY ord DESC) = 1""")
+ WHERE normal_depth + normal_supporting >= 10 AND tumor_depth + tumor_supporting >= 10 QUALIFY row_number() OVER (PARTITION BY contig, position, ref, alt ORDER BY ord DESC, raw.normal_depth + raw.normal_supporting DESC, raw.normal_supporting DESC, raw.tumor_depth + raw.tumor_supporting DESC, raw.tumor_supporting DESC) = 1""")
 def varscan_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = {"normal_depth": "normal_reads1", "normal_supporting": "normal_reads2", "tumor_depth": "tumor_reads1", "tumor_supporting": "tumor_reads2"}
     return callers.somatic_from_varscan(spark_view(spark, sf_dir, views.CALLER_CALLS).withColumnsRenamed(names)).drop("ord")
@@ -539,10 +543,13 @@ def compare_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("sample", "locus", "var", "tumorVarSupport", "normalVarSupport", "normalCoverage")
 
 
-@query(f"""WITH {_TOKENS}, pairs AS (SELECT t.contig, t.position, t.allele, CAST(t.n AS INT) AS ts, CAST(tl.coverage AS INT) AS td, CAST(coalesce(n.n, 0) AS INT) AS ns, CAST(nl.coverage AS INT) AS nd FROM counts t JOIN lines tl ON tl.sample = 'tumor' AND tl.contig = t.contig AND tl.position = t.position
+_CLASSIFIED = f"""{_TOKENS}, pairs AS (SELECT t.contig, t.position, t.ref, t.allele, CAST(t.n AS INT) AS ts, CAST(tl.coverage AS INT) AS td, CAST(coalesce(n.n, 0) AS INT) AS ns, CAST(nl.coverage AS INT) AS nd FROM counts t JOIN lines tl ON tl.sample = 'tumor' AND tl.contig = t.contig AND tl.position = t.position
  JOIN lines nl ON nl.sample = 'normal' AND nl.contig = t.contig AND nl.position = t.position AND nl.coverage > 0 LEFT JOIN counts n ON n.sample = 'normal' AND n.contig = t.contig AND n.position = t.position AND n.allele = t.allele WHERE t.sample = 'tumor' AND t.allele <> t.ref),
  x AS (SELECT *, nd - ns AS nr, td - ts AS tr, ts / td AS tf, ns / nd AS nf FROM pairs), {_fisher_sql('x', 'ns', 'nr', 'ts', 'tr')}, y AS (SELECT x.*, p FROM x JOIN fisher ON a = ns AND b = nr AND c = ts AND d = tr),
- z AS (SELECT *, CASE WHEN tf < 0.05 AND nf < 0.05 THEN 'Reference' WHEN tf >= 0.05 AND nf < 0.05 AND p <= 0.05 THEN 'Somatic' WHEN nf >= 0.05 AND p <= 0.05 AND nf < 0.75 AND NOT (tf >= 0.05 AND tf < 0.75) THEN 'LOH' ELSE 'Germline' END AS status FROM y)
+ z AS (SELECT *, CASE WHEN tf < 0.05 AND nf < 0.05 THEN 'Reference' WHEN tf >= 0.05 AND nf < 0.05 AND p <= 0.05 THEN 'Somatic' WHEN nf >= 0.05 AND p <= 0.05 AND nf < 0.75 AND NOT (tf >= 0.05 AND tf < 0.75) THEN 'LOH' ELSE 'Germline' END AS status FROM y)"""
+
+
+@query(f"""WITH {_CLASSIFIED}
  SELECT contig, position, allele, ts AS tumor_supporting, ns AS normal_supporting, round(p, 6) AS pvalue, status, tf >= 0.1 AND p <= 0.07 AND (status <> 'Somatic' OR nf <= 0.05) AS high_confidence FROM z""")
 def classify_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, n = (pileup.allele_counts(sample_pileup(spark, sf_dir, s)) for s in ("tumor", "normal"))
@@ -550,6 +557,31 @@ def classify_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("contig", "position", "allele", F.col("tumor_supporting").cast("int").alias("tumor_supporting"), F.col("normal_supporting").cast("int").alias("normal_supporting"), F.round("pvalue", 6).alias("pvalue"), "status", "high_confidence")
 
 
+#: Metrics of the tumour's alleles, as a read counter would give them.
+_METRICS = "CAST({n} AS DOUBLE) AS \"count\", CAST(60 - (position + ascii(allele)) % 45 AS DOUBLE) AS mapq, (position % 9 + 1) / 10 AS readpos, CAST((position * 7 + ascii(allele) * 5) % 130 AS DOUBLE) AS mmqs, CAST(100 - (position * ascii(allele)) % 40 AS DOUBLE) AS readlen, (position % 11 + 1) / 10 AS dist3, CAST(plus AS DOUBLE) AS plus, CAST(minus AS DOUBLE) AS minus"
+
+
+#: Ten parts' loci as one, so that lines are deep; the normal has no variant bases at every third.
+_STRIPPED = "replace(replace(tok, '^I', ''), '$', '')"
+_DEEP = ["sample", "contig", "CAST(floor(position / 10) % 24 + 24 * floor(position / 2400) AS BIGINT) AS position", "ref", "ord",
+    f"CASE WHEN sample = 'normal' AND floor(position / 10) % 3 = 0 AND upper({_STRIPPED}) IN ('A', 'C', 'G', 'T') THEN '.' ELSE tok END AS tok"]
+_DEEP_CLASSIFIED = _CLASSIFIED.replace(f"({views.PILEUP_TOKENS})", f"(SELECT {', '.join(_DEEP)} FROM ({views.PILEUP_TOKENS}) AS given)")
+
+
+@query(f"""WITH {_DEEP_CLASSIFIED}, mt AS (SELECT contig, position, allele, {_METRICS.format(n="n")} FROM counts WHERE sample = 'tumor'),
+ j AS (SELECT z.*, coalesce(r."count", 0) AS rn, v."count" AS vn, coalesce(round(r.plus / (r.plus + r.minus), 2), 0.5) AS rs, round(v.plus / (v.plus + v.minus), 2) AS vs, v.readpos AS rp, coalesce(r.mmqs, 50) AS rq, v.mmqs AS vq,
+  coalesce(r.mapq, v.mapq) - v.mapq AS dm, coalesce(r.readlen, v.readlen) - v.readlen AS dl, v.dist3 AS d3 FROM z JOIN mt v USING (contig, position, allele) LEFT JOIN mt r ON r.contig = z.contig AND r.position = z.position AND r.allele = z.ref WHERE status = 'Somatic')
+ SELECT contig, position, ref, allele AS alt, ts AS tumor_supporting, ns AS normal_supporting, round(vn / (vn + rn), 6) AS frequency FROM j
+ WHERE NOT (rp < 0.1 OR ((vs < 0.01 OR vs > 0.99) AND NOT (rs < 0.01 OR rs > 0.99)) OR vn < 1 OR vn / (vn + rn) < 0.05 OR vq - rq > 50 OR dm > 30 OR dl > 25 OR d3 < 0.2 OR vq > 100)""")
+def somatic_from_pileups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classified pileups through the false-positive cascade, as one job."""
+    lines = pileup_lines(spark_view(spark, sf_dir, views.PILEUP_TOKENS).selectExpr(*_DEEP))
+    tumor, normal = (lines.where(F.col("sample") == s).drop("sample") for s in ("tumor", "normal"))
+    found = pileup.allele_counts(tumor).selectExpr("contig", "position", "allele", *(x.strip() for x in re.split(r", (?=CAST|\()", _METRICS.format(n="`count`").replace('"', "`"))))
+    rows = jobs.somatic_from_pileups(tumor, normal, found, count=1)
+    return rows.select("contig", "position", "ref", "alt", F.col("tumor_supporting").cast("int").alias("tumor_supporting"), F.col("normal_supporting").cast("int").alias("normal_supporting"), F.round("frequency", 6).alias("frequency"))
+
+
 # ---------------------------------------------------------------- proteins by identifier, HLA calls
 
 _ENSEMBL = duck(f"pr AS (SELECT concat('ENSP', CAST(doc_id AS STRING)) AS protein, concat('ENST', CAST(doc_id AS STRING)) AS transcript, concat('ENSG', CAST(doc_id % 500 AS STRING)) AS gene, length(seq) AS residues FROM ({views.PROTEINS}))")
@@ -604,7 +636,7 @@ def prediction_work(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- aligned bases
 
-_SAM = f"s AS (SELECT read_id, contig, start_pos AS pos, flag, CAST(qual_sum % 60 AS INT) AS mapq, read_id % 3 AS kind, read_id % 4 AS turn FROM ({views.READS}))"
+_SAM = f"s AS (SELECT read_id, concat_ws('-', read_id, contig, start_pos, flag, qual_sum) AS name, contig, start_pos AS pos, flag, qual_sum AS q, CAST(qual_sum % 60 AS INT) AS mapq, read_id % 3 AS kind, read_id % 4 AS turn FROM ({views.READS}))"
 _SAM_SEQ = "substr('ACGTACGTACGTACGT', CAST(turn AS INT) + 1, 12)"
 _BASES = f"""{_SAM}, parts AS (SELECT *, unnest(range(12)) AS i FROM s), b AS (SELECT read_id, contig, pos, flag, mapq, CASE kind WHEN 1 THEN pos + i + CASE WHEN i >= 4 THEN 2 ELSE 0 END WHEN 2 THEN pos + i + CASE WHEN i >= 5 THEN 10 ELSE 0 END ELSE pos + i END AS position,
  substr({_SAM_SEQ}, CAST(i AS INT) + 1, 1) AS base, CASE WHEN i < 6 THEN 40 ELSE 30 END AS q, flag = 16 AS rev, i / 11 AS place FROM parts),
@@ -628,7 +660,60 @@ def reference_bases(bases: DataFrame) -> DataFrame:
  SELECT contig, position, ref, CAST(count(*) AS INT) AS depth, string_agg(symbol, '' ORDER BY q DESC, base, rev) AS bases, string_agg(chr(q + 33), '' ORDER BY q DESC, base, rev) AS quals FROM c GROUP BY contig, position, ref""")
 def pileup_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = aligned(spark, sf_dir)
-    return alignments.build_pileup(rows, reference_bases(alignments.read_bases(rows)))
+    return alignments.build_pileup(rows, reference_bases(alignments.read_bases(rows)), marks=False, base_alignment_quality=False)
+
+
+#: Reads with an insertion (4M2I8M), a deletion (4M2D10M) or an intron (5M10N9M), base by base.
+_MARKED = f"""{_SAM}, i AS (SELECT *, flag = 16 AS rev, unnest(range(14)) AS i FROM s WHERE flag & 4 = 0),
+ b AS (SELECT name, contig, rev, mapq, kind, turn, i, CASE WHEN i < 6 THEN 40 ELSE 30 END AS q, substr('ACGTACGTACGTACGTAC', CAST(turn + i AS INT) + 1, 1) AS base,
+  pos + i + CASE kind WHEN 0 THEN CASE WHEN i >= 6 THEN -2 ELSE 0 END WHEN 1 THEN CASE WHEN i >= 4 THEN 2 ELSE 0 END ELSE CASE WHEN i >= 5 THEN 10 ELSE 0 END END AS position FROM i WHERE kind <> 0 OR i NOT IN (4, 5)),
+ gaps AS (SELECT name, contig, flag = 16 AS rev, mapq, kind, turn, -1 AS i, 0 AS q, '*' AS base, pos + unnest([4, 5]) AS position FROM s WHERE kind = 1 AND flag & 4 = 0),
+ m AS (SELECT *, {_REF} AS ref, CASE WHEN kind = 0 AND i = 3 THEN substr('ACGTACGTACGTACGTAC', CAST(turn AS INT) + 5, 2) ELSE '' END AS ins,
+  CASE WHEN kind = 1 AND i = 3 THEN concat(substr('ACGT', CAST((position + 1) % 4 AS INT) + 1, 1), substr('ACGT', CAST((position + 2) % 4 AS INT) + 1, 1)) ELSE '' END AS gone,
+  CASE WHEN i = 0 THEN chr(mapq + 33) ELSE '' END AS head, i = 13 AS tail FROM (SELECT * FROM b UNION ALL SELECT * FROM gaps))"""
+
+
+def indel_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads of 14 bases with an insertion, a deletion, or an intron."""
+    kind = F.col("read_id") % 3
+    rows = reads(spark, sf_dir)
+    return rows.select("read_id", F.concat_ws("-", "read_id", "contig", "start", "flag", "qual_sum").alias("name"), "flag", "contig", F.col("start").alias("pos"), "qual_sum", (F.col("qual_sum") % 60).cast("int").alias("mapq"), F.when(kind == 0, "4M2I8M").when(kind == 1, "4M2D10M").otherwise("5M10N9M").alias("cigar"),
+        F.substring(F.lit("ACGTACGTACGTACGTAC"), (F.col("read_id") % 4 + 1).cast("int"), F.lit(14)).alias("seq"), F.lit("IIIIII????????").alias("qual"))
+
+
+@query(f"""WITH {_MARKED}, c AS (SELECT *, concat(CASE WHEN i = 0 THEN concat('^', head) ELSE '' END, CASE WHEN base = '*' THEN '*' WHEN base = ref THEN CASE WHEN rev THEN ',' ELSE '.' END WHEN rev THEN lower(base) ELSE base END,
+ CASE WHEN ins <> '' THEN concat('+2', CASE WHEN rev THEN lower(ins) ELSE ins END) ELSE '' END, CASE WHEN gone <> '' THEN concat('-2', CASE WHEN rev THEN lower(gone) ELSE gone END) ELSE '' END, CASE WHEN tail THEN '$' ELSE '' END) AS symbol FROM m)
+ SELECT contig, position, ref, CAST(count(*) AS INT) AS depth, string_agg(symbol, '' ORDER BY q DESC, base, rev, ins, length(gone), head, tail) AS bases, string_agg(chr(q + 33), '' ORDER BY q DESC) AS quals FROM c GROUP BY contig, position, ref""")
+def pileup_indels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pileup lines with insertions, deletions, and where reads begin and end."""
+    rows = indel_reads(spark, sf_dir)
+    return alignments.build_pileup(rows, reference_bases(alignments.read_bases(rows)), base_alignment_quality=False)
+
+
+@query(f"""WITH {_MARKED}, kept AS (SELECT name FROM s WHERE flag & 4 = 0 QUALIFY row_number() OVER (PARTITION BY contig, flag = 16, CASE WHEN flag = 16 THEN pos + CASE kind WHEN 0 THEN 12 WHEN 1 THEN 16 ELSE 24 END - 1 ELSE pos END ORDER BY q DESC, name) = 1),
+ a AS (SELECT m.contig, m.position, m.ref, base, CASE WHEN ins <> '' THEN concat('+2', ins) WHEN gone <> '' THEN concat('-2', gone) ELSE base END AS allele FROM m SEMI JOIN kept USING (name)),
+ lines AS (SELECT contig, position, count(*) FILTER (base <> '*') AS coverage FROM a GROUP BY ALL), n AS (SELECT contig, position, ref, allele, count(*) AS n FROM a WHERE base <> '*' GROUP BY ALL)
+ SELECT contig, position, ref, allele AS alt, CAST(n AS BIGINT) AS n, CAST(coverage AS BIGINT) AS coverage, round_even(n / coverage, 4) AS pct FROM n JOIN lines USING (contig, position) WHERE allele <> ref AND n >= 2""")
+def reads_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicates out, pileup, 13-column rows, as one job."""
+    rows = indel_reads(spark, sf_dir)
+    found = jobs.reads_to_rows(rows, reference_bases(alignments.read_bases(rows)), base_alignment_quality=False)
+    return found.select("contig", "position", "ref", "alt", F.col("count").cast("bigint").alias("n"), F.col("coverage").cast("bigint").alias("coverage"), "pct")
+
+
+_ENDS = f"e AS ({views.READ_ENDS}), placed AS (SELECT * FROM e WHERE flag & 4 = 0)"
+
+
+@query(f"""WITH {_ENDS}, f AS (SELECT name, min(row(contig, five_prime, reverse)) AS one, max(row(contig, five_prime, reverse)) AS two, count(*) FILTER (flag & 64 <> 0) > 0 AND count(*) FILTER (flag & 128 <> 0) > 0 AS paired,
+  max(CASE WHEN flag & 64 <> 0 THEN qual_sum END) AS q1, max(CASE WHEN flag & 128 <> 0 THEN qual_sum END) AS q2, max(qual_sum) AS q FROM placed GROUP BY name),
+ pairs AS (SELECT name, row_number() OVER (PARTITION BY one, two ORDER BY q1 + q2 DESC, name) > 1 AS dup FROM f WHERE paired),
+ taken AS (SELECT one AS x FROM f WHERE paired UNION SELECT two FROM f WHERE paired),
+ singles AS (SELECT name, one IN (SELECT x FROM taken) OR row_number() OVER (PARTITION BY one ORDER BY q DESC, name) > 1 AS dup FROM f WHERE NOT paired),
+ gone AS (SELECT name FROM pairs WHERE dup UNION ALL SELECT name FROM singles WHERE dup)
+ SELECT e.name, e.flag, e.contig, e.five_prime, e.flag & 4 = 0 AND e.name IN (SELECT name FROM gone) AS duplicate FROM e""")
+def fragment_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs, single reads and unplaced ones; duplicates are told by fragment."""
+    return alignments.mark_fragment_duplicates(spark_view(spark, sf_dir, views.READ_ENDS)).select("name", "flag", "contig", "five_prime", "duplicate")
 
 
 @query(f"""WITH {_BASES}, mm AS (SELECT read_id, contig, pos, flag, mapq, sum(CASE WHEN base <> '*' AND base <> {_REF} THEN q ELSE 0 END) AS mismatches FROM (SELECT DISTINCT read_id, contig, pos, flag, mapq, position, base, q FROM every) GROUP BY ALL)
@@ -646,6 +731,51 @@ def spliced_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignments.split_spliced(aligned(spark, sf_dir)).select("read_id", "pos", "cigar", "seq", "qual")
 
 
+_ALIGNED = f"""al AS (SELECT row_number() OVER () AS rid, contig, start_pos AS pos, read_id % 3 AS kind, read_id % 4 AS turn FROM ({views.READS})), ab AS (SELECT *, unnest(range(12)) AS i FROM al),
+ ap AS (SELECT rid, contig, pos + i + CASE kind WHEN 1 THEN CASE WHEN i >= 4 THEN 2 ELSE 0 END WHEN 2 THEN CASE WHEN i >= 5 THEN 10 ELSE 0 END ELSE 0 END AS position, substr('ACGT', CAST((turn + i) % 4 AS INT) + 1, 1) AS base FROM ab
+  UNION ALL SELECT rid, contig, pos + unnest([4, 5]), '*' FROM al WHERE kind = 1)"""
+
+
+@query(f"""WITH {_ALIGNED}, n AS (SELECT DISTINCT contig, start_pos + d AS position FROM ({views.READS}) a, (VALUES (2), (3)) AS x(d)),
+ g AS (SELECT *, sum(CASE WHEN before = position - 1 AND before // 3 = position // 3 THEN 0 ELSE 1 END) OVER (PARTITION BY contig ORDER BY position) AS run FROM (SELECT *, lag(position) OVER (PARTITION BY contig ORDER BY position) AS before FROM n)),
+ c AS (SELECT contig, min(position) AS s, max(position) AS e, string_agg(substr('ACGT', CAST(position % 4 AS INT) + 1, 1), '' ORDER BY position) AS ref, string_agg(substr('ACGT', CAST((position + 1) % 4 AS INT) + 1, 1), '' ORDER BY position) AS alt FROM g GROUP BY contig, run HAVING count(*) > 1),
+ h AS (SELECT c.*, rid, string_agg(base, '' ORDER BY position) AS found FROM c JOIN ap ON ap.contig = c.contig AND position BETWEEN s AND e GROUP BY ALL HAVING count(*) = e - s + 1)
+ SELECT contig, s AS start, e AS "end", ref, alt, count(*) FILTER (found = ref) AS ref_reads, count(*) FILTER (found = alt) AS alt_reads, concat('x (', CAST(count(*) FILTER (found = ref) AS STRING), ',', CAST(count(*) FILTER (found = alt) AS STRING), ') :', ref, '/', alt, ':') AS detail
+ FROM h GROUP BY contig, s, e, ref, alt HAVING count(*) FILTER (found = alt) > 3""")
+def mnv_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codon candidates and the reads that carry them, as one job."""
+    base = lambda k: F.substring(F.lit("ACGT"), ((F.col("position") + k) % 4 + 1).cast("int"), F.lit(1))
+    places = reads(spark, sf_dir).select("contig", F.explode(F.array(F.col("start") + 2, F.col("start") + 3)).alias("position")).distinct()
+    notes = places.select("contig", "position", base(0).alias("ref"), base(1).alias("alt"), F.col("contig").alias("gene"), F.floor(F.col("position") / 3).cast("string").alias("residue"), F.col("position").alias("ord"), F.lit("x (0,0) :N/N:").alias("detail"))
+    return jobs.mnv_support(notes, aligned(spark, sf_dir)).select("contig", "start", "end", "ref", "alt", "ref_reads", "alt_reads", "detail")
+
+
+@query(f"WITH {_READS} SELECT read_id, contig, EXISTS (SELECT 1 FROM i WHERE i.contig = r.contig AND r.start_pos <= i.end_pos AND i.start_pos <= r.end_pos) AS inside FROM r")
+def hla_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads on and off the intervals, from both results of one job."""
+    rows = reads(spark, sf_dir).withColumn("name", F.col("read_id").cast("string"))
+    inside, outside = jobs.hla_reads(rows, target_intervals(spark, sf_dir))
+    return inside.withColumn("inside", F.lit(True)).unionByName(outside.withColumn("inside", F.lit(False))).select("read_id", "contig", "inside")
+
+
+@query(f"""WITH {_PEPTIDES}, pred AS (SELECT peptide, max({_AFFINITY}) AS affinity FROM (SELECT wt_peptide AS peptide FROM pep UNION SELECT mut_peptide FROM pep) GROUP BY peptide), {_TOP},
+ packed AS (SELECT sample, string_agg(concat(molecule, '=', alleles), ';' ORDER BY molecule) AS hla_calls FROM (SELECT sample, molecule, string_agg(DISTINCT allele, ',' ORDER BY allele) AS alleles FROM top GROUP BY ALL) GROUP BY sample)
+ SELECT doc_id, k, start, mut_peptide, round(m.affinity / w.affinity, 6) AS affinity_ratio, concat('G', CAST(doc_id % 7 AS STRING)) AS gene, CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id % 100 AS INT) END AS rna_depth, hla_calls
+ FROM pep JOIN pred m ON m.peptide = mut_peptide JOIN pred w ON w.peptide = wt_peptide LEFT JOIN packed ON packed.sample = doc_id % 30 WHERE mut_peptide <> wt_peptide AND doc_id % 3 <> 0""")
+def neoepitopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peptides, predictions (of one allele, the last of several lines each), annotations, RNA evidence and HLA calls, as one job; annotations lack a third of the documents."""
+    key = [F.concat(F.lit("chr"), (F.col("doc_id") % 22).cast("string")).alias("contig"), F.col("doc_id").alias("position"), F.lit("A").alias("ref"), F.lit("C").alias("alt")]
+    rows = peptide_rows(spark, sf_dir).select(*key, (F.col("doc_id") % 30).cast("int").alias("sample"), "doc_id", "k", F.col("start").cast("int").alias("start"), "wt_peptide", "mut_peptide")
+    found = rows.select(F.explode(F.array("wt_peptide", "mut_peptide")).alias("peptide")).distinct()
+    lines = found.select("peptide", F.lit("HLA-A0201").alias("hla"), F.posexplode(F.array(F.lit(0), F.expr(_AFFINITY).cast("int"))).alias("ord", "affinity"))
+    docs = rows.select("contig", "position", "ref", "alt", "doc_id").distinct()
+    notes = docs.where("doc_id % 3 <> 0").select(F.regexp_replace("contig", "^chr", "").alias("contig"), "position", "ref", "alt", F.concat(F.lit("G"), (F.col("doc_id") % 7).cast("string")).alias("gene"))
+    rna_rows = docs.where("doc_id % 2 = 0").select("contig", "position", "ref", "alt", (F.col("doc_id") % 100).cast("int").alias("rna_depth"))
+    out = jobs.neoepitopes(rows, lines, notes, rna_rows, epitope.top_two_alleles(spark_view(spark, sf_dir, views.HLA_ALLELES)).withColumn("sample", F.col("sample").cast("int")))
+    text = F.array_join(F.transform(F.map_entries("hla_calls"), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ","))), ";")
+    return out.select("doc_id", "k", "start", "mut_peptide", F.round("affinity_ratio", 6).alias("affinity_ratio"), "gene", "rna_depth", text.alias("hla_calls"))
+
+
 @query(f"WITH {_SAM} SELECT read_id, CASE WHEN flag & 16 <> 0 THEN pos + CASE kind WHEN 1 THEN 14 WHEN 2 THEN 22 ELSE 12 END - 1 ELSE pos END AS five_prime FROM s")
 def five_prime_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned(spark, sf_dir).select("read_id", alignments.five_prime(F.col("pos"), F.col("cigar"), F.col("flag")).alias("five_prime"))

@@ -33,6 +33,9 @@ READS = """SELECT l_orderkey * 10 + l_linenumber AS read_id, concat('c', CAST(l_
  l_partkey * 5 + l_suppkey % 10 + CAST(floor(l_quantity) AS INT) - 1 AS end_pos, CASE l_returnflag WHEN 'R' THEN 16 WHEN 'N' THEN 4 ELSE 0 END AS flag,
  CAST(floor(l_extendedprice) AS BIGINT) AS qual_sum FROM lineitem"""
 
+READ_ENDS = """SELECT concat('f', CAST(CAST(l_orderkey * 4 + floor((l_linenumber - 1) / 2) AS BIGINT) AS STRING)) AS name, CASE l_linenumber % 2 WHEN 1 THEN 65 ELSE 129 END + CASE l_partkey % 2 WHEN 1 THEN 16 ELSE 0 END + CASE l_suppkey % 17 WHEN 0 THEN 4 ELSE 0 END AS flag,
+ concat('c', CAST(l_suppkey % 3 AS STRING)) AS contig, l_partkey % 40 AS five_prime, l_partkey % 2 = 1 AS reverse, CAST(floor(l_extendedprice) AS BIGINT) AS qual_sum FROM lineitem"""
+
 INTERVALS = "SELECT concat('c', CAST(p_partkey % 24 AS STRING)) AS contig, p_partkey * 5 + 30 AS start_pos, p_partkey * 5 + 30 + p_size * 3 AS end_pos FROM part"
 
 FASTQ_FILES = """SELECT concat('/seq/', lower(c_mktsegment), '-', CAST(c_custkey % 40 AS STRING), '-tumor_S', CAST(c_nationkey AS STRING), '_L00', CAST(c_custkey % 4 + 1 AS STRING),

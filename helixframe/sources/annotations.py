@@ -51,12 +51,22 @@ def pad_intervals(intervals: DataFrame, padding: int = 100) -> DataFrame:
     return intervals.withColumns({"start": F.greatest(F.col("start") - padding, F.lit(0)), "end": F.col("end") + padding})
 
 
-def merge_intervals(intervals: DataFrame) -> DataFrame:
-    """Overlapping or touching intervals of a contig as one."""
-    before = Window.partitionBy("contig").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    so_far = Window.partitionBy("contig").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
-    starts = intervals.withColumn("fresh", F.coalesce((F.col("start") > F.max("end").over(before)).cast("int"), F.lit(1)))
-    return starts.withColumn("run", F.sum("fresh").over(so_far)).groupBy("contig", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
+def merge_intervals(intervals: DataFrame, stride: int = 100_000) -> DataFrame:
+    """Overlapping or touching intervals of a contig as one.
+
+    A segmented scan: intervals are first one a start (the longest), so that a stretch of a contig has ``stride`` of
+    them at most; each (contig, stretch) is scanned by itself, and the state it is entered with (the furthest end, and
+    the number of merged intervals so far) follows from a scan over one row a stretch. A hot contig is spread.
+    """
+    one = intervals.where("contig is not null and start is not null and end is not null").groupBy("contig", "start").agg(F.max("end").alias("end")).withColumn("_s", F.floor(F.col("start") / stride))
+    inside, along = Window.partitionBy("contig", "_s").orderBy("start"), Window.partitionBy("contig").orderBy("_s")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    reach = one.groupBy("contig", "_s").agg(F.max("end").alias("_r")).select("contig", "_s", F.max("_r").over(before(along)).alias("_entry"))
+    marked = one.join(reach, ["contig", "_s"]).withColumn("_before", F.greatest(F.max("end").over(before(inside)), F.col("_entry")))
+    marked = marked.withColumn("_fresh", F.when(F.col("start") <= F.col("_before"), 0).otherwise(1))
+    so_far = marked.groupBy("contig", "_s").agg(F.sum("_fresh").alias("_f")).select("contig", "_s", F.coalesce(F.sum("_f").over(before(along)), F.lit(0)).alias("_runs"))
+    numbered = marked.withColumn("_own", F.sum("_fresh").over(inside)).join(so_far, ["contig", "_s"])
+    return numbered.groupBy("contig", (F.col("_runs") + F.col("_own")).alias("_run")).agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_run")
 
 
 def allele_list(spark: SparkSession, paths: str | list[str]) -> DataFrame:

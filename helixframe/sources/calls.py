@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.sources.columns import header_of, is_data, lines, typed, with_header
+from helixframe.sources.columns import headers, is_data, lines, typed, with_header
 
 #: The 23 columns of the format.
 VARSCAN = [
@@ -74,11 +74,12 @@ def genotype_vcf(spark: SparkSession, paths: str | list[str], normal: str, tumor
 
 
 def mutect(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Calls by header; a judgement column is kept where there is one."""
+    """Calls by each file's header; a judgement column is kept where any file has one."""
     rows = lines(spark, paths)
-    aliases = dict(MUTECT_ALIASES) | ({"judgement": []} if "judgement" in [n.lower() for n in header_of(rows)] else {})
+    judged = not headers(rows).where(F.exists("head", lambda n: F.lower(n) == "judgement")).isEmpty()
+    aliases = dict(MUTECT_ALIASES) | ({"judgement": []} if judged else {})
     counts = dict.fromkeys(("t_ref_count", "t_alt_count", "n_ref_count", "n_alt_count"), "int") | {"position": "bigint"}
-    found = with_header(rows, aliases, counts)
+    found = with_header(rows, aliases, counts, optional=("judgement",))
     return found.withColumns({"normal_depth": F.col("n_ref_count") + F.col("n_alt_count"), "normal_supporting": F.col("n_alt_count"), "tumor_depth": F.col("t_ref_count") + F.col("t_alt_count"), "tumor_supporting": F.col("t_alt_count")})
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +47,42 @@ def gvcf_folder(spark: SparkSession, folder: str, more: list[str] | None = None)
     if not paths:
         raise FileNotFoundError(f"no g.vcf files in {folder}")
     return vcf(spark, paths)
+
+
+def compressed_state(spark: SparkSession, folder: str, pattern: str = "*.gz", step: int = 1 << 20) -> DataFrame:
+    """path, state and bytes (uncompressed, as far as they go) of compressed files below a folder.
+
+    The state is ``whole``, ``truncated``, ``damaged`` (a check sum or the code itself is wrong), ``trailing`` (something
+    else follows) or ``not gzip``. A file is inflated ``step`` bytes at a time and nothing of it is kept; members that
+    follow one another are one file, as the format allows. Files are dealt out by Spark, one row each; empty ones
+    are no rows, as Spark skips them.
+    """
+
+    def state_of(blob: memoryview) -> tuple[str, int]:
+        at, n, inside = 0, 0, zlib.decompressobj(31)
+        if len(blob) < 2 or bytes(blob[:2]) != b"\x1f\x8b":
+            return "not gzip", 0
+        while at < len(blob):
+            fed, at = blob[at : at + step], min(at + step, len(blob))
+            try:
+                n += len(inside.decompress(fed, step))
+                while inside.unconsumed_tail:
+                    n += len(inside.decompress(inside.unconsumed_tail, step))
+            except zlib.error:
+                return "damaged", n
+            if inside.eof:
+                at -= len(inside.unused_data)
+                if at < len(blob) and bytes(blob[at : at + 2]) != b"\x1f\x8b"[: len(blob) - at]:
+                    return "trailing", n
+                if at < len(blob):
+                    inside = zlib.decompressobj(31)
+        return ("whole" if inside.eof else "truncated"), n
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, path in enumerate(batch.column(0).to_pylist()):
+                state, n = state_of(memoryview(batch.column(1)[k].as_buffer()))
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([state]), pa.array([n], pa.int64())], ["path", "state", "bytes"])
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
+    return found.select("path", "content").mapInArrow(check, "path string, state string, bytes bigint")

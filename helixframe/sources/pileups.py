@@ -77,3 +77,13 @@ def allele_read_counts(spark: SparkSession, paths: str | list[str]) -> DataFrame
     rows = lines(spark, paths).where(is_data() & (F.size(parts) >= 6)).select(parts[0].alias("contig"), parts[1].try_cast("bigint").alias("position"), F.slice(parts, 6, F.size(parts)).alias("cells"), "ord")
     cells = last_wins(rows, ["contig", "position"], "ord").select("contig", "position", F.explode("cells").alias("cell")).withColumn("f", F.split("cell", ":", -1)).where(F.size("f") >= 8)
     return cells.select("contig", "position", F.col("f")[0].alias("allele"), *(F.get("f", F.lit(k + 1)).try_cast("double").alias(n) for k, n in enumerate(METRICS)))
+
+
+def contig_rows(spark: SparkSession, path: str, contig: str, start: int | None = None, end: int | None = None) -> DataFrame:
+    """Rows of one contig, from start to end if given, of a table that ``sinks.clustered`` wrote.
+
+    The contig is a folder, so others aren't listed for the scan; positions are pushed to the row groups' statistics.
+    """
+    rows = spark.read.parquet(path).where(F.col("contig") == contig)
+    rows = rows if start is None else rows.where(F.col("position") >= start)
+    return rows if end is None else rows.where(F.col("position") <= end)

@@ -84,3 +84,13 @@ def positions(df: DataFrame, path: str) -> None:
 
 def compressed(df: DataFrame, path: str) -> None:
     delimited(df, path, compression="gzip")
+
+
+def clustered(df: DataFrame, path: str, rows_a_file: int = 1_000_000) -> None:
+    """Rows by contig and position: a folder a contig, files that cover stretches of it, and in them the least and greatest position of every row group.
+
+    ``sources.contig_rows`` reads one contig, or a stretch of it, without opening the rest. A contig's rows are spread
+    over as many files as they fill.
+    """
+    out = df.repartitionByRange("contig", "position").sortWithinPartitions("contig", "position")
+    out.write.option("maxRecordsPerFile", rows_a_file).option("parquet.block.size", 16 << 20).partitionBy("contig").parquet(path)

@@ -1,11 +1,12 @@
 import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from helixframe import sources, streaming
 from helixframe.operators import callers, protein
-from helixframe.sources import sinks
+from helixframe.sources import columns, sinks
 
 
 def put(folder, name, text, zipped=False):
@@ -157,3 +158,51 @@ def test_stream(spark, tmp_path):
     stream.processAllAvailable()
     stream.stop()
     assert spark.table("found").select("alt", "mutCount").where(F.col("alt") == "G").count() == 1
+
+
+def test_headers_by_file(spark, tmp_path):
+    head = "contig\tposition\tref_allele\talt_allele\t{}\t{}\t{}\t{}"
+    counts = ("t_ref_count", "t_alt_count", "n_ref_count", "n_alt_count")
+    (tmp_path / "a.tsv").write_text("## x\n" + head.format(*counts) + "\tjudgement\n1\t5\tA\tC\t10\t5\t20\t0\tKEEP\n")
+    (tmp_path / "b.tsv").write_text(head.format(*counts[2:], *counts[:2]) + "\n1\t6\tA\tC\t20\t0\t10\t5\n\n# note\n1\t7\tA\tC\t21\t1\t11\t6\n")
+    rows = {r.position: r for r in sources.mutect(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")]).collect()}
+    assert [(rows[p].tumor_supporting, rows[p].normal_supporting, rows[p].tumor_depth, rows[p].judgement) for p in (5, 6, 7)] == [(5, 0, 15, "KEEP"), (5, 0, 15, None), (6, 1, 17, None)]
+    assert "judgement" not in sources.mutect(spark, str(tmp_path / "b.tsv")).columns
+    (tmp_path / "c.tsv").write_text("contig\tposition\tref\n1\t5\tA\n")
+    with pytest.raises(Exception, match="no column for alt"):
+        sources.varscan_native(spark, [str(tmp_path / "b.tsv"), str(tmp_path / "c.tsv")]).collect()
+    (tmp_path / "d.tsv").write_text("Chrom\tpos\tPOS\tref\tvar\n1\t5\t6\tA\tC\n")  # names that differ in case alone are told by it
+    assert [(r.contig, r.position, r.alt) for r in sources.varscan_native(spark, str(tmp_path / "d.tsv")).collect()] == [("1", 5, "C")]
+
+
+def test_paths_with_like_names(spark, tmp_path):
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "a.tsv").write_text("inner\n")
+    (tmp_path / "a.tsv").write_text("outer\n")
+    for given in ([str(tmp_path / "b" / "a.tsv"), str(tmp_path / "a.tsv")], [str(tmp_path / "a.tsv"), str(tmp_path / "b")]):
+        got = [r.value for r in columns.lines(spark, given).orderBy("ord").collect()]
+        assert got == (["inner", "outer"] if given[0].endswith("b/a.tsv") else ["outer", "inner"])
+
+
+def test_state_of_compressed_files(spark, tmp_path):
+    whole = gzip.compress(os.urandom(3_000_000))
+    files = {"whole.gz": whole, "two.gz": gzip.compress(b"one") + gzip.compress(b"two" * 100_000), "short.gz": whole[:-5], "half.gz": whole[:1_500_000], "plain.gz": b"ACGT\n", "more.gz": whole + b"text", "bad.gz": whole[:-6] + b"\0\0" + whole[-4:]}
+    (tmp_path / "sub").mkdir()
+    for name, blob in files.items():
+        (tmp_path / ("sub" if name == "two.gz" else "") / name).write_bytes(blob)
+    got = {r.path.rsplit("/", 1)[1]: (r.state, r.bytes) for r in sources.compressed_state(spark, str(tmp_path), step=100_000).collect()}
+    assert {k: v[0] for k, v in got.items()} == {"whole.gz": "whole", "two.gz": "whole", "short.gz": "truncated", "half.gz": "truncated", "plain.gz": "not gzip", "more.gz": "trailing", "bad.gz": "damaged"}
+    assert got["whole.gz"][1] == 3_000_000 and got["two.gz"][1] == 300_003
+
+
+def test_one_contig_is_read_alone(spark, tmp_path, capsys):
+    df = spark.createDataFrame([(c, p, f"{c}{p}") for c in ("c1", "c2", "c3") for p in range(1, 4001)], "contig string, position bigint, what string")
+    sinks.clustered(df, str(tmp_path / "t"), rows_a_file=1000)
+    rows = sources.contig_rows(spark, str(tmp_path / "t"), "c2", 3500, 3600)
+    assert sorted(r.what for r in rows.collect()) == sorted(f"c2{p}" for p in range(3500, 3601))
+    read = {r[0] for r in sources.contig_rows(spark, str(tmp_path / "t"), "c2").select("_metadata.file_path").distinct().collect()}
+    assert read and all("contig=c2" in f for f in read) and len(read) >= 4
+    rows.explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(contig" in plan and "GreaterThanOrEqual(position,3500)" in plan
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 12_000
