@@ -76,7 +76,8 @@ LEAST_IMPORTANCE = 0.6
 #: Distinct pages that a host, and hosts that the merged tree, must have for their entropy to count.
 LEAST_PAGES, LEAST_HOSTS = 12, 12
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL)
+#: Nothing is tried twice: a tag that doesn't end is given up where it can't go on, and other declarations reach to the next > or the end.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>\"']*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[a-z]+")
 

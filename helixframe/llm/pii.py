@@ -122,7 +122,8 @@ def _ips(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
         for k in range(0, len(parts) - 3, 4):
             four = parts[k : k + 4]
             length = sum(map(len, four)) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four):
+            values = [p.lstrip("0") or "0" for p in four]  # a number may have any number of leading zeros
+            if all(len(v) <= 3 and int(v) <= 255 for v in values):
                 yield at, at + length
             at += length + 1
 

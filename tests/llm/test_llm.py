@@ -52,6 +52,11 @@ def test_base_spans(text):
     assert [(s.kind, s.start, s.end) for s in pii.spans_of(text) if s.kind in pii.BASE_KINDS] == plain_spans(text)
 
 
+def test_numbers_with_many_leading_zeros():
+    text = "0" * 5000 + "1.1.1.1 and " + "9" * 5000 + ".1.1.1.1"
+    assert [(s.start, s.end) for s in pii.spans_of(text) if s.kind == "ip"] == [(0, 5007)]
+
+
 def test_base_spans_of_random_texts():
     rng = np.random.default_rng(0)
     for _ in range(300):
@@ -518,6 +523,19 @@ def test_names_count_as_a_whole():
         assert pages.main_text(page, frozenset()) == want
 
 
+def test_tags_that_never_end_take_no_time():
+    import time
+
+    for text in ("<a" * 500_000, "<" + "a" * 1_000_000, "<a \"" * 250_000, "<a '\"" * 200_000, "<!" * 500_000, "</a x='" * 150_000, "<a b=" * 200_000, "<a\"" * 300_000):
+        start = time.process_time()
+        pages.parse(text)
+        assert time.process_time() - start < 5
+
+
+def test_odd_tags():
+    assert pages.main_text("<body><p>a <b x=\"1>2\">b</b> c<!x y> d<?z> <e</p><p>f <i", frozenset()) == "a b c d <e\n\nf <i"
+
+
 def test_pages_parse_in_linear_time():
     import time
 
