@@ -1,5 +1,9 @@
 """Every registered query of the library against its SQL twin."""
 
+import os
+import subprocess
+import sys
+
 import oracle
 import pytest
 
@@ -28,3 +32,24 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("missing, found", [("helixframe.llm", "absent"), ("corpus_pipeline", "absent"), ("numpy.no_such_part", "raised")])
+def test_only_an_absent_subpackage_is_passed_over(missing, found):
+    """In a process of its own: importing the entry where one module can't be found."""
+    code = f"""
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name == {missing!r} or (name == "helixframe.llm" and {missing!r}.startswith("numpy")):
+            raise ModuleNotFoundError("no module " + {missing!r}, name={missing!r})
+sys.meta_path.insert(0, Gone())
+try:
+    import __spark_entry__ as entry
+except ModuleNotFoundError:
+    print("raised")
+else:
+    print("absent" if not any(q.startswith("op") for q in entry.queries()) and len(entry.queries()) > 60 else "present")
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120).stdout.split() == [found]
