@@ -1,20 +1,26 @@
 """Main text of web pages by a site style tree.
 
-Pages of one host are merged into a tree of branches (paths of tags and classes below ``body``). For each
-branch the entropy of its presentation (the sequence of child tags) and of its content (its text) over the
-host's distinct pages, relative to the highest possible, is its importance: a menu says the same on every
-page, an article does not. Hosts with few pages borrow the importance of the same branch over all hosts, where
-each host weighs alike. Branches of all depths count, within articles too, but what marks an article and its
-plain paragraphs and headings are never of low importance.
-Branches of low importance, and branches whose tag or name (of class, id or role) says that they are menus,
-headers, footers, sidebars, notices, adverts, forms or comments, are removed from each page; the rest is its
-text. A name counts as a whole: each of its words has to fit, so ``share-price`` and ``related-work`` say nothing.
-Within articles, what may be a matter of the text (alerts, notices, related posts) stays unless the tree removes it.
+Pages of one host are merged into a tree of branches (paths of tags and classes below ``body``). A page's node in a
+branch has a content (a hash of all text below it) that comes again on other pages of the host, or in the same branch
+of other hosts, or is its own. A branch's importance is the share of its pages whose content is their own, where hosts
+with few pages lean on what the branch is over all hosts, each host alike; it is no higher than the entropy of its
+contents and presentations (sequences of child tags) allows. A menu says the same on many pages, an article does not.
+The limit follows from the host: halfway between full importance and that of its least important branch, and no higher
+than LIMIT. On each page, the nodes go whose content comes again and whose branch is below the limit. A node's content
+is that of all below it, so importance is built from the leaves upward: where a whole branch is the page's own, its
+parts are still judged by themselves. What marks an article is never removed, nor its plain paragraphs and headings,
+and within it a node goes only if half of the host's pages say the same there.
+
+The tree can't know what comes but once. So tags and names (of class, id or role) that mean menus, headers, footers,
+sidebars, notices, adverts, forms or comments speak where it is silent. A name counts as a whole: each of its words has
+to fit, so ``share-price`` and ``related-work`` say nothing. Within articles, what may be a matter of the text (alerts,
+notices, related posts) stays unless the tree removes it.
 
 A page is parsed in time linear in its length, however deep it nests: an element's content is one hash of its
 texts and of its elements' hashes, and a branch is told by its name, of bounded length.
 
-Counts are aggregated before they are shuffled, so a host with a third of all pages is no hot key.
+Counts are aggregated before they are shuffled, so a host with a third of all pages is no hot key, and a page is sent
+the names of its own branches only.
 
 Defined results: a null or empty page has the text '' and a null url belongs to the host ''; malformed HTML
 is closed where a browser would; repeated rows come back as often, but count once in the tree; other columns
@@ -34,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import materialize, slices
+from helixframe.llm.common import discard, materialize, slices
 
 #: Tags without text for readers.
 SILENT = frozenset("title script style noscript template svg iframe object canvas select button textarea input datalist".split())
@@ -71,10 +77,10 @@ SCOPE = frozenset("ul ol dl table article main section div nav aside header foot
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption".split())
 #: Longer names of branches become hashes, so that deep pages take no more room a step than flat ones.
 NAME_CHARS = 200
-#: Below this share of the highest possible entropy a branch is of low importance.
-LEAST_IMPORTANCE = 0.6
-#: Distinct pages that a host, and hosts that the merged tree, must have for their entropy to count.
-LEAST_PAGES, LEAST_HOSTS = 12, 12
+#: A branch of this importance or more is never low, whatever its host; a host's own pages weigh against so many of others.
+LIMIT, LEAN = 0.75, 2
+#: Within an article, the share of the host's pages that must say the same.
+COMMON = 0.5
 
 #: Nothing is tried twice: a tag that doesn't end is given up where it can't go on, and other declarations reach to the next > or the end.
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>\"']*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+(?:>|\Z)", re.DOTALL)
@@ -145,9 +151,10 @@ def _below(branch: str, label: str) -> str:
     return name if len(name) <= NAME_CHARS else "#" + hashlib.md5(name.encode("utf-8", "replace")).hexdigest()
 
 
-def parse(page: str | None, low: frozenset[str] | None = None) -> tuple[list[str], dict[str, Branch]]:
+def parse(page: str | None, low: frozenset[str] | None = None, common: frozenset[str] = frozenset(), marks: bool = True) -> tuple[list[str], dict[str, Branch]]:
     """The texts of the page's blocks outside noise and outside the branches ``low``, in page order, white space
-    turned into single blanks; without ``low`` also what the page has in each branch."""
+    turned into single blanks; without ``low`` also what the page has in each branch. Within articles only the
+    branches ``common`` are left out. Without ``marks`` tags and names mean nothing, but for articles."""
     build, low = low is None, low or frozenset()
     kept: list[str] = []
     tree: dict[str, Branch] = {}
@@ -229,10 +236,10 @@ def parse(page: str | None, low: frozenset[str] | None = None) -> tuple[list[str
             branch, under = above.branch, above.low
             if tag not in INLINE:
                 branch = _below(branch, label)
-                under = under or branch in low and tag not in ARTICLE_TAGS and not (above.article and label in PROSE)
+                under = under or tag not in ARTICLE_TAGS and (branch in common and label not in PROSE if above.article else branch in low)
             else:
                 above.block.inline[tag] = above.block.inline.get(tag, 0) + 1
-            stack.append(_Open(tag, label, branch, noise or above.noise, article or above.article, under, above))
+            stack.append(_Open(tag, label, branch, marks and noise or above.noise, article or above.article, under, above))
             open_[tag] = open_.get(tag, 0) + 1
     if page and not silent and at < len(page):
         pieces.append(page[at:])
@@ -241,68 +248,82 @@ def parse(page: str | None, low: frozenset[str] | None = None) -> tuple[list[str
     return kept, tree
 
 
-def main_text(page: str | None, low: frozenset[str]) -> str:
+def main_text(page: str | None, low: frozenset[str], common: frozenset[str] = frozenset(), marks: bool = True) -> str:
     """The blocks outside noise and outside branches of low importance, joined by an empty line."""
-    return "\n\n".join(parse(page, low)[0])
+    return "\n\n".join(parse(page, low, common, marks)[0])
 
 
 def host_of(url: str):
     return F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def _entropy(groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Entropy of counts ``n`` relative to the log of their sum, by keys."""
-    return groups.groupBy(*keys).agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn")).select(*keys, "pages", (1 - F.try_divide(F.col("nlogn"), F.col("pages") * F.log("pages"))).alias("entropy"))
+def _numbered(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """Pages with their host and a number that pages alike share."""
+    named = pages.withColumns({"_host": host_of(url), "_page": F.coalesce(F.col(html), F.lit(""))})
+    return named.withColumn("_number", F.xxhash64("_host", "_page"))
 
 
-def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Host, branch, pages, importance, and the importance of the branch over all hosts."""
+def page_nodes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """host, branch, style, content and page (its number): what each distinct page has in each of its branches."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "page", 64):
+        for part in slices(batches, "_page", 64):
             columns: tuple[list, ...] = ([], [], [], [], [])
-            for host, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                number = xxhash.xxh3_64_intdigest((page or "").encode("utf-8", "replace"))
+            for host, page, number in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 for branch, found in parse(page)[1].items():
                     for column, value in zip(columns, (host, branch, found.below.intdigest(), found.content.intdigest(), number), strict=True):
                         column.append(value)
-            kinds = [pa.string(), pa.string()]
-            numbers = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in columns[2:]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=False)] + numbers, ["host", "branch", "style", "content", "page"])
-
-    seen = pages.select(host_of(url).alias("host"), F.col(html).alias("page")).mapInArrow(features, "host string, branch string, style bigint, content bigint, page bigint").distinct()
-    counted = materialize(seen.groupBy("host", "branch", "style", "content").agg(F.count("*").alias("n")), "branch-counts")
-    # Stored before they are joined, so that Spark can broadcast them, or split what is hot on the other side.
-    own = materialize(_importance(counted, ["host", "branch"]), "own-importance")
-    alike = counted.join(own.select("host", "branch", "pages"), ["host", "branch"]).withColumn("n", F.col("n") / F.col("pages"))  # each host counts as one
-    hosts = own.groupBy("branch").agg(F.count("*").alias("hosts"))
-    shared = _importance(alike, ["branch"]).select("branch", F.col("importance").alias("shared_importance")).join(hosts, "branch")
-    return own.join(materialize(shared, "shared-importance"), "branch")
-
+            hashes = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in columns[2:4]]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), *hashes, pa.array(columns[4], pa.int64())], ["host", "branch", "style", "content", "page"])
 
-def _importance(counted: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys, pages, and the larger of the entropies of content and presentation."""
-    content, style = (_entropy(counted.groupBy(*keys, kind).agg(F.sum("n").alias("n")), keys) for kind in ("content", "style"))
-    both = content.join(style.select(*keys, F.col("entropy").alias("style_entropy")), keys)
-    return both.select(*keys, "pages", F.greatest("entropy", "style_entropy").alias("importance"))
+    return _numbered(pages, url, html).select("_host", "_page", "_number").mapInArrow(features, "host string, branch string, style bigint, content bigint, page bigint").distinct()
 
 
-def low_branches(tree: DataFrame) -> DataFrame:
-    """Host and the array of its branches of low importance."""
-    own = F.col("importance") < LEAST_IMPORTANCE
-    shared = (F.col("hosts") >= LEAST_HOSTS) & (F.col("shared_importance") < LEAST_IMPORTANCE)
-    return tree.where(F.when(F.col("pages") >= LEAST_PAGES, own).otherwise(shared)).groupBy("host").agg(F.sort_array(F.collect_set("branch")).alias("low"))
-
-
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """One row per input row: key, url, text."""
-    # Stored, so that Spark knows its size: it broadcasts a short list of hosts and shuffles for a long one.
-    low = materialize(low_branches(style_tree(pages, url, html)), "low-branches")
-    joined = pages.select(F.col(key).cast("bigint").alias(key), F.col(url).alias(url), F.col(html).alias("_html"), host_of(url).alias("host")).join(low, "host", "left")
+def _entropy(groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Entropy of counts ``n`` relative to the log of their sum, by keys; of a single page 1."""
+    summed = groups.groupBy(*keys).agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
+    return summed.select(*keys, "pages", F.coalesce(1 - F.try_divide(F.col("nlogn"), F.col("pages") * F.log("pages")), F.lit(1.0)).alias("entropy"))
+
+
+def style_tree(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, branch, content, n, again, pages) of each content: pages of the host with it, and whether it comes again,
+    there or in another host; and (host, branch, pages, importance)."""
+    counted = materialize(nodes.groupBy("host", "branch", "content").agg(F.count("*").alias("n")), "contents")
+    hosts = counted.groupBy("branch", "content").agg(F.count("*").alias("hosts")).where("hosts > 1")
+    again = counted.join(hosts, ["branch", "content"], "left").withColumn("again", (F.col("n") > 1) | F.col("hosts").isNotNull()).drop("hosts")
+    again = materialize(again, "contents-again")
+    own = again.groupBy("host", "branch").agg(F.sum("n").alias("pages"), F.sum(F.when(F.col("again"), F.col("n")).otherwise(0)).alias("_again"))
+    shared = own.groupBy("branch").agg(F.avg(F.col("_again") / F.col("pages")).alias("_shared"))
+    entropy = [_entropy(df, ["host", "branch"]).select("host", "branch", F.col("entropy").alias(f"_{name}")) for df, name in ((counted, "content"), (nodes.groupBy("host", "branch", "style").agg(F.count("*").alias("n")), "style"))]
+    joined = own.join(shared, "branch").join(entropy[0], ["host", "branch"]).join(entropy[1], ["host", "branch"])
+    unlike = 1 - (F.col("_again") + LEAN * F.col("_shared")) / (F.col("pages") + LEAN)
+    tree = joined.select("host", "branch", "pages", F.least(unlike, F.greatest("_content", "_style")).alias("importance"))
+    return again, materialize(tree, "style-tree")
+
+
+def low_nodes(nodes: DataFrame) -> DataFrame:
+    """page, low and common: of each page, its branches whose content comes again and is of low importance, and those of
+    them whose content half of the host's pages have. Pages without any are left out."""
+    again, tree = style_tree(nodes)
+    limits = tree.groupBy("host").agg(F.least(F.lit(LIMIT), (1 + F.min("importance")) / 2).alias("_limit"))
+    low = tree.join(limits, "host").where(F.col("importance") < F.col("_limit")).select("host", "branch", "pages")
+    contents = again.where("again").join(low, ["host", "branch"]).select("host", "branch", "content", ((F.col("n") >= COMMON * F.col("pages")) & (F.col("n") > 1)).alias("_common"))
+    contents = materialize(contents, "low-contents")
+    found = nodes.join(contents, ["host", "branch", "content"])
+    return found.groupBy("page").agg(F.sort_array(F.collect_set("branch")).alias("low"), F.sort_array(F.collect_set(F.when(F.col("_common"), F.col("branch")))).alias("common"))
+
+
+def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", marks: bool = True) -> DataFrame:
+    """One row per input row: key, url, text. Without ``marks`` the tree alone decides."""
+    nodes = materialize(page_nodes(pages, url, html), "nodes")
+    # Stored, so that Spark knows its size: it broadcasts a short list of pages and shuffles for a long one.
+    low = materialize(low_nodes(nodes), "low-nodes")
+    discard(nodes)
+    joined = _numbered(pages, url, html).select(F.col(key).cast("bigint").alias(key), F.col(url).alias(url), "_page", "_number").join(low, F.col("_number") == F.col("page"), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_html", 64):
-            texts = [main_text(p, frozenset(b or ())) for p, b in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+        for part in slices(batches, "_page", 64):
+            texts = [main_text(p, frozenset(b or ()), frozenset(c or ()), marks) for p, b, c in zip(*(part.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], [key, url, "text"])
 
-    return joined.select(key, url, "_html", "low").mapInArrow(cut, f"`{key}` bigint, `{url}` string, text string")
+    return joined.select(key, url, "_page", "low", "common").mapInArrow(cut, f"`{key}` bigint, `{url}` string, text string")

@@ -564,6 +564,74 @@ def test_hosts_with_pages_of_their_own_borrow_nothing(spark):
     assert [found[k - 100] for k in range(20)] == [f"article {k}" for k in range(20)] and found[3007] == "page 3 7"
 
 
+def plain_tree(rows):
+    """(host, branch): importance, and what each distinct page has low, worked out page by page."""
+    import math
+
+    seen = {}
+    for url, html in rows:
+        host = (re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", url or "") or ["", ""])[1].lower()
+        seen[host, html or ""] = {b: (f.content.intdigest(), f.below.intdigest()) for b, f in pages.parse(html)[1].items()}
+    nodes = [(host, html, b, *v) for (host, html), found in seen.items() for b, v in found.items()]
+    n, hosts, total = Counter((h, b, c) for h, _, b, c, _ in nodes), {}, Counter((h, b) for h, _, b, _, _ in nodes)
+    for h, _, b, c, _ in nodes:
+        hosts.setdefault((b, c), set()).add(h)
+    again = {k: n[k] > 1 or len(hosts[k[1:]]) > 1 for k in n}
+    share = {k: sum(n[x] for x in n if x[:2] == k and again[x]) / total[k] for k in total}
+    entropy = lambda counts, m: 1.0 if m == 1 else -sum(k / m * math.log(k / m) for k in counts) / math.log(m)
+    importance = {}
+    for h, b in total:
+        over = [share[k] for k in share if k[1] == b]
+        m = total[h, b]
+        unlike = 1 - (share[h, b] * m + pages.LEAN * sum(over) / len(over)) / (m + pages.LEAN)
+        both = max(entropy([k for x, k in n.items() if x[:2] == (h, b)], m), entropy(Counter(s for a, _, x, _, s in nodes if (a, x) == (h, b)).values(), m))
+        importance[h, b] = min(unlike, both)
+    low = {}
+    for h, html, b, c, _ in nodes:
+        limit = min(pages.LIMIT, (1 + min(v for k, v in importance.items() if k[0] == h)) / 2)
+        if again[h, b, c] and importance[h, b] < limit:
+            low.setdefault((h, html), {})[b] = n[h, b, c] > 1 and n[h, b, c] >= pages.COMMON * total[h, b]
+    return importance, low
+
+
+def test_tree_equals_plain_tree(spark):
+    table = spark.read.parquet(f"{SF}/pages.parquet").select("url", "html")
+    rng = np.random.default_rng(1)
+    made = [(f"http://h{int(rng.integers(0, 4))}.example/{k}", f"<div class='m{k % 3}'>menu {int(rng.integers(0, 3))}</div><div><p>text {k}</p><p>{'same' if k % 2 else k}</p></div>") for k in range(40)]
+    rows = [tuple(r) for r in table.collect()] + made + made[:3] + [(None, None), (None, "<p>x</p>")]
+    df = spark.createDataFrame(rows, "url string, html string")
+    importance, low = plain_tree(rows)
+    nodes = pages.page_nodes(df)
+    got = {(r.host, r.branch): r.importance for r in pages.style_tree(nodes)[1].collect()}
+    assert set(got) == set(importance) and max(abs(got[k] - importance[k]) for k in got) < 1e-9
+    numbers = {r._number: (r._host, r._page) for r in pages._numbered(df, "url", "html").collect()}
+    found = {numbers[r.page]: {b: b in r.common for b in r.low} for r in pages.low_nodes(nodes).collect()}
+    assert found == low and low
+
+
+def test_tree_alone_removes_what_comes_again(spark):
+    """With tags and names switched off: every menu and advert whose content recurs goes, and no block of an article."""
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = {r.page_id: r for r in table.collect()}
+    alone = {r.page_id: r.text.split("\n\n") for r in pages.extract(table, marks=False).collect()}
+    whole = {k: pages.main_text(r.html, frozenset()).split("\n\n") for k, r in rows.items()}
+    part = lambda html, tag: re.findall(rf"<{tag}[ >].*?</{tag.split()[0]}>", html, re.DOTALL)
+    noise = {k: [pages.main_text(x, frozenset(), marks=False) for x in (*part(r.html, "nav"), *part(r.html, 'div class="ad"'))] for k, r in rows.items()}
+    count = Counter(x for found in noise.values() for x in set(found))
+    recurring = [(k, x) for k, found in noise.items() for x in found if x and count[x] > 1]
+    assert len(recurring) > 100
+    left = [(k, x) for k, x in recurring if all(block in alone[k] for block in x.split("\n\n")) and not all(block in whole[k] for block in x.split("\n\n"))]
+    assert not left
+    assert not [k for k in rows if Counter(whole[k]) - Counter(alone[k])]
+
+
+def test_few_pages_need_no_switch(spark):
+    """A menu that one-page hosts share goes; what but one host says stays."""
+    rows = [(k, f"http://h{k}.example/", f"<div>Home About Contact</div><div class='t'>text {k}</div><div class='own'>of host {k}</div>") for k in range(5)]
+    found = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert found == {k: f"text {k}\n\nof host {k}" for k in range(5)}
+
+
 # ---------------------------------------------------------------- pipeline
 
 
