@@ -316,10 +316,11 @@ def low_nodes(nodes: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", marks: bool = True) -> DataFrame:
     """One row per input row: key, url, text. Without ``marks`` the tree alone decides."""
     nodes = materialize(page_nodes(pages, url, html), "nodes")
-    # Stored, so that Spark knows its size: it broadcasts a short list of pages and shuffles for a long one.
     low = materialize(low_nodes(nodes), "low-nodes")
     discard(nodes)
-    joined = _numbered(pages, url, html).select(F.col(key).cast("bigint").alias(key), F.col(url).alias(url), "_page", "_number").join(low, F.col("_number") == F.col("page"), "left")
+    joined = _numbered(pages, url, html).select(F.col(key).cast("bigint").alias(key), F.col(url).alias(url), "_page", "_number")
+    # Nearly every page has such branches, so the table grows with the pages: it is merged at every size, never broadcast.
+    joined = joined.join(low.hint("merge"), F.col("_number") == F.col("page"), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_page", 64):
