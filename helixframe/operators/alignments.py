@@ -254,15 +254,25 @@ def build_pileup(reads: DataFrame, reference: DataFrame, min_quality: int = 13,
     return lines.select("contig", "position", "ref", "depth", text(symbol).alias("bases"), text(lambda x: F.char(33 - x["_q"])).alias("quals"))
 
 
-def allele_metrics(reads: DataFrame, positions: DataFrame, min_quality: int = 0, reference: DataFrame | None = None) -> DataFrame:
+def allele_metrics(reads: DataFrame, positions: DataFrame, min_quality: int = 0, reference: DataFrame | None = None, indels: bool = False) -> DataFrame:
     """Per-allele read metrics at listed positions.
 
+    With ``indels``, what follows a base is an allele of its own too (+2AC, -1T, deleted letters from the reference),
+    with the metrics of the base before it.
+
     ``mmqs`` is the mean over an allele's reads of the summed qualities of their mismatches, against ``reference``
     (contig, position, ref), or against ``positions`` where they have a ref; null without either.
     """
-    bases = read_bases(reads, min_quality)
+    bases = read_bases(reads, min_quality, marks=indels)
     rows = bases.join(positions.select("contig", "position").distinct(), ["contig", "position"])
     reference = positions if reference is None and "ref" in positions.columns else reference
+    named = rows.withColumn("allele", F.col("base"))
+    if indels:
+        letters = deleted_letters(rows, reference if reference is not None else rows.select("contig", "position", F.lit("N").alias("ref")).where("false"))
+        longer = rows.where("inserted <> ''").withColumn("allele", F.concat(F.lit("+"), F.length("inserted").cast("string"), F.col("inserted")))
+        shorter = rows.where("deleted > 0").join(letters, ["contig", "position", "deleted"]).withColumn("allele", F.concat(F.lit("-"), F.col("deleted").cast("string"), F.col("letters")))
+        named = named.unionByName(longer).unionByName(shorter.select(named.columns))
+    rows = named
     if reference is None:
         rows = rows.withColumn("mismatches", F.lit(None).cast("double"))
     else:
@@ -271,7 +281,7 @@ def allele_metrics(reads: DataFrame, positions: DataFrame, min_quality: int = 0,
         differ = differ.dropDuplicates(["read_id", "contig", "position"])  # rows alike are one read here
         rows = rows.join(differ.groupBy("read_id").agg(F.sum("quality").cast("double").alias("mismatches")), "read_id", "left").withColumn("mismatches", F.coalesce("mismatches", F.lit(0.0)))
     means = {"mapq": "mapq", "basequal": "quality", "readpos": "read_pos", "mmqs": "mismatches", "readlen": "read_len", "dist3": "dist3"}
-    return rows.groupBy("contig", "position", F.col("base").alias("allele")).agg(F.count("*").cast("double").alias("count"), *(F.avg(c).alias(n) for n, c in means.items()), F.count_if(~F.col("reverse")).cast("double").alias("plus"), F.count_if("reverse").cast("double").alias("minus"))
+    return rows.groupBy("contig", "position", "allele").agg(F.count("*").cast("double").alias("count"), *(F.avg(c).alias(n) for n, c in means.items()), F.count_if(~F.col("reverse")).cast("double").alias("plus"), F.count_if("reverse").cast("double").alias("minus"))
 
 
 def classify_pairs(tumor: DataFrame, normal: DataFrame, min_tumor_frequency: float = 0.05, homozygous: float = 0.75, max_p: float = 0.05, purity: float = 1.0, sure_tumor: float = 0.1, sure_normal: float = 0.05, sure_p: float = 0.07) -> DataFrame:

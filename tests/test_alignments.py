@@ -37,6 +37,17 @@ def test_indels_and_read_ends(spark):
     assert counts[2, "+2TT"] == (1, 1, 0) and counts[2, "-2GT"] == (1, 0, 1) and counts[3, "+1A"] == (1, 1, 0)
 
 
+def test_metrics_of_indels(spark):
+    reads = spark.createDataFrame([("a", 0, "c", 1, 60, "2M2I2M", "ACTTGT", "II!III"), ("b", 16, "c", 1, 20, "2M2D2M", "ACAC", "I5II"), ("c", 0, "c", 1, 40, "2M2D2M", "ACAC", "I?II")], READ)
+    reference = reference_of(spark, "ACGTAC")
+    found = {(r.position, r.allele): r for r in alignments.allele_metrics(reads, reference, indels=True).collect()}
+    assert {k for k in found if k[1][0] in "+-"} == {(2, "+2TT"), (2, "-2GT")}
+    one, two = found[2, "+2TT"], found[2, "-2GT"]
+    assert (one["count"], one.mapq, one.basequal, one.plus) == (1.0, 60.0, 40.0, 1.0) and (two["count"], two.mapq, two.basequal, two.plus, two.minus) == (2.0, 30.0, 25.0, 1.0, 1.0)
+    plain = {(r.position, r.allele): r for r in alignments.allele_metrics(reads, reference).collect()}
+    assert plain == {k: r for k, r in found.items() if k[1][0] not in "+-"} and plain[2, "C"]["count"] == 3.0
+
+
 def test_long_indels_and_missing_reference(spark):
     reads = spark.createDataFrame([("a", 0, "c", 1, 60, "2M70D2M", "ACGT", "IIII"), ("b", 0, "c", 1, 60, "2M65I2M", "AC" + "G" * 65 + "GT", "I" * 69)], READ)
     reference = reference_of(spark, "ACGT" + "A" * 40)  # ends within the deletion
