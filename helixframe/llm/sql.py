@@ -1,6 +1,33 @@
 """SQL twins of the corpus queries that SQL can express."""
 
 ORACLE_SQL = {
+    "op1_embedding_dedup": r"""
+with recursive v as (
+  select vec_id, embedding::double[] as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as (select a.vec_id as x, b.vec_id as y from v a join v b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) where list_cosine_similarity(a.v, b.v) >= 0.9),
+reached as (select x, y from links union select r.x, l.y from reached r join links l on l.x = r.y),
+component as (select x, least(x, min(y)) as c from reached group by x),
+counted as (select x, count(*) as n from links group by x)
+select vec_id, coalesce(n, 0)::bigint as n_links, coalesce(c, vec_id) as component_id, coalesce(c, vec_id) = vec_id as kept
+from embeddings left join counted on counted.x = vec_id left join component on component.x = vec_id""",
+    "op11_suffix_dedup": r"""
+with d as (select row_number() over () as id, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+starts as (select id, unnest(range(1, length(h) // 2 - 198)) as s from d where length(h) >= 400),
+strings as (select id, s, md5_number(substr(h, 2 * s - 1, 400)) as m from starts join d using (id)),
+again as (select m from strings group by m having count(*) > 1),
+hits as (select id, s, lag(s) over (partition by id order by s) as before from strings semi join again using (m)),
+runs as (select id, s, sum(case when before is null or s > before + 200 then 1 else 0 end) over (partition by id order by s) as run from hits),
+spans as (select id, min(s) as lo, max(s) + 200 as hi from runs group by id, run),
+edges as (select id, lo, hi, coalesce(lag(hi) over (partition by id order by lo), 1) as from_, row_number() over (partition by id order by lo desc) = 1 as last_ from spans),
+kept as (
+  select id, sum(hi - lo) as n_removed, count(*) as n_spans,
+    string_agg(concat(substr(h, 2 * from_ - 1, 2 * (lo - from_)), case when last_ then substr(h, 2 * hi - 1) else '' end), '' order by lo) as rest
+  from edges join d using (id) group by id
+)
+select doc_id, length(h) // 2 as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(rest, h))) as kept_sha256
+from d left join kept using (id)""",
     "op12_collocations": r"""
 with pieces as (
   select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
