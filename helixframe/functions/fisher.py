@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from helixframe.functions.binding import let
+
 
 #: Logarithms of the factorials of 0 to 15; beyond, the series of Stirling is exact to the last digit.
 _LOG_FACTORIALS = [math.lgamma(n + 1) for n in range(16)]
@@ -18,11 +20,6 @@ def log_factorial(n: Column) -> Column:
     return F.when(n < 16, F.get(F.array(*map(F.lit, _LOG_FACTORIALS)), n.cast("int"))).otherwise(series)
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is worked out once, however often the body reads it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def fisher_exact(a, b, c, d) -> Column:
     """Two-sided p of the table [[a, b], [c, d]]: the sum over tables with the same margins that are no likelier.
 
@@ -45,10 +42,10 @@ def fisher_exact(a, b, c, d) -> Column:
             k = k.cast("double")
             ratio = (v["b"] - k + 1) * (v["c"] - k + 1) / ((v["a"] + k) * (v["d"] + k)) if up else (v["a"] - k + 1) * (v["d"] - k + 1) / ((v["b"] + k) * (v["c"] + k))
             log = acc["log"] + F.log(ratio)
-            return _let(log, lambda x: _let(F.exp(x), lambda w: F.struct(x.alias("log"), (acc["all"] + w).alias("all"), (acc["tail"] + F.when(x <= 1e-9, w).otherwise(0.0)).alias("tail"))))
+            return let(log, lambda x: let(F.exp(x), lambda w: F.struct(x.alias("log"), (acc["all"] + w).alias("all"), (acc["tail"] + F.when(x <= 1e-9, w).otherwise(0.0)).alias("tail"))))
 
         start = F.struct(F.lit(0.0).alias("log"), F.lit(0.0).alias("all"), F.lit(0.0).alias("tail"))
-        return _let(steps, lambda n: F.aggregate(F.when(n > 0, F.sequence(F.lit(1), n.cast("int"))).otherwise(F.array().cast("array<int>")), start, term))
+        return let(steps, lambda n: F.aggregate(F.when(n > 0, F.sequence(F.lit(1), n.cast("int"))).otherwise(F.array().cast("array<int>")), start, term))
 
     def summed(v: Column) -> Column:
         # Far out, only the side away from the most likely table is walked.
@@ -56,10 +53,10 @@ def fisher_exact(a, b, c, d) -> Column:
         downward = F.when(v["far"], F.when(v["a"] < v["mode"], v["reach"]).otherwise(0)).otherwise(v["a"] - v["mode"] + v["reach"])
         walks = F.struct(walk(v, F.least(v["b"], v["c"], upward), True).alias("up"), walk(v, F.least(v["a"], v["d"], downward), False).alias("down"))
         own = sum((log_factorial(x) for x in (row, c + d, column, b + d)), F.lit(0.0)) - sum((log_factorial(x) for x in (n, a, b, c, d)), F.lit(0.0))
-        return _let(walks, lambda w: (1.0 + w["up"]["tail"] + w["down"]["tail"]) * F.when(v["far"], F.exp(own)).otherwise(1 / (1.0 + w["up"]["all"] + w["down"]["all"])))
+        return let(walks, lambda w: (1.0 + w["up"]["tail"] + w["down"]["tail"]) * F.when(v["far"], F.exp(own)).otherwise(1 / (1.0 + w["up"]["all"] + w["down"]["all"])))
 
     given = F.struct(a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d"), mode.alias("mode"), reach.alias("reach"), (F.abs(a - mode) > reach).alias("far"))
-    return F.when((a >= 0) & (b >= 0) & (c >= 0) & (d >= 0), F.least(F.lit(1.0), _let(given, summed)))
+    return F.when((a >= 0) & (b >= 0) & (c >= 0) & (d >= 0), F.least(F.lit(1.0), let(given, summed)))
 
 
 def odds_ratio(a, b, c, d) -> Column:

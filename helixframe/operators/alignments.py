@@ -167,7 +167,7 @@ def read_bases(reads: DataFrame, min_quality: int = 13, marks: bool = False) ->
     ``marks`` adds what a pileup shows beside the base, from the CIGAR step that follows its own: ``inserted`` (letters
     after it), ``deleted`` (number of bases after it), ``head`` (the first base's mapping quality as a letter) and ``tail``.
     """
-    given = reads.where("seq is not null and cigar is not null and qual is not null").select(F.xxhash64(*reads.columns).alias("read_id"), "contig", "pos", "cigar", "seq", "qual", "flag", "mapq")
+    given = reads.where("seq is not null and cigar is not null and qual is not null").select(F.struct(F.xxhash64(*reads.columns).alias("a"), F.xxhash64(F.lit(1), *reads.columns).alias("b")).alias("read_id"), "contig", "pos", "cigar", "seq", "qual", "flag", "mapq")
     steps = given.withColumn("_steps", F.filter(cigar_steps(F.col("pos"), F.col("cigar")), lambda s: ~s["op"].isin("P", "H") & (s["n"] > 0)))
     if marks:
         placed = F.filter("_steps", lambda s: s["op"].isin("M", "=", "X", "D"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixframe.functions.binding import let
 from helixframe.sources.columns import headers, is_data, lines, typed, with_header
 
 #: The 23 columns of the format.
@@ -51,18 +52,22 @@ def sample_cell(cell: Column, alleles: Column, minimum_depth: int = 0) -> Column
     """
     gt = F.filter(F.transform(F.split(cell["GT"], r"[/|]"), lambda a: a.try_cast("int")), lambda a: a.isNotNull())
     ad = F.transform(F.split(cell["AD"], ","), lambda x: F.coalesce(x.try_cast("int"), F.lit(0)))
-    depth = F.aggregate(ad, F.lit(0), lambda s, x: s + x)
-    distinct = F.array_distinct(gt)
-    return F.struct(
-        (F.size(gt) > 0).alias("called"),
-        F.sort_array(distinct).alias("genotype"),
-        F.coalesce(depth, F.lit(0)).alias("depth"),
-        F.map_from_entries(F.filter(F.transform(alleles, lambda a, i: F.struct(a.alias("key"), F.get(ad, i).alias("value"))), lambda e: e["value"].isNotNull())).alias("by_allele"),
-        (F.size(distinct) > 1).alias("heterozygous"),
-        (F.size(distinct) == 1).alias("homozygous"),
-        ((F.size(distinct) > 0) & (distinct != F.array(F.lit(0)))).alias("abnormal"),
-        (F.coalesce(depth, F.lit(0)) >= minimum_depth).alias("deep"),
-    )
+
+    def decoded(v: Column) -> Column:
+        return F.struct(
+            (F.size(v["distinct"]) > 0).alias("called"),
+            F.sort_array(v["distinct"]).alias("genotype"),
+            v["depth"].alias("depth"),
+            F.map_from_entries(F.filter(F.transform(alleles, lambda a, i: F.struct(a.alias("key"), F.get(v["ad"], i).alias("value"))), lambda e: e["value"].isNotNull())).alias("by_allele"),
+            (F.size(v["distinct"]) > 1).alias("heterozygous"),
+            (F.size(v["distinct"]) == 1).alias("homozygous"),
+            ((F.size(v["distinct"]) > 0) & (v["distinct"] != F.array(F.lit(0)))).alias("abnormal"),
+            (v["depth"] >= minimum_depth).alias("deep"),
+        )
+
+    # Both fields are split once, whatever is read of them.
+    depth = lambda x: F.coalesce(F.aggregate(x, F.lit(0), lambda s, n: s + n), F.lit(0))
+    return let(ad, lambda x: let(F.struct(F.array_distinct(gt).alias("distinct"), x.alias("ad"), depth(x).alias("depth")), decoded))
 
 
 def genotype_vcf(spark: SparkSession, paths: str | list[str], normal: str, tumor: str) -> DataFrame:
