@@ -38,6 +38,8 @@ CHUNK_BYTES, BUCKET_BYTES = 6_000_000, 8_000_000
 #: Entries of a container that bursts, containers that it bursts into, entries of a trie that spills, and shares of
 #: third words that spread a pair.
 BURST, HYBRIDS, FULL, SPREAD = 16_384, 16, 1_000_000, 64
+#: Shares of a language's phrases that are ranked apart first.
+SHARES = 16
 _DEALT = pa.schema([("key", pa.int64()), ("chunk", pa.int64()), ("payload", pa.binary())])
 _DEALT_DDL = "key bigint, chunk bigint, payload binary"
 _RUNS_DDL = "part bigint, payload binary"
@@ -394,6 +396,9 @@ def mine(docs: DataFrame, least: int = 10, ranks: int = 2000) -> DataFrame:
     pick = lambda x, y: F.when(F.col("_first"), F.col(x)).otherwise(F.col(y))
     three = cut.select("lang", F.concat_ws(" ", "tw1", "tw2", "tw3").alias("phrase"), F.col("f").alias("a"), pick("fw1", "f12").alias("l"), pick("f23", "fw3").alias("r"), pick("_one", "_two").alias("score"))
 
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = two.unionByName(three).withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= ranks)
+    # First within shares of a language, so that its last task reads the best of each share only, however many tasks there are.
+    best = two.unionByName(three).withColumn("_share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    for keys in (["lang", "_share"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        best = best.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= ranks)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
