@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.functions import contig_key, without_prefix
+from helixframe.functions import without_prefix
 from helixframe.operators.callers import caller_matrix, karyotype_order
 
 
@@ -58,7 +58,7 @@ def annotation_rows(df: DataFrame) -> DataFrame:
     """Single-base variants: chr, start, end, ref, alt, depth, reads, fraction, normal depth."""
     single = df.where((F.length("ref") == F.length("alt")) & ~F.col("alt").contains("*"))
     rows = single.select(F.col("contig").alias("chr"), F.col("position").alias("start"), (F.col("position") + F.length("ref") - 1).alias("end"), F.col("ref").alias("ref_allele"), F.col("alt").alias("alt_allele"), "tumor_depth", "tumor_supporting", F.bround(F.try_divide("tumor_supporting", "tumor_depth"), 4).alias("vaf"), "normal_depth")
-    return rows.orderBy(contig_key(F.col("chr")), "start")
+    return karyotype_order(rows, "chr", "start")
 
 
 def peptide_files(peptides: DataFrame, path: str) -> None:
