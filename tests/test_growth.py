@@ -18,3 +18,12 @@ def test_sort_keys_are_columns(spark, name):
     """A sort works an expression out anew at every comparison."""
     keys = re.findall(r"Sort \[(.*?)\], true", plan(QUERIES[name](spark, SF)))
     assert keys and not any("(" in k for k in keys), keys
+
+
+def test_cigars_are_read_once(spark):
+    from helixframe.operators import alignments
+
+    reads = spark.createDataFrame([("c1", 5, "2M1D2M", "ACGT", "IIII", 0, 60)], "contig string, pos long, cigar string, seq string, qual string, flag int, mapq int")
+    bases = alignments.read_bases(reads)
+    assert plan(bases).count("regexp_extract_all") == 2  # letters and numbers, in one place
+    assert sorted(map(tuple, bases.select("position", "base").collect())) == [(5, "A"), (6, "C"), (7, "*"), (8, "G"), (9, "T")]
