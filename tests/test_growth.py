@@ -27,3 +27,13 @@ def test_cigars_are_read_once(spark):
     bases = alignments.read_bases(reads)
     assert plan(bases).count("regexp_extract_all") == 2  # letters and numbers, in one place
     assert sorted(map(tuple, bases.select("position", "base").collect())) == [(5, "A"), (6, "C"), (7, "*"), (8, "G"), (9, "T")]
+
+
+def test_pileup_pieces_are_read_once(spark):
+    from pyspark.sql import functions as F
+
+    from helixframe.operators import pileup
+
+    lines = spark.createDataFrame([(".+2ACg,-1t^I.$*", "A")], "bases string, ref string").select(pileup.alleles_of(F.col("bases"), F.col("ref")).alias("a"))
+    assert plan(lines).count("regexp_extract(") == 2  # the number, and the letters after it
+    assert [tuple(a) for a in lines.first()["a"]] == [("+2AC", True), ("G", False), ("-1T", False), ("A", True)]
