@@ -37,3 +37,10 @@ def test_pileup_pieces_are_read_once(spark):
     lines = spark.createDataFrame([(".+2ACg,-1t^I.$*", "A")], "bases string, ref string").select(pileup.alleles_of(F.col("bases"), F.col("ref")).alias("a"))
     assert plan(lines).count("regexp_extract(") == 2  # the number, and the letters after it
     assert [tuple(a) for a in lines.first()["a"]] == [("+2AC", True), ("G", False), ("-1T", False), ("A", True)]
+
+
+@pytest.mark.parametrize("name", ["epitope_report", "neoepitopes", "protein_lookup", "kmer_peptides", "rejected_changes"])
+def test_sequences_are_cleaned_once(spark, name):
+    """A filter on a column is a filter on its expression: each mention cleaned the text of every document anew."""
+    text = plan(QUERIES[name](spark, SF))
+    assert 0 < text.count("regexp_replace(text#") <= len(re.findall(r"Relation \[[^\]]*\btext#", text))
