@@ -44,3 +44,8 @@ def test_sequences_are_cleaned_once(spark, name):
     """A filter on a column is a filter on its expression: each mention cleaned the text of every document anew."""
     text = plan(QUERIES[name](spark, SF))
     assert 0 < text.count("regexp_replace(text#") <= len(re.findall(r"Relation \[[^\]]*\btext#", text))
+
+
+def test_lengths_are_taken_before_the_join(spark):
+    """A gene's proteins meet all its orders: what a row needs of a sequence is worked out once a protein, and no sequence is shuffled."""
+    assert re.search(r"length\(seq#\d+\) AS residues", plan(QUERIES["protein_lookup"](spark, SF)).split("Join Inner")[1])
