@@ -49,3 +49,21 @@ def test_sequences_are_cleaned_once(spark, name):
 def test_lengths_are_taken_before_the_join(spark):
     """A gene's proteins meet all its orders: what a row needs of a sequence is worked out once a protein, and no sequence is shuffled."""
     assert re.search(r"length\(seq#\d+\) AS residues", plan(QUERIES["protein_lookup"](spark, SF)).split("Join Inner")[1])
+
+
+def test_both_sides_of_targets_take_one_pass(spark):
+    text = plan(QUERIES["hla_reads"](spark, SF))
+    assert "Sort [" not in text and text.count("Relation [l_orderkey") <= 2 + text.count("scalar-subquery")
+    assert "Union" not in text
+
+
+def test_marked_targets_are_both_results_of_the_job(spark):
+    from helixframe.operators import alignments
+    from helixframe.plans import jobs
+
+    reads = spark.createDataFrame([("a", "c1", 1, 5), ("b", "c1", 9, 12), ("c", "c2", 1, 5), ("d", "c1", None, 5), ("a", "c1", 1, 5)], "name string, contig string, start long, end long")
+    intervals = spark.createDataFrame([("c1", 4, 8), ("c1", 2, 3)], "contig string, start long, end long")
+    inside, outside = jobs.hla_reads(reads, intervals)
+    found = sorted((r.name, r.inside) for r in alignments.marked_targets(reads, intervals).collect())
+    assert found == [("a", True), ("a", True), ("b", False), ("c", False), ("d", False)]
+    assert found == sorted([(r.name, True) for r in inside.collect()] + [(r.name, False) for r in outside.collect()])
