@@ -67,3 +67,9 @@ def test_marked_targets_are_both_results_of_the_job(spark):
     found = sorted((r.name, r.inside) for r in alignments.marked_targets(reads, intervals).collect())
     assert found == [("a", True), ("a", True), ("b", False), ("c", False), ("d", False)]
     assert found == sorted([(r.name, True) for r in inside.collect()] + [(r.name, False) for r in outside.collect()])
+
+
+def test_cells_are_decoded_once(spark):
+    """Two cells a row, two fields each; a scan for the calls and one for their distinct tables."""
+    text = plan(QUERIES["somatic_vcf_filter"](spark, SF))
+    assert text.count("split(") <= 4 * text.count("Relation [l_orderkey")
