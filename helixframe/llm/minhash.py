@@ -1,14 +1,14 @@
 """Near-duplicate texts by improved consistent weighted sampling over TF-IDF shingles.
 
 1. Texts with the same words are one class: only its least key goes on.
-2. A shingle is five words; its weight is its count times the log of how rare it is among all documents.
-   Rareness is clipped: a shingle in at most 1/COMMON of all documents counts as rare as can be, so that in a
-   group of copies that holds up to 1/COMMON of all rows what its members share weighs as much as their edits;
-   in a larger group it weighs less, down to 1 against 1 + ln COMMON if the group is the whole table. So only
-   frequent shingles need exact counts, and there are at most COMMON times the mean number of shingles a
-   document of those. Each partition gives upper bounds of its own counts, these are added up by shingle, and
-   only shingles whose sum exceeds 1/COMMON of all documents (at most 2 COMMON times the mean number of a
-   document's shingles, however many partitions there are) come to the driver; a second pass counts them exactly.
+2. A shingle is five words; its weight is its count times its inverse document frequency, 1 + ln (N / n): N texts
+   are counted, of which n hold it. All shingles are counted, however rare, and no frequency is clipped. Of a group
+   of copies one text is counted: else what its members share would weigh less than their edits, and a large group
+   would be lost. Which texts those are is told by sketches (one permutation, BINS bins): a text isn't counted if it
+   shares one of SKETCH_BANDS bands with a text of smaller hash, and ALIKE of all bins with the least in that band.
+   Texts lie in chunks of about CHUNK words, which are kept as numbers in the chunk's list of words' hashes. A chunk's
+   distinct shingles are dealt to buckets by hash, counted there (told by 48 bits of hash), and the counts travel back
+   to the chunk in the same order.
 3. Each class is sampled BANDS x ROWS times (improved consistent weighted sampling); classes that agree in
    a band, and whose total weights allow the similarity (a class is in two neighbouring cells of weight),
    are proposed to each other.
@@ -32,16 +32,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.llm.bpe import pack_all, pack_bytes, pack_ints, take_runs, unpack_all, unpack_bytes, unpack_ints
 from helixframe.llm.common import discard, materialize, remembered, slices, text_rows
 from helixframe.llm.graph import connected_components
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 4
-#: A shingle in at most 1 of so many documents has the highest weight: the largest share of a group of copies.
-COMMON = 3
+#: Sketches that tell which texts are copies while documents are counted: bins, bands of them, and the share that agrees.
+BINS, SKETCH_BANDS, ALIKE = 80, 16, 0.65
+#: Words that a chunk of texts holds, shingles that a bucket holds on average, and bits of a row's place in its chunk.
+CHUNK, BUCKET, PLACE = 1_500_000, 2_000_000, 20
 #: What is far from its bucket's centre is compared in blocks of about so many rows, and shingles, at most.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 2_000_000
 #: Signs that are no part of a word at its ends.
@@ -113,17 +117,18 @@ class Shingler:
         return self.distinct(*self.words(texts))
 
 
+def idf(documents: int, found: np.ndarray) -> np.ndarray:
+    """Inverse document frequency of shingles that so many of the counted documents hold; one that none holds is as rare as can be."""
+    return 1 + np.log(np.maximum(documents / np.maximum(found, 1), 1))
+
+
 class Weights:
-    """Weights of shingles, given how many documents hold each frequent one."""
+    """Inverse document frequencies of all shingles, given how many documents hold each that more than one holds."""
 
     def __init__(self, documents: int, frequent: dict[int, int]):
-        order = sorted(frequent)
-        self.hashes = np.array([h & 0xFFFFFFFFFFFFFFFF for h in order], np.uint64)
-        sort = np.argsort(self.hashes)
-        self.hashes = self.hashes[sort]
-        found = np.array([frequent[h] for h in order], float)[sort]
-        self.rare = 1 + np.log(COMMON)
-        self.idf = 1 + np.log(np.minimum(documents / np.maximum(found, 1), COMMON))
+        self.hashes = np.array(sorted(frequent), np.uint64)
+        self.rare = float(idf(max(documents, 1), np.ones(1))[0])
+        self.idf = idf(documents, np.array([frequent[int(h)] for h in self.hashes], float))
 
     def of(self, shingles: np.ndarray) -> np.ndarray:
         out = np.full(len(shingles), self.rare)
@@ -134,6 +139,33 @@ class Weights:
         return out
 
 
+def sketches(shingles: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """16 bits of the least of each text's shingles in each of BINS ranges of hashes, a row a text; an empty bin takes its next one's."""
+    out = np.zeros((len(lens), BINS), np.uint16)
+    some = np.flatnonzero(lens)
+    if not len(some):
+        return out
+    bins = (((shingles >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)).astype(np.int64)
+    at = np.repeat(np.arange(len(some)), lens[some]) * BINS + bins  # in order, as a text's shingles are
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    held, values = np.full(len(some) * BINS, BINS), np.zeros(len(some) * BINS, np.uint16)
+    held[at[first]] = at[first] % BINS
+    values[at[first]] = (shingles[first] & np.uint64(0xFFFF)).astype(np.uint16)
+    held, values = held.reshape(-1, BINS), values.reshape(-1, BINS)
+    following = np.minimum.accumulate(held[:, ::-1], axis=1)[:, ::-1]
+    following = np.where(following == BINS, held.min(axis=1)[:, None], following)
+    out[some] = np.take_along_axis(values, following, axis=1)
+    return out
+
+
+def sketch_bands(sketch: np.ndarray) -> np.ndarray:
+    """A hash for each band of a sketch: every SKETCH_BANDS-th bin, so that a short text's are not one shingle."""
+    out = np.zeros((len(sketch), SKETCH_BANDS), np.uint64)
+    for k in range(BINS // SKETCH_BANDS):
+        out = _scramble(out + sketch[:, k * SKETCH_BANDS : (k + 1) * SKETCH_BANDS].astype(np.uint64) + _MIX)
+    return out
+
+
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Gamma(2, 1) quantiles at 65,536 even steps, and their logs, by Newton's method on 1 - (1 + x) exp(-x)."""
     p = (np.arange(65536) + 0.5) / 65536
@@ -168,132 +200,216 @@ def signatures(shingles: np.ndarray, log_weight: np.ndarray, starts: np.ndarray)
     return bands
 
 
-class FrequentShingles:
-    """Lossy counting: every shingle that more than 1/COMMON of the documents hold stays; the table is bounded.
+def pack_words(words: np.ndarray, lens: np.ndarray) -> bytes:
+    """Words' hashes of texts, one after another, as numbers in the list of the different ones."""
+    named = pa.array(words.view(np.int64), pa.int64()).dictionary_encode()
+    return pack_all(pack_bytes(named.dictionary.to_numpy().tobytes()), pack_ints(named.indices.to_numpy()), pack_ints(lens))
 
-    ``missed`` bounds how many documents held a shingle before it was (re)entered.
-    """
 
-    EPSILON = 1 / (4 * COMMON)
+def unpack_words(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    names, numbers, lens = unpack_all(blob)
+    return np.frombuffer(unpack_bytes(names), np.uint64)[unpack_ints(numbers)], unpack_ints(lens).astype(np.int64)
 
-    def __init__(self):
-        self.n = self.held_docs = 0
-        self.held: list[np.ndarray] = []
-        self.hashes, self.counts, self.missed = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
-
-    def add(self, shingles: np.ndarray, documents: int) -> None:
-        """Distinct shingles of some documents, one after another."""
-        self.held.append(shingles)
-        self.held_docs += documents
-        if sum(map(len, self.held)) > 2_000_000:
-            self.merge()
-
-    def merge(self) -> None:
-        if not self.held:
-            return
-        new, counts = np.unique(np.concatenate(self.held), return_counts=True)
-        fresh = ~np.isin(new, self.hashes)
-        self.counts[np.searchsorted(self.hashes, new[~fresh])] += counts[~fresh]
-        hashes = np.concatenate([self.hashes, new[fresh]])
-        total = np.concatenate([self.counts, counts[fresh]])
-        missed = np.concatenate([self.missed, np.full(fresh.sum(), self.EPSILON * self.n)])
-        self.n += self.held_docs
-        self.held, self.held_docs = [], 0
-        keep = np.flatnonzero(total + missed > self.EPSILON * self.n)
-        keep = keep[np.argsort(hashes[keep])]
-        self.hashes, self.counts, self.missed = hashes[keep], total[keep], missed[keep]
-
-    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
-        """Shingles and the most documents that can hold them; any other is held by at most EPSILON of all."""
-        self.merge()
-        return self.hashes, self.counts + self.missed
-
-
-def _local_bounds(df: DataFrame, mine: str) -> DataFrame:
-    """For each partition its shingles with upper bounds of their documents, and the number of its documents; with null as shingle that number alone."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, frequent = remembered(mine, Shingler), FrequentShingles()
-        for _, texts in text_rows(batches, "doc_id"):
-            frequent.add(shingler(texts)[0], len(texts))
-        found, most = frequent.bounds()
-        shingles = pa.concat_arrays([pa.array(found.view(np.int64)), pa.nulls(1, pa.int64())])
-        yield pa.RecordBatch.from_arrays([shingles, pa.array(np.append(most, 0.0)), pa.array(np.full(len(found) + 1, frequent.n, np.int64))], ["shingle", "most", "documents"])
-
-    return df.select("doc_id", "text").mapInArrow(count, "shingle bigint, most double, documents bigint")
-
-
-def weights(df: DataFrame, mine: str = "shingler") -> Weights:
-    """Exact document counts of all shingles that more than 1/COMMON of the documents hold."""
-    local = materialize(_local_bounds(df, mine), "frequent-shingles")
-    documents = local.where("shingle is null").agg(F.sum("documents")).first()[0] or 0
-    sums = local.where("shingle is not null").groupBy("shingle").agg(F.sum("most").alias("most"), F.sum("documents").alias("documents"))
-    # Where a partition names no bound, EPSILON of its documents is one.
-    likely = sums.where(F.col("most") + FrequentShingles.EPSILON * (F.lit(documents) - F.col("documents")) > documents / COMMON)
-    candidates = np.sort(np.array([r[0] for r in likely.select("shingle").collect()], np.int64).view(np.uint64))
-    discard(local)
-    if not len(candidates):
-        return Weights(documents, {})
-    shared = df.sparkSession.sparkContext.broadcast(candidates)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, known = remembered(mine, Shingler), shared.value
-        found = np.zeros(len(known), np.int64)
-        screen = np.zeros(1 << 20, bool)  # by the first 20 bits: most shingles are no candidates
-        screen[(known >> np.uint64(44)).astype(np.intp)] = True
-        for _, texts in text_rows(batches, "doc_id"):
-            own = shingler(texts)[0]
-            own = own[screen[(own >> np.uint64(44)).astype(np.intp)]]
-            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-            found += np.bincount(at[known[at] == own], minlength=len(known))
-        some = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(known[some].view(np.int64)), pa.array(found[some])], ["shingle", "n"])
-
-    counted = df.select("doc_id", "text").mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    return Weights(documents, {r[0]: r[1] for r in counted.where(F.col("n") > documents / COMMON).collect()})
-
-
-def _banded(docs: DataFrame, known: Weights, threshold: float, mine: str) -> DataFrame:
-    """(doc_id, h, size, cell, bands): hash of the words of each text, number of its distinct shingles, cell of its total weight, and its band hashes; nulls for texts without words."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _read(docs: DataFrame, mine: str) -> DataFrame:
+    """A row for each of ``docs``: uid (its chunk and its place there), doc_id, h (hash of its words), size (number of
+    its distinct shingles), sketch and marks (that's bands), the last four null for a text without words; and a row for
+    each chunk: chunk, words."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        shingler = remembered(mine, Shingler)
+        names = ["uid", "doc_id", "h", "size", "sketch", "marks", "chunk", "words"]
+        shingler, chunk = remembered(mine, Shingler), TaskContext.get().partitionId() << 23
+        held, place, n = [], 0, 0
+
+        def packed() -> pa.RecordBatch:
+            none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))]
+            blob = pack_words(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            return pa.RecordBatch.from_arrays([*none, pa.array([chunk], pa.int64()), pa.array([blob], pa.binary())], names)
+
         for keys, texts in text_rows(batches, "doc_id"):
             words, n_words = shingler.words(texts)
-            shingles, counts, lens = shingler.distinct(words, n_words)
-            ends = np.cumsum(n_words)
+            shingles, _, lens = shingler.distinct(words, n_words)
+            ends, empty = np.cumsum(n_words), n_words == 0
             h = [xxhash.xxh3_128_digest(words[lo:hi].tobytes()) if hi > lo else None for lo, hi in zip((ends - n_words).tolist(), ends.tolist(), strict=True)]
-            cells: list = [None] * len(texts)
-            bands: list = [None] * len(texts)
-            rows = np.flatnonzero(lens)
-            if len(rows):
-                weight = counts * shared.value.of(shingles)
-                starts = (np.cumsum(lens) - lens)[rows]
-                found = signatures(shingles, np.log(weight), starts).view(np.int64).T
-                cell = np.floor(np.log(np.add.reduceat(weight, starts)) / -np.log(threshold - 1e-6))
-                for k, c, b in zip(rows.tolist(), cell.tolist(), found.tolist(), strict=True):
-                    cells[k], bands[k] = int(c), b
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(h, pa.binary()), pa.array(lens, pa.int32()), pa.array(cells, pa.int32()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "h", "size", "cell", "bands"])
-
-    return docs.select("doc_id", "text").mapInArrow(sample, "doc_id bigint, h binary, size int, cell int, bands array<bigint>")
-
-
-def _features(docs: DataFrame, known: Weights, mine: str) -> DataFrame:
-    """(class, features): distinct shingles and their weights, sorted by shingle."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = remembered(mine, Shingler)
-        for keys, texts in text_rows(batches, "doc_id"):
-            shingles, counts, lens = shingler(texts)
-            weight, ends = (counts * shared.value.of(shingles)).astype("<f4"), np.cumsum(lens)
-            out = [shingles[lo:hi].tobytes() + weight[lo:hi].tobytes() for lo, hi in zip((ends - lens).tolist(), ends.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.binary())], ["class", "features"])
+            sketch = sketches(shingles, lens)
+            marks = list(sketch_bands(sketch).view(np.int64))
+            rows = [pa.array((chunk << PLACE) + np.arange(place, place + len(texts)), pa.int64()), pa.array(keys, pa.int64()), pa.array(h, pa.binary()), pa.array(lens, pa.int64(), mask=empty)]
+            rows += [pa.array([None if e else r.tobytes() for r, e in zip(sketch, empty, strict=True)], pa.binary()), pa.array([None if e else m for m, e in zip(marks, empty, strict=True)], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*rows, pa.nulls(len(texts), pa.int64()), pa.nulls(len(texts), pa.binary())], names)
+            held.append((words, n_words))
+            place, n = place + len(texts), n + len(words)
+            if n >= CHUNK or place >= 1 << PLACE - 1:
+                yield packed()
+                chunk, held, place, n = chunk + 1, [], 0, 0
+        if held:
+            yield packed()
+
+    return docs.select("doc_id", "text").mapInArrow(read, "uid bigint, doc_id bigint, h binary, size bigint, sketch binary, marks array<bigint>, chunk bigint, words binary")
+
+
+def _copies(texts: DataFrame) -> DataFrame:
+    """(t): texts that aren't counted, as one of smaller hash is like them. Nothing here depends on keys."""
+    marks = texts.select("t", F.posexplode("marks").alias("band", "hash"))
+    shared = materialize(marks.groupBy("band", "hash").agg(F.min("t").alias("m"), F.count("*").alias("n")).where("n > 1").select("band", "hash", "m"), "sketch-buckets")
+    pairs = materialize(marks.join(shared, ["band", "hash"]).where("t > m").select("t", "m").distinct(), "sketch-pairs")
+    leaders = materialize(texts.join(pairs.select(F.col("m").alias("t")).distinct(), "t", "left_semi").select(F.col("t").alias("m"), F.col("sketch").alias("other")), "leaders")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, BINS) for k in (1, 2))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array((one == two).mean(axis=1) >= ALIKE))], ["t"])
+
+    compared = pairs.join(texts.select("t", "sketch"), "t").join(leaders, "m").select("t", "sketch", "other")
+    copies = materialize(compared.mapInArrow(compare, "t bigint").distinct(), "copies-of-texts")
+    discard(shared)
+    return copies
+
 
-    return docs.select("doc_id", "text").mapInArrow(build, "class bigint, features binary")
+def _deltas(values: np.ndarray) -> bytes:
+    """Numbers in order as differences, each byte of them in a plane of its own."""
+    return pack_bytes(np.diff(values, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _undone(blob: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(unpack_bytes(blob), np.uint8).reshape(8, -1).T.copy().view("<u8").reshape(-1), dtype=np.uint64)
+
+
+def _in_order(shingles: np.ndarray) -> np.ndarray:
+    """The distinct ones in order; sorted, as hashing them is slower."""
+    out = np.sort(shingles)
+    return out[np.append(True, out[1:] != out[:-1])] if len(out) else out
+
+
+def _shingled(chunk: pa.Table, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles, counts and lengths of the texts at those places of a chunk."""
+    words, lens = unpack_words(chunk.column("words")[0].as_py())
+    return Shingler().distinct(take_runs(words, np.cumsum(lens) - lens, lens, places), lens[places])
+
+
+def _by_chunk(rows: DataFrame, buckets: int):
+    return rows.repartition(buckets, "chunk").groupBy("chunk")
+
+
+def _dealt(chunks: DataFrame, told: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, chunk, payload): each chunk's distinct shingles by bucket, with the numbers of its counted texts that hold them."""
+    names, types = ["bucket", "chunk", "payload"], [pa.int64(), pa.int64(), pa.binary()]
+
+    def deal(chunk: pa.Table, texts: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return pa.Table.from_arrays([pa.nulls(0, t) for t in types], names)
+        shingles, _, lens = _shingled(chunk, texts.column("place").to_numpy())
+        every = _in_order(shingles)
+        counted = np.sort(shingles[np.repeat(texts.column("counted").to_numpy(), lens)])
+        found = np.bincount(np.searchsorted(every, counted), minlength=len(every))
+        ends = np.searchsorted(((every >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32), np.arange(buckets, dtype=np.uint64), side="right")
+        starts = np.append(0, ends[:-1])
+        some = np.flatnonzero(ends > starts)
+        payloads = [pack_all(_deltas(every[lo:hi] >> np.uint64(16)), pack_ints(found[lo:hi])) for lo, hi in zip(starts[some].tolist(), ends[some].tolist(), strict=True)]
+        return pa.Table.from_arrays([pa.array(some, pa.int64()), pa.array([chunk.column("chunk")[0].as_py()] * len(some), pa.int64()), pa.array(payloads, pa.binary())], names)
+
+    dealt = _by_chunk(chunks, buckets).cogroup(_by_chunk(told.select("chunk", "place", "counted"), buckets)).applyInArrow(deal, "bucket bigint, chunk bigint, payload binary")
+    return dealt.repartition(buckets, "bucket")
+
+
+def _frequencies(group: pa.Table) -> pa.Table:
+    """A bucket's counts over all chunks, for each chunk in the order of its shingles."""
+    parts = [unpack_all(p) for p in group.column("payload").to_pylist()]
+    shingles = [_undone(p[0]) for p in parts]
+    ends = np.cumsum([len(s) for s in shingles]).tolist()
+    shingles, found = np.concatenate(shingles), np.concatenate([unpack_ints(p[1]) for p in parts]).astype(np.int64)
+    order = np.argsort(shingles, kind="stable")
+    new = np.flatnonzero(np.append(True, shingles[order][1:] != shingles[order][:-1]))
+    total = np.empty(len(order), np.int64)
+    total[order] = np.repeat(np.add.reduceat(found[order], new), np.diff(np.append(new, len(order))))
+    out = [pack_ints(total[lo:hi]) for lo, hi in zip([0, *ends[:-1]], ends, strict=True)]
+    return pa.table({"chunk": group.column("chunk"), "bucket": group.column("bucket"), "payload": pa.array(out, pa.binary())})
+
+
+def _weighted(chunks: DataFrame, told: DataFrame, documents: int, buckets: int, threshold: float) -> DataFrame:
+    """(uid, class, size, cell, bands, found): number of a text's distinct shingles, cell of its total weight, its band hashes, and how many of the counted documents hold each of its shingles.
+
+    ``told``: (chunk, place, class, counted) of every text.
+    """
+    names = ["uid", "class", "size", "cell", "bands", "found"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+
+    def weigh(chunk: pa.Table, known: pa.Table) -> pa.Table:
+        counts, texts = (known.filter(known.column(c).is_valid()) for c in ("bucket", "place"))
+        if not texts.num_rows:
+            return pa.Table.from_arrays([pa.nulls(0, t) for t in types], names)
+        places, payloads = texts.column("place").to_numpy(), counts.column("payload").to_pylist()
+        found = np.concatenate([unpack_ints(payloads[k]) for k in np.argsort(counts.column("bucket").to_numpy()).tolist()])
+        shingles, times, lens = _shingled(chunk, places)
+        found = found[np.searchsorted(_in_order(shingles), shingles)]
+        ends = np.cumsum(lens)
+        starts, cells, bands = ends - lens, [], []
+        for lo in range(0, len(lens), 256):  # samples take some memory
+            a, b = int(starts[lo]), int(ends[min(lo + 256, len(lens)) - 1])
+            weight, own = times[a:b] * idf(documents, found[a:b]), starts[lo : lo + 256] - a
+            bands.extend(signatures(shingles[a:b], np.log(weight), own).view(np.int64).T)
+            cells.append(np.floor(np.log(np.add.reduceat(weight, own)) / -np.log(threshold - 1e-6)))
+        blobs = [found[lo:hi].astype("<u4").tobytes() for lo, hi in zip(starts.tolist(), ends.tolist(), strict=True)]
+        uid = (chunk.column("chunk")[0].as_py() << PLACE) + places
+        columns = [pa.array(uid, pa.int64()), texts.column("class").combine_chunks(), pa.array(lens, pa.int32()), pa.array(np.concatenate(cells), pa.int32()), pa.array(bands, pa.list_(pa.int64())), pa.array(blobs, pa.binary())]
+        return pa.Table.from_arrays(columns, names)
+
+    counts = _dealt(chunks, told, buckets).groupBy("bucket").applyInArrow(_frequencies, "chunk bigint, bucket bigint, payload binary")
+    known = counts.unionByName(told.select("chunk", "place", "class"), allowMissingColumns=True)
+    return _by_chunk(chunks, buckets).cogroup(_by_chunk(known, buckets)).applyInArrow(weigh, "uid bigint, class bigint, size int, cell int, bands array<bigint>, found binary")
+
+
+def _sampled(docs: DataFrame, threshold: float, mine: str) -> tuple[DataFrame, DataFrame, DataFrame, int, int]:
+    """What ``_read`` and ``_weighted`` give, stored; the least key and its row of each text with words; and the numbers of counted documents and of buckets."""
+    base = materialize(_read(docs, mine), "words")
+    known = base.where("h is not null and doc_id is not null")
+    least = materialize(known.groupBy("h").agg(F.min("doc_id").alias("class"), F.min_by("uid", "doc_id").alias("uid"), F.max("size").alias("size")).withColumn("t", F.xxhash64("h")), "texts")
+    copies = _copies(base.where("h is not null").select("uid", "sketch", "marks").join(least.select("uid", "t"), "uid"))
+    total, n = least.agg(F.sum("size"), F.count("*")).first()
+    documents = n - copies.count()
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(total or 0) // BUCKET))
+    told = least.join(copies.withColumn("copy", F.lit(True)), "t", "left").select(*_at(), "class", F.col("copy").isNull().alias("counted"))
+    weighted = materialize(_weighted(_chunks(base), materialize(told, "places"), documents, buckets, threshold), "bands")
+    discard(copies)
+    return base, weighted, least, documents, buckets
+
+
+def _chunks(base: DataFrame) -> DataFrame:
+    return base.where("chunk is not null").select("chunk", "words")
+
+
+def _at() -> tuple[Column, Column]:
+    """A row's chunk and its place there."""
+    return F.shiftright("uid", PLACE).alias("chunk"), F.col("uid").bitwiseAND((1 << PLACE) - 1).alias("place")
+
+
+def _features(chunks: DataFrame, asked: DataFrame, documents: int, buckets: int) -> DataFrame:
+    """(class, features): distinct shingles and their weights, sorted by shingle; of (uid, class, found)."""
+
+    def build(chunk: pa.Table, texts: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return pa.table({"class": pa.nulls(0, pa.int64()), "features": pa.nulls(0, pa.binary())})
+        shingles, counts, lens = _shingled(chunk, texts.column("place").to_numpy())
+        found = np.frombuffer(b"".join(texts.column("found").to_pylist()), "<u4")
+        weight, ends = (counts * idf(documents, found)).astype("<f4"), np.cumsum(lens)
+        out = [shingles[lo:hi].tobytes() + weight[lo:hi].tobytes() for lo, hi in zip((ends - lens).tolist(), ends.tolist(), strict=True)]
+        return pa.table({"class": texts.column("class"), "features": pa.array(out, pa.binary())})
+
+    return _by_chunk(chunks, buckets).cogroup(_by_chunk(asked.select(*_at(), "class", "found"), buckets)).applyInArrow(build, "class bigint, features binary")
+
+
+def weights(df: DataFrame) -> Weights:
+    """The weights as one object, for small tables: the driver gets every shingle. ``near_duplicates`` never asks for it."""
+    docs = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    base, weighted, _, documents, _ = _sampled(docs, THRESHOLD, uuid.uuid4().hex)
+    chunks = {r.chunk: unpack_words(bytes(r.words)) for r in _chunks(base).collect()}
+    found: dict[int, int] = {}
+    for chunk, place, counts in weighted.select(*_at(), "found").collect():
+        words, lens = chunks[chunk]
+        own = words[lens[:place].sum() : lens[: place + 1].sum()]
+        found.update(zip(Shingler().distinct(own, np.array([len(own)]))[0].tolist(), np.frombuffer(counts, "<u4").tolist(), strict=True))
+    return Weights(documents, {s: n for s, n in found.items() if n > 1})
 
 
 def read_features(blob: bytes) -> tuple[np.ndarray, np.ndarray, float]:
@@ -388,14 +504,10 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "doc
 
     Rows with one key in common are treated as one document; a row with a null key is a class of its own.
     """
-    mine = uuid.uuid4().hex
     docs = df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    known = weights(docs, mine)
-    banded = materialize(_banded(docs, known, threshold, mine), "bands")
-    least = banded.where("h is not null and doc_id is not null").groupBy("h").agg(F.min("doc_id").alias("class"))
-    members = materialize(banded.select("doc_id", "h").join(least, "h", "left").select("doc_id", F.coalesce("class", "doc_id").alias("class"), F.col("h").isNotNull().alias("real")), "text-classes")
-    first = members.where("real and doc_id = class").select("doc_id").distinct()
-    each = banded.join(first, "doc_id", "left_semi").select(F.col("doc_id").alias("class"), "size", "cell", F.posexplode("bands").alias("band", "hash"))
+    base, weighted, least, documents, buckets = _sampled(docs, threshold, uuid.uuid4().hex)
+    members = materialize(base.where("uid is not null").select("doc_id", "h").join(least.select("h", "class"), "h", "left").select("doc_id", F.coalesce("class", "doc_id").alias("class")), "text-classes")
+    each = weighted.select("class", "size", "cell", F.posexplode("bands").alias("band", "hash"))
     # A similarity of the threshold needs total weights in the same or neighbouring cells: every class is in two.
     placed = each.select("class", "size", F.explode(F.array(F.col("cell"), F.col("cell") + 1)).alias("cell"), "band", "hash").select("class", "size", F.xxhash64("band", "hash", "cell").alias("bucket")).distinct()
     told_by = {"n": F.count("*"), "one": F.bit_xor(F.xxhash64("class")), "two": F.bit_xor(F.xxhash64(F.lit(1), "class")), "least": F.min("class"), "most": F.max("class")}
@@ -404,10 +516,15 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "doc
     unique = materialize(shared.groupBy(*told_by).agg(F.min("bucket").alias("bucket")).select("bucket"), "shared-buckets")
     rows = materialize(placed.join(unique, "bucket"), "buckets")
     # Stored, so that Spark knows its size and shuffles documents only for a long list.
-    wanted = materialize(rows.select(F.col("class").alias("doc_id")).distinct(), "wanted")
-    features = materialize(_features(docs.join(wanted, "doc_id", "left_semi"), known, mine), "features")
-    components = connected_components(_links(rows, features, 1 - threshold))
-    discard(banded, features)
+    wanted = materialize(rows.select("class").distinct(), "wanted")
+    asked = materialize(weighted.join(wanted, "class", "left_semi").select("uid", "class", "found"), "wanted-counts")
+    features = materialize(_features(_chunks(base), asked, documents, buckets), "features")
+    discard(base, asked)
+    # Different texts of one key are one document.
+    several = members.where("doc_id is not null").groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a < b").select("doc_id", "a")
+    same = members.join(several, "doc_id").where("class <> a").select("a", F.col("class").alias("b"))
+    components = connected_components(_links(rows, features, 1 - threshold).unionByName(same))
+    discard(weighted, features)
     out = members.join(components.select(F.col("node").alias("class"), "component"), "class", "left")
     out = out.select(F.col("doc_id").alias(key), F.coalesce("component", "class").alias("class_id"))
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("class_id"), F.lit(True)))

@@ -474,6 +474,33 @@ def test_frequent_shingles_are_exact(spark):
     assert len(known.hashes) == 2 and np.allclose(known.idf, 1)
 
 
+def test_rare_shingles_have_full_inverse_document_frequency(spark):
+    """Every document frequency counts, however small; of a group of copies one text is counted."""
+    rng = np.random.default_rng(21)
+    texts = {k: " ".join(map(str, rng.integers(0, 10**6, 60))) for k in range(100)}
+    lines = {n: " ".join(f"line{n}word{k}" for k in range(5)) for n in (1, 2, 5, 20)}
+    for n, line in lines.items():
+        for k in range(n):
+            texts[k] += " | " + line
+    texts |= {100 + k: texts[90] + f" copy{k}" for k in range(40)}
+    known = minhash.weights(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4))
+    for n, line in lines.items():
+        assert known.of(minhash.Shingler()([line])[0]) == pytest.approx([1 + np.log(100 / n)])
+    assert known.of(minhash.Shingler()([texts[90]])[0]) == pytest.approx(1 + np.log(100))
+
+
+def test_sketches_agree_as_texts_do():
+    rng = np.random.default_rng(8)
+    same = []
+    for _ in range(50):
+        pool = rng.integers(1, 2**63, 250).astype(np.uint64)
+        both = [np.sort(rng.permutation(pool)[:200]) for _ in range(2)]
+        one, two = minhash.sketches(np.concatenate(both), np.array([200, 200]))
+        same.append(((one == two).mean(), len(np.intersect1d(*both)) / len(np.union1d(*both))))
+    agree, similar = np.array(same).mean(axis=0)
+    assert agree == pytest.approx(similar, abs=0.05)
+
+
 def test_weights_of_signatures():
     """Samples agree as often as the weighted Jaccard similarity says."""
     rng = np.random.default_rng(4)
