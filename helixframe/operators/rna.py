@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import fisher_exact, odds_ratio, safe_ratio
-from helixframe.operators.pileup import allele_counts, coverage
+from helixframe.operators.pileup import alleles_of, coverage
 
 
 def score(rows: DataFrame, min_difference: float = 10.0, max_p: float = 0.05, min_depth: int = 10, min_support: int = 3) -> DataFrame:
@@ -35,11 +35,12 @@ def tested(rows: DataFrame) -> DataFrame:
 
 def pileup_evidence(variants: DataFrame, rna: DataFrame) -> DataFrame:
     """rna_depth and rna_support of each single-base variant from RNA pileup lines at its locus."""
-    counts = allele_counts(rna).select("contig", "position", F.col("allele").alias("alt"), F.col("count").cast("int").alias("rna_support"))
-    depth = rna.where("depth > 0").select("contig", "position", coverage(F.col("depth"), F.col("bases")).cast("int").alias("rna_depth"))
+    # A line brings its alleles along, so that lines are read, and joined, once.
+    lines = rna.where("depth > 0").select("contig", "position", coverage(F.col("depth"), F.col("bases")).cast("int").alias("rna_depth"), F.transform(alleles_of(F.col("bases"), F.col("ref")), lambda a: a["allele"]).alias("_alleles"))
     single = (F.length("ref") == 1) & (F.length("alt") == 1)
-    joined = variants.where(single).join(depth, ["contig", "position"], "left").join(counts, ["contig", "position", "alt"], "left")
-    return joined.withColumn("rna_support", F.coalesce("rna_support", F.lit(0)))
+    joined = variants.where(single).join(lines, ["contig", "position"], "left")
+    own = F.filter("_alleles", lambda a: a == F.col("alt"))
+    return joined.withColumn("rna_support", F.when(F.col("_alleles").isNull(), 0).otherwise(F.size(own))).drop("_alleles")
 
 
 def vcf_evidence(variants: DataFrame, rna: DataFrame) -> DataFrame:

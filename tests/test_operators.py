@@ -228,3 +228,30 @@ def test_text_order(spark):
     assert [(r.contig, r.position) for r in relational.text_order(df, ["n.x", 2]).collect()] == [(None, 1), ("chr10", 30), ("chr10", 4), ("chr2", 5)]
     # Joined, nulls take no place, and the separator counts.
     assert [r.position for r in relational.text_order(df, ["contig", "position"], joined=True).collect()] == [1, 30, 4, 5]
+
+
+def test_last_wins_near_sorts_rows_once(spark):
+    """With ``near`` the same rows, without a sort before the shuffle, and votes by these keys need no shuffle of their own."""
+    rows = [("v" if k % 2 else "m", "1", k % 7, "A", "C", 20 + k % 3, k % 4, 30, k % 5, k // 3) for k in range(200)]
+    df = spark.createDataFrame(rows, "source string, contig string, position bigint, ref string, alt string, normal_depth int, normal_supporting int, tumor_depth int, tumor_supporting int, ord bigint")
+    keys = ["source", *relational.KEY]
+    plain, near = relational.last_wins(df, keys), relational.last_wins(df, keys, near=relational.KEY)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, near.collect()))
+    votes = callers.consensus(near, test=False)
+    assert votes.drop("by_source")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(r.hits for r in votes.collect()) == [2] * 7
+
+
+def test_rna_evidence_reads_lines_once(spark):
+    pile = spark.createDataFrame([("1", 5, "A", 5, "..CCc", "IIIII"), ("1", 6, "A", 2, "**", "II"), ("1", 7, "A", 0, None, None), ("1", 8, "G", 3, ".+2ACTt", "III")], PILEUP)
+    wanted = spark.createDataFrame([("1", p, "A", a) for p, a in ((5, "C"), (5, "G"), (6, "C"), (7, "C"), (8, "T"), (9, "C"), (5, "CC"))], "contig string, position bigint, ref string, alt string")
+    found = rna.pileup_evidence(wanted, pile)
+    assert {(r.position, r.alt): (r.rna_depth, r.rna_support) for r in found.collect()} == {(5, "C"): (5, 3), (5, "G"): (5, 0), (6, "C"): (0, 0), (7, "C"): (None, 0), (8, "T"): (3, 2), (9, "C"): (None, 0)}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_lines_without_indels_are_left_before_alleles(spark):
+    pile = spark.createDataFrame([("1", 5, "A", 3, "..C", "III"), ("1", 6, "A", 2, ".+2AC,", "II"), ("1", 7, "A", 1, "^+.", "I"), ("1", 8, "A", 1, ",-1t", "I")], PILEUP)
+    assert sorted(r.position for r in pileup.indel_lines(pile).collect()) == [6, 8]
+    every, some = (pileup.top_indel(pileup.allele_counts(p)).select("position", "code", "count").collect() for p in (pile, pileup.indel_lines(pile)))
+    assert sorted(map(tuple, every)) == sorted(map(tuple, some)) and len(some) == 2
