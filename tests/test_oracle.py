@@ -27,6 +27,27 @@ def test_ties_equal_sql(spark, name):
     assert n > 0 and not mine and not theirs, (mine, theirs)
 
 
+@pytest.fixture(scope="module")
+def letterless(spark, tmp_path_factory):
+    """The smallest tables, with documents without a letter, without a text and with too short a one."""
+    folder = tmp_path_factory.mktemp("odd")
+    for table in oracle.TABLES:
+        if table != "documents":
+            os.symlink(f"{SF}/{table}.parquet", folder / f"{table}.parquet")
+    odd = "SELECT * FROM VALUES (5000L, ''), (5001L, '12 34 --'), (5002L, NULL), (5003L, 'ab, cd'), (5004L, 'éß'), (5005L, 'abcdefghijkl') AS t(doc_id, text)"
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    given.unionByName(spark.sql(odd), allowMissingColumns=True).coalesce(1).write.parquet(str(folder / "documents"))
+    os.symlink(next((folder / "documents").glob("*.parquet")), folder / "documents.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["epitope_report"])
+def test_texts_without_letters_equal_sql(spark, letterless, name):
+    """A remainder by their length of 0 must not be worked out."""
+    n, mine, theirs = oracle.differences(spark, letterless, QUERIES[name], ORACLE_SQL[name])
+    assert n > 0 and not mine and not theirs, (mine, theirs)
+
+
 def test_entry(spark):
     import __spark_entry__
 
