@@ -41,7 +41,7 @@ def letterless(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["epitope_report"])
+@pytest.mark.parametrize("name", ["epitope_report", "neoepitopes"])
 def test_texts_without_letters_equal_sql(spark, letterless, name):
     """A remainder by their length of 0 must not be worked out."""
     n, mine, theirs = oracle.differences(spark, letterless, QUERIES[name], ORACLE_SQL[name])
