@@ -6,6 +6,8 @@
    of copies one text is counted: else what its members share would weigh less than their edits, and a large group
    would be lost. Which texts those are is told by sketches (one permutation, BINS bins): a text isn't counted if it
    shares one of SKETCH_BANDS bands with a text of smaller hash, and ALIKE of all bins with the least in that band.
+   ALIKE is far below the threshold, as two copies of one text share less with each other than either with it: were
+   only the nearer ones told, the rest of a large group would be counted, and its edited copies lost.
    Texts lie in chunks of about CHUNK words, which are kept as numbers in the chunk's list of words' hashes. A chunk's
    distinct shingles are dealt to buckets by hash, counted there (told by 48 bits of hash), and the counts travel back
    to the chunk in the same order.
@@ -43,7 +45,7 @@ from helixframe.llm.graph import connected_components
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 10, 4
 #: Sketches that tell which texts are copies while documents are counted: bins, bands of them, and the share that agrees.
-BINS, SKETCH_BANDS, ALIKE = 80, 16, 0.65
+BINS, SKETCH_BANDS, ALIKE = 80, 20, 0.3
 #: Words that a chunk of texts holds, shingles that a bucket holds on average, and bits of a row's place in its chunk.
 CHUNK, BUCKET, PLACE = 1_500_000, 2_000_000, 20
 #: What is far from its bucket's centre is compared in blocks of about so many rows, and shingles, at most.
