@@ -73,3 +73,20 @@ def test_cells_are_decoded_once(spark):
     """Two cells a row, two fields each; a scan for the calls and one for their distinct tables."""
     text = plan(QUERIES["somatic_vcf_filter"](spark, SF))
     assert text.count("split(") <= 4 * text.count("Relation [l_orderkey")
+
+
+def test_metrics_shuffle_no_base(spark):
+    """Positions and reference come to the reads by stretch: what is exchanged is reads, stretches and counts, and a base's quality is in none of them."""
+    from helixframe.operators import alignments
+
+    rows = [("c1", 5, "2M1D2M", "ACGT", "I5?I", 0, 60), ("c1", 5, "2M1D2M", "ACGT", "I5?I", 0, 60), ("c1", 1030, "4M", "TTTT", "IIII", 16, 20), ("c2", 1, "2M", "AC", "II", 0, 9), ("c1", None, "2M", "AC", "II", 0, 9)]
+    reads = spark.createDataFrame(rows, "contig string, pos long, cigar string, seq string, qual string, flag int, mapq int")
+    positions = spark.createDataFrame([("c1", 5, "a"), ("c1", 6, "G"), ("c1", 6, "T"), ("c1", 7, "C"), ("c1", 1031, None), ("c1", 1033, "A"), ("c1", 1033, "A")], "contig string, position long, ref string")
+    found = alignments.allele_metrics(reads, positions)
+    assert "read_id" not in plan(found) and not re.search(r"Join .*position", plan(found))
+    got = {(r.position, r.allele): (r["count"], r.mmqs) for r in found.collect()}
+    assert got == {(5, "A"): (2, 20), (6, "C"): (2, 20), (7, "*"): (2, 20), (1031, "T"): (1, 40), (1033, "T"): (1, 40)}
+    apart = alignments.allele_metrics(reads, positions.select("contig", "position"), reference=positions)
+    assert {(r.position, r.allele): (r["count"], r.mmqs) for r in apart.collect()} == got
+    none = alignments.allele_metrics(reads, positions.select("contig", "position"))
+    assert {(r.position, r.allele): (r["count"], r.mmqs) for r in none.collect()} == {k: (n, None) for k, (n, _) in got.items()}
