@@ -90,3 +90,9 @@ def test_metrics_shuffle_no_base(spark):
     assert {(r.position, r.allele): (r["count"], r.mmqs) for r in apart.collect()} == got
     none = alignments.allele_metrics(reads, positions.select("contig", "position"))
     assert {(r.position, r.allele): (r["count"], r.mmqs) for r in none.collect()} == {k: (n, None) for k, (n, _) in got.items()}
+
+
+def test_cigars_are_taken_apart_before_candidates_meet_reads(spark):
+    text = plan(QUERIES["mnv_support"](spark, SF))
+    pairs = text.split("Join Inner")[0]
+    assert "regexp_extract_all" not in pairs and "regexp_extract_all" in text
